@@ -149,12 +149,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # Pages. The SQL spells its patterns out so that it does not depend on the library.
 
-_TEXT_OF = r"trim(regexp_replace(regexp_replace({}, '<[^>]*>', ' ', 'g'), '[ \t\r\n\f]+', ' ', 'g'))"
+_TEXT_OF = r"trim(regexp_replace(regexp_replace({}, '<[a-zA-Z/!?][^>]*(?:>|\z)', ' ', 'g'), '[ \t\r\n\f]+', ' ', 'g'))"
 
 _PARTS = r"""
 parts AS (
   SELECT page_id AS doc_id, string_split_regex(
-    regexp_replace(html, '(?is)<(?:script|style)(?:\s[^>]*)?>.*?</(?:script|style)\s*>|<!--.*?-->', ' ', 'g'),
+    regexp_replace(html, '(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)', ' ', 'g'),
     '(?i)<li(?:\s[^>]*)?>') AS part
   FROM pages),
 fragments AS (
@@ -236,8 +236,8 @@ FROM pages""".replace(
         ).replace("T2", _TEXT_OF.format("regexp_extract(html, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1\\s*>', 1)")),
         "page_text": r"""
 SELECT page_id AS doc_id, trim(regexp_replace(regexp_replace(regexp_replace(html,
-  '(?is)<(?:script|style)(?:\s[^>]*)?>.*?</(?:script|style)\s*>|<!--.*?-->', ' ', 'g'),
-  '<[^>]*>', ' ', 'g'), '[ \t\r\n\f]+', ' ', 'g')) AS text
+  '(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)', ' ', 'g'),
+  '<[a-zA-Z/!?][^>]*(?:>|\z)', ' ', 'g'), '[ \t\r\n\f]+', ' ', 'g')) AS text
 FROM pages""",
         "page_list_items": _PAGE_ITEMS.format(
             columns="doc_id, 0 AS pos, CAST(item AS INTEGER) AS item, fragment, content, "

@@ -26,10 +26,22 @@ ENTITIES = (
     ("]", "&#93;"),
 )
 
-WHITE = r"[ \t\r\n\f]+"
-TAG = r"<[^>]*>"
-HIDDEN = r"(?is)<(?:script|style)(?:\s[^>]*)?>.*?</(?:script|style)\s*>|<!--.*?-->"
-HIDDEN_OR_TAG = HIDDEN + "|" + TAG
+# White space that is not already a single space, so that most of a text's spaces
+# are passed over and not replaced by themselves.
+WHITE = r"[ \t\r\n\f](?:[ \t\r\n\f]+|(?<=[\t\r\n\f]))"
+# As in a browser, a "<" before anything but a name is text, and a tag, script,
+# style or comment without an end takes the rest. So every start that is found is
+# also a match, and no page makes the engine run to its end again and again.
+_TAG = r"[a-z/!?][^>]*(?:>|\z)"
+# Alternatives share their first character: one comparison rules most places out.
+_HIDDEN = (
+    r"script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)"
+    r"|style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)"
+    r"|!--.*?(?:-->|\z)"
+)
+TAG = rf"(?i)<{_TAG}"
+HIDDEN = rf"(?is)<(?:{_HIDDEN})"
+HIDDEN_OR_TAG = rf"(?is)<(?:{_HIDDEN}|{_TAG})"
 H2_OPEN = r"(?i)<h2(?:\s[^>]*)?>"
 H2_CLOSE = r"(?i)</h2\s*>"
 ITEM_OPEN = r"(?i)<li(?:\s[^>]*)?>"
@@ -77,8 +89,13 @@ def first_group(html: Column, pattern: str) -> Column:
 
 
 def item_content(fragment: Column) -> Column:
-    """Markup of one item: up to its closing tag, or all if it has none."""
-    return F.get(F.split(fragment, ITEM_END, 2), F.lit(0))
+    """Markup of one item: up to its closing tag, or all if it has none.
+
+    The usual spelling is looked for first, as bytes, since the last fragment runs
+    on to the end of its page.
+    """
+    short = F.substring_index(fragment, "</li>", 1)
+    return F.get(F.split(short, ITEM_END, 2), F.lit(0))
 
 
 def escape(text: Column) -> Column:

@@ -24,14 +24,10 @@ def has_hint(content: Column) -> Column:
     return F.contains(content, F.lit(markup.HINT_CLASS)) & content.rlike(markup.HINT_SPAN)
 
 
-def given_text(content: Column) -> Column:
+def given_text(content: Column, text: Column) -> Column:
     """The item's text without its placeholder, whose words are not an answer."""
-    return markup.plain_fragment(
-        F.when(
-            F.contains(content, F.lit(markup.HINT_CLASS)),
-            F.regexp_replace(content, markup.HINT_SPAN, " "),
-        ).otherwise(content)
-    )
+    given = markup.plain_fragment(F.regexp_replace(content, markup.HINT_SPAN, " "))
+    return F.when(F.contains(content, F.lit(markup.HINT_CLASS)), given).otherwise(text)
 
 
 def label_cut(text: Column) -> Column:
@@ -45,16 +41,16 @@ def label_cut(text: Column) -> Column:
         ),
         "",
     )
-    return F.split(
-        F.when(text.rlike(_BRACKETED_COLON), guarded).otherwise(text), ":", 2
-    )
+    guard = F.contains(text, F.lit("]")) & text.rlike(_BRACKETED_COLON)
+    return F.split(F.when(guard, guarded).otherwise(text), ":", 2)
 
 
 def cut_label(cut: Column) -> Column:
     """Label of a :func:`label_cut`; brackets are no part of it. NULL if there is none."""
-    before = F.regexp_replace(F.get(cut, F.lit(0)), _BRACKETS, " ")
-    label = markup.blank_to_null(markup.squeeze(before))
-    return F.when(F.size(cut) == 2, markup.unescape(label))
+    before = F.when(F.size(cut) == 2, F.get(cut, F.lit(0)))
+    bare = markup.squeeze(F.regexp_replace(before, _BRACKETS, " "))
+    label = F.when(F.contains(before, F.lit("[")), bare).otherwise(F.trim(before))
+    return markup.blank_to_null(markup.unescape(label))
 
 
 def cut_value(cut: Column, label: Column) -> Column:

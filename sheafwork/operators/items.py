@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from sheafwork.functions import markup
 
-# Stands for an item's tag while its section is still one string. The character
-# is not allowed in markup, so taking it out of the input first loses nothing.
-_MARK = "\x01"
-_TOKEN = rf"(?i){_MARK}|</?[ou]l(?:\s[^>{_MARK}]*)?>"
+# Stands for an item's tag while its section is still one string. The control
+# character is not allowed in markup, so taking it out first loses nothing.
+_CONTROL = "\x01"
+_MARK = "<" + _CONTROL
+_TOKEN = rf"(?i)<(?:{_CONTROL}|/?[ou]l(?:\s[^>{_CONTROL}]*)?>)"
 
 
 def _bodies(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
@@ -21,19 +22,22 @@ def _bodies(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     return rows.select("doc_id", F.lit(0).alias("pos"), *keep, body.alias("body"))
 
 
-def _items(rows: DataFrame, keep: tuple[str, ...], *extra: Column) -> DataFrame:
+def _items(
+    rows: DataFrame, keep: tuple[str, ...], fragment: Column, *extra: Column
+) -> DataFrame:
+    """Explode ``pieces`` to ``piece``, passing over what stands before any item."""
     # The outer form keeps the optimizer from adding a filter on the array's size,
     # which would compute the split twice; the array is never empty.
     rows = rows.select(
-        "*", F.posexplode_outer("fragments").alias("item", "fragment")
+        "doc_id", "pos", *keep, F.posexplode_outer("pieces").alias("item", "piece")
     ).where(F.col("item") > 0)
-    rows = rows.select("*", markup.item_content(F.col("fragment")).alias("content"))
+    rows = rows.select("*", markup.item_content(fragment).alias("content"))
     return rows.select(
         "doc_id",
         "pos",
         *keep,
         "item",
-        "fragment",
+        fragment.alias("fragment"),
         "content",
         markup.plain_fragment(F.col("content")).alias("text"),
         *extra,
@@ -49,68 +53,81 @@ def list_items(rows: DataFrame, *keep: str) -> DataFrame:
     is its markup, ``text`` the same without tags, ``fragment`` the markup up to
     the next item. Columns named in ``keep`` are carried along.
     """
-    fragments = F.split("body", markup.ITEM_OPEN).alias("fragments")
-    return _items(_bodies(rows, keep).select("doc_id", "pos", *keep, fragments), keep)
+    pieces = F.split("body", markup.ITEM_OPEN)
+    return _items(_bodies(rows, keep).withColumn("pieces", pieces), keep, F.col("piece"))
 
 
+# A fold copies its state at every step, so one that gathered a place per item
+# would cost the square of a long section. Chunks bound what a fold gathers.
+_CHUNK = 128
 _PLACE = "struct<depth:int,parent:int>"
-_STATE = (
-    f"struct<open:array<int>,last:int,item:int,"
-    f"full:array<array<{_PLACE}>>,tail:array<{_PLACE}>>"
-)
-_CHUNK = 512
+_STATE = f"struct<open:array<int>,last:int,item:int,places:array<{_PLACE}>>"
 
 
-def _state(open_: Column, last: Column, item: Column, full: Column, tail: Column) -> Column:
+def _state(open_: Column, last: Column, item: Column, places: Column) -> Column:
+    """``open`` has, for each list open now, the item that holds it, ``last`` is
+    the latest item of the innermost of them, ``places`` are those of the items
+    passed."""
     return F.struct(
         open_.alias("open"),
         last.alias("last"),
         item.alias("item"),
-        full.alias("full"),
-        tail.alias("tail"),
+        places.alias("places"),
     )
 
 
-def _step(state: Column, token: Column) -> Column:
-    """State after one item or list edge.
-
-    ``open`` has, for each list open now, the item that holds it; ``last`` is the
-    latest item of the innermost of them. Places of finished items go to ``tail``,
-    and whole tails to ``full``: an array is copied when it grows, so one that
-    only grew would cost the square of a long section.
-    """
-    open_, last, item = state["open"], state["last"], state["item"]
-    full, tail = state["full"], state["tail"]
-    place = F.struct(
-        F.size(open_).alias("depth"), F.try_element_at(open_, F.lit(-1)).alias("parent")
-    )
-    filled = F.size(tail) == _CHUNK
-    at_item = _state(
-        open_,
-        item + 1,
-        item + 1,
-        F.when(filled, F.array_append(full, tail)).otherwise(full),
-        F.when(filled, F.array(place)).otherwise(F.array_append(tail, place)),
-    )
-    at_open = _state(
-        F.array_append(open_, last), F.lit(None).cast("int"), item, full, tail
+def _walk(tokens: Column, start: Column, note: bool) -> Column:
+    """State after items and list edges in order, with the places if noted."""
+
+    def step(state: Column, token: Column) -> Column:
+        open_, last, item, places = (
+            state[field] for field in ("open", "last", "item", "places")
+        )
+        place = F.struct(
+            F.size(open_).alias("depth"), F.try_element_at(open_, F.lit(-1)).alias("parent")
+        )
+        noted = F.array_append(places, place) if note else places
+        outer = F.slice(open_, 1, F.size(open_) - 1)
+        holder = F.element_at(open_, F.lit(-1))
+        return (
+            F.when(token == _MARK, _state(open_, item + 1, item + 1, noted))
+            .when(
+                ~F.startswith(token, F.lit("</")),
+                _state(F.array_append(open_, last), F.lit(None).cast("int"), item, places),
+            )
+            # A closing tag without an open list means nothing.
+            .when(F.size(open_) > 0, _state(outer, holder, item, places))
+            .otherwise(state)
+        )
+
+    return F.aggregate(tokens, start, step)
+
+
+def _with_places(rows: DataFrame) -> DataFrame:
+    """Add ``places``: an empty one, then depth and parent of each item, from
+    ``tokens``."""
+    none = F.lit(None)
+    start = _state(F.array(), none, F.lit(0), F.array()).cast(_STATE)
+    rows = rows.withColumn(
+        "chunks",
+        F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size("tokens") - 1, F.lit(0)), F.lit(_CHUNK)),
+            lambda at: F.slice("tokens", at + 1, F.lit(_CHUNK)),
+        ),
     )
-    # A closing tag without an open list means nothing.
-    at_close = F.when(
-        F.size(open_) > 0,
-        _state(
-            F.slice(open_, 1, F.size(open_) - 1),
-            F.element_at(open_, F.lit(-1)),
-            item,
-            full,
-            tail,
+    starts = F.aggregate(
+        F.slice("chunks", F.lit(1), F.size("chunks") - 1),
+        F.array(start),
+        lambda states, chunk: F.array_append(
+            states, _walk(chunk, F.element_at(states, F.lit(-1)), note=False)
         ),
-    ).otherwise(state)
-    return (
-        F.when(token == _MARK, at_item)
-        .when(F.startswith(token, F.lit("</")), at_close)
-        .otherwise(at_open)
     )
+    places = F.transform(
+        F.arrays_zip(F.col("chunks").alias("chunk"), starts.alias("start")),
+        lambda z: _walk(z["chunk"], z["start"], note=True)["places"],
+    )
+    before = F.array(F.struct(none, none).cast(_PLACE))
+    return rows.withColumn("places", F.concat(before, F.flatten(places)))
 
 
 def item_tree(rows: DataFrame, *keep: str) -> DataFrame:
@@ -118,31 +135,26 @@ def item_tree(rows: DataFrame, *keep: str) -> DataFrame:
 
     Depth is the number of lists open at the item within its section. The parent
     is the number of the item that holds the item's list, NULL if none does; any
-    depth of nesting is followed. A section's items all come from one input value, so their places are worked out on the array
-    before it is exploded: no window, and no shuffle of the text.
+    depth of nesting is followed. A section's items all come from one input value,
+    so their places are worked out on the array before it is exploded: no window,
+    and no shuffle of the text.
     """
     marked = F.regexp_replace(
-        F.replace("body", F.lit(_MARK), F.lit("")), markup.ITEM_OPEN, _MARK
+        F.replace("body", F.lit(_CONTROL), F.lit("")), markup.ITEM_OPEN, _MARK
     )
-    staged = _bodies(rows, keep).select("doc_id", "pos", *keep, marked.alias("marked"))
-    places = F.aggregate(
-        F.regexp_extract_all("marked", F.lit(_TOKEN), F.lit(0)),
-        _state(
-            F.array(), F.lit(None), F.lit(0), F.array(), F.array()
-        ).cast(_STATE),
-        _step,
-        lambda state: F.flatten(F.array_append(state["full"], state["tail"])),
+    staged = _bodies(rows, keep).withColumn("marked", marked)
+    tokens = F.regexp_extract_all("marked", F.lit(_TOKEN), F.lit(0))
+    staged = _with_places(staged.withColumn("tokens", tokens))
+    # The places go into the elements and not beside them: an array kept as a
+    # column would be copied with each of its items.
+    pieces = F.arrays_zip(
+        F.split("marked", _MARK).alias("fragment"), F.col("places").alias("place")
     )
-    place = F.get("places", F.col("item") - 1)
+    fragment, place = F.col("piece")["fragment"], F.col("piece")["place"]
     return _items(
-        staged.select(
-            "doc_id",
-            "pos",
-            *keep,
-            F.split("marked", _MARK).alias("fragments"),
-            places.alias("places"),
-        ),
+        staged.withColumn("pieces", pieces),
         keep,
+        fragment,
         place["depth"].alias("depth"),
         place["parent"].alias("parent_item"),
     )

@@ -14,13 +14,15 @@ from sheafwork.functions import slots as fn
 def completeness(slot_rows: DataFrame, *keys: str) -> DataFrame:
     """(keys, slots, filled, ratio): slots and filled slots per key.
 
+    Without keys it is one row, whose ratio is NULL if there are no slots at all.
+
     Counts are summed within each task before the exchange, so at most one row per
     key and task moves, however many slots a key has. Works on a stream too.
     """
     counts = slot_rows.groupBy(*keys).agg(
         F.count("*").alias("slots"), F.count("value").alias("filled")
     )
-    return counts.select("*", (F.col("filled") / F.col("slots")).alias("ratio"))
+    return counts.select("*", F.try_divide("filled", "slots").alias("ratio"))
 
 
 def wide(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -60,7 +62,9 @@ def wide_documents(documents: DataFrame, labels: Sequence[str]) -> DataFrame:
     rows = rows.select(
         "doc_id", F.filter("contents", lambda c: ~fn.has_hint(c)).alias("contents")
     )
-    rows = rows.select("doc_id", F.transform("contents", fn.given_text).alias("texts"))
+    rows = rows.select(
+        "doc_id", F.transform("contents", markup.plain_fragment).alias("texts")
+    )
     rows = rows.select(
         "doc_id", "texts", F.transform("texts", fn.label_cut).alias("cuts")
     )

@@ -16,7 +16,8 @@ def label_values(items: DataFrame) -> DataFrame:
     such a colon the label is NULL and the value is the whole text. A value may
     contain colons; one that is only a placeholder is NULL.
     """
-    rows = items.select("*", fn.given_text(F.col("content")).alias("_given"))
+    given = fn.given_text(F.col("content"), F.col("text"))
+    rows = items.select("*", given.alias("_given"))
     rows = rows.select("*", fn.label_cut(F.col("_given")).alias("_cut"))
     rows = rows.select("*", fn.cut_label(F.col("_cut")).alias("label"))
     value = fn.cut_value(F.col("_cut"), F.col("label"))

@@ -27,10 +27,10 @@ def scan_documents(
     Small files are packed into tasks, but one file is one value in one task.
     For volume runs write the result to Parquet once and start from that.
     """
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    return _shape(reader.text(path))
+    return _shape(reader.text(path, wholetext=True))
 
 
 def stream_documents(
@@ -40,12 +40,12 @@ def stream_documents(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """:func:`scan_documents` over the files arriving in a directory."""
-    reader = spark.readStream.option("wholetext", True)
+    reader = spark.readStream
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _shape(reader.text(path))
+    return _shape(reader.text(path, wholetext=True))
 
 
 def documents_from_pages(pages: DataFrame) -> DataFrame:

@@ -1,0 +1,82 @@
+"""Documents arriving as files, and the operators on streams."""
+
+import pytest
+
+from sheafwork import operators as op
+from sheafwork import plans, sources, streaming
+
+PAGE = "<html lang={}>\n<h2>1. A</h2>\n<ul><li>K: {}</li>\n<li>L: [x]<ul><li>y</li></ul></li></ul>"
+
+
+@pytest.fixture
+def folder(tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    put(source, "a.html", PAGE.format("en", 1))
+    put(source, "b.html", "﻿" + PAGE.format("de", 2))
+    put(source, "c.txt", "not a page")
+    return source
+
+
+def put(folder, name, text):
+    (folder / name).write_text(text, encoding="utf-8", newline="")
+
+
+def names(rows):
+    return sorted(row["doc_id"].rsplit("/", 1)[1] for row in rows)
+
+
+def test_scan_is_whole(spark, folder):
+    rows = sources.scan_documents(spark, str(folder), glob="*.html").collect()
+    assert names(rows) == ["a.html", "b.html"]
+    assert sorted(row["html"] for row in rows) == [PAGE.format("de", 2), PAGE.format("en", 1)]
+
+
+def run(spark, tmp_path, operator):
+    documents = sources.stream_documents(spark, str(tmp_path / "in"), "*.html", 1)
+    out = str(tmp_path / "out")
+    query = streaming.append_available(operator(documents), out, str(tmp_path / "progress"))
+    query.awaitTermination()
+    return spark.read.parquet(out)
+
+
+OPERATORS = {
+    "metadata": op.document_metadata,
+    "text": op.document_text,
+    "headings": lambda d: op.parse_heading(op.sections(d)),
+    "items": lambda d: op.list_items(op.sections(d)),
+    "tree": lambda d: op.item_tree(op.sections(d)),
+    "slots": plans.document_slots,
+    "wide": lambda d: op.wide_documents(d, ["K", "L"]),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_stream_is_the_batch(spark, folder, tmp_path, name):
+    streamed = run(spark, tmp_path, OPERATORS[name])
+    batch = OPERATORS[name](sources.scan_documents(spark, str(folder), "*.html"))
+    assert sorted(map(repr, streamed.collect())) == sorted(map(repr, batch.collect()))
+    assert streamed.count() > 0
+
+
+def test_restart_reads_only_what_is_new(spark, folder, tmp_path):
+    assert names(run(spark, tmp_path, op.document_text).collect()) == ["a.html", "b.html"]
+    put(folder, "d.html", PAGE.format("fr", 3))
+    rows = run(spark, tmp_path, op.document_text).collect()
+    assert names(rows) == ["a.html", "b.html", "d.html"]
+
+
+def test_completeness_over_a_stream(spark, folder, tmp_path):
+    documents = sources.stream_documents(spark, str(folder), "*.html", 1)
+    query = (
+        op.completeness(plans.document_slots(documents), "label")
+        .writeStream.outputMode("complete")
+        .format("memory")
+        .queryName("completeness")
+        .option("checkpointLocation", str(tmp_path / "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    rows = {tuple(row) for row in spark.table("completeness").collect()}
+    assert rows == {("K", 2, 2, 1.0), ("L", 2, 0, 0.0), (None, 2, 2, 1.0)}
