@@ -30,8 +30,9 @@ ENTITIES = (
 # are passed over and not replaced by themselves.
 WHITE = r"[ \t\r\n\f](?:[ \t\r\n\f]+|(?<=[\t\r\n\f]))"
 # As in a browser, a "<" before anything but a name is text, and a tag, script,
-# style or comment without an end takes the rest. So every start that is found is
-# also a match, and no page makes the engine run to its end again and again.
+# style or comment without an end takes the rest and is not shown. So a start that
+# is found is mostly a match too, and the engine does not run to the end of a page
+# again and again for starts without an end.
 _TAG = r"[a-z/!?][^>]*(?:>|\z)"
 # Alternatives share their first character: one comparison rules most places out.
 _HIDDEN = (
@@ -52,10 +53,11 @@ HINT_SPAN = (
     + r"""(?:\s[^"'>]*)?["'][^>]*>(.*?)(?:</span\s*>|$)"""
 )
 
-LANG = r"""(?i)<html\s[^>]*?\blang\s*=\s*["']?([^"'\s>]+)"""
-CHARSET = r"""(?i)<meta\s[^>]*?\bcharset\s*=\s*["']?([^"'\s/>;]+)"""
-TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
-H1 = r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>"
+LANG = r"""(?i)<html\s[^<>]*?\blang\s*=\s*["']?([^"'\s<>]+)"""
+CHARSET = r"""(?i)<meta\s[^<>]*?\bcharset\s*=\s*["']?([^"'\s/<>;]+)"""
+# Only the first start is tried: without an end after it there is none at all.
+TITLE = r"(?is)\A(?>.*?<title(?:\s[^<>]*)?>)(.*?)</title\s*>"
+H1 = r"(?is)\A(?>.*?<h1(?:\s[^<>]*)?>)(.*?)</h1\s*>"
 
 
 def blank_to_null(text: Column) -> Column:
@@ -69,8 +71,12 @@ def squeeze(text: Column) -> Column:
 
 
 def without_hidden(html: Column) -> Column:
-    """Markup without scripts, styles and comments."""
-    return F.regexp_replace(html, HIDDEN, " ")
+    """Markup without scripts, styles, comments and a tag cut off at the end."""
+    tail = F.substring_index(html, ">", -1)
+    head = F.left(html, F.length(html) - F.length(tail))
+    cut = F.concat(head, F.regexp_replace(tail, TAG, ""))
+    whole = F.when(F.contains(tail, F.lit("<")), cut).otherwise(html)
+    return F.regexp_replace(whole, HIDDEN, " ")
 
 
 def plain(html: Column) -> Column:

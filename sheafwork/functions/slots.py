@@ -14,7 +14,7 @@ from sheafwork.functions import markup
 _BRACKETS = r"\[[^\]]*\]"
 _BRACKETS_OR_NOT = _BRACKETS + r"|[^\[]+|\["
 _ALL_BRACKETS = r"^\[[^\]]*\]$"
-_BRACKETED_COLON = r"\[[^\]:]*:[^\]]*\]"
+_BRACKETED_COLON = r"\[[^\[\]:]*:[^\]]*\]"
 # Stands for a colon that does not end a label; not allowed in markup.
 _NO_COLON = "\x01"
 
@@ -49,7 +49,7 @@ def cut_label(cut: Column) -> Column:
     """Label of a :func:`label_cut`; brackets are no part of it. NULL if there is none."""
     before = F.when(F.size(cut) == 2, F.get(cut, F.lit(0)))
     bare = markup.squeeze(F.regexp_replace(before, _BRACKETS, " "))
-    label = F.when(F.contains(before, F.lit("[")), bare).otherwise(F.trim(before))
+    label = F.when(F.contains(before, F.lit("]")), bare).otherwise(F.trim(before))
     return markup.blank_to_null(markup.unescape(label))
 
 

@@ -11,7 +11,8 @@ from sheafwork.functions import markup
 # character is not allowed in markup, so taking it out first loses nothing.
 _CONTROL = "\x01"
 _MARK = "<" + _CONTROL
-_TOKEN = rf"(?i)<(?:{_CONTROL}|/?[ou]l(?:\s[^>{_CONTROL}]*)?>)"
+# The tag of a list ends at the next item's at the latest.
+_TOKEN = rf"(?i)<(?:{_CONTROL}|/?[ou]l(?:\s[^>{_CONTROL}]*)?(?:>|(?={_MARK})|\z))"
 
 
 def _bodies(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:

@@ -90,6 +90,8 @@ def test_text(spark, html, text):
         ("<ul><!-- <li>no</li> --><li>a</li></ul>", ["a"]),
         ("<ul><li>a<ul><li>b</li></ul></li></ul>", ["a", "b"]),
         ("<li>", [""]),
+        ("<ul><li>a</li><li cla", ["a"]),
+        ("<ul><li>a < 2", ["a < 2"]),
     ],
 )
 def test_items(spark, html, texts):

@@ -9,7 +9,8 @@ from sheafwork import operators as op
 from sheafwork import plans
 
 TAGS = ["<ul>", '<UL class="x">', "<ol>", "</ul>", "</OL >", "<li>", "<li a=b>", "<LI>", "</li>"]
-OTHER = ["x", " ", "<link>", "<b>y</b>", "<ul <li>", "<!-- <li> -->", "<style>ul{}</style>", "<ulx>"]
+OTHER = ["x", " ", "<link>", "<b>y</b>", "<ul <li>", "<ul ", "</ol ", "<ul", "<!-- <li> -->", "<style>ul{}</style>", "<ulx>"]
+ITEM = r"<li(?:\s[^>]*)?>"
 
 
 def brute_tree(html):
@@ -17,8 +18,8 @@ def brute_tree(html):
     html = re.sub(r"(?is)<style>.*?</style>|<!--.*?-->", " ", html)
     stack, last, item, found = [], None, 0, []
     while html:
-        li = re.match(r"(?i)<li(\s[^>]*)?>", html)
-        edge = re.match(r"(?i)<(/?)[ou]l(\s[^<>]*)?>", html)
+        li = re.match(f"(?i){ITEM}", html)
+        edge = re.match(rf"(?i)<(/?)[ou]l(\s((?!{ITEM})[^>])*)?(>|(?={ITEM})|\Z)", html)
         if li:
             item += 1
             last = item
