@@ -36,6 +36,12 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.text_documents(sources.fan_out(documents))
 
 
+def _run_stream(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
+    query = streaming.append_available(rows, f"{folder}/rows", f"{folder}/progress")
+    query.awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+
+
 def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.document_metadata(_pages(spark, sf_dir))
 
@@ -65,6 +71,15 @@ def manifest_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.manifest_path(sources.scan_manifest(spark, folder))
 
 
+def stream_manifest_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`manifest_paths` with the files read as a stream."""
+    folder = shared_folder(spark)
+    rows = plans.page_manifest(_table(spark, sf_dir, "pages"))
+    rows.write.option("header", True).csv(f"{folder}/files")
+    paths = op.manifest_path(sources.stream_manifest(spark, f"{folder}/files"))
+    return _run_stream(spark, paths, folder)
+
+
 def stream_page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List items of the page table read as a file stream."""
     pages = (
@@ -74,10 +89,7 @@ def stream_page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     items = op.list_items(sources.documents_from_pages(pages))
     rows = items.select("doc_id", "item", "text")
-    folder = shared_folder(spark)
-    query = streaming.append_available(rows, f"{folder}/rows", f"{folder}/progress")
-    query.awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+    return _run_stream(spark, rows, shared_folder(spark))
 
 
 def form_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             page_item_tree,
             items_per_language,
             manifest_paths,
+            stream_manifest_paths,
             stream_page_items,
             form_html,
             form_sections,
@@ -223,6 +236,11 @@ SELECT doc_id, name AS "Name", segment AS "Segment", balance AS "Balance", natio
 
 
 def oracle_sql() -> dict[str, str]:
+    manifest = r"""
+SELECT CAST(page_id AS VARCHAR) AS mid, url[: length(url) - strpos(reverse(url), '/') + 1] AS base_directory,
+  nullif(split_part(url, '/', -1), '') AS file_name,
+  CASE WHEN url NOT LIKE '%/' THEN url END AS path
+FROM pages"""
     section = """SELECT doc_id, {pos} AS pos, '{heading}' AS heading, {body} AS body,
       {pos} AS no, '{title}' AS title, {marker} AS marker FROM c"""
     return {
@@ -261,11 +279,8 @@ FROM parents WHERE item > 0""",
         "items_per_language": f"""WITH {_PARTS}
 SELECT nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang, count(*) AS items
 FROM items JOIN pages ON page_id = doc_id WHERE item > 0 GROUP BY 1""",
-        "manifest_paths": r"""
-SELECT CAST(page_id AS VARCHAR) AS mid, url[: length(url) - strpos(reverse(url), '/') + 1] AS base_directory,
-  nullif(split_part(url, '/', -1), '') AS file_name,
-  CASE WHEN url NOT LIKE '%/' THEN url END AS path
-FROM pages""",
+        "manifest_paths": manifest,
+        "stream_manifest_paths": manifest,
         "stream_page_items": _PAGE_ITEMS.format(
             columns="doc_id, CAST(item AS INTEGER) AS item, " + _TEXT_OF.format("content") + " AS text"
         ),

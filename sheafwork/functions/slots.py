@@ -36,7 +36,7 @@ def label_cut(text: Column) -> Column:
         F.transform(
             F.regexp_extract_all(text, F.lit(_BRACKETS_OR_NOT), F.lit(0)),
             lambda part: F.when(
-                part.rlike(_ALL_BRACKETS), F.translate(part, ":", _NO_COLON)
+                part.rlike(_ALL_BRACKETS), F.replace(part, F.lit(":"), F.lit(_NO_COLON))
             ).otherwise(part),
         ),
         "",
@@ -56,7 +56,7 @@ def cut_label(cut: Column) -> Column:
 def cut_value(cut: Column, label: Column) -> Column:
     """Text after the label, or all of it without a label; NULL if empty."""
     text = F.when(label.isNotNull(), F.get(cut, F.lit(1))).otherwise(F.array_join(cut, ":"))
-    text = F.trim(F.translate(text, _NO_COLON, ":"))
+    text = F.trim(F.replace(text, F.lit(_NO_COLON), F.lit(":")))
     return markup.blank_to_null(markup.unescape(text))
 
 

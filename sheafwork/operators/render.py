@@ -62,7 +62,7 @@ def _value(slot: Slot) -> Iterator[str | Column]:
     else:
         text = F.col(slot.column).cast("string")
         # A blank value cannot be told from a missing one in the document.
-        blank = F.trim(F.translate(text, "\t\r\n\f", "    ")) == ""
+        blank = F.trim(text, F.lit(" \t\r\n\f")) == ""
         yield F.when(text.isNull() | blank, F.lit(missing)).otherwise(markup.escape(text))
 
 

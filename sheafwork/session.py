@@ -8,17 +8,43 @@ import uuid
 from pyspark.sql import SparkSession
 
 _SHARED = "spark.checkpoint.dir"
+_BYTES_PER_PARTITION = 256 << 20
+_FEWEST_PARTITIONS = 200
+_MOST_PARTITIONS = 20_000
 
 
-def build_session(app_name: str = "sheafwork", **settings: str) -> SparkSession:
-    """A session with the settings the operators rely on; the master comes from
-    the environment or from ``settings`` (keys with ``__`` for a dot)."""
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions to start from for an input of this size.
+
+    What the aggregations exchange are labels, values and counts, a fraction of
+    the documents, and small results are coalesced at run time; but no partition is
+    ever split, so the start must suit the largest. Every scan task writes a block
+    per partition, which sets the upper bound.
+    """
+    wanted = -(-input_bytes // _BYTES_PER_PARTITION)
+    return min(max(wanted, _FEWEST_PARTITIONS), _MOST_PARTITIONS)
+
+
+def build_session(
+    app_name: str = "sheafwork", input_bytes: int | None = None, **settings: str
+) -> SparkSession:
+    """A session set up for the operators.
+
+    ``input_bytes`` sizes the shuffles, see :func:`shuffle_partitions`. Other
+    settings are given with ``__`` for a dot; the master comes from them or from
+    the environment.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
+    if input_bytes is not None:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            str(shuffle_partitions(input_bytes)),
+        )
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
