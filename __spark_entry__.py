@@ -162,19 +162,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # Pages. The SQL spells its patterns out so that it does not depend on the library.
 
-_TEXT_OF = r"trim(regexp_replace(regexp_replace({}, '<[a-zA-Z/!?][^>]*(?:>|\z)', ' ', 'g'), '[ \t\r\n\f]+', ' ', 'g'))"
+_HIDDEN = (
+    r"'(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)"
+    r"|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)'"
+)
+_TEXT_OF = (
+    r"trim(regexp_replace(regexp_replace({}, '<[a-zA-Z/!?][^>]*(?:>|\z)', ' ', 'g'),"
+    r" '[ \t\r\n\f]+', ' ', 'g'))"
+)
 
-_PARTS = r"""
+_PARTS = rf"""
 parts AS (
   SELECT page_id AS doc_id, string_split_regex(
-    regexp_replace(html, '(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)', ' ', 'g'),
+    regexp_replace(regexp_replace(html, '<[a-zA-Z/!?][^>]*\z', ''), {_HIDDEN}, ' ', 'g'),
     '(?i)<li(?:\s[^>]*)?>') AS part
   FROM pages),
 fragments AS (
   SELECT doc_id, unnest(generate_series(0, len(part) - 1)) AS item, unnest(part) AS fragment
   FROM parts),
 items AS (
-  SELECT *, string_split_regex(fragment, '(?i)</li\s*>')[1] AS content FROM fragments)
+  SELECT *, string_split_regex(fragment, '(?i)</li\s*>|<h2(?:\s[^>]*)?>')[1] AS content FROM fragments)
 """
 
 _PAGE_ITEMS = f"WITH {_PARTS} SELECT {{columns}} FROM items WHERE item > 0"
@@ -246,16 +253,22 @@ FROM pages"""
     return {
         "page_metadata": r"""
 SELECT page_id AS doc_id,
-  nullif(regexp_extract(html, '(?i)<html\s[^>]*?\blang\s*=\s*["'']?([^"''\s>]+)', 1), '') AS lang,
-  nullif(regexp_extract(html, '(?i)<meta\s[^>]*?\bcharset\s*=\s*["'']?([^"''\s/>;]+)', 1), '') AS charset,
-  nullif(T1, '') AS title, nullif(T2, '') AS h1
-FROM pages""".replace(
-            "T1", _TEXT_OF.format("regexp_extract(html, '(?is)<title(?:\\s[^>]*)?>(.*?)</title\\s*>', 1)")
-        ).replace("T2", _TEXT_OF.format("regexp_extract(html, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1\\s*>', 1)")),
-        "page_text": r"""
-SELECT page_id AS doc_id, trim(regexp_replace(regexp_replace(regexp_replace(html,
-  '(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)', ' ', 'g'),
-  '<[a-zA-Z/!?][^>]*(?:>|\z)', ' ', 'g'), '[ \t\r\n\f]+', ' ', 'g')) AS text
+  nullif(regexp_extract(html, '(?i)<html\s[^<>]*?\blang\s*=\s*["'']?([^"''\s<>]+)', 1), '') AS lang,
+  nullif(regexp_extract(html, '(?i)<meta\s[^<>]*?\bcharset\s*=\s*["'']?([^"''\s/<>;]+)', 1), '') AS charset,
+  """
+        + ", ".join(
+            "nullif({}, '') AS {}".format(
+                _TEXT_OF.format(
+                    rf"regexp_extract(html, '(?is)<{tag}(?:\s[^<>]*)?>(.*?)</{tag}\s*>', 1)"
+                ),
+                tag,
+            )
+            for tag in ("title", "h1")
+        )
+        + " FROM pages",
+        "page_text": rf"""
+SELECT page_id AS doc_id, trim(regexp_replace(regexp_replace(html,
+  {_HIDDEN[:-1]}|<[a-z/!?][^>]*(?:>|\z)', ' ', 'g'), '[ \t\r\n\f]+', ' ', 'g')) AS text
 FROM pages""",
         "page_list_items": _PAGE_ITEMS.format(
             columns="doc_id, 0 AS pos, CAST(item AS INTEGER) AS item, fragment, content, "

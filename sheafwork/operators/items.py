@@ -140,16 +140,15 @@ def item_tree(rows: DataFrame, *keep: str) -> DataFrame:
     so their places are worked out on the array before it is exploded: no window,
     and no shuffle of the text.
     """
-    marked = F.regexp_replace(
-        F.replace("body", F.lit(_CONTROL), F.lit("")), markup.ITEM_OPEN, _MARK
-    )
-    staged = _bodies(rows, keep).withColumn("marked", marked)
-    tokens = F.regexp_extract_all("marked", F.lit(_TOKEN), F.lit(0))
+    body = F.replace("body", F.lit(_CONTROL), F.lit(""))
+    staged = _bodies(rows, keep).withColumn("fragments", F.split(body, markup.ITEM_OPEN))
+    marked = F.array_join("fragments", _MARK)
+    tokens = F.regexp_extract_all(marked, F.lit(_TOKEN), F.lit(0))
     staged = _with_places(staged.withColumn("tokens", tokens))
     # The places go into the elements and not beside them: an array kept as a
     # column would be copied with each of its items.
     pieces = F.arrays_zip(
-        F.split("marked", _MARK).alias("fragment"), F.col("places").alias("place")
+        F.col("fragments").alias("fragment"), F.col("places").alias("place")
     )
     fragment, place = F.col("piece")["fragment"], F.col("piece")["place"]
     return _items(

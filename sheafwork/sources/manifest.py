@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 MANIFEST_SCHEMA = "mid string, base_directory string, file_name string"
 
 
-def _options(reader):
+def _options(reader, mode: str):
     # Without enforceSchema=False a file with other headers would be read by
     # position and pass unnoticed.
     return (
@@ -16,23 +16,30 @@ def _options(reader):
         .option("header", True)
         .option("enforceSchema", False)
         .option("encoding", "UTF-8")
+        .option("mode", mode)
     )
 
 
-def scan_manifest(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def scan_manifest(
+    spark: SparkSession, path: str | list[str], mode: str = "PERMISSIVE"
+) -> DataFrame:
     """Rows of one manifest file, a directory of them, or a list of paths.
 
     Each file has its own header and may start with a byte order mark. An empty
-    field is NULL. Files are split and packed into tasks by their size.
+    field is NULL. Files are split and packed into tasks by their size. A row with
+    too few or too many fields is filled up or cut, or fails in mode ``FAILFAST``.
     """
-    return _options(spark.read).csv(path)
+    return _options(spark.read, mode).csv(path)
 
 
 def stream_manifest(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """:func:`scan_manifest` over the files arriving in a directory."""
-    reader = _options(spark.readStream)
+    reader = _options(spark.readStream, mode)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path)

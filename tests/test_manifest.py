@@ -52,6 +52,16 @@ def test_wrong_header_fails(spark, tmp_path, header):
         scan_manifest(spark, str(tmp_path)).collect()
 
 
+def test_rows_of_another_length(spark, tmp_path):
+    write(tmp_path, "one.csv", HEADER + "a,/tmp\nb,/tmp,x,y\n")
+    assert paths(scan_manifest(spark, str(tmp_path))) == [
+        ("a", "/tmp", None, None),
+        ("b", "/tmp", "x", "/tmp/x"),
+    ]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan_manifest(spark, str(tmp_path), mode="FAILFAST").collect()
+
+
 def test_stream(spark, tmp_path):
     source, sink = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
