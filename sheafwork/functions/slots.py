@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from sheafwork.functions import markup
 
 _BRACKETS = r"\[[^\]]*\]"
-_BRACKETS_OR_NOT = _BRACKETS + r"|[^\[]+|\["
 _ALL_BRACKETS = r"^\[[^\]]*\]$"
-_BRACKETED_COLON = r"\[[^\[\]:]*:[^\]]*\]"
+# A colon after an opening bracket, or after the last one found, with no other
+# bracket in between and a closing one still to come.
+_BRACKETED_COLON = r"((?:\[|\G(?!\A))[^\[\]:]*):(?=[^\]]*\])"
 # Stands for a colon that does not end a label; not allowed in markup.
 _NO_COLON = "\x01"
 
@@ -32,17 +33,9 @@ def given_text(content: Column, text: Column) -> Column:
 
 def label_cut(text: Column) -> Column:
     """[before, after] the first colon outside brackets, or [text] without one."""
-    guarded = F.array_join(
-        F.transform(
-            F.regexp_extract_all(text, F.lit(_BRACKETS_OR_NOT), F.lit(0)),
-            lambda part: F.when(
-                part.rlike(_ALL_BRACKETS), F.replace(part, F.lit(":"), F.lit(_NO_COLON))
-            ).otherwise(part),
-        ),
-        "",
-    )
-    guard = F.contains(text, F.lit("]")) & text.rlike(_BRACKETED_COLON)
-    return F.split(F.when(guard, guarded).otherwise(text), ":", 2)
+    guarded = F.regexp_replace(text, _BRACKETED_COLON, "$1" + _NO_COLON)
+    bracketed = F.contains(text, F.lit("]"))
+    return F.split(F.when(bracketed, guarded).otherwise(text), ":", 2)
 
 
 def cut_label(cut: Column) -> Column:

@@ -48,8 +48,11 @@ def unfilled(items: DataFrame) -> DataFrame:
     )
 
 
-def slots(items: DataFrame) -> DataFrame:
-    """(doc_id, pos, item, label, value, hint, is_unfilled) of list items."""
+def slots(items: DataFrame, *keep: str) -> DataFrame:
+    """(doc_id, pos, item, label, value, hint, is_unfilled) of list items.
+
+    Columns named in ``keep`` are carried along.
+    """
     return unfilled(label_values(items)).select(
-        "doc_id", "pos", "item", "label", "value", "hint", "is_unfilled"
+        "doc_id", "pos", *keep, "item", "label", "value", "hint", "is_unfilled"
     )

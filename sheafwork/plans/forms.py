@@ -40,7 +40,10 @@ CUSTOMER_FORM = Form(
 TEXT_FORM = Form(
     title="Text record",
     sections=(
-        Section("Origin", (Slot("language", "Language", "lang"), Slot("source", "Source", "source"))),
+        Section(
+            "Origin",
+            (Slot("language", "Language", "lang"), Slot("source", "Source", "source")),
+        ),
         Section("Content", (Slot("whole text", "Text", "text"),)),
     ),
 )
@@ -68,6 +71,10 @@ def text_documents(documents: DataFrame) -> DataFrame:
     return render(documents, TEXT_FORM, "doc_id")
 
 
-def document_slots(documents: DataFrame) -> DataFrame:
-    """Slots of whole documents, those before the first heading included."""
-    return slots(list_items(sections(documents, preamble=True)))
+def document_slots(documents: DataFrame, *keep: str) -> DataFrame:
+    """Slots of whole documents, those before the first heading included.
+
+    Columns named in ``keep`` are carried along.
+    """
+    bodies = sections(documents, *keep, preamble=True)
+    return slots(list_items(bodies, *keep), *keep)

@@ -142,6 +142,8 @@ HINT = '<span class="placeholder">{}</span>'
         ("[b: c] D: e", ("D", "e", None, False)),
         ("D [b: c]: e [f: g]", ("D", "e [f: g]", None, False)),
         ("[b: c", ("[b", "c", None, False)),
+        ("[a: b [c: d: e] f: g] h: i", ("f", "g] h: i", None, False)),
+        ("[a: b] [c: d] e", (None, "[a: b] [c: d] e", None, False)),
         ("[a]: b", (None, "[a]: b", None, False)),
         ("A: b [c]", ("A", "b [c]", None, False)),
         ("A: [b] [c]", ("A", "[b] [c]", None, False)),
@@ -181,6 +183,13 @@ def test_carried_columns(spark):
         assert {r["lang"] for r in operator(known, "lang").collect()} == {"de"}
 
 
+def test_completeness_by_a_carried_column(spark):
+    page = documents(spark, "<html lang=de><ul><li>A: b<li>C: [d]</ul>", "<ul><li>e</ul>")
+    slots = plans.document_slots(op.document_metadata(page, "html"), "lang")
+    rows = op.completeness(slots, "lang").collect()
+    assert {tuple(row) for row in rows} == {("de", 2, 1, 0.5), (None, 1, 1, 1.0)}
+
+
 def test_render_checks_labels():
     with pytest.raises(ValueError):
         op.Slot("h", "a:b", "c")

@@ -77,6 +77,12 @@ def test_a_document_is_scanned_once_for_its_items(pages):
     assert "charset" not in counted
 
 
+def test_slots_are_generated_code_throughout(forms):
+    lines = plan_of(plans.document_slots(forms)).splitlines()
+    outside = [line for line in lines if re.match(r"[\s:+-]*(Project|Filter|Generate) ", line)]
+    assert not outside
+
+
 def test_small_scans_fan_out_and_large_ones_do_not(spark, pages):
     cores = spark.sparkContext.defaultParallelism
     assert sources.fan_out(pages).rdd.getNumPartitions() == cores
