@@ -14,8 +14,8 @@ from sheafwork.functions import markup
 _BRACKETS = r"\[[^\]]*\]"
 _ALL_BRACKETS = r"^\[[^\]]*\]$"
 # A colon after an opening bracket, or after the last one found, with no other
-# bracket in between and a closing one still to come.
-_BRACKETED_COLON = r"((?:\[|\G(?!\A))[^\[\]:]*):(?=[^\]]*\])"
+# bracket in between.
+_BRACKETED_COLON = r"((?:\[|\G(?!\A))[^\[\]:]*):"
 # Stands for a colon that does not end a label; not allowed in markup.
 _NO_COLON = "\x01"
 
@@ -33,7 +33,10 @@ def given_text(content: Column, text: Column) -> Column:
 
 def label_cut(text: Column) -> Column:
     """[before, after] the first colon outside brackets, or [text] without one."""
-    guarded = F.regexp_replace(text, _BRACKETED_COLON, "$1" + _NO_COLON)
+    # Every bracket that opens before the last one that closes is a closed one.
+    tail = F.substring_index(text, "]", -1)
+    head = F.left(text, F.length(text) - F.length(tail))
+    guarded = F.concat(F.regexp_replace(head, _BRACKETED_COLON, "$1" + _NO_COLON), tail)
     bracketed = F.contains(text, F.lit("]"))
     return F.split(F.when(bracketed, guarded).otherwise(text), ":", 2)
 
