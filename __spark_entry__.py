@@ -82,11 +82,8 @@ def stream_manifest_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List items of the page table read as a file stream."""
-    pages = (
-        spark.readStream.schema(PAGES_SCHEMA)
-        .option("pathGlobFilter", "pages.parquet")
-        .parquet(sf_dir)
-    )
+    # As a pattern the path may name one file or a folder of them.
+    pages = spark.readStream.schema(PAGES_SCHEMA).parquet(f"{sf_dir}/pages.parque[t]")
     items = op.list_items(sources.documents_from_pages(pages))
     rows = items.select("doc_id", "item", "text")
     return _run_stream(spark, rows, shared_folder(spark))

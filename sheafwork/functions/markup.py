@@ -50,7 +50,7 @@ ITEM_END = r"(?i)</li\s*>|<h2(?:\s[^>]*)?>"
 HINT_SPAN = (
     r"""(?is)<span\s[^>]*class\s*=\s*["'](?:[^"'>]*\s)?"""
     + HINT_CLASS
-    + r"""(?:\s[^"'>]*)?["'][^>]*>(.*?)(?:</span\s*>|$)"""
+    + r"""(?:\s[^"'>]*)?["'][^>]*>(.*?)(?:</span\s*>|\z)"""
 )
 
 LANG = r"""(?i)<html\s[^<>]*?\blang\s*=\s*["']?([^"'\s<>]+)"""

@@ -1,7 +1,9 @@
 """Documents arriving as files, and the operators on streams."""
 
 import pytest
+from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from sheafwork import operators as op
 from sheafwork import plans, sources, streaming
 
@@ -66,6 +68,33 @@ def test_restart_reads_only_what_is_new(spark, folder, tmp_path):
     assert names(rows) == ["a.html", "b.html", "d.html"]
 
 
+def test_table_of_many_files_as_a_stream(spark, tmp_path):
+    pages = spark.range(50).select(
+        F.col("id").alias("page_id"),
+        F.lit("u").alias("url"),
+        F.concat(F.lit("<ul><li>"), F.col("id").cast("string")).alias("html"),
+    )
+    pages.repartition(5).write.parquet(str(tmp_path / "pages.parquet"))
+    rows = contract.queries()["stream_page_items"](spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["item"], r["text"]) for r in rows} == {(i, 1, str(i)) for i in range(50)}
+
+
+def test_wide_over_a_stream(spark, folder, tmp_path):
+    documents = sources.stream_documents(spark, str(folder), "*.html", 1)
+    query = (
+        op.wide(plans.document_slots(documents), ["K", "L"])
+        .writeStream.outputMode("complete")
+        .format("memory")
+        .queryName("wide")
+        .option("checkpointLocation", str(tmp_path / "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    rows = spark.table("wide").select("K", "L").collect()
+    assert sorted(map(tuple, rows)) == [("1", None), ("2", None)]
+
+
 def test_completeness_over_a_stream(spark, folder, tmp_path):
     documents = sources.stream_documents(spark, str(folder), "*.html", 1)
     query = (
