@@ -106,6 +106,17 @@ def form_label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.document_slots(_forms(spark, sf_dir))
 
 
+def form_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels and values before unfilled slots are told apart."""
+    items = op.list_items(op.sections(_forms(spark, sf_dir)))
+    return op.label_values(items).select("doc_id", "pos", "item", "text", "label", "value")
+
+
+def form_unfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slots = plans.document_slots(_forms(spark, sf_dir))
+    return slots.where("is_unfilled").select("doc_id", "pos", "item", "label", "hint")
+
+
 def form_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.completeness(plans.document_slots(_forms(spark, sf_dir)), "pos", "label")
 
@@ -122,6 +133,11 @@ def form_wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.wide_documents(_forms(spark, sf_dir), FORM_LABELS)
 
 
+def text_form_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts rendered into a form."""
+    return _texts(spark, sf_dir)
+
+
 def text_label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts through a form and back."""
     return plans.document_slots(_texts(spark, sf_dir)).select("doc_id", "label", "value")
@@ -147,11 +163,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             form_html,
             form_sections,
             form_item_tree,
+            form_labels,
+            form_unfilled,
             form_label_values,
             form_completeness,
             form_document_completeness,
             form_wide_record,
             form_wide_documents,
+            text_form_html,
             text_label_values,
         )
     }
@@ -217,12 +236,34 @@ _BODY_3 = (
     f"""'{_NL}<div class="section-content">{_NL}<ul>{_NL}"""
     f"""<li>{_hint("anything else")}</li>{_NL}</ul>{_NL}</div>{_NL}</body>{_NL}</html>{_NL}'"""
 )
-_HEAD = (
+_HEAD_OF = (
     f"""'<!DOCTYPE html>{_NL}<html lang="en">{_NL}<head>{_NL}<meta charset="UTF-8">{_NL}"""
-    f"""<title>Customer record</title>{_NL}</head>{_NL}<body>{_NL}<h1>Customer record</h1>{_NL}'"""
+    f"""<title>TITLE</title>{_NL}</head>{_NL}<body>{_NL}<h1>TITLE</h1>{_NL}'"""
 )
+_HEAD = _HEAD_OF.replace("TITLE", "Customer record")
 _HEADINGS = ["1. Profile", "2. Accounts", "3. Remarks (optional)"]
 
+
+
+def _escaped(column: str, hint: str) -> str:
+    text = column
+    for char, entity in ("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("[", "&#91;"), ("]", "&#93;"):
+        text = f"replace({text}, '{char}', '{entity}')"
+    blank = rf"coalesce(regexp_matches({column}, '^[ \t\r\n\f]*\z'), true)"
+    return f"CASE WHEN {blank} THEN '{_hint(hint)}' ELSE {text} END"
+
+
+_TEXT_HTML = (
+    "SELECT doc_id, "
+    + _HEAD_OF.replace("TITLE", "Text record")
+    + f""" || '<h2>1. Origin</h2>{_NL}<div class="section-content">{_NL}<ul>{_NL}"""
+    + f"""<li><span class="highlight">Language:</span> ' || {_escaped("lang", "language")} || '</li>{_NL}"""
+    + f"""<li><span class="highlight">Source:</span> ' || {_escaped("source", "source")} || '</li>{_NL}"""
+    + f"""</ul>{_NL}</div>{_NL}<h2>2. Content</h2>{_NL}<div class="section-content">{_NL}<ul>{_NL}"""
+    + f"""<li><span class="highlight">Text:</span> ' || {_escaped("text", "whole text")} || '</li>{_NL}"""
+    + f"""</ul>{_NL}</div>{_NL}</body>{_NL}</html>{_NL}' AS html FROM documents"""
+)
+
 _SLOTS = r"""
 slots AS (
   SELECT doc_id, 1 AS pos, 1 AS item, 1 AS depth, NULL::INTEGER AS parent_item,
@@ -312,6 +353,11 @@ FROM items JOIN pages ON page_id = doc_id WHERE item > 0 GROUP BY 1""",
         ),
         "form_item_tree": f"""WITH {_FORMS}, {_SLOTS}
 SELECT doc_id, pos, item, depth, parent_item, before || coalesce(value, '[' || ask || ']') AS text FROM slots""",
+        "form_labels": f"""WITH {_FORMS}, {_SLOTS}
+SELECT doc_id, pos, item, before || coalesce(value, '[' || ask || ']') AS text, label,
+  CASE WHEN pos = 2 AND item = 1 THEN '[' || ask || ']' ELSE value END AS value FROM slots""",
+        "form_unfilled": f"""WITH {_FORMS}, {_SLOTS}
+SELECT doc_id, pos, item, label, ask AS hint FROM slots WHERE value IS NULL""",
         "form_label_values": f"""WITH {_FORMS}, {_SLOTS}
 SELECT doc_id, pos, item, label, value, CASE WHEN value IS NULL THEN ask END AS hint,
   value IS NULL AS is_unfilled FROM slots""",
@@ -323,6 +369,7 @@ SELECT doc_id, count(*) AS slots, count(value) AS filled, count(value) / count(*
 FROM slots GROUP BY doc_id""",
         "form_wide_record": _WIDE,
         "form_wide_documents": _WIDE,
+        "text_form_html": _TEXT_HTML,
         "text_label_values": r"""
 WITH s AS (
   SELECT doc_id, 'Language' AS label, lang AS value FROM documents
