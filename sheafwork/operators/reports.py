@@ -81,7 +81,9 @@ def wide_documents(documents: DataFrame, labels: Sequence[str]) -> DataFrame:
         F.arrays_zip("texts", "labels", "values"),
         lambda p: ~fn.is_bracketed(p["texts"], p["values"]) & p["values"].isNotNull(),
     )
-    rows = rows.select("doc_id", pairs.alias("pairs"))
+    # An explode of one element: a filter on a label's column is then not pushed
+    # below all of this, which would be computed again for every mention of it.
+    rows = rows.select("doc_id", F.explode(F.array(pairs)).alias("pairs"))
 
     def first_value(label: str) -> Column:
         found = F.filter("pairs", lambda pair: pair["labels"] == label)

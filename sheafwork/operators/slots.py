@@ -18,7 +18,10 @@ def label_values(items: DataFrame) -> DataFrame:
     """
     given = fn.given_text(F.col("content"), F.col("text"))
     rows = items.select("*", given.alias("_given"))
-    rows = rows.select("*", fn.label_cut(F.col("_given")).alias("_cut"))
+    # An explode of one element: a filter on the label or value is then not pushed
+    # below the cut, which would be computed again for every mention of it.
+    cut = F.explode(F.array(fn.label_cut(F.col("_given"))))
+    rows = rows.select("*", cut.alias("_cut"))
     rows = rows.select("*", fn.cut_label(F.col("_cut")).alias("label"))
     value = fn.cut_value(F.col("_cut"), F.col("label"))
     return rows.select(*items.columns, "label", value.alias("value"))

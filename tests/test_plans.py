@@ -77,6 +77,17 @@ def test_a_document_is_scanned_once_for_its_items(pages):
     assert "charset" not in counted
 
 
+def test_a_filter_on_a_result_does_not_repeat_the_work(forms):
+    slots, wide = plans.document_slots(forms), op.wide_documents(forms, ["Name", "Nation"])
+    for frame, condition in (
+        (slots, "is_unfilled AND label LIKE '%a%' AND hint LIKE '%b%'"),
+        (slots, "value = 'a' OR label = 'b'"),
+        (wide, "Name = 'a' AND Nation = 'b'"),
+    ):
+        plan = plan_of(frame.where(condition))
+        assert plan.count(HIDDEN) == plan.count(r"\G(?!\A)") == 1
+
+
 def test_slots_are_generated_code_throughout(forms):
     lines = plan_of(plans.document_slots(forms)).splitlines()
     outside = [line for line in lines if re.match(r"[\s:+-]*(Project|Filter|Generate) ", line)]
