@@ -14,6 +14,12 @@ from sheafwork import operators as op  # noqa: E402
 from sheafwork import plans, shared_folder, sources, streaming  # noqa: E402
 from sheafwork.sources.documents import PAGES_SCHEMA  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from sheafwork.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 FORM_LABELS = ["Name", "Segment", "Balance", "Nation"]
 
 
@@ -173,7 +179,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             text_form_html,
             text_label_values,
         )
-    }
+    } | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_queries is None:
+        return {}
+    return llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def _llm_sql() -> dict[str, str]:
+    if llm_queries is None:
+        return {}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return llm_queries.ORACLE_SQL | pipeline
 
 
 # Pages. The SQL spells its patterns out so that it does not depend on the library.
@@ -376,4 +395,4 @@ WITH s AS (
   UNION ALL SELECT doc_id, 'Source', source FROM documents
   UNION ALL SELECT doc_id, 'Text', text FROM documents)
 SELECT doc_id, label, nullif(trim(regexp_replace(value, '[ \t\r\n\f]+', ' ', 'g')), '') AS value FROM s""",
-    }
+    } | _llm_sql()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,7 +9,6 @@ from pyspark.sql import SparkSession
 _SHARED = "spark.checkpoint.dir"
 _BYTES_PER_PARTITION = 256 << 20
 _FEWEST_PARTITIONS = 200
-_MOST_PARTITIONS = 20_000
 
 
 def shuffle_partitions(input_bytes: int) -> int:
@@ -18,11 +16,10 @@ def shuffle_partitions(input_bytes: int) -> int:
 
     What the aggregations exchange are labels, values and counts, a fraction of
     the documents, and small results are coalesced at run time; but no partition is
-    ever split, so the start must suit the largest. Every scan task writes a block
-    per partition, which sets the upper bound.
+    ever split, so the start must suit the largest. There is no upper bound: values
+    as large as the input may be exchanged too.
     """
-    wanted = -(-input_bytes // _BYTES_PER_PARTITION)
-    return min(max(wanted, _FEWEST_PARTITIONS), _MOST_PARTITIONS)
+    return max(-(-input_bytes // _BYTES_PER_PARTITION), _FEWEST_PARTITIONS)
 
 
 def build_session(
@@ -53,13 +50,14 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """A new path below the folder that all executors share.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Where it
-    names none, a local session gets a temporary one; a cluster is refused, since
-    a folder of the driver's machine would be out of its executors' reach.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``, else the
+    warehouse, which a session always has and all its executors reach.
     """
-    folder = spark.conf.get(_SHARED, None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SHARED} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="sheafwork-")
+    folder = spark.conf.get(_SHARED, None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a path made by :func:`shared_folder` that is no longer read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
