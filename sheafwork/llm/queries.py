@@ -6,13 +6,72 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
-from sheafwork.llm import minhash, packing, tokens
+from sheafwork.llm import chat, minhash, packing, tokens
 from sheafwork.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The conversation that the query adds: control strings inside its texts.
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation is a tree of one branch: a turn replies to the one before."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    place = F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    numbered = rows.union(added).withColumn("message_id", place.cast("long"))
+    messages = numbered.select(
+        F.col("conv_id").alias("tree_id"),
+        "message_id",
+        (F.col("message_id") - 1).alias("parent_id"),
+        "role",
+        "text",
+        F.lit(0.0).alias("score"),
+    )
+    laid = chat.conversations(messages)
+    said = F.transform(
+        chat.turns(F.col("formatted")), lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))
+    )
+    loss = chat.loss_text(F.col("formatted"), F.col("loss_spans"))
+    read = laid.select(
+        F.col("tree_id").alias("conv_id"), "n_turns", said.alias("said"), loss.alias("loss"), "formatted"
+    )
+    return read.select(
+        "conv_id",
+        F.size("said").cast("long").alias("n_turns"),
+        F.sha2(F.array_join("said", ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+_CHAT_SQL = rf"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}')),
+sizes AS (
+  SELECT *, length(role) + length(text) + 24 + len(regexp_extract_all(role || text, '<\\*\|'))
+    + 2 * len(regexp_extract_all(role, '[%\n]')) AS chars
+  FROM said)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM sizes GROUP BY conv_id"""
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, TOKENIZER, with_ids=False).drop("ids")
@@ -28,7 +87,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op3_packing, op5_token_files, op9_minhash)
+    query.__name__: query for query in (op1_chat, op3_packing, op5_token_files, op9_minhash)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_chat": _CHAT_SQL}
