@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sheafwork.llm import chat, minhash, packing, tokens
-from sheafwork.llm.tables import table
+from sheafwork.llm import chat, minhash, packing, pii, tokens
+from sheafwork.llm.tables import table, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -77,6 +77,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, TOKENIZER, with_ids=False).drop("ids")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = written(pii.proposed(table(spark, sf_dir, "documents")))
+    return pii.report(found, pii.fit(found))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = tokens.token_files(table(spark, sf_dir, "documents"), TOKENIZER)
     return tokens.file_digests(spark, folder)
@@ -87,7 +92,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_chat, op3_packing, op5_token_files, op9_minhash)
+    query.__name__: query for query in (op1_chat, op3_packing, op4_pii, op5_token_files, op9_minhash)
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_chat": _CHAT_SQL}
