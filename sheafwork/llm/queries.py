@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sheafwork.llm import chat, decontaminate, minhash, packing, pii, spherical, tokens
+from sheafwork.llm import chat, decontaminate, minhash, packing, pii, quality, spherical, tokens
 from sheafwork.llm.tables import table, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -72,6 +72,11 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sizes GROUP BY conv_id"""
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality.classify(docs, labels)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, TOKENIZER, with_ids=False).drop("ids")
@@ -101,7 +106,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_chat, op3_packing, op4_pii, op5_token_files, op6_spherical, op8_decontaminate, op9_minhash)
+    query.__name__: query for query in (op1_chat, op2_quality, op3_packing, op4_pii, op5_token_files, op6_spherical, op8_decontaminate, op9_minhash)
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_chat": _CHAT_SQL}
