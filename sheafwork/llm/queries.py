@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sheafwork.llm import chat, decontaminate, minhash, packing, pii, quality, spherical, tokens
+from sheafwork.llm import chat, decontaminate, minhash, packing, pii, quality, spherical, suffixes, tokens
 from sheafwork.llm.tables import table, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -96,6 +96,10 @@ def op6_spherical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spherical.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicate(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.passages(docs, benchmark)
@@ -106,7 +110,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_chat, op2_quality, op3_packing, op4_pii, op5_token_files, op6_spherical, op8_decontaminate, op9_minhash)
+    query.__name__: query for query in (op1_chat, op2_quality, op3_packing, op4_pii, op5_token_files, op6_spherical, op7_suffixes, op8_decontaminate, op9_minhash)
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_chat": _CHAT_SQL}
