@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sheafwork.llm import chat, decontaminate, minhash, packing, pii, quality, spherical, suffixes, tokens
+from sheafwork.llm import chat, decontaminate, minhash, packing, passages, pii, quality, spherical, suffixes, tokens
 from sheafwork.llm.tables import table, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -109,8 +109,12 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_chat, op2_quality, op3_packing, op4_pii, op5_token_files, op6_spherical, op7_suffixes, op8_decontaminate, op9_minhash)
+    query.__name__: query for query in (op1_chat, op2_quality, op3_packing, op4_pii, op5_token_files, op6_spherical, op7_suffixes, op8_decontaminate, op9_minhash, op10_passages)
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_chat": _CHAT_SQL}
