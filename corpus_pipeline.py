@@ -1,8 +1,70 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: stages over ``documents``, each written and read again.
 
-STAGES = []
+Every stage works on the rows that its predecessor kept and returns the columns of
+``documents``; the last returns the pieces of packed sequences. Rows are kept as they
+are but for what a stage decides: ``n_chars`` follows the text, and nothing else changes.
+Rows without ``doc_id`` cannot be told apart by a decision: the classifier and the
+near-duplicate stage drop them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sheafwork.llm import decontaminate, minhash, packing, pii, quality
+from sheafwork.llm.queries import TOKENIZER
+from sheafwork.llm.tables import table, written
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` as the text now is."""
+    return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    judged = quality.classify(docs, table(spark, sf_dir, "labels"))
+    accepted = judged.groupBy("doc_id").agg(F.bool_and("accepted").alias("all")).where("all")
+    return docs.join(accepted.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies, once."""
+    found = minhash.near_duplicates(docs)
+    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without their benchmark passages."""
+    return _counted(decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data masked."""
+    return _counted(pii.redact(docs))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of packed sequences."""
+    return packing.pack(docs, TOKENIZER)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("MinHash near-dedup", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("PII", pii_stage),
+    ("packing", packing_stage),
+]
+
+#: No stage can be said in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
