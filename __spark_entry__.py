@@ -7,11 +7,12 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sheafwork import operators as op  # noqa: E402
-from sheafwork import plans, shared_folder, sources, streaming  # noqa: E402
+from sheafwork import drop_folder, plans, shared_folder, sources, streaming  # noqa: E402
 from sheafwork.sources.documents import PAGES_SCHEMA  # noqa: E402
 
 try:
@@ -20,6 +21,9 @@ try:
 except ImportError:
     corpus_pipeline = llm_queries = None
 
+#: Files that a stream takes into one micro-batch.
+FILES_PER_TRIGGER = 1_000
+SUPPLIER_LABELS = ["Key", "Name", "Balance"]
 FORM_LABELS = ["Name", "Segment", "Balance", "Nation"]
 
 
@@ -28,18 +32,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = sources.documents_from_pages(_table(spark, sf_dir, "pages"))
-    return sources.fan_out(pages)
+    return sources.documents_from_pages(_table(spark, sf_dir, "pages"))
 
 
 def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = sources.fan_out(_table(spark, sf_dir, "customer"))
-    return plans.customer_documents(customer)
+    return plans.customer_documents(_table(spark, sf_dir, "customer"))
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
-    return plans.text_documents(sources.fan_out(documents))
+    return plans.text_documents(documents)
 
 
 def _run_stream(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
@@ -69,32 +71,65 @@ def items_per_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.items_per_language(_pages(spark, sf_dir))
 
 
-def manifest_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the page addresses as manifest files, scan them, join the paths."""
+def _manifest_files(spark: SparkSession, sf_dir: str) -> str:
     folder = shared_folder(spark)
     rows = plans.page_manifest(_table(spark, sf_dir, "pages"))
-    rows.write.option("header", True).csv(folder)
-    return op.manifest_path(sources.scan_manifest(spark, folder))
+    rows.write.options(**sources.WRITE_OPTIONS).csv(f"{folder}/files")
+    return folder
+
+
+def manifest_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the page addresses as manifest files, scan them, join the paths."""
+    folder = _manifest_files(spark, sf_dir)
+    return op.manifest_path(sources.scan_manifest(spark, f"{folder}/files", multi_line=True))
 
 
 def stream_manifest_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`manifest_paths` with the files read as a stream."""
-    folder = shared_folder(spark)
-    rows = plans.page_manifest(_table(spark, sf_dir, "pages"))
-    rows.write.option("header", True).csv(f"{folder}/files")
-    paths = op.manifest_path(sources.stream_manifest(spark, f"{folder}/files"))
-    return _run_stream(spark, paths, folder)
+    folder = _manifest_files(spark, sf_dir)
+    rows = sources.stream_manifest(spark, f"{folder}/files", FILES_PER_TRIGGER, multi_line=True)
+    result = _run_stream(spark, op.manifest_path(rows), folder)
+    drop_folder(spark, f"{folder}/files")
+    return result
 
 
 def stream_page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List items of the page table read as a file stream."""
     # As a pattern the path may name one file or a folder of them.
-    pages = spark.readStream.schema(PAGES_SCHEMA).parquet(f"{sf_dir}/pages.parque[t]")
+    reader = spark.readStream.schema(PAGES_SCHEMA).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+    pages = reader.parquet(f"{sf_dir}/pages.parque[t]")
     items = op.list_items(sources.documents_from_pages(pages))
     rows = items.select("doc_id", "item", "text")
     return _run_stream(spark, rows, shared_folder(spark))
 
 
+def _supplier_files(spark: SparkSession, sf_dir: str) -> str:
+    """A file for each supplier's form, written where they are rendered."""
+    folder = shared_folder(spark)
+    forms = plans.supplier_documents(_table(spark, sf_dir, "supplier"))
+    forms.write.partitionBy("doc_id").text(f"{folder}/files")
+    return folder
+
+
+def supplier_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan HTML files, one a supplier, and read each into a row by what it says."""
+    folder = _supplier_files(spark, sf_dir)
+    files = sources.scan_documents(spark, f"{folder}/files")
+    return op.wide_documents(files, SUPPLIER_LABELS).select(*SUPPLIER_LABELS)
+
+
+def stream_supplier_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`supplier_files` with the files read as a stream."""
+    folder = _supplier_files(spark, sf_dir)
+    files = sources.stream_documents(
+        spark, f"{folder}/files", max_files_per_trigger=FILES_PER_TRIGGER
+    )
+    rows = op.wide_documents(files, SUPPLIER_LABELS).select(*SUPPLIER_LABELS)
+    result = _run_stream(spark, rows, folder)
+    drop_folder(spark, f"{folder}/files")
+    return result
+
+
 def form_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _forms(spark, sf_dir)
 
@@ -128,7 +163,7 @@ def form_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def form_document_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.completeness(plans.document_slots(_forms(spark, sf_dir)), "doc_id")
+    return op.completeness_documents(_forms(spark, sf_dir))
 
 
 def form_wide_record(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,6 +174,12 @@ def form_wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.wide_documents(_forms(spark, sf_dir), FORM_LABELS)
 
 
+def form_label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maps of labels that are not known in advance, as rows."""
+    maps = op.label_map(_forms(spark, sf_dir))
+    return maps.select("doc_id", F.explode("slots").alias("label", "value"))
+
+
 def text_form_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts rendered into a form."""
     return _texts(spark, sf_dir)
@@ -166,6 +207,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             manifest_paths,
             stream_manifest_paths,
             stream_page_items,
+            supplier_files,
+            stream_supplier_files,
             form_html,
             form_sections,
             form_item_tree,
@@ -176,6 +219,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             form_document_completeness,
             form_wide_record,
             form_wide_documents,
+            form_label_map,
             text_form_html,
             text_label_values,
         )
@@ -199,7 +243,7 @@ def _llm_sql() -> dict[str, str]:
 
 _HIDDEN = (
     r"'(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)"
-    r"|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)'"
+    r"|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)|<!-->|<!--->|<!--.*?(?:-->|--!>|\z)'"
 )
 _TEXT_OF = (
     r"trim(regexp_replace(regexp_replace({}, '<[a-zA-Z/!?][^>]*(?:>|\z)', ' ', 'g'),"
@@ -239,20 +283,20 @@ def _hint(text: str) -> str:
 
 _NL = "' || chr(10) || '"
 _BODY_1 = (
-    f"""'{_NL}<div class="section-content">{_NL}<ul>{_NL}"""
+    f"""'{_NL}<div>{_NL}<ul>{_NL}"""
     f"""<li><span class="highlight">Name:</span> ' || coalesce(name, '{_hint("enter a name")}') || '</li>{_NL}"""
     f"""<li><span class="highlight">Segment:</span> ' || coalesce(segment, '{_hint("enter a market segment")}')"""
     f""" || '</li>{_NL}</ul>{_NL}</div>{_NL}'"""
 )
 _BODY_2 = (
-    f"""'{_NL}<div class="section-content">{_NL}<ul>{_NL}"""
+    f"""'{_NL}<div>{_NL}<ul>{_NL}"""
     f"""<li><span class="highlight">[Main account]</span>{_NL}<ul>{_NL}"""
     f"""<li>Balance: ' || coalesce(balance, '{_hint("enter a balance")}') || '</li>{_NL}"""
     f"""<li>Nation: ' || coalesce(nation, '{_hint("enter a nation")}') || '</li>{_NL}</ul>{_NL}</li>{_NL}"""
     f"""<li><span class="highlight">Others:</span> {_hint("list other accounts")}</li>{_NL}</ul>{_NL}</div>{_NL}'"""
 )
 _BODY_3 = (
-    f"""'{_NL}<div class="section-content">{_NL}<ul>{_NL}"""
+    f"""'{_NL}<div>{_NL}<ul>{_NL}"""
     f"""<li>{_hint("anything else")}</li>{_NL}</ul>{_NL}</div>{_NL}</body>{_NL}</html>{_NL}'"""
 )
 _HEAD_OF = (
@@ -275,10 +319,10 @@ def _escaped(column: str, hint: str) -> str:
 _TEXT_HTML = (
     "SELECT doc_id, "
     + _HEAD_OF.replace("TITLE", "Text record")
-    + f""" || '<h2>1. Origin</h2>{_NL}<div class="section-content">{_NL}<ul>{_NL}"""
+    + f""" || '<h2>1. Origin</h2>{_NL}<div>{_NL}<ul>{_NL}"""
     + f"""<li><span class="highlight">Language:</span> ' || {_escaped("lang", "language")} || '</li>{_NL}"""
     + f"""<li><span class="highlight">Source:</span> ' || {_escaped("source", "source")} || '</li>{_NL}"""
-    + f"""</ul>{_NL}</div>{_NL}<h2>2. Content</h2>{_NL}<div class="section-content">{_NL}<ul>{_NL}"""
+    + f"""</ul>{_NL}</div>{_NL}<h2>2. Content</h2>{_NL}<div>{_NL}<ul>{_NL}"""
     + f"""<li><span class="highlight">Text:</span> ' || {_escaped("text", "whole text")} || '</li>{_NL}"""
     + f"""</ul>{_NL}</div>{_NL}</body>{_NL}</html>{_NL}' AS html FROM documents"""
 )
@@ -301,17 +345,27 @@ SELECT doc_id, name AS "Name", segment AS "Segment", balance AS "Balance", natio
 
 def oracle_sql() -> dict[str, str]:
     manifest = r"""
-SELECT CAST(page_id AS VARCHAR) AS mid, url[: length(url) - strpos(reverse(url), '/') + 1] AS base_directory,
+SELECT CAST(page_id AS VARCHAR) AS mid,
+  CASE WHEN url LIKE '%/%' THEN url[: length(url) - strpos(reverse(url), '/') + 1] END AS base_directory,
   nullif(split_part(url, '/', -1), '') AS file_name,
-  CASE WHEN url NOT LIKE '%/' THEN url END AS path
+  CASE WHEN url LIKE '%/%' AND url NOT LIKE '%/' THEN url END AS path
 FROM pages"""
+    supplier = """
+SELECT CAST(s_suppkey AS VARCHAR) AS "Key", s_name AS "Name",
+  CASE WHEN s_acctbal >= 0 THEN CAST(CAST(s_acctbal AS DECIMAL(12, 2)) AS VARCHAR) END AS "Balance"
+FROM supplier"""
     section = """SELECT doc_id, {pos} AS pos, '{heading}' AS heading, {body} AS body,
       {pos} AS no, '{title}' AS title, {marker} AS marker FROM c"""
     return {
-        "page_metadata": r"""
-SELECT page_id AS doc_id,
-  nullif(regexp_extract(html, '(?i)<html\s[^<>]*?\blang\s*=\s*["'']?([^"''\s<>]+)', 1), '') AS lang,
-  nullif(regexp_extract(html, '(?i)<meta\s[^<>]*?\bcharset\s*=\s*["'']?([^"''\s/<>;]+)', 1), '') AS charset,
+        # Read from the markup without its hidden parts, field by field with plain cuts.
+        "page_metadata": rf"""
+WITH seen AS (
+  SELECT page_id AS doc_id, regexp_replace(html, {_HIDDEN}, ' ', 'g') AS html FROM pages),
+tags AS (
+  SELECT *, regexp_extract(html, '(?i)<html\s[^<>]*lang[^<>]*>') AS tag,
+    regexp_extract(html, '(?i)<meta\s[^<>]*charset[^<>]*>') AS meta FROM seen)
+SELECT doc_id, nullif(regexp_extract(tag, '(?i)\slang=["'']?([^"''<>\s]+)', 1), '') AS lang,
+  nullif(regexp_extract(meta, '(?i)[\s;]charset=["'']?([^"''<>;\s]+)', 1), '') AS charset,
   """
         + ", ".join(
             "nullif({}, '') AS {}".format(
@@ -322,7 +376,7 @@ SELECT page_id AS doc_id,
             )
             for tag in ("title", "h1")
         )
-        + " FROM pages",
+        + " FROM tags",
         "page_text": rf"""
 SELECT page_id AS doc_id, trim(regexp_replace(regexp_replace(html,
   {_HIDDEN[:-1]}|<[a-z/!?][^>]*(?:>|\z)', ' ', 'g'), '[ \t\r\n\f]+', ' ', 'g')) AS text
@@ -351,6 +405,10 @@ SELECT nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang, coun
 FROM items JOIN pages ON page_id = doc_id WHERE item > 0 GROUP BY 1""",
         "manifest_paths": manifest,
         "stream_manifest_paths": manifest,
+        "supplier_files": supplier,
+        "stream_supplier_files": supplier,
+        "form_label_map": f"""WITH {_FORMS}, {_SLOTS}
+SELECT doc_id, label, value FROM slots WHERE label IS NOT NULL AND value IS NOT NULL""",
         "stream_page_items": _PAGE_ITEMS.format(
             columns="doc_id, CAST(item AS INTEGER) AS item, " + _TEXT_OF.format("content") + " AS text"
         ),

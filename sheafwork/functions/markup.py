@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 # Class names that carry meaning in the form markup.
 LABEL_CLASS = "highlight"
 HINT_CLASS = "placeholder"
-BLOCK_CLASS = "section-content"
 
 # Characters with a meaning in the form and the entity written for
 # each. The ampersand comes first for writing and last for reading.
@@ -38,7 +37,7 @@ _TAG = r"[a-z/!?][^>]*(?:>|\z)"
 _HIDDEN = (
     r"script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)"
     r"|style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)"
-    r"|!--.*?(?:-->|\z)"
+    r"|!--(?:-?>|.*?(?:--!?>|\z))"
 )
 TAG = rf"(?i)<{_TAG}"
 HIDDEN = rf"(?is)<(?:{_HIDDEN})"
@@ -47,14 +46,27 @@ H2_OPEN = r"(?i)<h2(?:\s[^>]*)?>"
 H2_CLOSE = r"(?i)</h2\s*>"
 ITEM_OPEN = r"(?i)<li(?:\s[^>]*)?>"
 ITEM_END = r"(?i)</li\s*>|<h2(?:\s[^>]*)?>"
+# A start tag does not run over further starts. A few spans inside belong to the hint.
 HINT_SPAN = (
-    r"""(?is)<span\s[^>]*class\s*=\s*["'](?:[^"'>]*\s)?"""
+    r"""(?is)<span(?:\s[^<>]*)?\sclass\s*=\s*["'](?:[^"'<>]*\s)?"""
     + HINT_CLASS
-    + r"""(?:\s[^"'>]*)?["'][^>]*>(.*?)(?:</span\s*>|\z)"""
+    + r"""(?:\s[^"'<>]*)?["'][^<>]*>"""
+    + r"""((?:[^<]*<span(?:\s[^<>]*)?>[^<]*</span\s*>){0,8}.*?)(?:</span\s*>|\z)"""
 )
 
-LANG = r"""(?i)<html\s[^<>]*?\blang\s*=\s*["']?([^"'\s<>]+)"""
-CHARSET = r"""(?i)<meta\s[^<>]*?\bcharset\s*=\s*["']?([^"'\s/<>;]+)"""
+# Whole attributes that stand before the one looked for.
+_ATTRIBUTES = (
+    r"""(?:\s+[^\s=<>"']+(?:\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>]+))?){0,16}?"""
+)
+LANG = rf"""(?i)<html{_ATTRIBUTES}\s+lang\s*=\s*["']?([^"'\s<>]*)"""
+_CHARSET_IN = r"""\s+content\s*=\s*["'][^"'<>]*?charset\s*=\s*([^"'\s/<>;]+)"""
+_EQUIV = r"""\s+http-equiv\s*=\s*["']?content-type"""
+# The first tag that tells counts, in one of three spellings with a group each.
+CHARSET = (
+    rf"""(?i)<meta(?:{_ATTRIBUTES}\s+charset\s*=\s*["']?([^"'\s/<>;]+)"""
+    rf"""|{_ATTRIBUTES}{_EQUIV}["']?{_ATTRIBUTES}{_CHARSET_IN}"""
+    rf"""|{_ATTRIBUTES}{_CHARSET_IN}[^"'<>]*["']{_ATTRIBUTES}{_EQUIV})"""
+)
 # Only the first start is tried: without an end after it there is none at all.
 TITLE = r"(?is)\A(?>.*?<title(?:\s[^<>]*)?>)(.*?)</title\s*>"
 H1 = r"(?is)\A(?>.*?<h1(?:\s[^<>]*)?>)(.*?)</h1\s*>"
@@ -89,9 +101,9 @@ def plain_fragment(html: Column) -> Column:
     return squeeze(F.regexp_replace(html, TAG, " "))
 
 
-def first_group(html: Column, pattern: str) -> Column:
-    """First capture of ``pattern``, NULL when nothing or only '' is captured."""
-    return blank_to_null(F.regexp_extract(html, pattern, 1))
+def first_group(html: Column, pattern: str, group: int = 1) -> Column:
+    """A capture of the first match, NULL when nothing or only '' is captured."""
+    return blank_to_null(F.regexp_extract(html, pattern, group))
 
 
 def item_content(fragment: Column) -> Column:

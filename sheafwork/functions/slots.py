@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from sheafwork.functions import markup
 
 _BRACKETS = r"\[[^\]]*\]"
-_ALL_BRACKETS = r"^\[[^\]]*\]$"
+_ALL_BRACKETS = r"\A\[[^\]]*\]\z"
 # A colon after an opening bracket, or after the last one found, with no other
 # bracket in between.
 _BRACKETED_COLON = r"((?:\[|\G(?!\A))[^\[\]:]*):"
-# Stands for a colon that does not end a label; not allowed in markup.
-_NO_COLON = "\x01"
+# Takes the place of a colon that does not end a label, in a copy as long as the text.
+_NO_COLON = "."
 
 
 def has_hint(content: Column) -> Column:
@@ -32,7 +32,10 @@ def given_text(content: Column, text: Column) -> Column:
 
 
 def label_cut(text: Column) -> Column:
-    """[before, after] the first colon outside brackets, or [text] without one."""
+    """Two parts as long as those before and after the first colon outside brackets, or
+    one part without such a colon. The parts tell where to cut; their text is not the
+    original one.
+    """
     # Every bracket that opens before the last one that closes is a closed one.
     tail = F.substring_index(text, "]", -1)
     head = F.left(text, F.length(text) - F.length(tail))
@@ -41,29 +44,34 @@ def label_cut(text: Column) -> Column:
     return F.split(F.when(bracketed, guarded).otherwise(text), ":", 2)
 
 
-def cut_label(cut: Column) -> Column:
+def cut_label(cut: Column, text: Column) -> Column:
     """Label of a :func:`label_cut`; brackets are no part of it. NULL if there is none."""
-    before = F.when(F.size(cut) == 2, F.get(cut, F.lit(0)))
+    before = F.when(F.size(cut) == 2, F.left(text, F.length(F.get(cut, F.lit(0)))))
     bare = markup.squeeze(F.regexp_replace(before, _BRACKETS, " "))
     label = F.when(F.contains(before, F.lit("]")), bare).otherwise(F.trim(before))
     return markup.blank_to_null(markup.unescape(label))
 
 
-def cut_value(cut: Column, label: Column) -> Column:
-    """Text after the label, or all of it without a label; NULL if empty."""
-    text = F.when(label.isNotNull(), F.get(cut, F.lit(1))).otherwise(F.array_join(cut, ":"))
-    text = F.trim(F.replace(text, F.lit(_NO_COLON), F.lit(":")))
-    return markup.blank_to_null(markup.unescape(text))
+def cut_raw(cut: Column, label: Column, text: Column) -> Column:
+    """Text after the label, or all of it without a label, with entities as written."""
+    after = F.substr(text, F.length(F.get(cut, F.lit(0))) + 2)
+    return F.trim(F.when(label.isNotNull(), after).otherwise(text))
 
 
-def is_bracketed(text: Column, value: Column) -> Column:
+def value_of(raw: Column) -> Column:
+    """The value of a :func:`cut_raw`; NULL if empty."""
+    return markup.blank_to_null(markup.unescape(raw))
+
+
+def is_bracketed(raw: Column) -> Column:
     """Whether a value is wholly ``[...]``, the brackets not being written as entities."""
-    return F.endswith(text, F.lit("]")) & F.coalesce(value.rlike(_ALL_BRACKETS), F.lit(False))
+    ends = F.endswith(raw, F.lit("]")) & raw.rlike(_ALL_BRACKETS)
+    return F.coalesce(ends, F.lit(False))
 
 
-def hint_of(content: Column, hinted: Column, bracketed: Column, value: Column) -> Column:
+def hint_of(content: Column, hinted: Column, bracketed: Column, raw: Column) -> Column:
     """Words of the placeholder span or of the brackets, without the brackets."""
     span = markup.plain_fragment(F.regexp_extract(content, markup.HINT_SPAN, 1))
-    words = F.when(hinted, span).when(bracketed, value)
-    inner = F.trim(F.regexp_replace(words, r"^\[([^\]]*)\]$", "$1"))
+    words = F.when(hinted, span).when(bracketed, raw)
+    inner = F.trim(F.regexp_replace(words, r"\A\[([^\]]*)\]\z", "$1"))
     return markup.blank_to_null(markup.unescape(inner))

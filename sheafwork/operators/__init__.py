@@ -4,7 +4,13 @@ from sheafwork.operators.items import item_tree, list_items
 from sheafwork.operators.manifests import manifest_path
 from sheafwork.operators.metadata import document_metadata, document_text
 from sheafwork.operators.render import Form, Group, Section, Slot, render
-from sheafwork.operators.reports import completeness, wide, wide_documents
+from sheafwork.operators.reports import (
+    completeness,
+    completeness_documents,
+    label_map,
+    wide,
+    wide_documents,
+)
 from sheafwork.operators.sections import parse_heading, sections
 from sheafwork.operators.slots import label_values, slots, unfilled
 
@@ -14,9 +20,11 @@ __all__ = [
     "Section",
     "Slot",
     "completeness",
+    "completeness_documents",
     "document_metadata",
     "document_text",
     "item_tree",
+    "label_map",
     "label_values",
     "list_items",
     "manifest_path",

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from sheafwork.functions import markup
 
-# Stands for an item's tag while its section is still one string. The control
-# character is not allowed in markup, so taking it out first loses nothing.
-_CONTROL = "\x01"
+# Stands for an item's tag in the copy of a section that the tokens are read from. In
+# that copy the section's own such characters become another one.
+_CONTROL, _OTHER = "\x01", "\x02"
 _MARK = "<" + _CONTROL
 # The tag of a list ends at the next item's at the latest.
 _TOKEN = rf"(?i)<(?:{_CONTROL}|/?[ou]l(?:\s[^>{_CONTROL}]*)?(?:>|(?={_MARK})|\z))"
@@ -140,9 +140,10 @@ def item_tree(rows: DataFrame, *keep: str) -> DataFrame:
     so their places are worked out on the array before it is exploded: no window,
     and no shuffle of the text.
     """
-    body = F.replace("body", F.lit(_CONTROL), F.lit(""))
-    staged = _bodies(rows, keep).withColumn("fragments", F.split(body, markup.ITEM_OPEN))
-    marked = F.array_join("fragments", _MARK)
+    fragments = F.split("body", markup.ITEM_OPEN)
+    staged = _bodies(rows, keep).withColumn("fragments", fragments)
+    clean = F.transform("fragments", lambda x: F.replace(x, F.lit(_CONTROL), F.lit(_OTHER)))
+    marked = F.array_join(clean, _MARK)
     tokens = F.regexp_extract_all(marked, F.lit(_TOKEN), F.lit(0))
     staged = _with_places(staged.withColumn("tokens", tokens))
     # The places go into the elements and not beside them: an array kept as a

@@ -23,6 +23,8 @@ class Slot:
     def __post_init__(self):
         if self.label is not None and set(self.label) & set(":[]"):
             raise ValueError(f"a label cannot contain ':', '[' or ']': {self.label!r}")
+        if not self.hint.strip():
+            raise ValueError("a hint cannot be blank")
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,12 @@ class Section:
     entries: tuple[Slot | Group, ...]
     marker: str | None = None
 
+    def __post_init__(self):
+        if self.title.rstrip().endswith(")"):
+            raise ValueError(f"a title cannot end with ')': {self.title!r}")
+        if self.marker is not None and (set(self.marker) & set("()") or not self.marker.strip()):
+            raise ValueError(f"a marker cannot be blank or contain '(' or ')': {self.marker!r}")
+
 
 @dataclass(frozen=True)
 class Form:
@@ -55,8 +63,12 @@ def _text(value: str) -> str:
     return html_lib.escape(value, quote=False)
 
 
+def _bracketed(value: str) -> str:
+    return f"[{_text(value).replace('[', '&#91;').replace(']', '&#93;')}]"
+
+
 def _value(slot: Slot) -> Iterator[str | Column]:
-    missing = f'<span class="{markup.HINT_CLASS}">[{_text(slot.hint)}]</span>'
+    missing = f'<span class="{markup.HINT_CLASS}">{_bracketed(slot.hint)}</span>'
     if slot.column is None:
         yield missing
     else:
@@ -69,7 +81,7 @@ def _value(slot: Slot) -> Iterator[str | Column]:
 def _entry(entry: Slot | Group, nested: bool = False) -> Iterator[str | Column]:
     yield "<li>"
     if isinstance(entry, Group):
-        yield f'<span class="{markup.LABEL_CLASS}">[{_text(entry.heading)}]</span>\n<ul>\n'
+        yield f'<span class="{markup.LABEL_CLASS}">{_bracketed(entry.heading)}</span>\n<ul>\n'
         for slot in entry.slots:
             yield from _entry(slot, nested=True)
         yield "</ul>\n"
@@ -94,7 +106,7 @@ def _document(form: Form) -> Iterator[str | Column]:
         marker = "" if section.marker is None else f" ({_text(section.marker)})"
         yield (
             f"<h2>{no}. {_text(section.title)}{marker}</h2>\n"
-            f'<div class="{markup.BLOCK_CLASS}">\n<ul>\n'
+            "<div>\n<ul>\n"
         )
         for entry in section.entries:
             yield from _entry(entry)

@@ -17,7 +17,9 @@ def completeness(slot_rows: DataFrame, *keys: str) -> DataFrame:
     Without keys it is one row, whose ratio is NULL if there are no slots at all.
 
     Counts are summed within each task before the exchange, so at most one row per
-    key and task moves, however many slots a key has. Works on a stream too.
+    key and task moves, however many slots a key has. Works on a stream too, but with a
+    key such as the document its state grows for ever: there is no time to expire it by.
+    Counts per document need no exchange: see :func:`completeness_documents`.
     """
     counts = slot_rows.groupBy(*keys).agg(
         F.count("*").alias("slots"), F.count("value").alias("filled")
@@ -31,9 +33,12 @@ def wide(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
     ``pairs`` has (doc_id, pos, item, label, value). A label that a document has
     more than once gives its first value in document order, one that it has not
     gives NULL. The labels are known, so this is one aggregation by document with
-    one exchange; a pivot on the label takes two. Documents that are still whole
-    need no exchange at all: see :func:`wide_documents`.
+    one exchange, of one row per document and task; a pivot on the label takes two.
+    The aggregation sorts, so values of other labels are dropped before it. Documents
+    that are still whole need neither: :func:`wide_documents` is the first choice.
     """
+    named = F.col("label").isin(list(labels))
+    pairs = pairs.select("doc_id", "pos", "item", "label", F.when(named, F.col("value")).alias("value"))
 
     def first_value(label: str) -> Column:
         wanted = (F.col("label") == label) & F.col("value").isNotNull()
@@ -43,8 +48,8 @@ def wide(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
     return pairs.groupBy("doc_id").agg(*map(first_value, labels))
 
 
-def wide_documents(documents: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """:func:`wide` straight from documents: row-local, no shuffle.
+def _with_pairs(documents: DataFrame) -> DataFrame:
+    """(doc_id, items, pairs): how many items a document has, and its filled slots.
 
     All the items of a document are in its one value, so its labels are read from
     the array of items before any row is exploded.
@@ -60,33 +65,74 @@ def wide_documents(documents: DataFrame, labels: Sequence[str]) -> DataFrame:
     )
     # A slot with a placeholder has no value to give.
     rows = rows.select(
-        "doc_id", F.filter("contents", lambda c: ~fn.has_hint(c)).alias("contents")
-    )
-    rows = rows.select(
-        "doc_id", F.transform("contents", markup.plain_fragment).alias("texts")
-    )
-    rows = rows.select(
-        "doc_id", "texts", F.transform("texts", fn.label_cut).alias("cuts")
-    )
-    rows = rows.select(
-        "doc_id", "texts", "cuts", F.transform("cuts", fn.cut_label).alias("labels")
+        "doc_id",
+        F.size("contents").cast("long").alias("items"),
+        F.filter("contents", lambda c: ~fn.has_hint(c)).alias("contents"),
     )
     rows = rows.select(
-        "doc_id",
-        "texts",
-        "labels",
-        F.zip_with("cuts", "labels", fn.cut_value).alias("values"),
+        "doc_id", "items", F.transform("contents", markup.plain_fragment).alias("texts")
     )
+    rows = rows.select("*", F.transform("texts", fn.label_cut).alias("cuts"))
+    rows = rows.select("*", F.zip_with("cuts", "texts", fn.cut_label).alias("labels"))
+    cuts = F.arrays_zip("texts", "cuts", "labels")
+    raws = F.transform(cuts, lambda c: fn.cut_raw(c["cuts"], c["labels"], c["texts"]))
+    rows = rows.select("doc_id", "items", "labels", raws.alias("raws"))
+    rows = rows.select("*", F.transform("raws", fn.value_of).alias("values"))
     pairs = F.filter(
-        F.arrays_zip("texts", "labels", "values"),
-        lambda p: ~fn.is_bracketed(p["texts"], p["values"]) & p["values"].isNotNull(),
+        F.arrays_zip("raws", "labels", "values"),
+        lambda p: ~fn.is_bracketed(p["raws"]) & p["values"].isNotNull(),
     )
     # An explode of one element: a filter on a label's column is then not pushed
     # below all of this, which would be computed again for every mention of it.
-    rows = rows.select("doc_id", F.explode(F.array(pairs)).alias("pairs"))
+    return rows.select("doc_id", "items", F.explode(F.array(pairs)).alias("pairs"))
+
+
+def wide_documents(documents: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """:func:`wide` straight from documents: row-local, no shuffle."""
 
     def first_value(label: str) -> Column:
         found = F.filter("pairs", lambda pair: pair["labels"] == label)
         return F.get(found, F.lit(0))["values"].alias(label)
 
-    return rows.select("doc_id", *map(first_value, labels))
+    return _with_pairs(documents).select("doc_id", *map(first_value, labels))
+
+
+def completeness_documents(documents: DataFrame) -> DataFrame:
+    """:func:`completeness` by document straight from documents: row-local, no shuffle.
+
+    A document without slots is a row of zeros with a NULL ratio.
+    """
+    filled = F.size("pairs").cast("long")
+    return _with_pairs(documents).select(
+        "doc_id",
+        F.col("items").alias("slots"),
+        filled.alias("filled"),
+        F.try_divide(filled, "items").alias("ratio"),
+    )
+
+
+def label_map(documents: DataFrame) -> DataFrame:
+    """(doc_id, slots): a map of every label a document has to its first value.
+
+    For labels that are not known in advance; row-local, no shuffle. Slots without a
+    label or a value are not in it, and a repeated label has its first value.
+    """
+    numbered = F.transform(
+        "pairs",
+        lambda pair, place: F.struct(
+            pair["labels"].alias("label"), place.alias("place"), pair["values"].alias("value")
+        ),
+    )
+    ordered = F.array_sort(F.filter(numbered, lambda x: x["label"].isNotNull()))
+    rows = _with_pairs(documents).select("doc_id", ordered.alias("ordered"))
+    labels = F.transform("ordered", lambda x: x["label"])
+    before = F.concat(F.array(F.lit(None).cast("string")), labels)
+    first = F.filter(
+        F.zip_with(
+            "ordered",
+            F.slice(before, F.lit(1), F.size("ordered")),
+            lambda x, last: F.when(~x["label"].eqNullSafe(last), F.struct(x["label"], x["value"])),
+        ),
+        lambda x: x.isNotNull(),
+    )
+    return rows.select("doc_id", F.map_from_entries(first).alias("slots"))

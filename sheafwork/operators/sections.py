@@ -38,13 +38,18 @@ def parse_heading(section_rows: DataFrame) -> DataFrame:
     """Add ``no``, ``title`` and ``marker`` read from ``N. title (marker)``.
 
     A heading without a leading number has a NULL ``no``; the marker is the text
-    of a parenthesis at the very end, NULL if there is none.
+    of a parenthesis at the very end, NULL if there is none. A number with further
+    digits behind its dot, or one that is too large, is part of the title.
     """
     heading = F.col("heading")
-    parts = r"^(?:[0-9]+\.)?\s*(.*?)\s*(?:\(([^()]*)\))?$"
+    number = F.regexp_extract(heading, r"^([0-9]+)\.(?![0-9])", 1).try_cast("int")
+    rest = F.when(number.isNull(), heading).otherwise(
+        F.regexp_replace(heading, r"^[0-9]+\.", "")
+    )
+    parts = r"(?s)\A\s*(.*?)\s*(?:\(([^()]*)\))?\z"
     return section_rows.select(
         "*",
-        F.regexp_extract(heading, r"^([0-9]+)\.", 1).try_cast("int").alias("no"),
-        markup.blank_to_null(F.regexp_extract(heading, parts, 1)).alias("title"),
-        markup.blank_to_null(F.regexp_extract(heading, parts, 2)).alias("marker"),
+        number.alias("no"),
+        markup.blank_to_null(F.regexp_extract(rest, parts, 1)).alias("title"),
+        markup.blank_to_null(F.regexp_extract(rest, parts, 2)).alias("marker"),
     )

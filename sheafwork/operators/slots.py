@@ -9,12 +9,13 @@ from sheafwork.functions import slots as fn
 
 
 def label_values(items: DataFrame) -> DataFrame:
-    """Add ``label`` and ``value`` to list items.
+    """Add ``label``, ``value`` and ``raw`` to list items.
 
     The label is what stands before the first colon, whether in a span of its own
     or as bare text, leaving out placeholders and anything in brackets. Without
     such a colon the label is NULL and the value is the whole text. A value may
-    contain colons; one that is only a placeholder is NULL.
+    contain colons; one that is only a placeholder is NULL. ``raw`` is the value with
+    its entities as written, for telling brackets from written ones.
     """
     given = fn.given_text(F.col("content"), F.col("text"))
     rows = items.select("*", given.alias("_given"))
@@ -22,9 +23,10 @@ def label_values(items: DataFrame) -> DataFrame:
     # below the cut, which would be computed again for every mention of it.
     cut = F.explode(F.array(fn.label_cut(F.col("_given"))))
     rows = rows.select("*", cut.alias("_cut"))
-    rows = rows.select("*", fn.cut_label(F.col("_cut")).alias("label"))
-    value = fn.cut_value(F.col("_cut"), F.col("label"))
-    return rows.select(*items.columns, "label", value.alias("value"))
+    rows = rows.select("*", fn.cut_label(F.col("_cut"), F.col("_given")).alias("label"))
+    raw = fn.cut_raw(F.col("_cut"), F.col("label"), F.col("_given"))
+    rows = rows.select(*items.columns, "label", raw.alias("raw"))
+    return rows.select(*items.columns, "label", fn.value_of(F.col("raw")).alias("value"), "raw")
 
 
 def unfilled(items: DataFrame) -> DataFrame:
@@ -34,19 +36,19 @@ def unfilled(items: DataFrame) -> DataFrame:
     brackets, or if nothing is left as its value. So a value is NULL exactly when
     ``is_unfilled`` is true. The hint is the placeholder's or the brackets' text.
     """
-    content, value = F.col("content"), F.col("value")
+    content, value, raw = F.col("content"), F.col("value"), F.col("raw")
     rows = items.select(
         "*",
         fn.has_hint(content).alias("_hinted"),
-        fn.is_bracketed(F.col("text"), value).alias("_bracketed"),
+        fn.is_bracketed(raw).alias("_bracketed"),
     )
     hinted, bracketed = F.col("_hinted"), F.col("_bracketed")
     missing = hinted | bracketed | value.isNull()
-    kept = [c for c in items.columns if c != "value"]
+    kept = [c for c in items.columns if c not in ("value", "raw")]
     return rows.select(
         *kept,
         F.when(~missing, value).alias("value"),
-        fn.hint_of(content, hinted, bracketed, value).alias("hint"),
+        fn.hint_of(content, hinted, bracketed, raw).alias("hint"),
         missing.alias("is_unfilled"),
     )
 

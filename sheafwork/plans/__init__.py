@@ -4,6 +4,7 @@ from sheafwork.plans.forms import (
     CUSTOMER_FORM,
     customer_documents,
     document_slots,
+    supplier_documents,
     text_documents,
 )
 from sheafwork.plans.pages import items_per_language, page_manifest
@@ -14,5 +15,6 @@ __all__ = [
     "document_slots",
     "items_per_language",
     "page_manifest",
+    "supplier_documents",
     "text_documents",
 ]

@@ -66,6 +66,22 @@ def customer_documents(customer: DataFrame) -> DataFrame:
     return render(rows, CUSTOMER_FORM, "c_custkey")
 
 
+SUPPLIER_FORM = Form(
+    title="Supplier record",
+    sections=(
+        Section("Supplier", (Slot("key", "Key", "s_suppkey"), Slot("name", "Name", "s_name"))),
+        Section("State", (Slot("balance, if any", "Balance", "balance"),), marker="optional"),
+    ),
+)
+
+
+def supplier_documents(supplier: DataFrame) -> DataFrame:
+    """A form per supplier; a negative balance is not disclosed."""
+    balance = F.col("s_acctbal").cast("decimal(12,2)")
+    rows = supplier.select("s_suppkey", "s_name", F.when(balance >= 0, balance).alias("balance"))
+    return render(rows, SUPPLIER_FORM, "s_suppkey")
+
+
 def text_documents(documents: DataFrame) -> DataFrame:
     """A form per text, holding the whole of it."""
     return render(documents, TEXT_FORM, "doc_id")

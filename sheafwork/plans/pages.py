@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheafwork.functions.markup import blank_to_null
+from sheafwork.functions.markup import LANG, blank_to_null, first_group, without_hidden
 from sheafwork.operators.items import list_items
-from sheafwork.operators.metadata import document_metadata
 
 
 def items_per_language(documents: DataFrame) -> DataFrame:
@@ -17,7 +16,10 @@ def items_per_language(documents: DataFrame) -> DataFrame:
     within each task first: one row per language and task is exchanged, and a
     language that most pages share is no heavier than another.
     """
-    items = list_items(document_metadata(documents, "html"), "lang")
+    visible = F.explode(F.array(without_hidden(F.col("html")))).alias("body")
+    rows = documents.select("doc_id", F.lit(0).alias("pos"), visible)
+    rows = rows.select("*", first_group(F.col("body"), LANG).alias("lang"))
+    items = list_items(rows, "lang")
     return items.groupBy("lang").agg(F.count("*").alias("items"))
 
 
@@ -26,6 +28,6 @@ def page_manifest(pages: DataFrame) -> DataFrame:
     url = F.col("url")
     return pages.select(
         F.col("page_id").cast("string").alias("mid"),
-        F.regexp_extract(url, r"^(.*/)[^/]*$", 1).alias("base_directory"),
-        blank_to_null(F.regexp_extract(url, r"([^/]*)$", 1)).alias("file_name"),
+        blank_to_null(F.regexp_extract(url, r"(?s)\A(.*/)[^/]*\z", 1)).alias("base_directory"),
+        blank_to_null(F.regexp_extract(url, r"([^/]*)\z", 1)).alias("file_name"),
     )

@@ -2,20 +2,20 @@
 
 from sheafwork.sources.documents import (
     documents_from_pages,
-    fan_out,
     scan_documents,
     stream_documents,
 )
 from sheafwork.sources.manifest import (
     MANIFEST_SCHEMA,
+    WRITE_OPTIONS,
     scan_manifest,
     stream_manifest,
 )
 
 __all__ = [
     "MANIFEST_SCHEMA",
+    "WRITE_OPTIONS",
     "documents_from_pages",
-    "fan_out",
     "scan_documents",
     "scan_manifest",
     "stream_documents",

@@ -52,16 +52,3 @@ def documents_from_pages(pages: DataFrame) -> DataFrame:
     """The (doc_id, html) view of a page table; no other column is read."""
     return pages.select(F.col("page_id").alias("doc_id"), "html")
 
-
-def fan_out(scan: DataFrame) -> DataFrame:
-    """Spread a scan that has too few tasks for the cluster's cores.
-
-    A Parquet row group is read by one task. When a table has fewer row groups
-    than half the cores, extraction would leave most of them idle, so the rows
-    are dealt out once. A table with more scan tasks than that is returned as
-    it is, so large inputs are never shuffled here. Use it on a plain scan.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() * 2 > cores:
-        return scan
-    return scan.repartition(cores)

@@ -8,38 +8,57 @@ from pyspark.sql import DataFrame, SparkSession
 MANIFEST_SCHEMA = "mid string, base_directory string, file_name string"
 
 
-def _options(reader, mode: str):
+#: Options that write what :func:`scan_manifest` reads back as it was.
+WRITE_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _options(reader, mode: str, multi_line: bool):
     # Without enforceSchema=False a file with other headers would be read by
-    # position and pass unnoticed.
+    # position and pass unnoticed; without columnPruning=False a row of another
+    # length would, when some columns are not asked for.
     return (
         reader.schema(MANIFEST_SCHEMA)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("columnPruning", False)
         .option("encoding", "UTF-8")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("mode", mode)
     )
 
 
 def scan_manifest(
-    spark: SparkSession, path: str | list[str], mode: str = "PERMISSIVE"
+    spark: SparkSession,
+    path: str | list[str],
+    mode: str = "FAILFAST",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Rows of one manifest file, a directory of them, or a list of paths.
 
     Each file has its own header and may start with a byte order mark. An empty
-    field is NULL. Files are split and packed into tasks by their size. A row with
-    too few or too many fields is filled up or cut, or fails in mode ``FAILFAST``.
+    field is NULL, a quote inside quotes is doubled. Files are split and packed into
+    tasks by their size. A row with too few or too many fields is an error; mode
+    ``PERMISSIVE`` fills it up or cuts it. ``multi_line`` allows line ends inside
+    quotes, and a file is then read by one task.
     """
-    return _options(spark.read, mode).csv(path)
+    return _options(spark.read, mode, multi_line).csv(path)
 
 
 def stream_manifest(
     spark: SparkSession,
     path: str,
     max_files_per_trigger: int | None = None,
-    mode: str = "PERMISSIVE",
+    mode: str = "FAILFAST",
+    multi_line: bool = False,
 ) -> DataFrame:
     """:func:`scan_manifest` over the files arriving in a directory."""
-    reader = _options(spark.readStream, mode)
+    reader = _options(spark.readStream, mode, multi_line)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path)

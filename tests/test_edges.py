@@ -41,7 +41,7 @@ def test_missing_metadata(spark):
             spark,
             "<p>no head</p>",
             "<title> </title><h1></h1>",
-            "<HTML class='x' LANG=fr><META http-equiv=a content='text/html; charset=latin1'>"
+            "<HTML class='x' LANG=fr><META http-equiv=Content-Type content='text/html; charset=latin1'>"
             "<TITLE>a\n b</TITLE><H1 id=h><b>c</b></H1>",
             None,
         )
@@ -106,7 +106,9 @@ def test_items(spark, html, texts):
         ("3.A", 3, "A", None),
         ("3.", 3, None, None),
         ("(d)", None, None, "d"),
-        ("99999999999. A", None, "A", None),
+        ("99999999999. A", None, "99999999999. A", None),
+        ("3.5 Scope", None, "3.5 Scope", None),
+        ("4. a\u0085b\u2028c (d\u2029e)", 4, "a\u0085b\u2028c", "d\u2029e"),
         ("1. <b>A</b>\n B", 1, "A B", None),
     ],
 )
@@ -214,3 +216,49 @@ def test_render_escapes(spark):
     assert {r["label"] for r in slots} == {"L & M"}
     assert [r["hint"] for r in slots] == [None, None] + ["h <&>"] * 3 + [None] * 3
     assert op.document_metadata(pages).first()["title"] == "T &amp; &lt;U&gt;"
+
+
+def test_empty_comments_end_at_once(spark):
+    html = "<ul><li>a</li><!--><li>b</li><!---><li>c</li></ul><!-- x --!><h2>2. B</h2><!-- y"
+    assert items_of(spark, html) == ["a", "b", "c"]
+    assert op.document_text(documents(spark, html)).first()["text"] == "a b c 2. B"
+    assert op.sections(documents(spark, html)).first()["heading"] == "2. B"
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ('<html data-lang="zz" lang="en">', ("en", None, None, None)),
+        ('<html xml:lang="fr" lang="en">', ("en", None, None, None)),
+        ('<!-- <html lang="xx"> --><html lang="en">', ("en", None, None, None)),
+        ('<meta name="description" content="the charset=abc trick">', (None, None, None, None)),
+        ('<meta content="text/html; charset=abc" http-equiv="Content-Type">', (None, "abc", None, None)),
+        ("<script>'<title>a</title>'</script><title>b</title>", (None, None, "b", None)),
+    ],
+)
+def test_metadata_is_read_from_what_shows(spark, html, expected):
+    assert tuple(op.document_metadata(documents(spark, html)).drop("doc_id").first()) == expected
+
+
+def test_placeholders(spark):
+    span = '<span class="placeholder">[a <span>b</span> c]</span>'
+    assert slot_of(spark, f"L: {span}") == ("L", None, "a b c", True)
+    assert slot_of(spark, '<span data-class="placeholder">x</span>') == (None, "x", None, False)
+
+
+def test_no_character_is_altered(spark):
+    assert slot_of(spark, "L: a\x01b") == ("L", "a\x01b", None, False)
+    assert slot_of(spark, "[x:y] L: a\x01b.[c:d]") == ("L", "a\x01b.[c:d]", None, False)
+    page = documents(spark, "<ul><li>a\x01b<ul\x01><li>c\x02</ul>")
+    tree = op.item_tree(page).orderBy("item").collect()
+    assert [r["text"] for r in tree] == ["a\x01b", "c\x02"] == items_of(spark, page.first()["html"])
+
+
+def test_forms_with_brackets_read_back(spark):
+    form = op.Form("T", (op.Section("S", (op.Group("G [1]", (op.Slot("a]b[", "L", "v"),)),)),))
+    rows = spark.createDataFrame([(1, None)], "id int, v string")
+    found = plans.document_slots(op.render(rows, form, "id")).orderBy("item").collect()
+    assert [(r["label"], r["value"], r["hint"]) for r in found] == [(None, None, "G [1]"), ("L", None, "a]b[")]
+    for title, marker in (("a (b)", None), ("a", "b (c)"), ("a", " ")):
+        with pytest.raises(ValueError):
+            op.Section(title, (), marker)

@@ -30,26 +30,22 @@ def test_scan(form):
 
 def test_metadata(form):
     row = op.document_metadata(form).drop("doc_id").first()
-    assert tuple(row) == ("en", "UTF-8", "Volunteer sheet", "Volunteer sheet (sample)")
+    assert tuple(row) == ("en", "UTF-8", "Rain gauge log", "Rain gauge log, station 12")
 
 
 def test_text(form):
     text = op.document_text(form).first()["text"]
-    assert text.startswith("Volunteer sheet Volunteer sheet (sample) 1. Contact Call sign: Kestrel")
-    assert text.endswith("Papers: [names] Printed on both sides.")
-    assert "margin" not in text
+    assert text.startswith("Rain gauge log Rain gauge log, station 12 Fill in after each storm. 1.")
+    assert text.endswith("Signed: Keep for ten years.")
+    assert "padding" not in text
 
 
 def test_headings(form):
     rows = op.parse_heading(op.sections(form)).orderBy("pos").collect()
     assert [(r["pos"], r["no"], r["title"], r["marker"]) for r in rows] == [
-        (1, 1, "Contact", None),
-        (2, 2, "Why", None),
-        (3, 3, "Past work", None),
-        (4, 4, "Traits", None),
-        (5, 5, "Background", None),
-        (6, 6, "Plans", None),
-        (7, 7, "Anything else", "if you like"),
+        (1, 1, "Readings", "millimetres"),
+        (2, 2, "Instrument", None),
+        (3, 3, "Observer", None),
     ]
 
 
@@ -63,50 +59,57 @@ def test_counts_per_section(items):
         F.count("label"),
     )
     assert [tuple(row) for row in counts.orderBy("pos").collect()] == [
-        (1, 4, 4, 3, 3, 4),
-        (2, 2, 0, 2, 2, 0),
-        (3, 5, 3, 3, 5, 3),
-        (4, 2, 2, 2, 2, 2),
-        (5, 2, 0, 2, 2, 0),
-        (6, 2, 2, 2, 2, 2),
-        (7, 2, 2, 2, 2, 2),
+        (1, 5, 2, 2, 3, 3),
+        (2, 1, 0, 1, 1, 0),
+        (3, 3, 2, 1, 2, 2),
     ]
 
 
 def test_slots(items):
-    rows = op.slots(items).where("pos IN (1, 3)").orderBy("pos", "item").collect()
+    rows = op.slots(items).orderBy("pos", "item").collect()
     assert [tuple(row)[1:] for row in rows] == [
-        (1, 1, "Call sign", "Kestrel", None, False),
-        (1, 2, "Wanted task", None, "which task?", True),
-        (1, 3, "Phone", None, "number", True),
-        (1, 4, "Mail", None, "address: work or home", True),
-        (3, 1, None, None, "Work 1", True),
-        (3, 2, "Part and outcome", None, "in brief", True),
-        (3, 3, None, None, "Work 2", True),
-        (3, 4, "Part and outcome", None, "in brief", True),
-        (3, 5, "Skills", None, "list them", True),
+        (1, 1, "Depth", "17", None, False),
+        (1, 2, None, None, "Hourly", True),
+        (1, 3, "Peak", None, "highest hour", True),
+        (1, 4, None, None, "second highest", True),
+        (1, 5, "Lull", "from 3:10 to 4:25", None, False),
+        (2, 1, None, None, "serial: on the base plate", True),
+        (3, 1, "Shift", None, "dawn or dusk", True),
+        (3, 2, None, "windy, cold", None, False),
+        (3, 3, "Signed", None, None, True),
     ]
 
 
 def test_tree(form):
     rows = op.item_tree(op.sections(form)).orderBy("pos", "item").collect()
-    nested = [(r["item"], r["depth"], r["parent_item"]) for r in rows if r["pos"] == 3]
-    assert nested == [(1, 1, None), (2, 2, 1), (3, 1, None), (4, 2, 3), (5, 1, None)]
-    assert {(r["depth"], r["parent_item"]) for r in rows if r["pos"] != 3} == {(1, None)}
+    places = [(r["pos"], r["item"], r["depth"], r["parent_item"]) for r in rows]
+    assert places == [
+        (1, 1, 1, None),
+        (1, 2, 1, None),
+        (1, 3, 2, 2),
+        (1, 4, 2, 2),
+        (1, 5, 2, 2),
+        (2, 1, 1, None),
+        (3, 1, 1, None),
+        (3, 2, 1, None),
+        (3, 3, 1, None),
+    ]
 
 
-def test_completeness(items):
+def test_completeness(form, items):
     slots = op.slots(items)
-    assert tuple(op.completeness(slots).first()) == (19, 1, 1 / 19)
+    assert tuple(op.completeness(slots).first()) == (9, 3, 1 / 3)
+    assert tuple(op.completeness_documents(form).drop("doc_id").first()) == (9, 3, 1 / 3)
     per_section = op.completeness(slots, "pos").orderBy("pos").collect()
-    assert [tuple(row) for row in per_section][:2] == [(1, 4, 1, 0.25), (2, 2, 0, 0.0)]
+    assert [tuple(row) for row in per_section] == [(1, 5, 2, 0.4), (2, 1, 0, 0.0), (3, 3, 1, 1 / 3)]
 
 
 def test_wide(form, items):
-    labels = ["Call sign", "Phone", "Part and outcome", "Unknown"]
+    labels = ["Depth", "Shift", "Lull", "Unknown"]
     long_way = op.wide(op.slots(items), labels).drop("doc_id").first()
     row_local = op.wide_documents(form, labels).drop("doc_id").first()
-    assert tuple(long_way) == tuple(row_local) == ("Kestrel", None, None, None)
+    assert tuple(long_way) == tuple(row_local) == ("17", None, "from 3:10 to 4:25", None)
+    assert op.label_map(form).first()["slots"] == {"Depth": "17", "Lull": "from 3:10 to 4:25"}
 
 
 def test_document_slots(form, items):

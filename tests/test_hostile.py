@@ -28,6 +28,7 @@ PAGES = {
     "bracketed colons": ITEM + "[:" * (SIZE // 2) + "]:",
     "colons": ITEM + "a:" * (SIZE // 2),
     "placeholders": ITEM + '<span class="placeholder">' * (SIZE // 26),
+    "spans": ITEM + "placeholder " + "<span " * (SIZE // 6) + ">",
     "entities": ITEM + "a: " + "&amp;lt;" * (SIZE // 8),
     "items": "<ul>" + "<li>x</li>" * (SIZE // 10) + "</ul>",
 }

@@ -3,7 +3,8 @@
 import pytest
 
 from sheafwork.operators import manifest_path
-from sheafwork.sources import scan_manifest, stream_manifest
+from sheafwork import plans
+from sheafwork.sources import WRITE_OPTIONS, scan_manifest, stream_manifest
 
 HEADER = "mid,base_directory,file_name\n"
 BOM = b"\xef\xbb\xbf"
@@ -19,47 +20,62 @@ def paths(frame):
 
 
 def test_files_with_and_without_mark(spark, tmp_path):
-    write(tmp_path, "one.csv", HEADER + "a,/tmp,a.sql\nb,/tmp/,b.sql\n", bom=True)
-    write(tmp_path, "two.csv", HEADER + 'c,/,c.sql\nd,/x//,/d.sql\ne,"/y,z",e.sql\n')
+    write(tmp_path, "one.csv", HEADER + "a,/in,a.dat\nb,/in/,b.dat\n", bom=True)
+    write(tmp_path, "two.csv", HEADER + 'c,/,c.dat\nd,/x//,/d.dat\ne,"/y,z",e.dat\n')
     assert paths(scan_manifest(spark, str(tmp_path))) == [
-        ("a", "/tmp", "a.sql", "/tmp/a.sql"),
-        ("b", "/tmp/", "b.sql", "/tmp/b.sql"),
-        ("c", "/", "c.sql", "/c.sql"),
-        ("d", "/x//", "/d.sql", "/x/d.sql"),
-        ("e", "/y,z", "e.sql", "/y,z/e.sql"),
+        ("a", "/in", "a.dat", "/in/a.dat"),
+        ("b", "/in/", "b.dat", "/in/b.dat"),
+        ("c", "/", "c.dat", "/c.dat"),
+        ("d", "/x//", "/d.dat", "/x/d.dat"),
+        ("e", "/y,z", "e.dat", "/y,z/e.dat"),
     ]
 
 
 def test_empty_fields_are_null(spark, tmp_path):
-    write(tmp_path, "one.csv", HEADER + "a,/tmp,\nb,,b.sql\n,/c,c.sql\n")
+    write(tmp_path, "one.csv", HEADER + "a,/in,\nb,,b.dat\n,/c,c.dat\n")
     assert paths(scan_manifest(spark, str(tmp_path))) == [
-        (None, "/c", "c.sql", "/c/c.sql"),
-        ("a", "/tmp", None, None),
-        ("b", None, "b.sql", None),
+        (None, "/c", "c.dat", "/c/c.dat"),
+        ("a", "/in", None, None),
+        ("b", None, "b.dat", None),
     ]
 
 
 def test_text_is_not_guessed(spark, tmp_path):
-    write(tmp_path, "one.csv", HEADER + "007,/tmp,1.50\n")
-    assert paths(scan_manifest(spark, str(tmp_path))) == [("007", "/tmp", "1.50", "/tmp/1.50")]
+    write(tmp_path, "one.csv", HEADER + "007,/in,1.50\n")
+    assert paths(scan_manifest(spark, str(tmp_path))) == [("007", "/in", "1.50", "/in/1.50")]
 
 
 @pytest.mark.parametrize("header", ["id,base_directory,file_name\n", "mid,file_name\n"])
 def test_wrong_header_fails(spark, tmp_path, header):
-    write(tmp_path, "one.csv", HEADER + "a,/tmp,a\n")
-    write(tmp_path, "two.csv", header + "b,/tmp,b\n")
+    write(tmp_path, "one.csv", HEADER + "a,/in,a\n")
+    write(tmp_path, "two.csv", header + "b,/in,b\n")
     with pytest.raises(Exception, match="(?i)header"):
         scan_manifest(spark, str(tmp_path)).collect()
 
 
-def test_rows_of_another_length(spark, tmp_path):
-    write(tmp_path, "one.csv", HEADER + "a,/tmp\nb,/tmp,x,y\n")
-    assert paths(scan_manifest(spark, str(tmp_path))) == [
-        ("a", "/tmp", None, None),
-        ("b", "/tmp", "x", "/tmp/x"),
-    ]
-    with pytest.raises(Exception, match="(?i)malformed"):
-        scan_manifest(spark, str(tmp_path), mode="FAILFAST").collect()
+@pytest.mark.parametrize("row", ["a,/d\n", "b,/d,x,y\n"])
+def test_rows_of_another_length_fail(spark, tmp_path, row):
+    write(tmp_path, "one.csv", HEADER + row)
+    for frame in (scan_manifest(spark, str(tmp_path)), scan_manifest(spark, str(tmp_path)).select("mid")):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            frame.collect()
+
+
+def test_quotes_line_ends_and_white_space(spark, tmp_path):
+    rows = HEADER + 'a,/d,"x ""q"" y.txt"\nb,/d," z "\nc,/d, w \n'
+    write(tmp_path, "one.csv", rows)
+    assert [x[2] for x in paths(scan_manifest(spark, str(tmp_path)))] == ['x "q" y.txt', " z ", " w "]
+    write(tmp_path, "two.csv", HEADER + 'd,/d,"two\nlines"\n')
+    assert [x[2] for x in paths(scan_manifest(spark, str(tmp_path), multi_line=True))][3] == "two\nlines"
+
+
+def test_addresses_come_back(spark, tmp_path):
+    urls = [" http://a/b ", "http://a/b\nc", "plain", "http://a/", 'http://a/"q".x', "http://a/b,c", "/", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = plans.page_manifest(pages)
+    rows.write.options(**WRITE_OPTIONS).csv(str(tmp_path / "files"))
+    back = scan_manifest(spark, str(tmp_path / "files"), multi_line=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
 
 
 def test_stream(spark, tmp_path):
@@ -78,8 +94,8 @@ def test_stream(spark, tmp_path):
         )
         return sorted(r["path"] for r in spark.read.parquet(sink).collect())
 
-    write(source, "one.csv", HEADER + "a,/tmp,a\n", bom=True)
-    write(source, "two.csv", HEADER + "b,/tmp/,b\n")
-    assert run() == ["/tmp/a", "/tmp/b"]
-    write(source, "three.csv", HEADER + "c,/tmp,c\n")
-    assert run() == ["/tmp/a", "/tmp/b", "/tmp/c"]
+    write(source, "one.csv", HEADER + "a,/in,a\n", bom=True)
+    write(source, "two.csv", HEADER + "b,/in/,b\n")
+    assert run() == ["/in/a", "/in/b"]
+    write(source, "three.csv", HEADER + "c,/in,c\n")
+    assert run() == ["/in/a", "/in/b", "/in/c"]

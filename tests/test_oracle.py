@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = ["pages", "customer", "documents"]
+TABLES = ["pages", "customer", "documents", "supplier"]
 # Queries that the entry file takes from elsewhere have tests of their own.
 QUERIES = [name for name, query in contract.queries().items() if query.__module__ == contract.__name__]
 

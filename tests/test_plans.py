@@ -7,9 +7,10 @@ import pytest
 import __spark_entry__ as contract
 from sheafwork import operators as op
 from sheafwork import plans, shared_folder, sources
+from tests.test_oracle import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-HIDDEN = "|!--.*?"
+HIDDEN = "|!--(?:-?>"
 
 
 def plan_of(frame):
@@ -37,6 +38,8 @@ def test_row_local_operators_do_not_shuffle(pages, forms):
         op.item_tree(op.sections(forms)),
         plans.document_slots(forms),
         op.wide_documents(forms, ["Name"]),
+        op.completeness_documents(forms),
+        op.label_map(forms),
     ):
         plan = plan_of(frame)
         for operator in ("Exchange", "Sort", "Window", "Join", "Python"):
@@ -94,11 +97,12 @@ def test_slots_are_generated_code_throughout(forms):
     assert not outside
 
 
-def test_small_scans_fan_out_and_large_ones_do_not(spark, pages):
-    cores = spark.sparkContext.defaultParallelism
-    assert sources.fan_out(pages).rdd.getNumPartitions() == cores
-    many = pages.repartition(cores)
-    assert sources.fan_out(many) is many
+def test_registered_queries_do_not_deal_rows_out(spark):
+    for name in QUERIES:
+        if not name.startswith(("stream", "supplier", "manifest")):
+            plan = plan_of(contract.queries()[name](spark, SF_DIR))
+            assert "RoundRobin" not in plan
+            assert plan.count("Exchange ") <= 1 and ("Exchange " not in plan or "partial_" in plan)
 
 
 def test_shared_folder_is_the_one_named(spark):

@@ -16,7 +16,7 @@ PARTS = [
     "<HTML class='c' LANG={w}>",
     '<html lang="">',
     '<meta charset="{w}">',
-    "<META content='text/html; charset={w}' http-equiv=x>",
+    "<META content='text/html; charset={w}' http-equiv=content-type>",
     "<meta name=viewport>",
     "<title>{w}</title>",
     "<TITLE >{w}\n{w}</TITLE >",
@@ -30,6 +30,8 @@ PARTS = [
     "<script>",
     "<!-- {w} <li> -->",
     "<!--",
+    "<!-->",
+    "<!--->",
     "-->",
     "<p>{w}</p>",
     "<br/>",
