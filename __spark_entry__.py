@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
 from collections.abc import Callable
@@ -229,7 +230,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     if llm_queries is None:
         return {}
-    return llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    named = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return {name: _importable(query) for name, query in named.items()}
+
+
+def _importable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query with this folder on the path of Python tasks, wherever it is called from."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = os.path.dirname(os.path.abspath(__file__))
+        spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def _llm_sql() -> dict[str, str]:
