@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -19,7 +20,9 @@ from sheafwork.session import shared_folder
 
 END = 2
 _SLICE = 128
-_KEPT_WORDS = 250_000
+_KEPT_WORDS = 400_000
+_TOGETHER = 256
+_PUNCTUATION = string.punctuation.encode()
 _GROUP_IDS = 1 << 19
 
 #: A row is a run of documents: where it stands in its part, and its ids as words.
@@ -32,9 +35,9 @@ FILE_SCHEMA = (
 class WordEncoder:
     """Ids of texts, encoded word by word.
 
-    A tokenizer that drops white space and never joins across it gives a text the ids
-    of its words one after the other, and words repeat. Two generations of words are
-    kept, so the memory is bounded and frequent words stay.
+    It is for tokenizers that ignore case and drop white space without joining across
+    it: a text then has the ids of its words one after the other, and words repeat. Two
+    generations of words are kept, so the memory is bounded and frequent words stay.
     """
 
     def __init__(self, path: str) -> None:
@@ -44,24 +47,70 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        #: Whether an id ends a word, where the vocabulary tells.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _one(self, word: str) -> bytes:
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+    def _together(self, some: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters, each of which ends where an ending id stands."""
+        ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+        cuts = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(cuts) != len(some):
+            return [self._one(word) for word in some]
+        whole = ids.tobytes()
+        return [whole[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())]
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Encode words that are in neither generation."""
+        plain, marked = [], []
+        for word in words:
+            # Punctuation behind a letter or digit stands by itself.
+            stem = word.rstrip(_PUNCTUATION)
+            if len(stem) < len(word) and stem[-1:].isalnum() and b"<|" not in word:
+                marked.append((word, stem, word[len(stem) :]))
+                if stem in self.young or stem in words:
+                    continue
+            else:
+                stem = word
+            text = stem.decode()
+            # Up to here no letter is taken apart or turns into more than letters.
+            if text.isalpha() and max(text) < "\u0250" and "\u0130" not in text:
+                plain.append(text)
+            else:
+                self.young[stem] = self._one(text)
+        for at in range(0, len(plain), _TOGETHER):
+            some = plain[at : at + _TOGETHER]
+            self.young.update(zip(map(str.encode, some), self._together(some)))
+        marks = {mark: self._one(mark.decode()) for mark in {mark for _, _, mark in marked}}
+        self.young.update((word, self.young[stem] + marks[mark]) for word, stem, mark in marked)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [text.split() for text in texts]
-        fresh = set().union(*split) - self.young.keys()
+        split = [_folded(text).split() for text in texts]
+        seen = set().union(*split)
+        fresh = [word for word in seen if word not in self.young]
         if len(self.young) + len(fresh) > _KEPT_WORDS and self.young:
             self.old, self.young = self.young, {}
-            fresh = set().union(*split)
-        known = fresh & self.old.keys()
-        self.young.update((word, self.old[word]) for word in known)
-        fresh = list(fresh - known)
-        coded = self.tokenizer.encode_batch_fast(
-            [word.decode() for word in fresh], add_special_tokens=False
-        )
-        self.young.update(
-            (word, np.array(code.ids, "<u4").tobytes()) for word, code in zip(fresh, coded)
-        )
-        return [b"".join(map(self.young.__getitem__, tokens)) for tokens in split]
+            fresh = seen
+        self.young.update((word, self.old[word]) for word in fresh if word in self.old)
+        self._learn({word for word in fresh if word not in self.old})
+        return [b"".join(map(self.young.__getitem__, words)) for words in split]
+
+
+def _folded(text: bytes) -> bytes:
+    """A-Z in lower case where that cannot change how the text is read.
+
+    With a combining mark behind it a letter may compose in one case only, and the
+    tokenizer's special tokens are written in lower case.
+    """
+    if b"\xcc" in text or b"\xcd" in text or b"<|" in text:
+        return text
+    return text.lower()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -80,3 +80,16 @@ def test_packing(spark):
     assert all(len(row.ids) == length for row in laid.values() if row.length & (row.length - 1))
     assert sum(row.length for row in laid.values()) == place
     pieces.unpersist()
+
+
+def test_words_are_encoded_as_in_the_text():
+    coder, whole = tokens.WordEncoder(PATH), Tokenizer.from_file(PATH)
+    texts = [
+        "The THE the, the. the; The.. a., ,. . it's It'S, 'tis don't. x'",
+        "Ünïcode STRASSE straße ẞ İI iİ ŉ ſ ǰ J̌ ̧c Ç, क़, 漢字. \U0001f600.",
+        "<|endoftext|> <|ENDOFTEXT|> a<|startoftext|>b <|x",
+        "12, 3.4 5. ١٢. abc1. 1abc, é. É, \x1f a\x1cb\x85c d e.",
+    ]
+    for text in texts:
+        ids = np.frombuffer(coder.encode([text.encode()])[0], "<u4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids
