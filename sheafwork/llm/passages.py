@@ -30,16 +30,16 @@ from sheafwork.llm.tables import written
 SHINGLE = 5
 #: Shingles in a passage of 50 words.
 WINDOW = 46
-FUNCTIONS = 8
-#: Functions that must agree; at a similarity of 0.75 fewer do with probability 0.004.
-AGREEING = 3
+FUNCTIONS = 5
+#: Functions that must agree; at a similarity of 0.75 fewer do with probability 0.016.
+AGREEING = 2
 #: Shingles that two alignments of one passage may differ by.
-_SLACK = 16
+_SLACK = 8
 _SLICE_SHINGLES = 1 << 17
 _SEEDS = seeds(FUNCTIONS, 5_000)
 
 _SENT = "shard long, block long, keys binary, docs binary, spans binary"
-_PAIRED = "a long, b long, low long, high long, first long, shingles binary"
+_PAIRED = "a long, b long, low long, high long, common long, first long, shingles binary"
 PASSAGES = (
     "doc_id long, start long, end long, other_id long, other_start long, similarity double"
 )
@@ -63,7 +63,9 @@ def compact_windows(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, n
     # A fence before, between and behind the sequences is below every value.
     fenced[place] = np.maximum(values, np.uint64(1))
     levels = [fenced]
-    while (1 << len(levels)) <= len(fenced):
+    # No reach is longer than the longest sequence.
+    longest = max(int(np.diff(np.r_[0, ends]).max(initial=0)), WINDOW) + 1
+    while (1 << len(levels)) <= min(longest, len(fenced)):
         step = 1 << (len(levels) - 1)
         levels.append(np.minimum(levels[-1][:-step], levels[-1][step:]))
     # A centre is the smallest of some WINDOW values: only such places are followed.
@@ -209,8 +211,8 @@ def _first(rows: pa.Table) -> pa.Table:
 
 
 def _agreed(function: np.ndarray, b: np.ndarray, b_spans: np.ndarray, a: np.ndarray, a_spans: np.ndarray) -> list[tuple]:
-    """``(a, b, low, high, first, last)``: shifts ``low`` to ``high`` between two documents
-    and the places of ``b`` in which enough functions agree."""
+    """``(a, b, low, high, common, first, last)``: shifts ``low`` to ``high`` between two
+    documents, the most common one, and the places of ``b`` in which enough functions agree."""
     shift = b_spans[:, 1] - a_spans[:, 1]
     start = np.maximum(b_spans[:, 0], a_spans[:, 0] + shift)
     end = np.minimum(b_spans[:, 2], a_spans[:, 2] + shift)
@@ -226,7 +228,9 @@ def _agreed(function: np.ndarray, b: np.ndarray, b_spans: np.ndarray, a: np.ndar
         if hi - lo < AGREEING or len(set(function[lo:hi].tolist())) < AGREEING:
             continue
         low, high = int(shift[lo]), int(shift[hi - 1])
-        out.append((int(a[lo]), int(b[lo]), low, high, int(start[lo:hi].min()), int(end[lo:hi].max())))
+        common = low + int(np.bincount(shift[lo:hi] - low).argmax())
+        places = int(start[lo:hi].min()), int(end[lo:hi].max())
+        out.append((int(a[lo]), int(b[lo]), low, high, common, *places))
     return out
 
 
@@ -255,12 +259,12 @@ def _pair(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         out += _agreed(function[local], doc[local], spans[local], doc[first][local], spans[first][local])
         whole = dict(zip(ids.tolist(), texts))
         found = [
-            (a, b, low - _SLACK, high + _SLACK, start, whole[b][start : end + 1].tobytes())
-            for a, b, low, high, start, end in sorted(set(out))
+            (a, b, low - _SLACK, high + _SLACK, common, start, whole[b][start : end + 1].tobytes())
+            for a, b, low, high, common, start, end in sorted(set(out))
         ]
-        names = ["a", "b", "low", "high", "first", "shingles"]
-        columns = list(zip(*found)) or [()] * 6
-        kinds = [pa.int64()] * 5 + [pa.binary()]
+        names = ["a", "b", "low", "high", "common", "first", "shingles"]
+        columns = list(zip(*found)) or [()] * 7
+        kinds = [pa.int64()] * 6 + [pa.binary()]
         return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], names=names)
 
     return pair
@@ -279,45 +283,77 @@ def _fetch(rows: pa.Table, wanted: pa.Table) -> pa.Table:
     )
 
 
-def _alike(one: np.ndarray, two: np.ndarray, low: int, high: int) -> Iterator[tuple[int, int, float]]:
+def _distinct(values: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """How many different ones of the chosen values each window holds."""
+    order = np.argsort(values, kind="stable")
+    before = np.full(len(values), -1)
+    same = values[order[1:]] == values[order[:-1]]
+    before[order[1:][same]] = order[:-1][same]
+    place = np.flatnonzero(which)
+    count = len(values) - WINDOW + 1
+    first = np.maximum(np.maximum(before[place], place - WINDOW) + 1, 0)
+    last = np.minimum(place, count - 1)
+    ok = first <= last
+    steps = np.bincount(first[ok], minlength=count + 1) - np.bincount(last[ok] + 1, minlength=count + 1)
+    return np.cumsum(steps)[:count]
+
+
+def _alike(one: np.ndarray, two: np.ndarray, low: int, high: int, common: int) -> Iterator[tuple[int, int, float]]:
     """``(place in one, place in two, similarity)`` of pairs of windows that are alike.
 
-    Windows of ``WINDOW`` shingles are compared at all shifts from ``low`` to ``high``.
+    Windows of ``WINDOW`` shingles are compared at shifts from ``low`` to ``high``, those near
+    the most common first; a window is done when no shift can give it more shared shingles.
     """
     order = np.argsort(two, kind="stable")
-    unique_two = two[order]
-    plain = len(np.unique(one)) == len(one) and not (unique_two[1:] == unique_two[:-1]).any()
-    spot = np.searchsorted(unique_two, one)
-    hit = np.flatnonzero(unique_two[np.minimum(spot, len(two) - 1)] == one) if len(two) else np.zeros(0, int)
-    if not plain:
-        number = np.searchsorted(unique_two, one[hit], "right") - spot[hit]
-        place = np.repeat(spot[hit], number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-        hit, place = np.repeat(hit, number), order[place]
-    else:
-        place = order[spot[hit]]
-    least = -(-150 * WINDOW // 175)
+    ordered = two[order]
+    plain = len(np.unique(one)) == len(one) and not (ordered[1:] == ordered[:-1]).any()
+    spot = np.searchsorted(ordered, one)
+    known = (ordered[np.minimum(spot, len(two) - 1)] == one) if len(two) else np.zeros(len(one), bool)
     count = len(one) - WINDOW + 1
-    for shift in range(low, high + 1):
+    least = -(-150 * WINDOW // 175)
+    sums = np.r_[0, np.cumsum(known)]
+    most = sums[WINDOW:] - sums[:-WINDOW]
+    if plain:
+        open_ = most >= least
+    else:
+        # What a window holds that the other document does not have at all, each shingle
+        # once, may be a quarter of what it holds.
+        held, lacking = _distinct(one, np.ones(len(one), bool)), _distinct(one, ~known)
+        open_ = 100 * (held - lacking) >= 75 * held
+    if not open_.any():
+        return
+    hit = np.flatnonzero(known)
+    number = np.searchsorted(ordered, one[hit], "right") - spot[hit]
+    place = np.repeat(spot[hit], number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    hit, place = np.repeat(hit, number), order[place]
+    best, where = np.zeros(count), np.zeros(count, np.int64)
+    for shift in sorted(range(low, high + 1), key=lambda x: abs(x - common)):
+        first_y = np.arange(count) - shift
+        inside = open_ & (first_y >= 0) & (first_y <= len(two) - WINDOW)
         near = np.abs(hit - place - shift) < WINDOW
         j, p = hit[near], place[near] + shift
-        if len(j) < least:
-            continue
         # Windows of one that hold the shingle and whose counterpart holds it too.
         first = np.maximum(np.maximum(j, p) - WINDOW + 1, 0)
         last = np.minimum(np.minimum(j, p), count - 1)
         ok = first <= last
         steps = np.bincount(first[ok], minlength=count + 1) - np.bincount(last[ok] + 1, minlength=count + 1)
         shared = np.cumsum(steps)[:count]
-        for x in np.flatnonzero(shared >= least).tolist():
-            y = x - shift
-            if not 0 <= y <= len(two) - WINDOW:
-                continue
-            common, total = int(shared[x]), 2 * WINDOW - int(shared[x])
-            if not plain:
+        if plain:
+            value = shared / (2 * WINDOW - shared)
+            better = inside & (100 * shared >= 75 * (2 * WINDOW - shared)) & (value > best)
+            best[better], where[better] = value[better], first_y[better]
+            open_ &= shared < most
+        else:
+            # Repeated shingles count more than once above; the sets themselves decide.
+            for x in np.flatnonzero(inside & (shared > 0)).tolist():
+                y = x - shift
                 a, b = set(one[x : x + WINDOW].tolist()), set(two[y : y + WINDOW].tolist())
-                common, total = len(a & b), len(a | b)
-            if 100 * common >= 75 * total:
-                yield x, y, common / total
+                if 100 * len(a & b) >= 75 * len(a | b):
+                    best[x], where[x], open_[x] = len(a & b) / len(a | b), y, False
+        if not open_.any():
+            break
+    for x in np.flatnonzero(best).tolist():
+        yield x, int(where[x]), float(best[x])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,7 +367,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best: dict[int, tuple[float, int]] = {}
             if len(one) < WINDOW:
                 continue
-            for x, y, similarity in _alike(one, two, row["low"] - base, row["high"] - base):
+            for x, y, similarity in _alike(one, two, *(row[c] - base for c in ("low", "high", "common"))):
                 best[x] = max(best.get(x, (0.0, 0)), (similarity, -y))
             places = np.array(sorted(best), np.int64)
             for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1) if len(places) else []:
@@ -349,10 +385,10 @@ def passages(docs: DataFrame) -> DataFrame:
 
     Places count words, ``end`` is exclusive, a passage has at least 50 words. Each of its
     windows of ``WINDOW`` five-word shingles has a Jaccard similarity of 0.75 or more with
-    a window of the other document; ``similarity`` is the best of them. A document is
+    a window of the other document; ``similarity`` is the best of those found. A document is
     compared with the first document that shares a centre, over all and in its block, so a
     passage is reported once or twice, not for each earlier copy. Exact repeats agree in
-    all functions; a similarity of 0.75 is missed with probability 0.004.
+    all functions; a similarity of 0.75 is missed with probability 0.016.
 
     Texts of fewer than 50 words, null and empty ones have no passages. Rows with the same
     ``doc_id`` are not compared with each other, rows without one not at all.
