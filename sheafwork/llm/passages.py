@@ -234,6 +234,23 @@ def _agreed(function: np.ndarray, b: np.ndarray, b_spans: np.ndarray, a: np.ndar
     return out
 
 
+def _needed(found: list[tuple], texts: dict[int, np.ndarray]) -> list[tuple]:
+    """Without alignments of a looping text that lie within a longer one of the pair.
+
+    A text that has most of its shingles again and again meets another one at every turn
+    of its loop; the longest alignment shows the same windows.
+    """
+    out: list[tuple] = []
+    longest: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    loops = {b: 2 * len(np.unique(texts[b])) < len(texts[b]) for b in {row[1] for row in found}}
+    for row in sorted(found, key=lambda row: (row[5] - row[6], abs(row[4]))):
+        held = longest.setdefault(row[:2], [])
+        if not (loops[row[1]] and any(s <= row[5] and row[6] <= e for s, e in held)):
+            held.append(row[5:7])
+            out.append(row)
+    return out
+
+
 def _pair(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def pair(rows: pa.Table, answers: pa.Table) -> pa.Table:
         kind = answers["kind"].to_numpy()
@@ -260,7 +277,7 @@ def _pair(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         whole = dict(zip(ids.tolist(), texts))
         found = [
             (a, b, low - _SLACK, high + _SLACK, common, start, whole[b][start : end + 1].tobytes())
-            for a, b, low, high, common, start, end in sorted(set(out))
+            for a, b, low, high, common, start, end in _needed(sorted(set(out)), whole)
         ]
         names = ["a", "b", "low", "high", "common", "first", "shingles"]
         columns = list(zip(*found)) or [()] * 7
@@ -390,6 +407,7 @@ def passages(docs: DataFrame) -> DataFrame:
     passage is reported once or twice, not for each earlier copy. Exact repeats agree in
     all functions; a similarity of 0.75 is missed with probability 0.016.
 
+    In a text that loops only the longest of alignments within each other is compared.
     Texts of fewer than 50 words, null and empty ones have no passages. Rows with the same
     ``doc_id`` are not compared with each other, rows without one not at all.
     """
