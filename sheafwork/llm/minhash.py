@@ -9,7 +9,7 @@ Jaccard similarity, as concentrated as for a large set.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +24,11 @@ from sheafwork.llm.tables import written
 BINS = 72
 ROWS = 3
 # Sets with similarity 0.75 agree in 54 of 72 bins on average, with deviation 3.7.
-# Fewer than 30 is more than six deviations below.
-LEAST_AGREEING = 30
+# Fewer than 37 is more than 4.6 deviations below: a chance of 2e-6.
+LEAST_AGREEING = 37
 TILE = 512
+# Pairs that each component may try in a round; in the last round all.
+_BEST_PAIRS = (2, 12, None)
 
 _ROUNDS = seeds(2 * BINS, 0)
 _BAND = seeds(BINS // ROWS, 1_000)
@@ -128,27 +130,42 @@ def _verify(pairs: DataFrame, docs: DataFrame, sketches: DataFrame) -> DataFrame
     return written(whole.mapInArrow(_verified, "a long, b long"))
 
 
-def _tile_pairs(left: pa.Table) -> pa.Table:
+def _tile_pairs(best: int | None) -> Callable[[pa.Table], pa.Table]:
     """Pairs of one tile of a bucket that look alike but are in different components.
 
-    The rows have a ``side``: 0 for the tile's rows, 1 for its columns, 2 for both.
+    The rows have a ``side``: 0 for the tile's rows, 1 for its columns, 2 for both. Of
+    each component only the ``best`` pairs are taken, those that agree most.
     """
-    side = left["side"].to_numpy()
-    ids, component = left["doc_id"].to_numpy(), left["component"].to_numpy()
-    prints = np.frombuffer(b"".join(left["prints"].to_pylist()), np.uint8).reshape(-1, BINS)
-    down, across = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    found: set[tuple[int, int]] = set()
-    for i in down:
-        other = across[component[across] != component[i]]
-        agree = (prints[other] == prints[i]).sum(1) >= LEAST_AGREEING
-        found.update((min(ids[i], x), max(ids[i], x)) for x in ids[other[agree]])
-    return pa.table(
-        {"a": [int(x) for x, _ in found], "b": [int(x) for _, x in found]},
-        schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]),
-    )
-
 
-def _rest(members: DataFrame, sketches: DataFrame) -> DataFrame:
+    def pairs(tile: pa.Table) -> pa.Table:
+        side = tile["side"].to_numpy()
+        ids, component = tile["doc_id"].to_numpy(), tile["component"].to_numpy()
+        prints = np.frombuffer(b"".join(tile["prints"].to_pylist()), np.uint8).reshape(-1, BINS)
+        across = np.flatnonzero(side != 0)
+        one, two, agreeing = [], [], []
+        for i in np.flatnonzero(side != 1):
+            other = across[component[across] != component[i]]
+            agree = (prints[other] == prints[i]).sum(1)
+            other, agree = other[agree >= LEAST_AGREEING], agree[agree >= LEAST_AGREEING]
+            one.append(np.full(len(other), i)), two.append(other), agreeing.append(agree)
+        one, two, agree = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (one, two, agreeing))
+        if best is not None and len(one):
+            keep = np.zeros(len(one), bool)
+            for ends in (one, two):
+                order = np.lexsort((ids[two], ids[one], -agree, component[ends]))
+                group = component[ends][order]
+                first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+                rank = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
+                keep[order[rank < best]] = True
+            one, two = one[keep], two[keep]
+        low, high = np.minimum(ids[one], ids[two]), np.maximum(ids[one], ids[two])
+        found = np.unique(np.stack([low, high], 1), axis=0)
+        return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
+
+    return pairs
+
+
+def _rest(members: DataFrame, sketches: DataFrame, best: int | None) -> DataFrame:
     """Candidate pairs of buckets that still hold several components.
 
     Such a bucket is cut into tiles of ``TILE`` by ``TILE`` rows, each its own group, so
@@ -176,7 +193,7 @@ def _rest(members: DataFrame, sketches: DataFrame) -> DataFrame:
         .otherwise(1)
         .alias("side"),
     )
-    return tiles.groupBy("key", "down", "across").applyInArrow(_tile_pairs, "a long, b long").distinct()
+    return tiles.groupBy("key", "down", "across").applyInArrow(_tile_pairs(best), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -185,9 +202,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Documents are linked when their sets of five-word shingles have a Jaccard
     similarity of 0.75 or more. Exact copies of a set stand as one node. Documents that
     share a band are candidates: first every one with the smallest of its bucket, then,
-    where a bucket still holds several components, all pairs across them. So no link of
-    a shared bucket is left out, and a large group of copies costs its size, not its
-    square. A pair at 0.75 exactly shares none of the 24 bands with probability 2e-6.
+    where a bucket still holds several components, the pairs across them that agree most,
+    and last all pairs across them. So no link of a shared bucket is left out, while a
+    large group of copies joins long before all its pairs are looked at. A pair at 0.75 exactly shares none of the 24 bands with probability 2e-6.
 
     Null and empty texts have no shingles and are linked with nothing. Rows with the
     same ``doc_id`` are one node and come back as often as they came; rows without
@@ -208,15 +225,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = written(banded.join(buckets, "key").select("key", "a", "doc_id"))
     stars = shared.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     links = _verify(stars, docs, sketches)
-    joined = components(links)
-    members = shared.join(joined, shared.doc_id == joined.node, "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
-    )
-    more = _verify(_rest(members, sketches).join(stars, ["a", "b"], "left_anti"), docs, sketches)
-    joined = components(links.union(more).union(copies))
+    tested = stars
+    for best in _BEST_PAIRS:
+        joined = components(links)
+        members = shared.join(joined, shared.doc_id == joined.node, "left").select(
+            "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
+        )
+        pairs = written(_rest(members, sketches, best).join(tested, ["a", "b"], "left_anti"))
+        links = links.union(_verify(pairs, docs, sketches))
+        tested = tested.union(pairs)
+    joined = components(links.union(copies))
     return rows.join(joined, rows.doc_id == joined.node, "left").select(
         "doc_id",
         "n_shingles",
         F.coalesce("component", "doc_id").alias("component_id"),
-        F.coalesce(F.col("component").isNull() | (F.col("component") == F.col("doc_id"))).alias("kept"),
+        (F.col("component").isNull() | (F.col("component") == F.col("doc_id"))).alias("kept"),
     )
