@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,31 +91,46 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return unique, np.bincount(place, counts, len(unique)).astype(np.int64)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """The array's bytes, compressed with the first of all values first and so on."""
+    return zstandard.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
+
+
+def unpacked(blob: bytes, kind: str) -> np.ndarray:
+    flat = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _wanted(texts: list[str], trusted: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's distinct n-grams by shard, then value, with counts in training texts."""
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0)]
+    for first, some in _slices(texts):
+        grams, sizes = _grams(some)
+        code, unique = pd.factorize(grams)
+        counted = np.repeat(trusted[first : first + len(some)] == _TRAINS, sizes)
+        keys.append(unique)
+        counts.append(np.bincount(code, counted, len(unique)))
+    keys, counts = _summed(np.concatenate(keys), np.concatenate(counts))
+    shard = (mixed(keys) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    return keys[order], counts[order], shard[order]
+
+
 def _ask(shards: int) -> Callable[[pa.Table], pa.Table]:
-    """What a block asks for: its distinct n-grams with trusted counts, by shard."""
+    """What a block asks for: its distinct n-grams with counts, by shard."""
 
     def ask(rows: pa.Table) -> pa.Table:
         docs, trusted = _documents(rows)
-        texts = [text or "" for text in docs["text"].to_pylist()]
-        keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0)]
-        for first, some in _slices(texts):
-            grams, sizes = _grams(some)
-            code, unique = pd.factorize(grams)
-            counted = np.repeat(trusted[first : first + len(some)] == _TRAINS, sizes)
-            keys.append(unique)
-            counts.append(np.bincount(code, counted, len(unique)))
-        keys, counts = _summed(np.concatenate(keys), np.concatenate(counts))
-        shard = (mixed(keys) % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        keys, counts, shard = keys[order], counts[order].astype("<u4"), shard[order]
+        keys, counts, shard = _wanted([text or "" for text in docs["text"].to_pylist()], trusted, shards)
         used, first = np.unique(shard, return_index=True)
         block = rows["block"][0].as_py() if len(rows) else 0
+        parts = [np.split(x, first[1:])[: len(used)] for x in (keys, counts.astype("<u4"))]
         return pa.table(
             {
                 "shard": pa.array(used, pa.int64()),
                 "block": pa.array([block] * len(used), pa.int64()),
-                "keys": pa.array([x.tobytes() for x in np.split(keys, first[1:])][: len(used)], pa.binary()),
-                "counts": pa.array([x.tobytes() for x in np.split(counts, first[1:])][: len(used)], pa.binary()),
+                "keys": pa.array(list(map(packed, parts[0])), pa.binary()),
+                "counts": pa.array(list(map(packed, parts[1])), pa.binary()),
             }
         )
 
@@ -122,7 +138,7 @@ def _ask(shards: int) -> Callable[[pa.Table], pa.Table]:
 
 
 def _joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+    return np.concatenate([np.zeros(0, kind), *(unpacked(blob, kind) for blob in column.to_pylist())])
 
 
 def _merge(rows: pa.Table) -> pa.Table:
@@ -233,20 +249,29 @@ def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
     order = np.argsort(grams)
     grams, logs = grams[order], known["logp"].to_numpy()[order].astype("<f4")
     answers = [
-        logs[np.searchsorted(grams, np.frombuffer(keys, "<i8"))].tobytes()
+        packed(logs[np.searchsorted(grams, unpacked(keys, "<i8"))])
         for keys in asked["keys"].to_pylist()
     ]
     return pa.table(
-        {"block": asked["block"], "keys": asked["keys"], "logs": pa.array(answers, pa.binary())}
+        {"block": asked["block"], "shard": asked["shard"], "logs": pa.array(answers, pa.binary())}
     )
 
 
-def _score(rows: pa.Table, answers: pa.Table) -> pa.Table:
+def _scored(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def scored(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        return _score(rows, answers, shards)
+
+    return scored
+
+
+def _score(rows: pa.Table, answers: pa.Table, shards: int) -> pa.Table:
     docs, trusted = _documents(rows)
-    keys, logs = _joined(answers["keys"], "<u8"), _joined(answers["logs"], "<f4")
-    order = np.argsort(keys)
-    keys, logs = keys[order], logs[order].astype(float)
     texts = [text or "" for text in docs["text"].to_pylist()]
+    keys, _, _ = _wanted(texts, trusted, shards)
+    # Answers have no keys: those of a shard are in the order in which they were asked.
+    logs = _joined(answers.sort_by("shard")["logs"], "<f4").astype(float)
+    order = np.argsort(keys)
+    keys, logs = keys[order], logs[order]
     chars, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
     for first, some in _slices(texts):
         grams, sizes = _grams(some)
@@ -305,10 +330,10 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     answers = (
         asked.groupBy("shard")
         .cogroup(known.groupBy("shard"))
-        .applyInArrow(_answer, "block long, keys binary, logs binary")
+        .applyInArrow(_answer, "block long, shard long, logs binary")
     )
     return blocks.cogroup(answers.groupBy("block")).applyInArrow(
-        _score, "doc_id long, lang string, trusted int, chars long, log_sum double"
+        _scored(shards), "doc_id long, lang string, trusted int, chars long, log_sum double"
     )
 
 
