@@ -30,11 +30,11 @@ from sheafwork.llm.tables import written
 SHINGLE = 5
 #: Shingles in a passage of 50 words.
 WINDOW = 46
-FUNCTIONS = 5
-#: Functions that must agree; at a similarity of 0.75 fewer do with probability 0.016.
-AGREEING = 2
+FUNCTIONS = 8
+#: Functions that must agree; at a similarity of 0.75 fewer do with probability 0.0042.
+AGREEING = 3
 #: Shingles that two alignments of one passage may differ by.
-_SLACK = 8
+_SLACK = 16
 _SLICE_SHINGLES = 1 << 17
 _SEEDS = seeds(FUNCTIONS, 5_000)
 
@@ -405,7 +405,7 @@ def passages(docs: DataFrame) -> DataFrame:
     a window of the other document; ``similarity`` is the best of those found. A document is
     compared with the first document that shares a centre, over all and in its block, so a
     passage is reported once or twice, not for each earlier copy. Exact repeats agree in
-    all functions; a similarity of 0.75 is missed with probability 0.016.
+    all functions; a similarity of 0.75 is missed with probability 0.0042.
 
     In a text that loops only the longest of alignments within each other is compared.
     Texts of fewer than 50 words, null and empty ones have no passages. Rows with the same
