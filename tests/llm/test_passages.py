@@ -123,3 +123,11 @@ def test_long_texts_and_no_rows(spark):
 def test_functions_are_not_loosened():
     """At the threshold no more is missed than eight functions with three agreeing miss."""
     assert passages.FUNCTIONS >= 8
+
+
+def test_a_passage_between_loops_is_found(spark):
+    """The loops' longer alignment, at another shift, does not stand for the passage."""
+    footer, inner = data.prose(91, 40) + " ", data.prose(92, 60) + " "
+    rows = [(1, footer * 10 + inner + footer * 30), (2, footer * 20 + inner + footer * 20)]
+    start = 20 * 40
+    assert set(range(start, start + 60 - T - 3)) <= found(data.documents(spark, rows))[2]
