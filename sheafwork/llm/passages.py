@@ -4,14 +4,13 @@ A document is a sequence of shingles of five words. Under one hash function, the
 the Cartesian tree over the shingles' hashes group all passages that share a minimum: the
 node at ``c`` with reach ``l`` to ``r`` stands for every passage within the reach that
 holds ``c``. Nodes whose reach is at least ``WINDOW`` shingles are kept as compact windows.
-Passages of two documents that agree in a hash function lie in two of its windows with the
-same smallest shingle; intervals in which enough functions agree are joined and verified.
-
-Only centres that several documents have are of use: blocks of documents ask for them
-first. For each function and centre a block sends its first document's window, learns the
-first one of all blocks, and pairs its documents with that and with its own first one. So
-a passage that a third of the corpus shares costs an entry a block and a pair or two a
-document.
+
+Blocks of documents ask which shingles several documents have. Only windows of ``WINDOW``
+shingles are followed of which three quarters are shared. Equal ones are found first, by
+their sets of shingles: each learns the first document that has it. What is left are
+distinct contents. They meet around the centres of their compact windows: first each with
+the first document of its centre, then what is still unexplained with all documents of it,
+in tiles. So a passage that a third of the corpus shares stands once in the last rounds.
 """
 
 from __future__ import annotations
@@ -31,15 +30,18 @@ SHINGLE = 5
 #: Shingles in a passage of 50 words.
 WINDOW = 46
 FUNCTIONS = 8
-#: Functions that must agree; at a similarity of 0.75 fewer do with probability 0.0042.
-AGREEING = 3
-#: Shingles that two alignments of one passage may differ by.
-_SLACK = 16
+#: Entries of a centre that meet in one task, on each side.
+TILE = 256
 _SLICE_SHINGLES = 1 << 17
 _SEEDS = seeds(FUNCTIONS, 5_000)
 
-_SENT = "shard long, block long, keys binary, docs binary, spans binary"
-_PAIRED = "a long, b long, low long, high long, common long, first long, shingles binary"
+_SENT = "shard long, block long, keys binary, docs binary, places binary"
+_ENTRIES = "key long, doc long, base long, shingles binary, wanted array<long>, known array<int>, least int"
+_FOUND = "doc long, content long, other long, place long, similarity double"
+_STARRED = (
+    "key long, doc long, parts int, shingles binary, wanted array<long>, content array<long>, "
+    "other long, place array<long>, similarity array<double>"
+)
 PASSAGES = (
     "doc_id long, start long, end long, other_id long, other_start long, similarity double"
 )
@@ -137,38 +139,67 @@ def _block(rows: pa.Table) -> int:
     return rows["block"][0].as_py() if len(rows) else 0
 
 
+def _flat(ids: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of a block and the document of each."""
+    return np.concatenate([np.zeros(0, np.uint64), *texts]), np.repeat(ids, [len(x) for x in texts])
+
+
 def _ask(shards: int) -> Callable[[pa.Table], pa.Table]:
     def ask(rows: pa.Table) -> pa.Table:
-        ids, texts = _numbered(rows)
-        _, key, text, _, _, _ = _windows(texts)
-        short, shard, several, _ = sharing.distinct(key, ids[text], shards)
+        short, shard, several, _ = sharing.distinct(*_flat(*_numbered(rows)), shards)
         return sharing.asked(_block(rows), short, shard, several)
 
     return ask
 
 
-def _useful(ids: np.ndarray, texts: list[np.ndarray], answers: pa.Table, shards: int) -> tuple[np.ndarray, ...]:
-    """Windows around shared centres by shard, key and document: key, shard, function,
-    text, left, centre, right, and the place of each key's first window."""
-    function, key, text, left, centre, right = _windows(texts)
-    _, shard, _, spot = sharing.distinct(key, ids[text], shards)
-    some = np.flatnonzero(sharing.shared(answers, shard)[spot])
-    key = mixed(key[some] ^ _SEEDS[function[some]])
-    shard = shard[spot[some]]
-    columns = (function[some], text[some], left[some], centre[some], right[some])
-    order = np.lexsort((columns[3], ids[columns[1]], key, shard))
-    key, shard = key[order], shard[order]
-    fresh = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])][: len(key)])
-    first = np.repeat(fresh, np.diff(np.r_[fresh, len(key)]))
-    return key, shard, *(x[order] for x in columns), first, fresh
+def _summed(values: np.ndarray, *weights: np.ndarray) -> Iterator[np.ndarray]:
+    """For each window the sum of the weights of its distinct values."""
+    order = np.argsort(values, kind="stable")
+    before = np.full(len(values), -1)
+    same = values[order[1:]] == values[order[:-1]]
+    before[order[1:][same]] = order[:-1][same]
+    place = np.arange(len(values))
+    count = len(values) - WINDOW + 1
+    first = np.maximum(np.maximum(before, place - WINDOW) + 1, 0)
+    last = np.minimum(place, count - 1)
+    ok = first <= last
+    for weight in weights:
+        steps = np.zeros(count + 1, weight.dtype)
+        np.add.at(steps, first[ok], weight[ok])
+        np.subtract.at(steps, last[ok] + 1, weight[ok])
+        yield np.cumsum(steps, dtype=weight.dtype)[:count]
+
+
+def _contents(ids: np.ndarray, texts: list[np.ndarray], answers: pa.Table, shards: int) -> tuple[np.ndarray, ...]:
+    """Windows that can be alike to one of another document: text, place, hash of the set,
+    size of the set, how many of it are shared, shard, by shard, hash and document; and
+    where each hash starts."""
+    flat, docs = _flat(ids, texts)
+    _, shard, _, spot = sharing.distinct(flat, docs, shards)
+    bits = sharing.shared(answers, shard)[spot].astype(np.int64)
+    out, end = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 2], 0
+    for k, text in enumerate(texts):
+        own, end = bits[end : end + len(text)], end + len(text)
+        if len(text) < WINDOW:
+            continue
+        content, held, known = _summed(text, mixed(text), np.ones(len(text), np.int64), own)
+        place = np.flatnonzero(100 * known >= 75 * held)
+        out.append((np.full(len(place), k), place, content[place], held[place], known[place]))
+    text, place, content, held, known = (np.concatenate(x) for x in zip(*out))
+    shard = (content % np.uint64(shards)).astype(np.int64)
+    order = np.lexsort((place, ids[text], content, shard))
+    columns = [x[order] for x in (text, place, content, held, known, shard)]
+    content = columns[2]
+    fresh = np.flatnonzero(np.r_[True, content[1:] != content[:-1]][: len(content)])
+    return *columns, fresh
 
 
 def _send(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def send(rows: pa.Table, answers: pa.Table) -> pa.Table:
         ids, texts = _numbered(rows)
-        key, shard, _, text, left, centre, right, _, fresh = _useful(ids, texts, answers, shards)
-        spans = np.stack([left, centre, right], 1)[fresh].astype("<u4")
-        docs, keys = ids[text[fresh]].astype("<i8"), key[fresh].astype("<u8")
+        text, place, content, _, _, shard, fresh = _contents(ids, texts, answers, shards)
+        places = place[fresh].astype("<u4")
+        docs, keys = ids[text[fresh]].astype("<i8"), content[fresh].astype("<u8")
         runs = sharing._runs(shard[fresh])
         return pa.table(
             {
@@ -176,7 +207,7 @@ def _send(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 "block": pa.array([_block(rows)] * len(runs), pa.int64()),
                 "keys": pa.array([keys[run].tobytes() for _, run in runs], pa.binary()),
                 "docs": pa.array([docs[run].tobytes() for _, run in runs], pa.binary()),
-                "spans": pa.array([spans[run].tobytes() for _, run in runs], pa.binary()),
+                "places": pa.array([places[run].tobytes() for _, run in runs], pa.binary()),
             }
         )
 
@@ -184,10 +215,12 @@ def _send(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 
 def _first(rows: pa.Table) -> pa.Table:
-    """For a shard: the first document of every key with its window, for all blocks but
-    the one that has it. An answer lists places among the keys sent, documents, spans."""
-    keys, docs = (np.frombuffer(b"".join(rows[c].to_pylist()), k) for c, k in (("keys", "<u8"), ("docs", "<i8")))
-    spans = np.frombuffer(b"".join(rows["spans"].to_pylist()), "<u4").reshape(-1, 3)
+    """For a shard: the first document of every window with its place, for all blocks but
+    the one that has it. An answer lists places among the keys sent, documents, places."""
+    keys, docs, places = (
+        np.frombuffer(b"".join(rows[c].to_pylist()), k)
+        for c, k in (("keys", "<u8"), ("docs", "<i8"), ("places", "<u4"))
+    )
     numbers = np.array([len(x) // 8 for x in rows["keys"].to_pylist()])
     place = np.arange(len(keys)) - np.repeat(np.cumsum(numbers) - numbers, numbers)
     order = np.lexsort((docs, keys))
@@ -198,7 +231,7 @@ def _first(rows: pa.Table) -> pa.Table:
     answers = []
     for start, number in zip(np.cumsum(numbers) - numbers, numbers):
         own = start + np.flatnonzero(later[start : start + number])
-        parts = (place[own].astype("<u4"), docs[lead[own]], spans[lead[own]])
+        parts = (place[own].astype("<u4"), docs[lead[own]], places[lead[own]])
         answers.append(len(own).to_bytes(4, "little") + b"".join(x.tobytes() for x in parts))
     return pa.table(
         {
@@ -210,173 +243,263 @@ def _first(rows: pa.Table) -> pa.Table:
     )
 
 
-def _agreed(function: np.ndarray, b: np.ndarray, b_spans: np.ndarray, a: np.ndarray, a_spans: np.ndarray) -> list[tuple]:
-    """``(a, b, low, high, common, first, last)``: shifts ``low`` to ``high`` between two
-    documents, the most common one, and the places of ``b`` in which enough functions agree."""
-    shift = b_spans[:, 1] - a_spans[:, 1]
-    start = np.maximum(b_spans[:, 0], a_spans[:, 0] + shift)
-    end = np.minimum(b_spans[:, 2], a_spans[:, 2] + shift)
-    order = np.lexsort((start, shift, a, b))
-    order = order[(end - start + 1 >= 1)[order]]
-    function, b, a, shift, start, end = (x[order] for x in (function, b, a, shift, start, end))
-    if not len(b):
-        return []
-    new = np.r_[True, (b[1:] != b[:-1]) | (a[1:] != a[:-1]) | (shift[1:] - shift[:-1] > _SLACK)]
-    out = []
-    edges = np.r_[np.flatnonzero(new), len(b)]
-    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        if hi - lo < AGREEING or len(set(function[lo:hi].tolist())) < AGREEING:
-            continue
-        low, high = int(shift[lo]), int(shift[hi - 1])
-        common = low + int(np.bincount(shift[lo:hi] - low).argmax())
-        places = int(start[lo:hi].min()), int(end[lo:hi].max())
-        out.append((int(a[lo]), int(b[lo]), low, high, common, *places))
-    return out
+def _leads(ids: np.ndarray, texts: list[np.ndarray], answers: pa.Table, shards: int) -> tuple[np.ndarray, ...]:
+    """As :func:`_contents`, with the first document of all of each hash and its place."""
+    kind = answers["kind"].to_numpy()
+    asked, told = (answers.filter(pa.array(kind == k)) for k in (0, 1))
+    columns = _contents(ids, texts, asked, shards)
+    text, place, shard, fresh = columns[0], columns[1], columns[5], columns[6]
+    lead, lead_place = ids[text[fresh]], place[fresh].copy()
+    own = dict(zip(told["shard"].to_pylist(), told["answer"].to_pylist()))
+    for k, run in sharing._runs(shard[fresh]):
+        if k in own:
+            number = int.from_bytes(own[k][:4], "little")
+            spot = run.start + np.frombuffer(own[k], "<u4", number, 4)
+            lead[spot] = np.frombuffer(own[k], "<i8", number, 4 + 4 * number)
+            lead_place[spot] = np.frombuffer(own[k], "<u4", number, 4 + 12 * number)
+    return *columns, lead, lead_place
+
 
+def _entries(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Around each centre the windows of contents that no earlier document has."""
 
-def _pair(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    def pair(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        kind = answers["kind"].to_numpy()
+    def entries(rows: pa.Table, answers: pa.Table) -> pa.Table:
         ids, texts = _numbered(rows)
-        asked, told = (answers.filter(pa.array(kind == k)) for k in (0, 1))
-        key, shard, function, text, left, centre, right, first, fresh = _useful(ids, texts, asked, shards)
-        spans = np.stack([left, centre, right], 1)
-        group = np.searchsorted(fresh, first)
-        lead = np.full(len(fresh), -1, np.int64)
-        lead_spans = np.zeros((len(fresh), 3), np.int64)
-        own = dict(zip(told["shard"].to_pylist(), told["answer"].to_pylist()))
-        for k, run in sharing._runs(shard[fresh]):
-            if k in own:
-                number = int.from_bytes(own[k][:4], "little")
-                place = run.start + np.frombuffer(own[k], "<u4", number, 4)
-                lead[place] = np.frombuffer(own[k], "<i8", number, 4 + 4 * number)
-                lead_spans[place] = np.frombuffer(own[k], "<u4", 3 * number, 4 + 12 * number).reshape(-1, 3)
-        doc = ids[text]
+        text, place, content, held, known, _, fresh, lead, _ = _leads(ids, texts, answers, shards)
+        new = fresh[lead == ids[text[fresh]]]
+        new = new[np.lexsort((place[new], text[new]))]
+        text, place, content, held, known = (x[new] for x in (text, place, content, held, known))
+        some = np.unique(text)
+        _, _, owner, left, centre, right = _windows([texts[k] for k in some])
+        owner = some[owner] if len(owner) else owner
+        low, high = np.maximum(left, centre - WINDOW + 1), np.minimum(right - WINDOW + 1, centre)
+        # Functions with the same centre make one entry.
+        order = np.lexsort((centre, owner))
+        owner, centre, low, high = (x[order] for x in (owner, centre, low, high))
+        start = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (centre[1:] != centre[:-1])][: len(owner)])
+        if len(start):
+            owner, centre = owner[start], centre[start]
+            low, high = np.minimum.reduceat(low, start), np.maximum.reduceat(high, start)
+        span = np.int64(1 << 40)
+        spots = text * span + place
+        first, last = np.searchsorted(spots, owner * span + low), np.searchsorted(spots, owner * span + high, "right")
         out = []
-        known = lead[group] >= 0
-        out += _agreed(function[known], doc[known], spans[known], lead[group][known], lead_spans[group][known])
-        local = doc[first] < doc
-        out += _agreed(function[local], doc[local], spans[local], doc[first][local], spans[first][local])
-        whole = dict(zip(ids.tolist(), texts))
-        found = [
-            (a, b, low - _SLACK, high + _SLACK, common, start, whole[b][start : end + 1].tobytes())
-            for a, b, low, high, common, start, end in sorted(set(out))
-        ]
-        names = ["a", "b", "low", "high", "common", "first", "shingles"]
-        columns = list(zip(*found)) or [()] * 7
-        kinds = [pa.int64()] * 6 + [pa.binary()]
+        for k in np.flatnonzero(first < last).tolist():
+            run, whole = slice(first[k], last[k]), texts[owner[k]]
+            at, end = int(place[first[k]]), int(place[last[k] - 1]) + WINDOW
+            out.append(
+                (
+                    int(whole[centre[k]].view(np.int64)),
+                    int(ids[owner[k]]),
+                    at,
+                    whole[at:end].tobytes(),
+                    content[run].view(np.int64).tolist(),
+                    known[run].tolist(),
+                    int(held[run].min()),
+                )
+            )
+        columns = list(zip(*out)) or [()] * 7
+        kinds = [*[pa.int64()] * 3, pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32()]
+        names = ["key", "doc", "base", "shingles", "wanted", "known", "least"]
         return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], names=names)
 
-    return pair
+    return entries
+
+
+def _content(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each window's set, and the size of the set."""
+    content, held = _summed(shingles, mixed(shingles), np.ones(len(shingles), np.int64))
+    return content.view(np.int64), held
+
+
+def _alike(one: np.ndarray, two: np.ndarray, places: np.ndarray) -> list[tuple[int, int, float]]:
+    """``(place in one, place in two, similarity)``: of windows of ``one`` at ``places`` the
+    most similar one of ``two``, where any has 0.75 or more."""
+    if len(np.unique(one)) == len(one) and len(np.unique(two)) == len(two):
+        sums = np.zeros((len(one) + 1, len(two) + 1), np.int64)
+        sums[1:, 1:] = (one[:, None] == two[None, :]).cumsum(0).cumsum(1)
+        shared = sums[WINDOW:, WINDOW:] - sums[:-WINDOW, WINDOW:] - sums[WINDOW:, :-WINDOW] + sums[:-WINDOW, :-WINDOW]
+        shared = shared[places]
+        best = shared.argmax(1)
+        number = shared[np.arange(len(places)), best]
+        hit = 100 * number >= 75 * (2 * WINDOW - number)
+        values = number[hit] / (2 * WINDOW - number[hit])
+        return list(zip(places[hit].tolist(), best[hit].tolist(), values.tolist()))
+    others: dict[frozenset, int] = {}
+    for y in range(len(two) - WINDOW + 1):
+        others.setdefault(frozenset(two[y : y + WINDOW].tolist()), y)
+    out = []
+    for x in places.tolist():
+        own, top = frozenset(one[x : x + WINDOW].tolist()), None
+        for other, y in others.items():
+            shared = len(own & other)
+            union = len(own) + len(other) - shared
+            if 100 * shared >= 75 * union and (top is None or shared / union > top[2]):
+                top = (x, y, shared / union)
+        out += [top] if top else []
+    return out
 
 
-def _fetch(rows: pa.Table, wanted: pa.Table) -> pa.Table:
-    """The shingles of the wanted documents of a block."""
-    ids, texts = _numbered(rows)
-    some = set(wanted["a"].to_pylist())
-    found = {i: x for i, x in zip(ids.tolist(), texts) if i in some}
-    return pa.table(
-        {
-            "a": pa.array(list(found), pa.int64()),
-            "whole": pa.array([x.tobytes() for x in found.values()], pa.binary()),
-        }
+def _starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries against the first one of their centre; windows that no set of the centre
+    can be alike to are not wanted any more."""
+    names = ["key", "doc", "parts", "shingles", "wanted", "content", "other", "place", "similarity"]
+    longs = pa.list_(pa.int64())
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), longs, longs, pa.int64(), longs, pa.list_(pa.float64())]
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            one, two = (np.frombuffer(row[c], "<u8") for c in ("shingles", "head_shingles"))
+            content, held = _content(one)
+            known = dict(zip(row["wanted"], row["known"]))
+            # A content that stands twice is looked at once.
+            places = {value: x for x, value in enumerate(content.tolist()) if value in known}
+            wanted = {
+                value: x
+                for value, x in places.items()
+                if 4 * known[value] >= 3 * (held[x] + max(known[value], row["smallest"]) - known[value])
+            }
+            found = _alike(one, two, np.array(sorted(wanted.values()), np.int64)) if wanted else []
+            done = {int(content[x]) for x, _, _ in found}
+            out.append(
+                (
+                    row["key"],
+                    row["doc"],
+                    row["parts"],
+                    row["shingles"],
+                    [value for value in wanted if value not in done],
+                    [int(content[x]) for x, _, _ in found],
+                    row["head_doc"],
+                    [row["head_base"] + y for _, y, _ in found],
+                    [value for _, _, value in found],
+                )
+            )
+        columns = list(zip(*out)) or [()] * len(names)
+        yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds)], names=names)
+
+
+def _tile(rows: pa.Table) -> pa.Table:
+    """Wanted windows of a tile against its entries of earlier documents, the first ones first."""
+    rows = rows.to_pylist()
+    known = sorted((r for r in rows if r["wanted"] is None), key=lambda r: (r["doc"], r["base"]))
+    asking = [r for r in rows if r["wanted"] is not None]
+    texts = [np.frombuffer(r["shingles"], "<u8") for r in asking]
+    contents = [_content(x)[0] for x in texts]
+    open_ = [dict(zip(c.tolist(), range(len(c)))) for c in contents]
+    open_ = [{v: o[v] for v in r["wanted"]} for o, r in zip(open_, asking)]
+    docs = np.array([r["doc"] for r in asking], np.int64)
+    flat, sizes = np.concatenate([np.zeros(0, np.uint64), *texts]), [len(x) for x in texts]
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    # Of a window without repeats three quarters have to be shared.
+    least = np.array([-(-3 * WINDOW // 4) if len(np.unique(x)) == len(x) else 1 for x in texts], np.int64)
+    going = np.ones(len(texts), bool)
+    out = []
+    for other in known:
+        two = np.frombuffer(other["shingles"], "<u8")
+        shared = np.bincount(owner, np.isin(flat, two), len(texts))
+        for k in np.flatnonzero(going & (docs > other["doc"]) & (shared >= least)).tolist():
+            for x, y, value in _alike(texts[k], two, np.array(sorted(open_[k].values()), np.int64)):
+                content = int(contents[k][x])
+                out.append((asking[k]["doc"], content, other["doc"], other["base"] + y, value))
+                del open_[k][content]
+            going[k] = bool(open_[k])
+    columns = list(zip(*out)) or [()] * 5
+    kinds = [pa.int64()] * 4 + [pa.float64()]
+    names = ["doc", "content", "other", "place", "similarity"]
+    return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], names=names)
+
+
+def _alike_contents(entries: DataFrame) -> DataFrame:
+    """``(doc, content, other, place, similarity)``: contents of ``entries`` that are alike to
+    one of an earlier document, with one or more of these documents."""
+    head = F.min(F.struct("doc", "base", "shingles")).alias("head")
+    groups = entries.groupBy("key").agg(
+        head, F.max("doc").alias("top"), F.count("*").alias("size"), F.min("least").alias("smallest")
+    )
+    groups = groups.where("head.doc < top").select(
+        "key",
+        "smallest",
+        F.ceil(F.col("size") / TILE).cast("int").alias("parts"),
+        *(F.col(f"head.{c}").alias(f"head_{c}") for c in ("doc", "base", "shingles")),
+    )
+    later = entries.join(groups, "key").where("doc > head_doc")
+    starred = written(later.mapInArrow(_starred, _STARRED))
+    pieces = F.explode(F.arrays_zip("content", "place", "similarity")).alias("piece")
+    found = starred.select("doc", "other", pieces).select(
+        "doc", "piece.content", "other", "piece.place", "piece.similarity"
+    )
+    done = found.groupBy("doc").agg(F.collect_set("content").alias("done"))
+    rest = starred.where("size(wanted) > 0").join(done, "doc", "left")
+    rest = rest.withColumn("wanted", F.array_except("wanted", F.coalesce("done", F.array().cast("array<long>"))))
+    rest = written(rest.where("size(wanted) > 0").select("key", "doc", "parts", "shingles", "wanted"))
+    asking = rest.groupBy("key").agg(
+        F.first("parts").alias("parts"), F.ceil(F.count("*") / TILE).cast("int").alias("asking")
     )
 
+    def part(number: str) -> F.Column:
+        return F.pmod(F.xxhash64("doc", "shingles"), F.col(number).cast("long")).cast("int")
 
-def _distinct(values: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """How many different ones of the chosen values each window holds."""
-    order = np.argsort(values, kind="stable")
-    before = np.full(len(values), -1)
-    same = values[order[1:]] == values[order[:-1]]
-    before[order[1:][same]] = order[:-1][same]
-    place = np.flatnonzero(which)
-    count = len(values) - WINDOW + 1
-    first = np.maximum(np.maximum(before[place], place - WINDOW) + 1, 0)
-    last = np.minimum(place, count - 1)
-    ok = first <= last
-    steps = np.bincount(first[ok], minlength=count + 1) - np.bincount(last[ok] + 1, minlength=count + 1)
-    return np.cumsum(steps)[:count]
+    def each(number: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
 
+    one = rest.join(asking.select("key", "asking"), "key").select(
+        "key",
+        "doc",
+        F.lit(0).cast("long").alias("base"),
+        "shingles",
+        "wanted",
+        part("asking").alias("down"),
+        each("parts").alias("across"),
+    )
+    two = entries.join(asking, "key").select(
+        "key",
+        "doc",
+        "base",
+        "shingles",
+        F.lit(None).cast("array<long>").alias("wanted"),
+        each("asking").alias("down"),
+        part("parts").alias("across"),
+    )
+    return found.union(one.union(two).groupBy("key", "down", "across").applyInArrow(_tile, _FOUND))
 
-def _alike(one: np.ndarray, two: np.ndarray, low: int, high: int, common: int) -> Iterator[tuple[int, int, float]]:
-    """``(place in one, place in two, similarity)`` of pairs of windows that are alike.
 
-    Windows of ``WINDOW`` shingles are compared at shifts from ``low`` to ``high``, those near
-    the most common first; a window is done when no shift can give it more shared shingles.
-    """
-    order = np.argsort(two, kind="stable")
-    ordered = two[order]
-    plain = len(np.unique(one)) == len(one) and not (ordered[1:] == ordered[:-1]).any()
-    spot = np.searchsorted(ordered, one)
-    known = (ordered[np.minimum(spot, len(two) - 1)] == one) if len(two) else np.zeros(len(one), bool)
-    count = len(one) - WINDOW + 1
-    least = -(-150 * WINDOW // 175)
-    sums = np.r_[0, np.cumsum(known)]
-    most = sums[WINDOW:] - sums[:-WINDOW]
-    if plain:
-        open_ = most >= least
-    else:
-        # What a window holds that the other document does not have at all, each shingle
-        # once, may be a quarter of what it holds.
-        held, lacking = _distinct(one, np.ones(len(one), bool)), _distinct(one, ~known)
-        open_ = 100 * (held - lacking) >= 75 * held
-    if not open_.any():
-        return
-    hit = np.flatnonzero(known)
-    number = np.searchsorted(ordered, one[hit], "right") - spot[hit]
-    place = np.repeat(spot[hit], number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-    hit, place = np.repeat(hit, number), order[place]
-    best, where = np.zeros(count), np.zeros(count, np.int64)
-    for shift in sorted(range(low, high + 1), key=lambda x: abs(x - common)):
-        first_y = np.arange(count) - shift
-        inside = open_ & (first_y >= 0) & (first_y <= len(two) - WINDOW)
-        near = np.abs(hit - place - shift) < WINDOW
-        j, p = hit[near], place[near] + shift
-        # Windows of one that hold the shingle and whose counterpart holds it too.
-        first = np.maximum(np.maximum(j, p) - WINDOW + 1, 0)
-        last = np.minimum(np.minimum(j, p), count - 1)
-        ok = first <= last
-        steps = np.bincount(first[ok], minlength=count + 1) - np.bincount(last[ok] + 1, minlength=count + 1)
-        shared = np.cumsum(steps)[:count]
-        if plain:
-            value = shared / (2 * WINDOW - shared)
-            better = inside & (100 * shared >= 75 * (2 * WINDOW - shared)) & (value > best)
-            best[better], where[better] = value[better], first_y[better]
-            open_ &= shared < most
-        else:
-            # Repeated shingles count more than once above; the sets themselves decide.
-            for x in np.flatnonzero(inside & (shared > 0)).tolist():
-                y = x - shift
-                a, b = set(one[x : x + WINDOW].tolist()), set(two[y : y + WINDOW].tolist())
-                if 100 * len(a & b) >= 75 * len(a | b):
-                    best[x], where[x], open_[x] = len(a & b) / len(a | b), y, False
-        if not open_.any():
-            break
-    for x in np.flatnonzero(best).tolist():
-        yield x, int(where[x]), float(best[x])
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "start", "end", "other_id", "other_start", "similarity"]
-    kinds = [pa.int64()] * 5 + [pa.float64()]
-    for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            one, two = np.frombuffer(row["shingles"], "<u8"), np.frombuffer(row["whole"], "<u8")
-            base = row["first"]
-            best: dict[int, tuple[float, int]] = {}
-            if len(one) < WINDOW:
-                continue
-            for x, y, similarity in _alike(one, two, *(row[c] - base for c in ("low", "high", "common"))):
-                best[x] = max(best.get(x, (0.0, 0)), (similarity, -y))
-            places = np.array(sorted(best), np.int64)
-            for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1) if len(places) else []:
-                top = max(best[x] for x in run.tolist())
-                start = int(run[0])
-                end = int(run[-1]) + WINDOW + SHINGLE - 1
-                out.append((row["b"], base + start, base + end, row["a"], -best[start][1], top[0]))
-        columns = list(zip(*out)) or [()] * len(names)
-        yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds)], names=names)
+def _reported(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Runs of windows that repeat one document."""
+
+    def reported(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, texts = _numbered(rows)
+        found = answers.filter(pa.array(answers["kind"].to_numpy() == 2))
+        near: dict[tuple[int, int], tuple[float, int, int]] = {}
+        for doc, content, other, place, similarity in zip(*(found[c].to_pylist() for c in _NEAR)):
+            own = (-similarity, other, place)
+            near[doc, content] = min(near.get((doc, content), own), own)
+        text, place, content, _, _, _, fresh, lead, lead_place = _leads(ids, texts, answers, shards)
+        group = np.repeat(np.arange(len(fresh)), np.diff(np.r_[fresh, len(text)]))
+        windows = []
+        columns = (text, place, ids[text], content.view(np.int64), lead[group], lead_place[group])
+        for k, x, doc, value, first, y in zip(*(c.tolist() for c in columns)):
+            if first < doc:
+                windows.append((k, x, doc, first, y, 1.0))
+            elif (doc, value) in near:
+                similarity, other, y = near[doc, value]
+                windows.append((k, x, doc, other, y, -similarity))
+        out: list[list] = []
+        last = None
+        for k, x, doc, other, y, similarity in sorted(windows):
+            if last == (k, x - 1, other):
+                out[-1][2], out[-1][5] = x + WINDOW + SHINGLE - 1, max(out[-1][5], similarity)
+            else:
+                out.append([doc, x, x + WINDOW + SHINGLE - 1, other, y, similarity])
+            last = (k, x, other)
+        columns = list(zip(*out)) or [()] * 6
+        names = ["doc_id", "start", "end", "other_id", "other_start", "similarity"]
+        kinds = [pa.int64()] * 5 + [pa.float64()]
+        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], names=names)
+
+    return reported
+
+
+_NEAR = ["doc", "content", "other", "place", "similarity"]
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -385,10 +508,11 @@ def passages(docs: DataFrame) -> DataFrame:
 
     Places count words, ``end`` is exclusive, a passage has at least 50 words. Each of its
     windows of ``WINDOW`` five-word shingles has a Jaccard similarity of 0.75 or more with
-    a window of the other document; ``similarity`` is the best of those found. A document is
-    compared with the first document that shares a centre, over all and in its block, so a
-    passage is reported once or twice, not for each earlier copy. Exact repeats agree in
-    all functions; a similarity of 0.75 is missed with probability 0.0042.
+    a window of the other document; ``similarity`` is the best of those found. A window is
+    reported with one document, not with each earlier copy: where an earlier document has
+    just its shingles, with the first such one. No exact repeat is missed; a window whose
+    only alike ones have a similarity of 0.75 is missed when none of ``FUNCTIONS`` agrees,
+    with probability 1.5e-5.
 
     Texts of fewer than 50 words, null and empty ones have no passages. Rows with the same
     ``doc_id`` are not compared with each other, rows without one not at all.
@@ -397,14 +521,12 @@ def passages(docs: DataFrame) -> DataFrame:
     rows = sharing.in_blocks(docs, number)
     blocks = rows.groupBy("block")
     asked = blocks.applyInArrow(_ask(number), sharing.ASKED)
-    answers = asked.groupBy("shard").applyInArrow(sharing.answer, sharing.ANSWERED)
+    answers = written(asked.groupBy("shard").applyInArrow(sharing.answer, sharing.ANSWERED))
     sent = blocks.cogroup(answers.groupBy("block")).applyInArrow(_send(number), _SENT)
     first = sent.groupBy("shard").applyInArrow(_first, sharing.ANSWERED)
-    pairs = blocks.cogroup(answers.union(first).groupBy("block")).applyInArrow(
-        _pair(number), _PAIRED
-    )
-    pairs = written(pairs)
-    spread = F.pmod(F.xxhash64("a"), F.lit(number).cast("long")).alias("block")
-    wanted = pairs.select("a").distinct().select(spread, "a")
-    whole = blocks.cogroup(wanted.groupBy("block")).applyInArrow(_fetch, "a long, whole binary")
-    return pairs.join(whole, "a").mapInArrow(_verified, PASSAGES).distinct()
+    answers = written(answers.union(first))
+    entries = written(blocks.cogroup(answers.groupBy("block")).applyInArrow(_entries(number), _ENTRIES))
+    block = F.pmod(F.xxhash64("doc"), F.lit(number).cast("long")).alias("block")
+    found = _alike_contents(entries).select(block, F.lit(2).alias("kind"), *_NEAR)
+    known = answers.unionByName(found, allowMissingColumns=True)
+    return blocks.cogroup(known.groupBy("block")).applyInArrow(_reported(number), PASSAGES).distinct()

@@ -131,3 +131,14 @@ def test_a_passage_between_loops_is_found(spark):
     rows = [(1, footer * 10 + inner + footer * 30), (2, footer * 20 + inner + footer * 20)]
     start = 20 * 40
     assert set(range(start, start + 60 - T - 3)) <= found(data.documents(spark, rows))[2]
+
+
+def test_first_holders_do_not_hide_later_ones(spark):
+    """Earlier documents with too many edits share centres; the copies are found all the same."""
+    passage = data.prose(93, 60).split()
+    old = [w if k % 20 else "old%d" % k for k, w in enumerate(passage)]
+    rows = [(k, f"{data.prose(200 + k, 40)} {' '.join(old)} {data.prose(300 + k, 40)}") for k in (1, 2)]
+    rows += [(k, f"{data.prose(200 + k, 40)} {' '.join(passage)} {data.prose(300 + k, 40)}") for k in range(3, 9)]
+    near = [w if k != 30 else "near" for k, w in enumerate(passage)]
+    rows.append((9, f"{data.prose(209, 40)} {' '.join(near)} {data.prose(309, 40)}"))
+    check(data.documents(spark, rows), rows, recall=0.999)
