@@ -26,9 +26,11 @@ from sheafwork.llm.tables import written
 
 ORDER = 5
 DOCS_PER_BLOCK = 4_000
-_BITS = 12
-#: Symbols of the model; characters from U+0800 on stand for their block of 1,024.
-SYMBOLS = 1 << _BITS
+_BITS = 21
+#: Symbols of the model: code points.
+SYMBOLS = 0x110000
+_SYMBOL = np.uint64((1 << _BITS) - 1)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _START = 1
 _MODEL_SHARDS = 64
 _SLICE_CHARS = 1 << 19
@@ -45,23 +47,39 @@ LEAST_TRUSTED = 20
 
 def symbols(text: str) -> np.ndarray:
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(codes < 2048, np.maximum(codes, 2), 2048 + (codes >> 10)).astype(np.uint64)
+    return np.maximum(codes, 2).astype(np.uint64)
 
 
-def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at each character, and the characters of each text."""
+def _named(high: np.ndarray, low: np.ndarray, order: int) -> np.ndarray:
+    """A name for the last ``order`` symbols of n-grams, of 64 bits. An n-gram's first two
+    symbols are in ``high``, the others in ``low``. Names up to order 3 are the symbols."""
+    if order > 3:
+        return mixed(mixed(high if order > 4 else high & _SYMBOL) * _STEP + low)
+    return low & np.uint64((1 << (_BITS * order)) - 1)
+
+
+def _contexts(high: np.ndarray, low: np.ndarray, order: int) -> np.ndarray:
+    """Names for what stands before the last symbol of :func:`_named`."""
+    return _named(high, low >> np.uint64(_BITS), order) if order > 3 else _named(high, low, order) >> np.uint64(_BITS)
+
+
+def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-gram that ends at each character, in two words, and the characters of each text."""
     coded = [symbols(text) for text in texts]
     sizes = np.array([len(x) for x in coded], np.int64)
     pad = np.full(ORDER - 1, _START, np.uint64)
     flat = np.concatenate([x for one in coded for x in (pad, one)] + [pad[:0]])
     count = max(0, len(flat) - ORDER + 1)
-    grams = np.zeros(count, np.uint64)
+    high, low = np.zeros(count, np.uint64), np.zeros(count, np.uint64)
     for shift in range(ORDER):
-        grams = (grams << np.uint64(_BITS)) | flat[shift : shift + count]
+        word = high if shift < ORDER - 3 else low
+        word <<= np.uint64(_BITS)
+        word |= flat[shift : shift + count]
     # Behind each text stand as many windows that run into the next one's start.
     starts = np.cumsum(sizes + ORDER - 1) - sizes - ORDER + 1
     keep = np.repeat(starts, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return grams[keep.astype(np.int64)], sizes
+    keep = keep.astype(np.int64)
+    return high[keep], low[keep], sizes
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
@@ -86,9 +104,10 @@ def _documents(rows: pa.Table) -> tuple[pa.Table, np.ndarray]:
     return docs, np.array([trust.get(x, 0) for x in docs["doc_id"].to_pylist()], int)
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    unique, place = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(place, counts, len(unique)).astype(np.int64)
+def _summed(counts: np.ndarray, high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct n-grams by name: names, counts and both words."""
+    unique, first, place = np.unique(_named(high, low, ORDER), return_index=True, return_inverse=True)
+    return unique, np.bincount(place, counts, len(unique)).astype(np.int64), high[first], low[first]
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -101,19 +120,21 @@ def unpacked(blob: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def _wanted(texts: list[str], trusted: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's distinct n-grams by shard, then value, with counts in training texts."""
-    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0)]
+def _wanted(texts: list[str], trusted: np.ndarray, shards: int) -> tuple[np.ndarray, ...]:
+    """A block's distinct n-grams by shard, then name: names, counts in training texts,
+    both words and shards."""
+    parts = [(np.zeros(0), *(np.zeros(0, np.uint64) for _ in range(2)))]
     for first, some in _slices(texts):
-        grams, sizes = _grams(some)
-        code, unique = pd.factorize(grams)
+        high, low, sizes = _grams(some)
+        code, unique = pd.factorize(_named(high, low, ORDER))
         counted = np.repeat(trusted[first : first + len(some)] == _TRAINS, sizes)
-        keys.append(unique)
-        counts.append(np.bincount(code, counted, len(unique)))
-    keys, counts = _summed(np.concatenate(keys), np.concatenate(counts))
+        spot = np.zeros(len(unique), np.int64)
+        spot[code] = np.arange(len(code))
+        parts.append((np.bincount(code, counted, len(unique)), high[spot], low[spot]))
+    keys, counts, high, low = _summed(*(np.concatenate(x) for x in zip(*parts)))
     shard = (mixed(keys) % np.uint64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
-    return keys[order], counts[order], shard[order]
+    return tuple(x[order] for x in (keys, counts, high, low, shard))
 
 
 def _ask(shards: int) -> Callable[[pa.Table], pa.Table]:
@@ -121,16 +142,17 @@ def _ask(shards: int) -> Callable[[pa.Table], pa.Table]:
 
     def ask(rows: pa.Table) -> pa.Table:
         docs, trusted = _documents(rows)
-        keys, counts, shard = _wanted([text or "" for text in docs["text"].to_pylist()], trusted, shards)
+        _, counts, high, low, shard = _wanted([text or "" for text in docs["text"].to_pylist()], trusted, shards)
         used, first = np.unique(shard, return_index=True)
         block = rows["block"][0].as_py() if len(rows) else 0
-        parts = [np.split(x, first[1:])[: len(used)] for x in (keys, counts.astype("<u4"))]
+        parts = [np.split(x, first[1:])[: len(used)] for x in (high, low, counts.astype("<u4"))]
         return pa.table(
             {
                 "shard": pa.array(used, pa.int64()),
                 "block": pa.array([block] * len(used), pa.int64()),
-                "keys": pa.array(list(map(packed, parts[0])), pa.binary()),
-                "counts": pa.array(list(map(packed, parts[1])), pa.binary()),
+                "high": pa.array(list(map(packed, parts[0])), pa.binary()),
+                "low": pa.array(list(map(packed, parts[1])), pa.binary()),
+                "counts": pa.array(list(map(packed, parts[2])), pa.binary()),
             }
         )
 
@@ -143,40 +165,45 @@ def _joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
 
 def _merge(rows: pa.Table) -> pa.Table:
     """Counts of all blocks for the n-grams of a shard."""
-    keys, counts = _summed(_joined(rows["keys"], "<u8"), _joined(rows["counts"], "<u4"))
-    last_context = (keys >> np.uint64(_BITS)) & np.uint64(SYMBOLS - 1)
+    words = (_joined(rows[c], "<u8") for c in ("high", "low"))
+    _, counts, high, low = _summed(_joined(rows["counts"], "<u4"), *words)
+    last_context = (low >> np.uint64(_BITS)) & _SYMBOL
     return pa.table(
         {
             "model": pa.array((mixed(last_context) % np.uint64(_MODEL_SHARDS)).astype(np.int64)),
-            "gram": pa.array(keys.astype(np.int64)),
+            "high": pa.array(high.astype(np.int64)),
+            "low": pa.array(low.astype(np.int64)),
             "count": pa.array(counts),
         }
     )
 
 
-def _orders(grams: np.ndarray, counts: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Seen n-grams of each order from 2 and their counts; below the top, in how many
-    ways each is continued to the left. All have the last symbol of the context."""
+def _orders(high: np.ndarray, low: np.ndarray, counts: np.ndarray) -> dict[int, tuple[np.ndarray, ...]]:
+    """Seen n-grams of each order from 2 by name: names, counts and both words; below the
+    top the counts are in how many ways each is continued to the left. All have the last
+    symbol of the context."""
     seen = np.flatnonzero(counts > 0)
-    seen = seen[np.argsort(grams[seen])]
-    tables = {ORDER: (grams[seen], counts[seen])}
+    tables = {ORDER: _summed(counts[seen], high[seen], low[seen])}
     for order in range(ORDER - 1, 1, -1):
-        longer = tables[order + 1][0]
-        unique, ways = np.unique(longer & np.uint64((1 << (_BITS * order)) - 1), return_counts=True)
-        tables[order] = (unique, ways)
+        _, _, high, low = tables[order + 1]
+        unique, first, ways = np.unique(_named(high, low, order), return_index=True, return_counts=True)
+        tables[order] = (unique, ways, high[first], low[first])
     return tables
 
 
+def _words(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return rows["high"].to_numpy().astype(np.uint64), rows["low"].to_numpy().astype(np.uint64)
+
+
 def _statistics(rows: pa.Table) -> pa.Table:
     """Counts of counts from 1 to 4 by order, and how many ways lead to each symbol."""
-    grams = rows["gram"].to_numpy().astype(np.uint64)
-    tables = _orders(grams, rows["count"].to_numpy())
+    tables = _orders(*_words(rows), rows["count"].to_numpy())
     out = [
-        (order, times, int((counts == times).sum()))
-        for order, (_, counts) in tables.items()
+        (order, times, int((table[1] == times).sum()))
+        for order, table in tables.items()
         for times in range(1, 5)
     ]
-    last, ways = np.unique(tables[2][0] & np.uint64(SYMBOLS - 1), return_counts=True)
+    last, ways = np.unique(tables[2][0] & _SYMBOL, return_counts=True)
     out += [(1, int(symbol), int(n)) for symbol, n in zip(last, ways)]
     columns = list(zip(*out))
     return pa.table({name: pa.array(x, pa.int64()) for name, x in zip(("order", "key", "n"), columns)})
@@ -199,39 +226,40 @@ def _discounted(counts: np.ndarray, amounts: tuple[float, float, float]) -> np.n
 
 def _probabilities(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def probabilities(rows: pa.Table, statistics: pa.Table) -> pa.Table:
-        asked = rows["gram"].to_numpy().astype(np.uint64)
+        high, low = _words(rows)
         number: dict[tuple[int, int], int] = {
             (order, key): n
             for order, key, n in zip(*(statistics[x].to_pylist() for x in ("order", "key", "n")))
         }
-        tables = _orders(asked, rows["count"].to_numpy())
+        tables = _orders(high, low, rows["count"].to_numpy())
         ways = np.zeros(SYMBOLS)
         for (order, key), n in number.items():
             if order == 1:
                 ways[key] = n
         times = np.array([(ways == k).sum() for k in range(1, 5)])
         total = ways.sum()
-        last = (asked & np.uint64(SYMBOLS - 1)).astype(np.int64)
+        last = (low & _SYMBOL).astype(np.int64)
         if total:
             off = _discounted(ways.astype(np.int64), discounts(*times))
             value = (ways - off + off.sum() / SYMBOLS)[last] / total
         else:
-            value = np.full(len(asked), 1 / SYMBOLS)
+            value = np.full(len(low), 1 / SYMBOLS)
         for order in range(2, ORDER + 1):
-            grams, counts = tables[order]
+            grams, counts, seen_high, seen_low = tables[order]
             if not len(grams):
                 continue
-            own = asked & np.uint64((1 << (_BITS * order)) - 1)
+            own, before = _named(high, low, order), _contexts(high, low, order)
             amounts = discounts(*(number.get((order, k), 0) for k in range(1, 5)))
             off = _discounted(counts, amounts)
-            contexts, start = np.unique(grams >> np.uint64(_BITS), return_index=True)
-            totals, left = np.add.reduceat(counts, start), np.add.reduceat(off, start)
+            contexts, group = np.unique(_contexts(seen_high, seen_low, order), return_inverse=True)
+            totals, left = np.bincount(group, counts), np.bincount(group, off)
             place = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
             hit = grams[place] == own
-            spot = np.minimum(np.searchsorted(contexts, own >> np.uint64(_BITS)), len(contexts) - 1)
-            known = contexts[spot] == own >> np.uint64(_BITS)
+            spot = np.minimum(np.searchsorted(contexts, before), len(contexts) - 1)
+            known = contexts[spot] == before
             direct = np.where(hit, (counts - off)[place], 0)
             value = np.where(known, (direct + left[spot] * value) / totals[spot], value)
+        asked = _named(high, low, ORDER)
         return pa.table(
             {
                 "shard": pa.array((mixed(asked) % np.uint64(shards)).astype(np.int64)),
@@ -249,8 +277,8 @@ def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
     order = np.argsort(grams)
     grams, logs = grams[order], known["logp"].to_numpy()[order].astype("<f4")
     answers = [
-        packed(logs[np.searchsorted(grams, unpacked(keys, "<i8"))])
-        for keys in asked["keys"].to_pylist()
+        packed(logs[np.searchsorted(grams, _named(unpacked(high, "<u8"), unpacked(low, "<u8"), ORDER).astype(np.int64))])
+        for high, low in zip(asked["high"].to_pylist(), asked["low"].to_pylist())
     ]
     return pa.table(
         {"block": asked["block"], "shard": asked["shard"], "logs": pa.array(answers, pa.binary())}
@@ -267,15 +295,15 @@ def _scored(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 def _score(rows: pa.Table, answers: pa.Table, shards: int) -> pa.Table:
     docs, trusted = _documents(rows)
     texts = [text or "" for text in docs["text"].to_pylist()]
-    keys, _, _ = _wanted(texts, trusted, shards)
+    keys, *_ = _wanted(texts, trusted, shards)
     # Answers have no keys: those of a shard are in the order in which they were asked.
     logs = _joined(answers.sort_by("shard")["logs"], "<f4").astype(float)
     order = np.argsort(keys)
     keys, logs = keys[order], logs[order]
     chars, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
     for first, some in _slices(texts):
-        grams, sizes = _grams(some)
-        code, unique = pd.factorize(grams)
+        high, low, sizes = _grams(some)
+        code, unique = pd.factorize(_named(high, low, ORDER))
         value = logs[np.searchsorted(keys, unique)][code]
         holder = np.repeat(np.arange(len(some)), sizes)
         chars[first : first + len(some)] = sizes
@@ -316,8 +344,8 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     block = F.pmod(F.xxhash64("doc_id"), F.lit(number).cast("long")).alias("block")
     blocks = rows.select(block, "*").groupBy("block")
     shards = number * 4
-    asked = blocks.applyInArrow(_ask(shards), "shard long, block long, keys binary, counts binary")
-    merged = asked.groupBy("shard").applyInArrow(_merge, "model long, gram long, count long")
+    asked = blocks.applyInArrow(_ask(shards), "shard long, block long, high binary, low binary, counts binary")
+    merged = asked.groupBy("shard").applyInArrow(_merge, "model long, high long, low long, count long")
     parts = merged.groupBy("model").applyInArrow(_statistics, "order long, key long, n long")
     totals = parts.groupBy("order", "key").agg(F.sum("n").alias("n"))
     totals = totals.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(_MODEL_SHARDS - 1))))

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 from sheafwork.llm import quality
@@ -91,3 +92,15 @@ def test_nothing_known(spark):
     assert quality.classify(data.documents(spark, []), none).collect() == []
     found = quality.classify(data.documents(spark), none).collect()
     assert [row.accepted for row in found] == [row.chars > 0 for row in found]
+
+
+def test_characters_of_one_script_are_told_apart(spark):
+    """Shuffled characters of a script are much less likely than its text."""
+    rng = random.Random(5)
+    word = ["\u0915\u092e\u0932", "\u0928\u0926\u0940", "\u4e2d\u6587\u5b57", "\uac00\ub098\ub2e4", "\U00020000\U00020001"]
+    rows = [(k, " ".join(rng.choice(word) for _ in range(60))) for k in range(60)]
+    rows += [(100 + k, "".join(rng.sample(t, len(t)))) for k, t in rows[:20]]
+    found = quality.scores(data.documents(spark, rows), labels(spark, [(k, 1, 0) for k in range(60)])).collect()
+    costs = {r.doc_id: -r.log_sum / r.chars for r in found}
+    assert min(costs[100 + k] for k in range(20)) > 2 * max(costs[k] for k in range(60))
+    assert len(set(quality.symbols("".join(word)).tolist())) == len(set("".join(word)))
