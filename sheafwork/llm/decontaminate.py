@@ -263,24 +263,45 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return " ".join(part.strip() for part in out if part.strip()) if spans else text
 
 
-def _removed(index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+_SPANS = "decontaminate_spans"
+
+
+def _marked(index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds the starts and ends of a block's passages to each row's spans."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch["text"]
-            texts = [
-                cut(text.as_py(), [match[1:3] for match in matches]) if matches else text.as_py()
-                for text, matches in zip(column, _found(index.value)(column))
+            spans = [
+                known + [place for match in matches for place in match[1:3]]
+                for known, matches in zip(batch[_SPANS].to_pylist(), _found(index.value)(batch["text"]))
             ]
-            place = batch.schema.get_field_index("text")
+            place = batch.schema.get_field_index(_SPANS)
             field = batch.schema.field(place)
-            yield batch.set_column(place, field, pa.array(texts, field.type))
+            yield batch.set_column(place, field, pa.array(spans, field.type))
 
     return rows
 
 
+def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [
+            cut(text.as_py(), list(zip(spans[::2], spans[1::2]))) if spans else text.as_py()
+            for text, spans in zip(batch["text"], batch[_SPANS].to_pylist())
+        ]
+        place = batch.schema.get_field_index("text")
+        field = batch.schema.field(place)
+        batch = batch.set_column(place, field, pa.array(texts, field.type))
+        yield batch.select([name for name in batch.schema.names if name != _SPANS])
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with the passages of :func:`passages` cut out of ``text``."""
+    """``docs`` with the passages of :func:`passages` cut out of ``text``.
+
+    All blocks of items are searched in the texts as they are; what they find is cut at once.
+    """
+    schema = docs.schema
+    docs = docs.withColumn(_SPANS, F.array().cast("array<long>"))
     for index in _blocks(benchmark):
         handle = docs.sparkSession.sparkContext.broadcast(index)
-        docs = docs.mapInArrow(_removed(handle), docs.schema)
-    return docs
+        docs = docs.mapInArrow(_marked(handle), docs.schema)
+    return docs.mapInArrow(_removed, schema)

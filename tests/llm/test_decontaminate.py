@@ -92,6 +92,19 @@ def test_blocks_of_items(spark, monkeypatch):
     assert sorted((r.item_id, r.edits) for r in found) == [(0, 0), (1, 0), (2, 0), (3, 0), (13, 0)]
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_items_that_overlap_are_cut_whole(spark, monkeypatch, turned):
+    """An item that is half of another one is cut with it, in one block or in two."""
+    whole = data.prose(77, 40)
+    items = [(1, whole[: len(whole) // 2]), (2, whole)]
+    docs = data.documents(spark, [(1, f"before {whole} after")])
+    for size in (1 << 20, 20):
+        monkeypatch.setattr(decontaminate, "BLOCK_CHARS", size)
+        # One partition, so that the items come in this order.
+        given = bench(spark, items[::-1] if turned else items).coalesce(1)
+        assert [r.text for r in decontaminate.decontaminate(docs, given).collect()] == ["before after"]
+
+
 def test_no_rows(spark):
     assert decontaminate.passages(data.documents(spark, []), bench(spark)).collect() == []
     assert decontaminate.passages(data.documents(spark), bench(spark, [])).collect() == []
