@@ -36,7 +36,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 
-# Wider patterns. All repeats are bounded, so none runs far for nothing.
+# Wider patterns. Repeats are bounded, so none runs far for nothing, but for the last one of
+# a secret, behind which nothing has to match.
 _WIDE = {
     "email": re.compile(
         r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}"
@@ -47,7 +48,7 @@ _WIDE = {
     "phone": re.compile(r"\(?[0-9]{2,4}\)?(?:[ ./-][0-9]{2,4}){2,4}"),
     "secret": re.compile(
         r"(?i)(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)"
-        r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?([^\s\"']{8,128})"
+        r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?([^\s\"']{8,})"
     ),
 }
 # Gazetteers: top-level domains, first digits of card numbers, calling codes.
@@ -133,8 +134,11 @@ def strict_spans(text: str) -> list[Span]:
 def _wide_spans(text: str, strict: list[Span]) -> list[Span]:
     taken = np.zeros(0, bool)
     spans = []
+    # What each pattern cannot do without.
+    digits = bool(_DIGIT.search(text))
+    needs = {"email": "at)" in text or "at]" in text, "ip": text.count(":") >= 7, "card": digits, "phone": digits}
     for kind, pattern in _WIDE.items():
-        if kind == "email" and "at)" not in text and "at]" not in text:
+        if not needs.get(kind, "=" in text or ":" in text):
             continue
         for found in pattern.finditer(text):
             start, end = found.span(1 if kind == "secret" else 0)
@@ -188,7 +192,7 @@ def proposals(text: str) -> list[tuple[Span, bool, str]]:
     """Spans with whether they are strict and their pattern: votes, length, digits."""
     strict = strict_spans(text)
     out = []
-    wide = _wide_spans(text, strict) if strict or _DIGIT.search(text) or "at" in text else []
+    wide = _wide_spans(text, strict)
     for spans, is_strict in ((strict, True), (wide, False)):
         for span in spans:
             kind, start, end = span

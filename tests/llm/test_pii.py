@@ -116,3 +116,11 @@ def test_no_rows(spark):
     found = pii.proposed(data.documents(spark, []))
     assert pii.report(found, pii.fit(found)).collect() == []
     assert pii.redact(data.documents(spark, [])).collect() == []
+
+
+def test_secrets_are_whole_and_need_no_other_words():
+    token = "eyJhbGci" * 60
+    for text, value in (("token=" + token + " end", token), ("password: hunterfoxes", "hunterfoxes")):
+        assert [(k, text[a:b]) for (k, a, b), _, _ in pii.proposals(text)] == [("secret", value)]
+    colons = ":".join(["face"] * 8)
+    assert [(k, colons[a:b]) for (k, a, b), _, _ in pii.proposals(colons)] == [("ip", colons)]
