@@ -1,8 +1,8 @@
-"""Exact repeats across documents, by longest previous factors over sampled suffixes.
+"""Exact repeats across documents, by sorted windows around shared anchors.
 
-A longest-previous-factor array tells for each suffix how far it agrees with one that
-stands earlier; in suffix order that is the nearest one before or after with a smaller
-position. Here a match counts from ``LENGTH`` bytes on, so suffixes are compared that far.
+A suffix counts as a repeat when it agrees with one of an earlier document for ``LENGTH``
+bytes. So windows of ``LENGTH`` bytes are sorted and compared; longest-previous-factor
+arrays, with their smaller positions before and after, are not computed.
 
 Every window of ``LENGTH`` bytes has an anchor: its smallest ``GRAM``-byte substring by
 hash. Equal windows have the same anchor at the same place, so only suffixes around equal
@@ -160,8 +160,8 @@ def _send(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 
 def later_copies(pieces: list[bytes], docs: np.ndarray) -> np.ndarray:
-    """For each piece a bit for each of its windows: whether it has a previous factor of
-    ``LENGTH`` bytes in a smaller document."""
+    """For each piece a bit for each of its windows: whether a smaller document has
+    the same ``LENGTH`` bytes."""
     sizes = np.array([len(x) for x in pieces])
     flat = np.frombuffer(b"".join(pieces), np.uint8)
     windows = sizes - LENGTH + 1
