@@ -1,9 +1,9 @@
 """Column expressions over markup text.
 
 Everything here is a built-in Spark expression, so it stays inside the JVM and
-inside the stage that scans the documents. The patterns avoid quantified groups:
-the Java engine recurses once per repetition of such a group and a long page
-could overflow the task's stack.
+inside the stage that scans the documents. The patterns avoid quantified groups,
+for which the Java engine recurses once a repetition, so that a long page could overflow
+the task's stack; the ones that are repeated are possessive, which it matches in a loop.
 """
 
 from __future__ import annotations
@@ -46,26 +46,31 @@ H2_OPEN = r"(?i)<h2(?:\s[^>]*)?>"
 H2_CLOSE = r"(?i)</h2\s*>"
 ITEM_OPEN = r"(?i)<li(?:\s[^>]*)?>"
 ITEM_END = r"(?i)</li\s*>|<h2(?:\s[^>]*)?>"
-# A start tag does not run over further starts. A few spans inside belong to the hint.
+# A start tag does not run over further starts. Spans inside belong to the hint.
 HINT_SPAN = (
     r"""(?is)<span(?:\s[^<>]*)?\sclass\s*=\s*["'](?:[^"'<>]*\s)?"""
     + HINT_CLASS
     + r"""(?:\s[^"'<>]*)?["'][^<>]*>"""
-    + r"""((?:[^<]*<span(?:\s[^<>]*)?>[^<]*</span\s*>){0,8}.*?)(?:</span\s*>|\z)"""
+    + r"""((?:[^<]*<span(?:\s[^<>]*)?>[^<]*</span\s*>)*+.*?)(?:</span\s*>|\z)"""
 )
 
-# Whole attributes that stand before the one looked for.
-_ATTRIBUTES = (
-    r"""(?:\s+[^\s=<>"']+(?:\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>]+))?){0,16}?"""
-)
-LANG = rf"""(?i)<html{_ATTRIBUTES}\s+lang\s*=\s*["']?([^"'\s<>]*)"""
-_CHARSET_IN = r"""\s+content\s*=\s*["'][^"'<>]*?charset\s*=\s*([^"'\s/<>;]+)"""
-_EQUIV = r"""\s+http-equiv\s*=\s*["']?content-type"""
+# A repeated group that never gives back is matched in a loop, without recursion.
+def _others(wanted: str) -> str:
+    """Whole attributes that stand before the one looked for, however many."""
+    value = r"""(?:\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>]+))?"""
+    return rf"""(?:\s+(?!{wanted})[^\s=<>"']+{value})*+"""
+
+
+LANG = rf"""(?i)<html{_others(r"lang\s*=")}\s+lang\s*=\s*["']?([^"'\s<>]*)"""
+_CHARSET_OF = r"""content\s*=\s*["'][^"'<>]*?charset\s*=\s*"""
+_CHARSET_IN = rf"""{_others(_CHARSET_OF)}\s+{_CHARSET_OF}([^"'\s/<>;]+)"""
+_TYPE = r"""http-equiv\s*=\s*["']?content-type"""
+_EQUIV = rf"""{_others(_TYPE)}\s+{_TYPE}"""
 # The first tag that tells counts, in one of three spellings with a group each.
 CHARSET = (
-    rf"""(?i)<meta(?:{_ATTRIBUTES}\s+charset\s*=\s*["']?([^"'\s/<>;]+)"""
-    rf"""|{_ATTRIBUTES}{_EQUIV}["']?{_ATTRIBUTES}{_CHARSET_IN}"""
-    rf"""|{_ATTRIBUTES}{_CHARSET_IN}[^"'<>]*["']{_ATTRIBUTES}{_EQUIV})"""
+    rf"""(?i)<meta(?:{_others(r"charset\s*=")}\s+charset\s*=\s*["']?([^"'\s/<>;]+)"""
+    rf"""|{_EQUIV}["']?{_CHARSET_IN}"""
+    rf"""|{_CHARSET_IN}[^"'<>]*["']{_EQUIV})"""
 )
 # Only the first start is tried: without an end after it there is none at all.
 TITLE = r"(?is)\A(?>.*?<title(?:\s[^<>]*)?>)(.*?)</title\s*>"

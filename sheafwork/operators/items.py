@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafwork.functions import markup
+from sheafwork.functions import markup, nesting
 
 # Stands for an item's tag in the copy of a section that the tokens are read from. In
 # that copy the section's own such characters become another one.
@@ -58,79 +58,6 @@ def list_items(rows: DataFrame, *keep: str) -> DataFrame:
     return _items(_bodies(rows, keep).withColumn("pieces", pieces), keep, F.col("piece"))
 
 
-# A fold copies its state at every step, so one that gathered a place per item
-# would cost the square of a long section. Chunks bound what a fold gathers.
-_CHUNK = 128
-_PLACE = "struct<depth:int,parent:int>"
-_STATE = f"struct<open:array<int>,last:int,item:int,places:array<{_PLACE}>>"
-
-
-def _state(open_: Column, last: Column, item: Column, places: Column) -> Column:
-    """``open`` has, for each list open now, the item that holds it, ``last`` is
-    the latest item of the innermost of them, ``places`` are those of the items
-    passed."""
-    return F.struct(
-        open_.alias("open"),
-        last.alias("last"),
-        item.alias("item"),
-        places.alias("places"),
-    )
-
-
-def _walk(tokens: Column, start: Column, note: bool) -> Column:
-    """State after items and list edges in order, with the places if noted."""
-
-    def step(state: Column, token: Column) -> Column:
-        open_, last, item, places = (
-            state[field] for field in ("open", "last", "item", "places")
-        )
-        place = F.struct(
-            F.size(open_).alias("depth"), F.try_element_at(open_, F.lit(-1)).alias("parent")
-        )
-        noted = F.array_append(places, place) if note else places
-        outer = F.slice(open_, 1, F.size(open_) - 1)
-        holder = F.element_at(open_, F.lit(-1))
-        return (
-            F.when(token == _MARK, _state(open_, item + 1, item + 1, noted))
-            .when(
-                ~F.startswith(token, F.lit("</")),
-                _state(F.array_append(open_, last), F.lit(None).cast("int"), item, places),
-            )
-            # A closing tag without an open list means nothing.
-            .when(F.size(open_) > 0, _state(outer, holder, item, places))
-            .otherwise(state)
-        )
-
-    return F.aggregate(tokens, start, step)
-
-
-def _with_places(rows: DataFrame) -> DataFrame:
-    """Add ``places``: an empty one, then depth and parent of each item, from
-    ``tokens``."""
-    none = F.lit(None)
-    start = _state(F.array(), none, F.lit(0), F.array()).cast(_STATE)
-    rows = rows.withColumn(
-        "chunks",
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size("tokens") - 1, F.lit(0)), F.lit(_CHUNK)),
-            lambda at: F.slice("tokens", at + 1, F.lit(_CHUNK)),
-        ),
-    )
-    starts = F.aggregate(
-        F.slice("chunks", F.lit(1), F.size("chunks") - 1),
-        F.array(start),
-        lambda states, chunk: F.array_append(
-            states, _walk(chunk, F.element_at(states, F.lit(-1)), note=False)
-        ),
-    )
-    places = F.transform(
-        F.arrays_zip(F.col("chunks").alias("chunk"), starts.alias("start")),
-        lambda z: _walk(z["chunk"], z["start"], note=True)["places"],
-    )
-    before = F.array(F.struct(none, none).cast(_PLACE))
-    return rows.withColumn("places", F.concat(before, F.flatten(places)))
-
-
 def item_tree(rows: DataFrame, *keep: str) -> DataFrame:
     """:func:`list_items` with ``depth`` and ``parent_item``.
 
@@ -145,7 +72,16 @@ def item_tree(rows: DataFrame, *keep: str) -> DataFrame:
     clean = F.transform("fragments", lambda x: F.replace(x, F.lit(_CONTROL), F.lit(_OTHER)))
     marked = F.array_join(clean, _MARK)
     tokens = F.regexp_extract_all(marked, F.lit(_TOKEN), F.lit(0))
-    staged = _with_places(staged.withColumn("tokens", tokens))
+    steps = F.transform(
+        tokens,
+        lambda x: F.when(x == _MARK, nesting.ITEM)
+        .when(F.startswith(x, F.lit("</")), nesting.END)
+        .otherwise(nesting.START),
+    )
+    staged = nesting.with_places(staged.withColumn("_steps", steps), "_steps", "_nested")
+    none = F.lit(None).cast("int")
+    before = F.array(F.struct(none.alias("depth"), none.alias("parent")))
+    staged = staged.withColumn("places", F.concat(before, "_nested"))
     # The places go into the elements and not beside them: an array kept as a
     # column would be copied with each of its items.
     pieces = F.arrays_zip(

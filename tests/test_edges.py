@@ -262,3 +262,34 @@ def test_forms_with_brackets_read_back(spark):
     for title, marker in (("a (b)", None), ("a", "b (c)"), ("a", " ")):
         with pytest.raises(ValueError):
             op.Section(title, (), marker)
+
+
+@pytest.mark.parametrize("count", [0, 16, 17, 5_000])
+def test_any_number_of_attributes(spark, count):
+    quotes = ["'", '"', ""]
+    others = "".join(f" data-a{i}={quotes[i % 3]}v{quotes[i % 3]}" for i in range(count))
+    html = f"<html{others} lang=fr><meta{others} charset=latin1><title>t</title>"
+    typed = f"<meta{others} http-equiv=content-type{others} content='text/html; charset=latin1'>"
+    turned = f"<meta{others} content='text/html; charset=latin1'{others} http-equiv=\"Content-Type\">"
+    rows = op.document_metadata(documents(spark, html, f"<html{others}>{typed}", turned)).orderBy("doc_id").collect()
+    assert [(r["lang"], r["charset"]) for r in rows] == [("fr", "latin1"), (None, "latin1"), (None, "latin1")]
+
+
+@pytest.mark.parametrize("count", [0, 8, 9, 5_000])
+def test_any_number_of_spans_in_a_hint(spark, count):
+    inner = "".join(f"<span class=s>w{i}</span> " for i in range(count))
+    found = slot_of(spark, f'<span class="highlight">K:</span> <span class="placeholder">[say {inner}now]</span>')
+    hint = " ".join(["say", *(f"w{i}" for i in range(count)), "now"])
+    assert found == ("K", None, hint, True)
+
+
+def test_an_attribute_is_the_first_that_gives_it(spark):
+    pages = [
+        "<html lang lang=en>",
+        "<html data-lang=x lang=de lang=fr>",
+        "<html a='lang=en'>",
+        "<meta name=charset content='charset=a'><meta charset=b>",
+        "<meta http-equiv=refresh http-equiv=content-type content='x; charset=c'>",
+    ]
+    rows = op.document_metadata(documents(spark, *pages)).orderBy("doc_id").collect()
+    assert [(r["lang"], r["charset"]) for r in rows] == [("en", None), ("de", None), (None, None), (None, "b"), (None, "c")]

@@ -1,0 +1,60 @@
+"""Places of list items against a plain stack."""
+
+import random
+import time
+
+import pytest
+
+from sheafwork import operators as op
+from sheafwork.functions import nesting
+
+TAGS = {nesting.ITEM: "<li>x", nesting.START: "<ul>", nesting.END: "</ul>"}
+
+
+def plain(steps):
+    """(item, depth, parent) by keeping all open lists."""
+    open_, last, item, out = [], None, 0, []
+    for step in steps:
+        if step == nesting.ITEM:
+            item = last = item + 1
+            out.append((item, len(open_), open_[-1] if open_ else None))
+        elif step == nesting.START:
+            open_.append(last)
+            last = None
+        elif open_:
+            last = open_.pop()
+    return out
+
+
+def places(spark, pages):
+    rows = [(i, "".join(TAGS[step] for step in steps)) for i, steps in enumerate(pages)]
+    tree = op.item_tree(spark.createDataFrame(rows, "doc_id int, html string")).collect()
+    found = {i: [] for i in range(len(pages))}
+    for row in sorted(tree, key=lambda row: (row["doc_id"], row["item"])):
+        found[row["doc_id"]].append((row["item"], row["depth"], row["parent_item"]))
+    return list(found.values())
+
+
+@pytest.mark.parametrize("weights", [(2, 1, 1), (1, 3, 1), (1, 1, 3), (1, 2, 2)])
+def test_random_tokens(spark, weights):
+    rng = random.Random(str(weights))
+    pages = [rng.choices((0, 1, -1), weights, k=rng.choice((0, 1, 5, 40, 127, 128, 129, 700))) for _ in range(150)]
+    assert places(spark, pages) == list(map(plain, pages))
+
+
+@pytest.mark.parametrize(
+    "steps",
+    [[1, 0] * 50_000, [1] * 50_000 + [0] * 10, ([1, 0] * 2_000 + [-1] * 2_000) * 10, [-1] * 60_000 + [1, 0], [0] * 150_000],
+    ids=["open lists", "empty lists", "waves", "ends", "flat"],
+)
+def test_depth_costs_nothing(spark, steps):
+    start = time.monotonic()
+    assert places(spark, [steps]) == [plain(steps)]
+    assert time.monotonic() - start < 30
+
+
+def test_columns_with_the_names_used_inside(spark):
+    names = ["_steps", "_nested", "_counts", "places", "fragments"]
+    frame = spark.createDataFrame([(1, "<ul><li>a<ul><li>b", *names)], "doc_id int, html string, " + ", ".join(f"{n} string" for n in names))
+    rows = op.item_tree(frame).orderBy("item").collect()
+    assert [(r["depth"], r["parent_item"]) for r in rows] == [(1, None), (2, 1)]
