@@ -26,6 +26,11 @@ except ImportError:
 FILES_PER_TRIGGER = 1_000
 SUPPLIER_LABELS = ["Key", "Name", "Balance"]
 FORM_LABELS = ["Name", "Segment", "Balance", "Nation"]
+PAGES_PER_FILE = 1_000
+#: Orders arrive by their time, give or take this much.
+ORDER_DELAY = "90 days"
+#: Small, so that the given suppliers fill several groups.
+GROUP_BYTES = 64 << 10
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,6 +136,63 @@ def stream_supplier_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def packed_supplier_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`supplier_files` with the small files packed into Parquet first."""
+    folder = _supplier_files(spark, sf_dir)
+    files = sources.pack_documents(spark, f"{folder}/files", f"{folder}/packed", GROUP_BYTES)
+    drop_folder(spark, f"{folder}/files")
+    return op.wide_documents(files, SUPPLIER_LABELS).select(*SUPPLIER_LABELS)
+
+
+def manifest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write careless manifests of the page addresses, scan them once into good rows and rejects."""
+    folder = shared_folder(spark)
+    files = plans.careless_manifests(_table(spark, sf_dir, "pages"), PAGES_PER_FILE)
+    files.write.partitionBy("part").text(f"{folder}/files")
+    rows = sources.scan_manifest_checked(spark, f"{folder}/files")
+    good, rejects = sources.store_checked(rows, f"{folder}/rows")
+    drop_folder(spark, f"{folder}/files")
+    none = F.lit(None).cast("string")
+    part = F.regexp_extract("file", "/part=([0-9]+)/", 1).cast("int")
+    return good.select("*", none.cast("int").alias("part"), none.alias("row"), none.cast("int").alias("fields")).union(
+        rejects.select(none, none, none, part, "row", "fields")
+    )
+
+
+def stream_order_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completeness by label and day of order over a stream whose state expires."""
+    orders = _table(spark, sf_dir, "orders")
+    reader = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+    forms = plans.order_documents(reader.parquet(f"{sf_dir}/orders.parque[t]"))
+    slots = plans.document_slots(forms, "ordered_at")
+    counts = op.completeness_windows(slots, "label", time="ordered_at", width="1 day", delay=ORDER_DELAY)
+    folder = shared_folder(spark)
+    streaming.upsert_available(counts, f"{folder}/rows", f"{folder}/progress").awaitTermination()
+    stored = streaming.stored(spark, f"{folder}/rows", counts.schema)
+    return streaming.latest(stored, "window_start", "label")
+
+
+def stream_wide_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`form_wide_record` over a stream that brings each document's slots in two batches.
+
+    The second batch is stored twice, as after a driver that was lost before it could say so.
+    """
+    folder = shared_folder(spark)
+    slots = plans.document_slots(_forms(spark, sf_dir)).select("doc_id", "pos", "item", "label", "value")
+    stream = spark.readStream.schema(slots.schema).parquet(f"{folder}/slots/*")
+
+    def parts(rows: DataFrame) -> DataFrame:
+        return op.wide_parts(rows, FORM_LABELS)
+
+    for name, which in ("first", "pos > 1"), ("second", "pos <= 1"):
+        slots.where(which).write.parquet(f"{folder}/slots/{name}")
+        query = streaming.upsert_available(stream, f"{folder}/rows", f"{folder}/progress", parts, "append")
+        query.awaitTermination()
+    streaming.store(parts(spark.read.schema(slots.schema).parquet(f"{folder}/slots/second")), f"{folder}/rows", 1)
+    stored = streaming.stored(spark, f"{folder}/rows", parts(slots).schema)
+    return op.wide_of_parts(stored, FORM_LABELS)
+
+
 def form_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _forms(spark, sf_dir)
 
@@ -210,6 +272,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             stream_page_items,
             supplier_files,
             stream_supplier_files,
+            packed_supplier_files,
+            manifest_rejects,
+            stream_order_completeness,
+            stream_wide_record,
             form_html,
             form_sections,
             form_item_tree,
@@ -421,6 +487,31 @@ FROM items JOIN pages ON page_id = doc_id WHERE item > 0 GROUP BY 1""",
         "stream_manifest_paths": manifest,
         "supplier_files": supplier,
         "stream_supplier_files": supplier,
+        "packed_supplier_files": supplier,
+        "manifest_rejects": r"""
+WITH named AS (
+  SELECT page_id, CAST(page_id AS VARCHAR) AS mid, url, split_part(url, '/', -1) AS name,
+    left(url, CAST(length(url) - length(split_part(url, '/', -1)) AS INTEGER)) AS base
+  FROM pages WHERE url IS NOT NULL),
+marked AS (
+  SELECT *, url LIKE '%#%' AS short, url LIKE '%?%' AND url NOT LIKE '%#%' AS long FROM named)
+SELECT CASE WHEN NOT short AND NOT long THEN mid END AS mid,
+  CASE WHEN NOT short AND NOT long THEN nullif(base, '') END AS base_directory,
+  CASE WHEN NOT short AND NOT long THEN nullif(name, '') END AS file_name,
+  CASE WHEN short OR long THEN CAST(page_id // 1000 AS INTEGER) END AS part,
+  CASE WHEN short THEN mid || ',' || url WHEN long THEN replace(mid || ',' || base || ',' || name, '?', ',') END AS row,
+  CASE WHEN short THEN 2 WHEN long THEN 4 END AS fields
+FROM marked""",
+        "stream_order_completeness": r"""
+WITH slots AS (
+  SELECT o_orderdate, 'Customer' AS label, CAST(o_custkey AS VARCHAR) AS value FROM orders
+  UNION ALL SELECT o_orderdate, 'Status', CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END FROM orders
+  UNION ALL SELECT o_orderdate, 'Priority', CASE WHEN o_orderpriority NOT LIKE '%NOT SPECIFIED%' THEN o_orderpriority END
+    FROM orders)
+SELECT date_trunc('day', o_orderdate)::TIMESTAMP AS window_start, label, count(*) AS slots, count(value) AS filled,
+  count(value) / count(*) AS ratio
+FROM slots WHERE o_orderdate IS NOT NULL GROUP BY ALL""",
+        "stream_wide_record": _WIDE,
         "form_label_map": f"""WITH {_FORMS}, {_SLOTS}
 SELECT doc_id, label, value FROM slots WHERE label IS NOT NULL AND value IS NOT NULL""",
         "stream_page_items": _PAGE_ITEMS.format(

@@ -7,9 +7,13 @@ from sheafwork.operators.render import Form, Group, Section, Slot, render
 from sheafwork.operators.reports import (
     completeness,
     completeness_documents,
+    completeness_windows,
     label_map,
+    merge_parts,
     wide,
     wide_documents,
+    wide_of_parts,
+    wide_parts,
 )
 from sheafwork.operators.sections import parse_heading, sections
 from sheafwork.operators.slots import label_values, slots, unfilled
@@ -21,6 +25,7 @@ __all__ = [
     "Slot",
     "completeness",
     "completeness_documents",
+    "completeness_windows",
     "document_metadata",
     "document_text",
     "item_tree",
@@ -28,6 +33,7 @@ __all__ = [
     "label_values",
     "list_items",
     "manifest_path",
+    "merge_parts",
     "parse_heading",
     "render",
     "sections",
@@ -35,4 +41,6 @@ __all__ = [
     "unfilled",
     "wide",
     "wide_documents",
+    "wide_of_parts",
+    "wide_parts",
 ]

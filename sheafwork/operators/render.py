@@ -114,12 +114,12 @@ def _document(form: Form) -> Iterator[str | Column]:
     yield "</body>\n</html>\n"
 
 
-def render(rows: DataFrame, form: Form, doc_id: str) -> DataFrame:
+def render(rows: DataFrame, form: Form, doc_id: str, *keep: str) -> DataFrame:
     """(doc_id, html): one form per row, its slots filled from the row's columns.
 
     A NULL or blank value leaves a placeholder with the slot's hint. Values are
     escaped so that they read back as they were, but for white space, which is
-    squeezed on reading.
+    squeezed on reading. Columns named in ``keep`` are carried along.
     """
     parts: list[Column] = []
     literal = ""
@@ -130,4 +130,4 @@ def render(rows: DataFrame, form: Form, doc_id: str) -> DataFrame:
             parts += [F.lit(literal), part]
             literal = ""
     parts.append(F.lit(literal))
-    return rows.select(F.col(doc_id).alias("doc_id"), F.concat(*parts).alias("html"))
+    return rows.select(F.col(doc_id).alias("doc_id"), *keep, F.concat(*parts).alias("html"))

@@ -18,15 +18,40 @@ def completeness(slot_rows: DataFrame, *keys: str) -> DataFrame:
 
     Counts are summed within each task before the exchange, so at most one row per
     key and task moves, however many slots a key has. Works on a stream too, but with a
-    key such as the document its state grows for ever: there is no time to expire it by.
-    Counts per document need no exchange: see :func:`completeness_documents`.
+    key such as the document its state grows for ever: :func:`completeness_windows` has a
+    time to expire it by. Counts per document need no exchange: see
+    :func:`completeness_documents`.
     """
+    return _counts(slot_rows, *keys)
+
+
+def _counts(slot_rows: DataFrame, *keys: str | Column) -> DataFrame:
     counts = slot_rows.groupBy(*keys).agg(
         F.count("*").alias("slots"), F.count("value").alias("filled")
     )
     return counts.select("*", F.try_divide("filled", "slots").alias("ratio"))
 
 
+def completeness_windows(
+    slot_rows: DataFrame, *keys: str, time: str, width: str, delay: str
+) -> DataFrame:
+    """(window_start, keys, slots, filled, ratio): :func:`completeness` by windows of event time.
+
+    ``time`` is a column of the slots, ``width`` the windows' length. On a stream a window's counts are
+    kept until an event ``delay`` past the window's end has been seen; then they are dropped, and rows
+    that come still later are not counted. So the state is that of the windows within ``delay`` of the
+    latest event, however long the stream runs. On a batch all rows count, those without a
+    time not, in either case. In output mode ``update``, with
+    ``streaming.upsert_available`` and ``streaming.latest``, the rows of a stream without late
+    events are those of the batch; ``append`` gives each window once, when it is over.
+    """
+    rows = slot_rows.withWatermark(time, delay) if slot_rows.isStreaming else slot_rows
+    counts = _counts(rows.where(F.col(time).isNotNull()), F.window(time, width).alias("_window"), *keys)
+    return counts.select(
+        F.col("_window.start").alias("window_start"), *keys, "slots", "filled", "ratio"
+    )
+
+
 def wide(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
     """One row per document with a column per label, from long rows.
 
@@ -48,6 +73,35 @@ def wide(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
     return pairs.groupBy("doc_id").agg(*map(first_value, labels))
 
 
+def wide_parts(pairs: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """What some long rows say of the documents' wide records: (doc_id, parts).
+
+    ``parts`` has, for each label, the first of its values among these rows, with its place. Parts of
+    any split of the rows, also of repeated ones, merge into the record of all of them: see
+    :func:`merge_parts` and :func:`wide_of_parts`.
+    """
+    named = F.col("label").isin(list(labels))
+    pairs = pairs.select("doc_id", "pos", "item", "label", F.when(named, F.col("value")).alias("value"))
+
+    def first_value(number: int, label: str) -> Column:
+        wanted = (F.col("label") == label) & F.col("value").isNotNull()
+        return F.min(F.when(wanted, F.struct("pos", "item", "value"))).alias(f"part{number}")
+
+    return pairs.groupBy("doc_id").agg(*(first_value(n, label) for n, label in enumerate(labels)))
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """One row a document from rows of :func:`wide_parts`."""
+    names = [c for c in parts.columns if c.startswith("part")]
+    return parts.groupBy("doc_id").agg(*(F.min(c).alias(c) for c in names))
+
+
+def wide_of_parts(parts: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """:func:`wide` from rows of :func:`wide_parts`."""
+    values = [F.col(f"part{n}.value").alias(label) for n, label in enumerate(labels)]
+    return merge_parts(parts).select("doc_id", *values)
+
+
 def _with_pairs(documents: DataFrame) -> DataFrame:
     """(doc_id, items, pairs): how many items a document has, and its filled slots.
 

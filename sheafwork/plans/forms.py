@@ -82,6 +82,37 @@ def supplier_documents(supplier: DataFrame) -> DataFrame:
     return render(rows, SUPPLIER_FORM, "s_suppkey")
 
 
+ORDER_FORM = Form(
+    title="Order record",
+    sections=(
+        Section(
+            "Order",
+            (
+                Slot("customer", "Customer", "o_custkey"),
+                Slot("status, once settled", "Status", "status"),
+                Slot("priority", "Priority", "priority"),
+            ),
+        ),
+    ),
+)
+
+
+def order_documents(orders: DataFrame) -> DataFrame:
+    """(doc_id, ordered_at, html): a form per order with the time of the order.
+
+    Open orders have no status yet, and a priority that is not specified is left open.
+    """
+    priority = F.col("o_orderpriority")
+    rows = orders.select(
+        "o_orderkey",
+        "o_custkey",
+        F.col("o_orderdate").cast("timestamp").alias("ordered_at"),
+        F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("status"),
+        F.when(~F.contains(priority, F.lit("NOT SPECIFIED")), priority).alias("priority"),
+    )
+    return render(rows, ORDER_FORM, "o_orderkey", "ordered_at")
+
+
 def text_documents(documents: DataFrame) -> DataFrame:
     """A form per text, holding the whole of it."""
     return render(documents, TEXT_FORM, "doc_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Header of a manifest file, all text.
 MANIFEST_SCHEMA = "mid string, base_directory string, file_name string"
@@ -17,12 +18,16 @@ WRITE_OPTIONS = {
 }
 
 
-def _options(reader, mode: str, multi_line: bool):
+_COLUMNS = ("mid", "base_directory", "file_name")
+_ROW = "_rejected_row"
+
+
+def _options(reader, mode: str, multi_line: bool, schema: str = MANIFEST_SCHEMA):
     # Without enforceSchema=False a file with other headers would be read by
     # position and pass unnoticed; without columnPruning=False a row of another
     # length would, when some columns are not asked for.
     return (
-        reader.schema(MANIFEST_SCHEMA)
+        reader.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("columnPruning", False)
@@ -62,3 +67,61 @@ def stream_manifest(
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(path)
+
+
+def _checked(reader, multi_line: bool, path: str | list[str]) -> DataFrame:
+    schema = f"{MANIFEST_SCHEMA}, {_ROW} string"
+    reader = _options(reader, "PERMISSIVE", multi_line, schema).option("columnNameOfCorruptRecord", _ROW)
+    row = F.col(_ROW)
+    # Separators outside quotes; a doubled quote ends one quoted part and begins the next.
+    bare = F.regexp_replace(row, r'"[^"]*+(?:"|\z)', "")
+    rejected = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        row.alias("row"),
+        (F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1).cast("int").alias("fields"),
+    )
+    rows = reader.csv(path).select(*_COLUMNS, F.when(row.isNotNull(), rejected).alias("rejected"))
+    # An explode of one element: a query that asks for rejects alone, and is then left with no
+    # column of the file, would be refused.
+    whole = F.explode(F.array(F.struct(*_COLUMNS, "rejected"))).alias("whole")
+    fields = [F.when(F.col("whole.rejected").isNull(), F.col(f"whole.{c}")).alias(c) for c in _COLUMNS]
+    return rows.select(whole).select(*fields, F.col("whole.rejected").alias("rejected"))
+
+
+def scan_manifest_checked(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False
+) -> DataFrame:
+    """:func:`scan_manifest` with the rows of another length told apart, not failing.
+
+    The column ``rejected`` is NULL for a good row. For any other it has the ``file``, the ``row`` as
+    it is written there and its number of ``fields``, and the other columns are NULL. One pass
+    gives both: write the rows by :func:`store_checked`, or filter. A wrong header is
+    still an error, since it makes every row of its file doubtful.
+    """
+    return _checked(spark.read, multi_line, path)
+
+
+def stream_manifest_checked(
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """:func:`scan_manifest_checked` over the files arriving in a directory."""
+    reader = spark.readStream
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _checked(reader, multi_line, path)
+
+
+def store_checked(rows: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Write checked rows in one pass and read the good ones and the rejects back.
+
+    Good rows have the manifest's columns, rejects have ``file``, ``row`` and ``fields``. Each
+    kind is a folder, so reading one does not touch the other.
+    """
+    is_rejected = F.col("rejected").isNotNull()
+    rows.withColumn("is_rejected", is_rejected).write.partitionBy("is_rejected").parquet(folder)
+    schema = f"{MANIFEST_SCHEMA}, rejected struct<file:string,row:string,fields:int>, is_rejected boolean"
+    back = rows.sparkSession.read.schema(schema).parquet(folder)
+    return back.where("NOT is_rejected").select(*_COLUMNS), back.where("is_rejected").select("rejected.*")

@@ -1,4 +1,4 @@
-"""Running the row-local operators over a stream."""
+"""Running the operators over a stream."""
 
 from __future__ import annotations
 
@@ -6,24 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from sheafwork.sources.documents import stream_documents
-from sheafwork.sources.manifest import stream_manifest
+from sheafwork.sources.manifest import stream_manifest, stream_manifest_checked
+from sheafwork.streaming.upserts import (
+    compact,
+    compact_latest,
+    latest,
+    store,
+    stored,
+    upsert_available,
+)
 
-__all__ = ["append_available", "stream_documents", "stream_manifest"]
+__all__ = [
+    "append_available",
+    "compact",
+    "compact_latest",
+    "latest",
+    "store",
+    "stored",
+    "stream_documents",
+    "stream_manifest",
+    "stream_manifest_checked",
+    "upsert_available",
+]
 
 
-def append_available(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def append_available(rows: DataFrame, path: str, checkpoint: str, *partition_by: str) -> StreamingQuery:
     """Process the input that is there now and append the rows as Parquet.
 
     Every operator but the two aggregations is row-local, so it runs on a stream
     as it does on a batch and keeps no state. The file sink's log makes a restart
     after a lost executor or driver write each input once. Both folders have to
-    be shared storage.
+    be shared storage. Aggregations go to :func:`upsert_available`.
     """
-    return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = rows.writeStream.format("parquet").outputMode("append").option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

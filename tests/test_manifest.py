@@ -4,7 +4,15 @@ import pytest
 
 from sheafwork.operators import manifest_path
 from sheafwork import plans
-from sheafwork.sources import WRITE_OPTIONS, scan_manifest, stream_manifest
+from sheafwork.sources import (
+    WRITE_OPTIONS,
+    scan_manifest,
+    scan_manifest_checked,
+    store_checked,
+    stream_manifest,
+    stream_manifest_checked,
+)
+from sheafwork.streaming import append_available
 
 HEADER = "mid,base_directory,file_name\n"
 BOM = b"\xef\xbb\xbf"
@@ -99,3 +107,49 @@ def test_stream(spark, tmp_path):
     assert run() == ["/in/a", "/in/b"]
     write(source, "three.csv", HEADER + "c,/in,c\n")
     assert run() == ["/in/a", "/in/b", "/in/c"]
+
+
+def test_good_rows_and_rejects(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in", "one.csv", HEADER + "a,/in,a.dat\nb,/in\nc,/in,c,d\n\ne,/in,\n", bom=True)
+    write(tmp_path / "in", "two.csv", HEADER + 'f,"/x,y",f.dat\n"g,h"\n"i,j",k,"l,m","n ""o, p"" q"\nr\n')
+    rows = scan_manifest_checked(spark, str(tmp_path / "in"))
+    good, rejects = store_checked(rows, str(tmp_path / "out"))
+    for found in (good, rows.where("rejected IS NULL").select("mid", "base_directory", "file_name")):
+        assert sorted(map(tuple, found.collect())) == [
+            ("a", "/in", "a.dat"),
+            ("e", "/in", None),
+            ("f", "/x,y", "f.dat"),
+        ]
+    for found in (rejects, rows.where("rejected IS NOT NULL").select("rejected.*")):
+        assert sorted((r.file.rsplit("/", 1)[1], r.row, r.fields) for r in found.collect()) == [
+            ("one.csv", "b,/in", 2),
+            ("one.csv", "c,/in,c,d", 4),
+            ("two.csv", '"g,h"', 1),
+            ("two.csv", '"i,j",k,"l,m","n ""o, p"" q"', 4),
+            ("two.csv", "r", 1),
+        ]
+    assert rows.select("rejected").where("rejected IS NOT NULL").count() == 5
+    assert rows.where("rejected IS NOT NULL AND (mid IS NOT NULL OR base_directory IS NOT NULL)").isEmpty()
+
+
+def test_rejects_over_several_lines_and_a_wrong_header(spark, tmp_path):
+    write(tmp_path, "one.csv", HEADER + 'a,"/in\nx",a\nb,"c\nd"\n')
+    rows = scan_manifest_checked(spark, str(tmp_path), multi_line=True).collect()
+    assert [r.base_directory for r in rows if r.rejected is None] == ["/in\nx"]
+    assert [(r.rejected.row.strip(), r.rejected.fields) for r in rows if r.rejected] == [('b,"c\nd"', 2)]
+    write(tmp_path, "two.csv", "mid,file_name\nb,b\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_manifest_checked(spark, str(tmp_path)).collect()
+
+
+def test_rejects_of_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    found = []
+    for name, text in ("one", "a,/in,a\nb\n"), ("two", "c,d,e,f\ng,/in,g\n"):
+        write(tmp_path / "in", f"{name}.csv", HEADER + text)
+        rows = stream_manifest_checked(spark, str(tmp_path / "in"), max_files_per_trigger=1)
+        append_available(rows, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
+        back = spark.read.schema(rows.schema).parquet(str(tmp_path / "out")).collect()
+        found.append((sorted(r.mid for r in back if r.mid), sorted(r.rejected.row for r in back if r.rejected)))
+    assert found == [(["a"], ["b"]), (["a", "g"], ["b", "c,d,e,f"])]

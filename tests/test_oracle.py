@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = ["pages", "customer", "documents", "supplier"]
+TABLES = ["pages", "customer", "documents", "supplier", "orders"]
 # Queries that the entry file takes from elsewhere have tests of their own.
 QUERIES = [name for name, query in contract.queries().items() if query.__module__ == contract.__name__]
 
@@ -46,6 +46,7 @@ def test_query(spark, duck, name):
         "string": "VARCHAR",
         "double": "DOUBLE",
         "boolean": "BOOLEAN",
+        "timestamp": "TIMESTAMP",
     }
     spark_types = {column: types[kind] for column, kind in frame.dtypes}
     assert spark_types == dict(zip(result.columns, map(str, result.types)))

@@ -1,0 +1,189 @@
+"""Streams that change rows they have given before, and state that expires."""
+
+import datetime
+import os
+import random
+import shutil
+
+import pytest
+
+from sheafwork import operators as op
+from sheafwork import plans, streaming
+
+SLOTS = "doc_id long, pos int, item int, label string, value string, at timestamp"
+LABELS = ["A", "B", "C"]
+DAY = datetime.datetime(2024, 1, 1)
+
+
+def slots(spark, rows):
+    return spark.createDataFrame(rows, SLOTS)
+
+
+def random_rows(seed, first, last, count=300):
+    """Slots of days ``first`` to ``last``."""
+    rng = random.Random(seed)
+    return [
+        (
+            rng.randrange(20),
+            rng.randrange(3),
+            rng.randrange(4),
+            rng.choice([*LABELS, "D", None]),
+            rng.choice(["x", "y", "z", None]),
+            DAY + datetime.timedelta(days=rng.uniform(first, last)),
+        )
+        for _ in range(count)
+    ]
+
+
+class Folders:
+    def __init__(self, spark, path):
+        self.spark, self.path, self.number = spark, path, 0
+        (path / "in").mkdir()
+
+    def put(self, rows):
+        slots(self.spark, rows).coalesce(1).write.parquet(f"{self.path}/in/{self.number}")
+        self.number += 1
+
+    def read(self):
+        reader = self.spark.readStream.schema(SLOTS).option("maxFilesPerTrigger", 1)
+        return reader.parquet(f"{self.path}/in/*")
+
+    def run(self, rows, **options):
+        query = streaming.upsert_available(rows, f"{self.path}/rows", f"{self.path}/progress", **options)
+        query.awaitTermination()
+        return query
+
+    def windows(self):
+        return op.completeness_windows(self.read(), "label", time="at", width="1 day", delay="2 days")
+
+    def stored(self, schema):
+        return streaming.stored(self.spark, f"{self.path}/rows", schema)
+
+
+@pytest.fixture
+def folders(spark, tmp_path):
+    return Folders(spark, tmp_path)
+
+
+def rows_of(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
+def batch_windows(spark, rows):
+    return rows_of(op.completeness_windows(slots(spark, rows), "label", time="at", width="1 day", delay="0 days"))
+
+
+def test_windows_of_a_stream_are_those_of_the_batch(spark, folders):
+    """Over several batches and a restart, with rows that are late but not too late."""
+    given = []
+    for day in range(0, 12, 2):
+        rows = random_rows(day, max(0, day - 1.9), day + 2)
+        given += rows
+        folders.put(rows)
+        if day % 4:
+            counts = folders.windows()
+            folders.run(counts)
+            stored = folders.stored(counts.schema)
+            assert rows_of(streaming.latest(stored, "window_start", "label")) == batch_windows(spark, given)
+
+
+def test_late_rows_and_bounded_state(spark, folders):
+    given = random_rows(1, 0, 1)
+    folders.put(given)
+    for day in range(1, 40):
+        rows = random_rows(day, day, day + 1, 20)
+        given += rows
+        folders.put(rows)
+    folders.run(folders.windows())
+    folders.put([(1, 0, 0, "A", "late", DAY + datetime.timedelta(days=3)), (1, 0, 0, "A", "x", None)])
+    query = folders.run(folders.windows())
+    state = query.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] <= 4 * 6  # labels and days, of the last few days only
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress) == 1
+    counts = folders.windows()
+    stored = folders.stored(counts.schema)
+    assert rows_of(streaming.latest(stored, "window_start", "label")) == batch_windows(spark, given)
+
+
+def test_no_input(spark, folders):
+    counts = folders.windows()
+    assert folders.stored(counts.schema).count() == 0
+    assert batch_windows(spark, []) == []
+
+
+def parts(rows):
+    return op.wide_parts(rows, LABELS)
+
+
+def expected_wide(rows):
+    found = {}
+    for doc_id, pos, item, label, value, _ in rows:
+        record = found.setdefault(doc_id, {})
+        if label in LABELS and value is not None:
+            place = (pos, item, value)
+            record[label] = min(record.get(label, place), place)
+    return sorted((i, *(r[x][2] if x in r else None for x in LABELS)) for i, r in found.items())
+
+
+def test_wide_records_over_batches(spark, folders):
+    given = []
+    for seed in range(3):
+        rows = random_rows(seed, 0, 1, 60)
+        given += rows
+        folders.put(rows)
+    folders.run(folders.read(), change=parts, mode="append")
+    schema = parts(slots(spark, given)).schema
+
+    def found():
+        return sorted(map(tuple, op.wide_of_parts(folders.stored(schema), LABELS).collect()))
+
+    assert found() == expected_wide(given) == sorted(map(tuple, op.wide(slots(spark, given), LABELS).collect()))
+    # The latest batch once more, as after a driver that was lost before its commit.
+    os.remove(folders.path / "progress" / "commits" / "2")
+    crc = folders.path / "progress" / "commits" / ".2.crc"
+    if crc.exists():
+        os.remove(crc)
+    folders.run(folders.read(), change=parts, mode="append")
+    assert found() == expected_wide(given)
+    assert {row[0] for row in folders.stored(schema).select("batch").distinct().collect()} == {0, 1, 2}
+
+
+def test_unfinished_batches_are_not_read(spark, folders):
+    frame = slots(spark, random_rows(5, 0, 1, 30))
+    streaming.store(parts(frame), f"{folders.path}/rows", 0)
+    streaming.store(parts(frame), f"{folders.path}/rows", 1)
+    os.remove(folders.path / "rows" / "batch-1" / "_SUCCESS")
+    assert {row.batch for row in folders.stored(parts(frame).schema).collect()} == {0}
+
+
+KEYED = "key string, value long"
+
+
+def test_latest_and_compaction(spark, tmp_path):
+    folder, rng, known = str(tmp_path / "rows"), random.Random(3), {}
+    schema = spark.createDataFrame([], KEYED).schema
+    for number in range(9):
+        rows = {rng.choice("abcdefgh"): rng.randrange(100) for _ in range(4)}
+        known |= rows
+        streaming.store(spark.createDataFrame(list(rows.items()), schema), folder, number)
+        if number in (3, 4, 7):
+            streaming.compact_latest(spark, folder, schema, "key")
+            names = {name for name in os.listdir(folder) if not name.startswith(".")}
+            assert names == {f"merged-{number - 1}", f"batch-{number}"}
+        found = streaming.latest(streaming.stored(spark, folder, schema), "key").collect()
+        assert {row.key: row.value for row in found} == known
+    # What an attempt that was stopped leaves behind is not read.
+    shutil.copytree(f"{folder}/batch-8", f"{folder}/merged-8")
+    os.remove(f"{folder}/merged-8/_SUCCESS")
+    found = streaming.latest(streaming.stored(spark, folder, schema), "key").collect()
+    assert {row.key: row.value for row in found} == known
+
+
+def test_order_forms_carry_their_time(spark):
+    orders = spark.sql(
+        "SELECT 7L AS o_orderkey, 8L AS o_custkey, timestamp'2024-02-03 00:00:00' AS o_orderdate, 'O' AS o_orderstatus, "
+        "'4-NOT SPECIFIED' AS o_orderpriority"
+    )
+    rows = plans.document_slots(plans.order_documents(orders), "ordered_at").select("label", "value", "ordered_at").collect()
+    assert [(r.label, r.value) for r in rows] == [("Customer", "8"), ("Status", None), ("Priority", None)]
+    assert {r.ordered_at for r in rows} == {datetime.datetime(2024, 2, 3)}
