@@ -9,12 +9,12 @@ Jaccard similarity, as concentrated as for a large set.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheafwork.llm.components import components
@@ -26,9 +26,9 @@ ROWS = 3
 # Sets with similarity 0.75 agree in 54 of 72 bins on average, with deviation 3.7.
 # Fewer than 37 is more than 4.6 deviations below: a chance of 2e-6.
 LEAST_AGREEING = 37
-TILE = 512
-# Pairs that each component may try in a round; in the last round all.
-_BEST_PAIRS = (2, 12, None)
+# Rows and bytes of shingle hashes that a tile has of each side, about.
+TILE_ROWS = 512
+TILE_BYTES = 8 << 20
 
 _ROUNDS = seeds(2 * BINS, 0)
 _BAND = seeds(BINS // ROWS, 1_000)
@@ -90,154 +90,213 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _prints(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
+
+
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches agree in enough bins."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        one, two = (
-            np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, BINS)
-            for c in ("prints_a", "prints_b")
-        )
-        keep = (one == two).sum(1) >= LEAST_AGREEING
+        keep = (_prints(batch["prints_a"]) == _prints(batch["prints_b"])).sum(1) >= LEAST_AGREEING
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of nodes from texts with the node's id; a text that has another set is left out."""
+    for batch in batches:
+        sets = [shingle_set(text) for text in raw(batch["text"])]
+        own = [len(x) > 0 and xxhash.xxh3_128_digest(x.tobytes()) == y for x, y in zip(sets, batch["digest"].to_pylist())]
+        columns = [batch["node"], pa.array([x.tobytes() for x in sets], pa.binary())]
+        yield pa.record_batch(columns, names=["node", "shingles"]).filter(pa.array(own, pa.bool_()))
+
+
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(node, shingles)`` of the nodes in ``wanted(node)``, computed once and written."""
+    named = wanted.distinct().join(nodes.select("node", "first", "digest"), "node")
+    texts = written(named).join(docs, F.col("first") == F.col("doc_id")).select("node", "digest", "text")
+    return written(texts.mapInArrow(_shingled, "node long, shingles binary").dropDuplicates(["node"]))
+
+
+def _similar(one: np.ndarray, two: np.ndarray) -> bool:
+    shared = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * shared >= 75 * (len(one) + len(two) - shared)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with 100 * intersection >= 75 * union, on the full sets."""
     for batch in batches:
-        keep, last, held = [], None, None
-        for text_a, text_b in zip(raw(batch["text_a"]), raw(batch["text_b"])):
-            if last is None or text_b != last:
-                last, held = text_b, shingle_set(text_b)
-            values = shingle_set(text_a)
-            shared = len(np.intersect1d(values, held, assume_unique=True))
-            union = len(values) + len(held) - shared
-            keep.append(union > 0 and 100 * shared >= 75 * union)
+        pairs = zip(batch["shingles_a"].to_pylist(), batch["shingles_b"].to_pylist())
+        keep = [_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in pairs]
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` that are links: first by sketches, then on whole texts."""
-    sides = [
-        sketches.select(F.col("doc_id").alias(c), F.col("prints").alias(f"prints_{c}")) for c in "ab"
-    ]
-    close = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "prints_a", "prints_b")
-    close = written(close.mapInArrow(_alike, "a long, b long"))
-    texts = [docs.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"]
-    # The documents that are in a pair at all are few; only their texts meet the pairs.
-    whole = close.join(texts[0], "a").join(texts[1], "b").select("a", "b", "text_a", "text_b")
-    return written(whole.mapInArrow(_verified, "a long, b long"))
+def _both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """Pairs with a value for each end."""
+    sides = [values.select(F.col("node").alias(c), F.col(name).alias(f"{name}_{c}")) for c in "ab"]
+    return pairs.join(sides[0], "a").join(sides[1], "b")
 
 
-def _tile_pairs(best: int | None) -> Callable[[pa.Table], pa.Table]:
-    """Pairs of one tile of a bucket that look alike but are in different components.
+def _first_links(shared: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links ``(a, b)``: of each node to the first of a bucket, the one it shares most buckets with."""
+    firsts = shared.groupBy("key").agg(F.min("node").alias("a"))
+    stars = shared.join(firsts, "key").select("a", F.col("node").alias("b")).where("a < b")
+    best = stars.groupBy("b", "a").agg(F.count("*").alias("n")).groupBy("b")
+    pairs = best.agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
+    close = written(_both(pairs, nodes, "prints").mapInArrow(_alike, "a long, b long"))
+    ends = close.select(F.col("a").alias("node")).union(close.select("b"))
+    sets = _sets(ends, nodes, docs)
+    return written(_both(close, sets, "shingles").mapInArrow(_verified, "a long, b long"))
 
-    The rows have a ``side``: 0 for the tile's rows, 1 for its columns, 2 for both. Of
-    each component only the ``best`` pairs are taken, those that agree most.
-    """
 
-    def pairs(tile: pa.Table) -> pa.Table:
-        side = tile["side"].to_numpy()
-        ids, component = tile["doc_id"].to_numpy(), tile["component"].to_numpy()
-        prints = np.frombuffer(b"".join(tile["prints"].to_pylist()), np.uint8).reshape(-1, BINS)
-        across = np.flatnonzero(side != 0)
-        one, two, agreeing = [], [], []
-        for i in np.flatnonzero(side != 1):
-            other = across[component[across] != component[i]]
-            agree = (prints[other] == prints[i]).sum(1)
-            other, agree = other[agree >= LEAST_AGREEING], agree[agree >= LEAST_AGREEING]
-            one.append(np.full(len(other), i)), two.append(other), agreeing.append(agree)
-        one, two, agree = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (one, two, agreeing))
-        if best is not None and len(one):
-            keep = np.zeros(len(one), bool)
-            for ends in (one, two):
-                order = np.lexsort((ids[two], ids[one], -agree, component[ends]))
-                group = component[ends][order]
-                first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-                rank = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
-                keep[order[rank < best]] = True
-            one, two = one[keep], two[keep]
-        low, high = np.minimum(ids[one], ids[two]), np.maximum(ids[one], ids[two])
-        found = np.unique(np.stack([low, high], 1), axis=0)
-        return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
-
-    return pairs
-
-
-def _rest(members: DataFrame, sketches: DataFrame, best: int | None) -> DataFrame:
-    """Candidate pairs of buckets that still hold several components.
-
-    Such a bucket is cut into tiles of ``TILE`` by ``TILE`` rows, each its own group, so
-    that no task holds a whole bucket.
+def _tiles(members: DataFrame) -> DataFrame:
+    """``(key, down, across, side, node, component, prints)``: buckets with several components, in tiles.
+
+    A bucket's largest component needs no comparison with itself. So the rows of a tile (side 0) are of
+    the other components, its columns (side 1) of all, and a bucket whose members are joined but
+    for a few costs little more than its members.
     """
-    mixed_up = members.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
+    held = members.groupBy("key", "component").agg(
+        F.count("*").alias("n"), F.sum(8 * F.col("n_shingles")).alias("bytes")
     )
-    mixed_up = mixed_up.where("low < high").select(
-        "key", F.ceil(F.col("size") / TILE).cast("int").alias("parts")
+    several = held.groupBy("key").agg(
+        F.max_by("component", F.struct("n", "component")).alias("major"),
+        F.max(F.struct("n", "component", "bytes")).alias("most"),
+        F.sum("n").alias("n"),
+        F.sum("bytes").alias("bytes"),
+        F.count("*").alias("components"),
     )
-    rows = members.join(mixed_up, "key").join(sketches.select("doc_id", "prints"), "doc_id")
-    part = F.pmod(F.xxhash64("doc_id"), "parts").cast("int").alias("part")
-    rows = rows.select("key", "doc_id", "component", "prints", "parts", part)
-    steps = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    tiles = rows.select("*", steps).select(
+
+    def parts(rows: Column, size: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil(rows / TILE_ROWS), F.ceil(size / TILE_BYTES)).cast("int")
+
+    several = several.where("components > 1").select(
         "key",
-        "doc_id",
-        "component",
-        "prints",
-        F.least("part", "other").alias("down"),
-        F.greatest("part", "other").alias("across"),
-        F.when(F.col("part") == F.col("other"), 2)
-        .when(F.col("part") < F.col("other"), 0)
-        .otherwise(1)
-        .alias("side"),
+        "major",
+        parts(F.col("n"), F.col("bytes")).alias("columns"),
+        parts(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("rows"),
     )
-    return tiles.groupBy("key", "down", "across").applyInArrow(_tile_pairs(best), "a long, b long").distinct()
+    rows = members.join(several, "key")
+
+    def placed(side: int, own: str, other: str) -> DataFrame:
+        part = F.pmod(F.xxhash64("node", F.lit(side)), own).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        down, across = (part, every) if side == 0 else (every, part)
+        chosen = rows.where("component <> major") if side == 0 else rows
+        return chosen.select(
+            "key",
+            down.alias("down"),
+            across.alias("across"),
+            F.lit(side).alias("side"),
+            "node",
+            "component",
+            "prints",
+        )
+
+    return placed(0, "rows", "columns").union(placed(1, "columns", "rows"))
+
+
+def _looking_alike(tile: pa.Table) -> pa.Table:
+    """The tile's members whose sketch agrees with one of another component across."""
+    side, component, prints = tile["side"].to_numpy(), tile["component"].to_numpy(), _prints(tile["prints"])
+    across, keep = np.flatnonzero(side == 1), np.zeros(len(side), bool)
+    for i in np.flatnonzero(side == 0):
+        agree = (prints[across] == prints[i]).sum(1) >= LEAST_AGREEING
+        found = across[agree & (component[across] != component[i])]
+        keep[found] = True
+        keep[i] = len(found) > 0
+    return tile.filter(pa.array(keep))
+
+
+def _tile_links(tile: pa.Table) -> pa.Table:
+    """Links that join the components of a tile as far as its pairs do: a forest, so few.
+
+    A member is compared with all across that look alike and are not joined to it yet, on the full sets.
+    """
+    side, node, prints = tile["side"].to_numpy(), tile["node"].to_numpy(), _prints(tile["prints"])
+    _, component = np.unique(tile["component"].to_numpy(), return_inverse=True)
+    top = np.arange(component.max() + 1)
+    sets = [np.frombuffer(x, np.uint64) for x in tile["shingles"].to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    known, places = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    across = np.flatnonzero(side == 1)
+    columns = np.concatenate([places[ends[j] - sizes[j] : ends[j]] for j in across])
+    starts = np.r_[0, np.cumsum(sizes[across])[:-1]]
+    held, links = np.zeros(len(known), bool), []
+    for i in np.flatnonzero(side == 0):
+        agree = (prints[across] == prints[i]).sum(1) >= LEAST_AGREEING
+        if not (agree & (top[component[across]] != top[component[i]])).any():
+            continue
+        own = places[ends[i] - sizes[i] : ends[i]]
+        held[own] = True
+        shared = np.add.reduceat(held[columns], starts, dtype=np.int64)
+        held[own] = False
+        for j in across[agree & (100 * shared >= 75 * (sizes[i] + sizes[across] - shared))]:
+            one, two = top[component[i]], top[component[j]]
+            if one != two:
+                links.append((node[i], node[j]))
+                top[top == two] = one
+    return pa.table(dict(zip("ab", np.array(links, np.int64).reshape(-1, 2).T)))
+
+
+def _other_links(shared: DataFrame, nodes: DataFrame, docs: DataFrame, joined: DataFrame) -> DataFrame:
+    """Links that join nodes of a bucket which are still in different components."""
+    members = shared.join(joined, "node", "left").join(nodes.select("node", "n_shingles", "prints"), "node")
+    members = members.withColumn("component", F.coalesce("component", "node"))
+    tiles = _tiles(written(members)).groupBy("key", "down", "across")
+    schema = "key long, down int, across int, side int, node long, component long, prints binary"
+    alike = written(tiles.applyInArrow(_looking_alike, schema))
+    whole = alike.join(_sets(alike.select("node"), nodes, docs), "node")
+    return written(whole.groupBy("key", "down", "across").applyInArrow(_tile_links, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs(doc_id, text)``.
 
     Documents are linked when their sets of five-word shingles have a Jaccard
-    similarity of 0.75 or more. Exact copies of a set stand as one node. Documents that
-    share a band are candidates: first every one with the smallest of its bucket, then,
-    where a bucket still holds several components, the pairs across them that agree most,
-    and last all pairs across them. So no link of a shared bucket is left out, while a
-    large group of copies joins long before all its pairs are looked at. A pair at 0.75 exactly shares none of the 24 bands with probability 2e-6.
+    similarity of 0.75 or more. Equal sets are one node, whichever documents have them. Nodes that
+    share a band are candidates. First each is tried with one other; then, in the buckets
+    that still hold several components, all pairs across them are compared, in tiles, by their
+    sketches and then on the full sets, and a tile gives no more links than it takes to join
+    its components. So no link of a shared bucket is left out, and a large group of copies is
+    not compared pair by pair once it is joined. A pair at 0.75 exactly shares none of the 24 bands
+    with probability 2e-6. In a bucket, members outside its largest component cost a comparison
+    with every member.
 
     Null and empty texts have no shingles and are linked with nothing. Rows with the
-    same ``doc_id`` are one node and come back as often as they came; rows without
-    ``doc_id`` are dropped from the graph and come back alone. Further columns are
-    not read.
+    same ``doc_id`` are one document, linked as any of its texts is, and come back as often as
+    they came; rows without ``doc_id`` are dropped from the graph and come back alone. Further
+    columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = written(docs.mapInArrow(_sketched, _SKETCHED))
     sets = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     first = sets.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    known = sets.select("doc_id", "digest").join(first, "digest")
-    copies = known.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    nodes = sets.join(first.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sketches = written(nodes.dropDuplicates(["doc_id"]).select("doc_id", "prints"))
-    banded = nodes.select("doc_id", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("top"))
-    buckets = buckets.where("a < top").select("key", "a")
-    shared = written(banded.join(buckets, "key").select("key", "a", "doc_id"))
-    stars = shared.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    links = _verify(stars, docs, sketches)
-    tested = stars
-    for best in _BEST_PAIRS:
-        joined = components(links)
-        members = shared.join(joined, shared.doc_id == joined.node, "left").select(
-            "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
-        )
-        pairs = written(_rest(members, sketches, best).join(tested, ["a", "b"], "left_anti"))
-        links = links.union(_verify(pairs, docs, sketches))
-        tested = tested.union(pairs)
-    joined = components(links.union(copies))
-    return rows.join(joined, rows.doc_id == joined.node, "left").select(
+    sketches = sets.join(first, "digest").where("doc_id = first").dropDuplicates(["digest"])
+    node = F.monotonically_increasing_id().alias("node")
+    nodes = written(sketches.select(node, "digest", "first", "n_shingles", "prints", "bands"))
+    banded = nodes.select("node", F.explode("bands").alias("key"))
+    buckets = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    shared = written(banded.join(buckets, "key"))
+    links = _first_links(shared, nodes, docs)
+    joined = components(links)
+    links = links.union(_other_links(shared, nodes, docs, joined))
+
+    # Several texts of one id are one document.
+    known = written(sets.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest"))
+    ids = known.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
+    same = known.join(ids.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b"))
+    joined = components(links.union(same))
+    labelled = nodes.select("node", "first").join(joined, "node", "left")
+    labelled = written(labelled.select("node", "first", F.coalesce("component", "node").alias("component")))
+    least = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
+    answers = known.join(labelled.join(least, "component").select("node", "component_id"), "node")
+    answers = answers.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    found = rows.select("doc_id", "n_shingles").join(answers, "doc_id", "left")
+    component_id = F.coalesce("component_id", "doc_id")
+    return found.select(
         "doc_id",
         "n_shingles",
-        F.coalesce("component", "doc_id").alias("component_id"),
-        (F.col("component").isNull() | (F.col("component") == F.col("doc_id"))).alias("kept"),
+        component_id.alias("component_id"),
+        F.coalesce(component_id == F.col("doc_id"), F.lit(True)).alias("kept"),
     )

@@ -1,3 +1,8 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+
 from sheafwork.llm import minhash
 from sheafwork.llm.components import components
 from tests.llm import data
@@ -56,6 +61,54 @@ def test_chain_of_edits_and_groups(spark):
     assert result(data.documents(spark, rows)) == brute_force(rows)
 
 
+def look_alikes(seed, count, edits):
+    """Copies of one text with so many words changed that about a third of the pairs are links."""
+    rng = random.Random(seed)
+    base, rows = data.prose(seed, 150).split(), []
+    for number in range(count):
+        words = base[:]
+        for _ in range(rng.randint(0, edits)):
+            words[rng.randrange(150)] = f"edit{rng.randrange(60)}"
+        rows.append((seed * 10_000 + number, " ".join(words)))
+    return rows
+
+
+def test_look_alikes(spark, monkeypatch):
+    """Buckets with links and look-alikes, in one tile and in several."""
+    rows = [row for seed in range(3) for row in look_alikes(seed + 1, 120, 4 + 4 * seed)]
+    expected = brute_force(rows)
+    assert len({row[2] for row in expected}) > 30
+    assert result(data.documents(spark, rows)) == expected
+    monkeypatch.setattr(minhash, "TILE_ROWS", 16)
+    monkeypatch.setattr(minhash, "TILE_BYTES", 20_000)
+    assert result(data.documents(spark, rows)) == expected
+
+
+def test_texts_of_one_id(spark):
+    """A document is linked as any of its texts is."""
+    x, y = data.prose(1, 100), data.prose(2, 100)
+    rows = [(1, x), (2, y), (10, x + " tail"), (10, y + " tail"), (10, ""), (11, y + " other"), (12, None), (12, "a b")]
+    rows += [(13, "a b"), (None, x), (None, None)]
+    assert result(data.documents(spark, rows)) == brute_force(rows)
+    assert [row[2] for row in result(data.documents(spark, rows)) if row[0] == 10] == [1, 1, 1]
+
+
+def test_tile_links_are_a_forest():
+    sets = [np.arange(100, dtype=np.uint64) + np.uint64(k) for k in range(0, 40, 2)]
+    prints = np.zeros((40, minhash.BINS), np.uint8).tobytes()
+    tile = pa.table(
+        {
+            "side": [0] * 20 + [1] * 20,
+            "node": list(range(20)) * 2,
+            "component": list(range(20)) * 2,
+            "prints": [prints[: minhash.BINS]] * 40,
+            "shingles": [x.tobytes() for x in sets] * 2,
+        }
+    )
+    found = minhash._tile_links(tile).to_pylist()
+    assert len(found) == 19 and {x for row in found for x in row.values()} == set(range(20))
+
+
 def test_no_rows(spark):
     assert result(data.documents(spark, [])) == []
 
