@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sheafwork.llm.components import components
 from sheafwork.llm.hashing import mixed, raw, seeds, shingle_set
+from sheafwork.llm.sieve import sifted
 from sheafwork.llm.tables import written
 
 BINS = 72
@@ -94,13 +95,6 @@ def _prints(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sketches agree in enough bins."""
-    for batch in batches:
-        keep = (_prints(batch["prints_a"]) == _prints(batch["prints_b"])).sum(1) >= LEAST_AGREEING
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sets of nodes from texts with the node's id; a text that has another set is left out."""
     for batch in batches:
@@ -112,40 +106,27 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """``(node, shingles)`` of the nodes in ``wanted(node)``, computed once and written."""
-    named = wanted.distinct().join(nodes.select("node", "first", "digest"), "node")
-    texts = written(named).join(docs, F.col("first") == F.col("doc_id")).select("node", "digest", "text")
+    named = written(wanted.distinct().join(nodes.select("node", "first", "digest"), "node"))
+    named = named.withColumnRenamed("first", "doc_id")
+    texts = sifted(docs, "doc_id", named.select("doc_id")).join(named, "doc_id").select("node", "digest", "text")
     return written(texts.mapInArrow(_shingled, "node long, shingles binary").dropDuplicates(["node"]))
 
 
-def _similar(one: np.ndarray, two: np.ndarray) -> bool:
-    shared = len(np.intersect1d(one, two, assume_unique=True))
-    return 100 * shared >= 75 * (len(one) + len(two) - shared)
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with 100 * intersection >= 75 * union, on the full sets."""
-    for batch in batches:
-        pairs = zip(batch["shingles_a"].to_pylist(), batch["shingles_b"].to_pylist())
-        keep = [_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in pairs]
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def _both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """Pairs with a value for each end."""
-    sides = [values.select(F.col("node").alias(c), F.col(name).alias(f"{name}_{c}")) for c in "ab"]
-    return pairs.join(sides[0], "a").join(sides[1], "b")
-
-
 def _first_links(shared: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links ``(a, b)``: of each node to the first of a bucket, the one it shares most buckets with."""
+    """Links ``(a, b)`` of nodes to the first of a bucket: a pair for each of a node's buckets at most."""
     firsts = shared.groupBy("key").agg(F.min("node").alias("a"))
     stars = shared.join(firsts, "key").select("a", F.col("node").alias("b")).where("a < b")
-    best = stars.groupBy("b", "a").agg(F.count("*").alias("n")).groupBy("b")
-    pairs = best.agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
-    close = written(_both(pairs, nodes, "prints").mapInArrow(_alike, "a long, b long"))
-    ends = close.select(F.col("a").alias("node")).union(close.select("b"))
-    sets = _sets(ends, nodes, docs)
-    return written(_both(close, sets, "shingles").mapInArrow(_verified, "a long, b long"))
+    stars = written(stars.distinct())
+    sizes = stars.groupBy("a").agg(F.count("*").alias("n"))
+    # A star is cut into tiles of one row, its centre, which each of them has.
+    sizes = sizes.select("a", F.ceil(F.col("n") / TILE_ROWS).cast("int").alias("tiles"))
+    across = F.pmod(F.xxhash64("b"), "tiles").cast("int").alias("across")
+    ends = stars.join(sizes, "a").select("a", across, F.lit(1).alias("side"), F.col("b").alias("node"))
+    centres = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("across"))
+    centres = centres.select("a", "across", F.lit(0).alias("side"), F.col("a").alias("node"))
+    tiles = ends.union(centres).select(F.col("a").alias("key"), F.lit(0).alias("down"), "across", "side", "node")
+    tiles = tiles.join(nodes.select("node", F.col("node").alias("component"), "prints"), "node")
+    return _verified(tiles, nodes, docs)
 
 
 def _tiles(members: DataFrame) -> DataFrame:
@@ -239,15 +220,23 @@ def _tile_links(tile: pa.Table) -> pa.Table:
     return pa.table(dict(zip("ab", np.array(links, np.int64).reshape(-1, 2).T)))
 
 
+_TILES = "key long, down int, across int, side int, node long, component long, prints binary"
+
+
+def _verified(tiles: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that join the components of each tile; only members that look alike get their sets."""
+    columns = ["key", "down", "across", "side", "node", "component", "prints"]
+    tiles = tiles.select(columns).groupBy("key", "down", "across")
+    alike = written(tiles.applyInArrow(_looking_alike, _TILES))
+    whole = alike.join(_sets(alike.select("node"), nodes, docs), "node")
+    return written(whole.groupBy("key", "down", "across").applyInArrow(_tile_links, "a long, b long"))
+
+
 def _other_links(shared: DataFrame, nodes: DataFrame, docs: DataFrame, joined: DataFrame) -> DataFrame:
     """Links that join nodes of a bucket which are still in different components."""
     members = shared.join(joined, "node", "left").join(nodes.select("node", "n_shingles", "prints"), "node")
     members = members.withColumn("component", F.coalesce("component", "node"))
-    tiles = _tiles(written(members)).groupBy("key", "down", "across")
-    schema = "key long, down int, across int, side int, node long, component long, prints binary"
-    alike = written(tiles.applyInArrow(_looking_alike, schema))
-    whole = alike.join(_sets(alike.select("node"), nodes, docs), "node")
-    return written(whole.groupBy("key", "down", "across").applyInArrow(_tile_links, "a long, b long"))
+    return _verified(_tiles(written(members)), nodes, docs)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -255,7 +244,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Documents are linked when their sets of five-word shingles have a Jaccard
     similarity of 0.75 or more. Equal sets are one node, whichever documents have them. Nodes that
-    share a band are candidates. First each is tried with one other; then, in the buckets
+    share a band are candidates. First each is tried with the first of each bucket; then, in the buckets
     that still hold several components, all pairs across them are compared, in tiles, by their
     sketches and then on the full sets, and a tile gives no more links than it takes to join
     its components. So no link of a shared bucket is left out, and a large group of copies is
