@@ -11,6 +11,7 @@ block meets all documents in one pass that exchanges nothing.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -98,8 +99,8 @@ class Index:
         )
 
 
-def _aligned(item: np.ndarray, codes: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
-    """``(edits, start, end)`` of the best passage on diagonals ``low`` to ``high``.
+def _aligned(item: np.ndarray, codes: np.ndarray, low: int, high: int, budget: int) -> list[tuple[int, int, int]]:
+    """``(edits, start, end)`` of the best passage within budget at each end, on diagonals ``low`` to ``high``.
 
     A cell holds edits and where its passage starts, in one number that orders by edits.
     """
@@ -119,10 +120,49 @@ def _aligned(item: np.ndarray, codes: np.ndarray, low: int, high: int, budget: i
         ends = start + row
         cells[(ends < 0) | (ends > len(codes))] = none
         if cells.min() >= (budget + 1) * unit:
-            return None
-    best = int(cells.argmin())
-    edits, begin = divmod(int(cells[best]), int(unit))
-    return (edits, begin, low + best + len(item)) if edits <= budget else None
+            return []
+    hit = np.flatnonzero(cells < (budget + 1) * unit)
+    return list(zip((cells[hit] >> 32).tolist(), (cells[hit] & (unit - 1)).tolist(), (low + hit + len(item)).tolist()))
+
+
+def _apart(matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Passages that do not overlap, by place: those with fewest edits first, then those that start first."""
+    starts: list[int] = []
+    taken: list[tuple[int, int, int]] = []
+    for match in sorted(matches):
+        _, start, end = match
+        k = bisect.bisect_left(starts, end)
+        if start < end and (k == 0 or taken[k - 1][2] <= start):
+            starts.insert(k, start), taken.insert(k, match)
+    return taken
+
+
+def _all_aligned(
+    item: np.ndarray, codes: np.ndarray, bands: list[tuple[int, int]], budget: int
+) -> list[tuple[int, int, int]]:
+    """``(edits, start, end)`` of passages on the bands' diagonals: no other is left between them.
+
+    A text that repeats itself has several in a band, and the best one at an end may overlap one that
+    is taken; so what lies between is aligned again until nothing is found there.
+    """
+    taken: list[tuple[int, int, int]] = []
+    free = [(0, len(codes))]
+    while free:
+        found, left = [], []
+        for begin, end in free:
+            inside = []
+            for low, high in bands:
+                low, high = max(low, begin - budget), min(high, end - len(item) + budget)
+                if low <= high:
+                    inside += _aligned(item, codes[begin:end], low - begin, high - begin, budget)
+            own = [(edits, begin + x, begin + y) for edits, x, y in _apart(inside)]
+            found += own
+            edges = [begin, *(x for _, *place in own for x in place), end]
+            if own:
+                left += [(x, y) for x, y in zip(edges[::2], edges[1::2]) if y - x >= len(item) - budget]
+        taken += found
+        free = left
+    return taken
 
 
 def _candidates(index: Index, codes: np.ndarray, known: np.ndarray) -> list[tuple[int, int, int]]:
@@ -163,24 +203,19 @@ def _matches(index: Index, known: np.ndarray, texts: list[np.ndarray]) -> list[l
     whole = np.full(int(sizes.sum()) + _GAP * len(texts), -1, np.int64)
     for start, codes in zip(starts, texts):
         whole[start : start + len(codes)] = codes
+    bands: dict[tuple[int, int], list[tuple[int, int]]] = {}
     # Gaps hash alike but are in no item; each is wider than any band reaches.
     for item, low, high in _candidates(index, whole, known):
-        size, budget = len(index.codes[item]), int(index.budget[item])
-        doc = int(np.searchsorted(starts, max(0, high + size // 2), "right")) - 1
-        for own in {doc, max(0, doc - 1)}:
+        size = len(index.codes[item])
+        first = max(0, int(np.searchsorted(starts, low, "right")) - 1)
+        for own in range(first, int(np.searchsorted(starts, high + size, "right"))):
             shift = int(starts[own])
-            if high + size < shift or low > shift + sizes[own]:
-                continue
-            found = _aligned(index.codes[item], texts[own], low - shift, high - shift, budget)
-            if found:
-                out[own].append((index.ids[item], found[1], found[2], found[0]))
-    for k, matches in enumerate(out):
-        best: list[Match] = []
-        for match in sorted(matches, key=lambda m: (m[3], m[1], m[2], repr(m[0]))):
-            if not any(m[0] == match[0] and m[1] < match[2] and match[1] < m[2] for m in best):
-                best.append(match)
-        out[k] = sorted(best, key=lambda m: (m[1], m[2], repr(m[0])))
-    return out
+            if high + size >= shift and low <= shift + sizes[own]:
+                bands.setdefault((own, item), []).append((low - shift, high - shift))
+    for (own, item), places in bands.items():
+        found = _all_aligned(index.codes[item], texts[own], places, int(index.budget[item]))
+        out[own] += [(index.ids[item], start, end, edits) for edits, start, end in found]
+    return [sorted(matches, key=lambda m: (m[1], m[2], repr(m[0]))) for matches in out]
 
 
 def _slices(column: pa.Array) -> Iterator[list[np.ndarray]]:
@@ -239,7 +274,7 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Places are code points, the end exclusive. Letters are compared without case and any
     white space as a blank. An item of m characters may have m // 16 edits. Of overlapping
-    passages of one item the one with fewest edits is returned. Items of under ten
+    passages of one item the one with fewest edits is returned; between those returned there is no other. Items of under ten
     characters, null and empty ones are too short to tell and match nothing; repeated
     items match each. Null texts are empty, repeated documents are searched each.
     """
@@ -263,45 +298,60 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return " ".join(part.strip() for part in out if part.strip()) if spans else text
 
 
-_SPANS = "decontaminate_spans"
-
-
-def _marked(index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _marked(index, spans: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds the starts and ends of a block's passages to each row's spans."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = [
+            found = [
                 known + [place for match in matches for place in match[1:3]]
-                for known, matches in zip(batch[_SPANS].to_pylist(), _found(index.value)(batch["text"]))
+                for known, matches in zip(batch[spans].to_pylist(), _found(index.value)(batch["text"]))
             ]
-            place = batch.schema.get_field_index(_SPANS)
+            place = batch.schema.get_field_index(spans)
             field = batch.schema.field(place)
-            yield batch.set_column(place, field, pa.array(spans, field.type))
+            yield batch.set_column(place, field, pa.array(found, field.type))
 
     return rows
 
 
-def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [
-            cut(text.as_py(), list(zip(spans[::2], spans[1::2]))) if spans else text.as_py()
-            for text, spans in zip(batch["text"], batch[_SPANS].to_pylist())
-        ]
-        place = batch.schema.get_field_index("text")
-        field = batch.schema.field(place)
-        batch = batch.set_column(place, field, pa.array(texts, field.type))
-        yield batch.select([name for name in batch.schema.names if name != _SPANS])
+def _cleaned(text: str, spans: list[tuple[int, int]], indexes: list[Index]) -> str:
+    """The text without the spans, and without passages that come to stand together by that."""
+    while spans:
+        text = cut(text, spans)
+        column = pa.array([text], pa.string())
+        spans = [match[1:3] for index in indexes for matches in _found(index)(column) for match in matches]
+    return text
+
+
+def _removed(handles: list, spans: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch["text"].to_pylist()
+            for k, places in enumerate(batch[spans].to_pylist()):
+                if places:
+                    indexes = [handle.value for handle in handles]
+                    texts[k] = _cleaned(texts[k], list(zip(places[::2], places[1::2])), indexes)
+            place = batch.schema.get_field_index("text")
+            field = batch.schema.field(place)
+            batch = batch.set_column(place, field, pa.array(texts, field.type))
+            yield batch.select([name for name in batch.schema.names if name != spans])
+
+    return rows
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with the passages of :func:`passages` cut out of ``text``.
 
-    All blocks of items are searched in the texts as they are; what they find is cut at once.
+    All blocks of items are searched in the texts as they are; what they find is cut at once. A text
+    that something was cut from is searched again, since what stood around it may now be a passage,
+    until none is left.
     """
     schema = docs.schema
-    docs = docs.withColumn(_SPANS, F.array().cast("array<long>"))
-    for index in _blocks(benchmark):
-        handle = docs.sparkSession.sparkContext.broadcast(index)
-        docs = docs.mapInArrow(_marked(handle), docs.schema)
-    return docs.mapInArrow(_removed, schema)
+    spans = "decontaminate_spans"
+    while spans in docs.columns:
+        spans += "_"
+    docs = docs.withColumn(spans, F.array().cast("array<long>"))
+    handles = [docs.sparkSession.sparkContext.broadcast(index) for index in _blocks(benchmark)]
+    for handle in handles:
+        docs = docs.mapInArrow(_marked(handle, spans), docs.schema)
+    return docs.mapInArrow(_removed(handles, spans), schema)

@@ -105,10 +105,15 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``(node, shingles)`` of the nodes in ``wanted(node)``, computed once and written."""
+    """``(node, shingles)`` of the nodes in ``wanted(node)``, computed once and written.
+
+    The join is by sorting whatever the sizes, so that its two Python steps are different stages and a
+    task has one worker.
+    """
     named = written(wanted.distinct().join(nodes.select("node", "first", "digest"), "node"))
     named = named.withColumnRenamed("first", "doc_id")
-    texts = sifted(docs, "doc_id", named.select("doc_id")).join(named, "doc_id").select("node", "digest", "text")
+    texts = sifted(docs, "doc_id", named.select("doc_id")).join(named.hint("merge"), "doc_id")
+    texts = texts.select("node", "digest", "text")
     return written(texts.mapInArrow(_shingled, "node long, shingles binary").dropDuplicates(["node"]))
 
 

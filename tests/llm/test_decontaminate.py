@@ -105,6 +105,54 @@ def test_items_that_overlap_are_cut_whole(spark, monkeypatch, turned):
         assert [r.text for r in decontaminate.decontaminate(docs, given).collect()] == ["before after"]
 
 
+PERIODIC = [(1, "la " * 9 + "la"), (2, "1010" * 6), (3, "ab" * 5), (4, "x" * 40), (5, "na na na na batman " * 2)]
+
+
+def left_over(items, text):
+    plain = "".join(map(chr, decontaminate.folded(text)))
+    return [i for i, item in items if min(distances(item, plain)) <= decontaminate.edits_allowed(len(item))]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_items_and_texts_that_repeat_themselves(spark, seed):
+    """No passage is left between those found, and no item in a text that was cleaned."""
+    rng = random.Random(seed)
+    rows = [(1, "before " + "la " * 40 + "after"), (2, "10" * 70), (3, "x" * 500), (4, "la " * 2_000)]
+    for k in range(10, 30):
+        parts = [edited(rng.choice(PERIODIC)[1] * rng.randrange(1, 4), rng.randrange(3), rng) for _ in range(4)]
+        rows.append((k, data.prose(k, 4).join(parts)))
+    docs, given = data.documents(spark, rows), bench(spark, PERIODIC)
+    found = {}
+    for row in decontaminate.passages(docs, given).collect():
+        found.setdefault((row.doc_id, row.item_id), []).append((row.start, row.end, row.edits))
+    for (doc_id, text), (item_id, item) in ((r, i) for r in rows for i in PERIODIC):
+        if len(text) > 2_000:
+            continue
+        plain, at = "".join(map(chr, decontaminate.folded(text))), 0
+        for start, end, edits in sorted(found.get((doc_id, item_id), [])) + [(len(plain), len(plain), None)]:
+            assert at <= start
+            assert min(distances(item, plain[at:start])) > decontaminate.edits_allowed(len(item))
+            assert edits is None or distances(item, plain[start:end])[-1] == edits
+            at = end
+    clean = {row.doc_id: row.text for row in decontaminate.decontaminate(docs, given).collect()}
+    assert not any(left_over(PERIODIC, text) for text in clean.values())
+    assert (clean[1], clean[4]) == ("before after", "")
+
+
+def test_halves_that_meet_by_a_cut(spark):
+    """An item around another one is gone as well."""
+    outer, inner = data.prose(70, 30), data.prose(71, 20)
+    half = outer.index(" ", len(outer) // 2)
+    text = f"before {outer[:half]} {inner}{outer[half:]} after"
+    docs, given = data.documents(spark, [(1, text)]), bench(spark, [(1, outer), (2, inner)])
+    assert [r.text for r in decontaminate.decontaminate(docs, given).collect()] == ["before after"]
+
+
+def test_a_column_with_the_name_used_inside(spark):
+    frame = spark.createDataFrame([(1, f"a {ITEMS[2][1]} b", "x", 2)], "doc_id long, text string, decontaminate_spans string, item_id int")
+    assert [tuple(r) for r in decontaminate.decontaminate(frame, bench(spark)).collect()] == [(1, "a b", "x", 2)]
+
+
 def test_no_rows(spark):
     assert decontaminate.passages(data.documents(spark, []), bench(spark)).collect() == []
     assert decontaminate.passages(data.documents(spark), bench(spark, [])).collect() == []
