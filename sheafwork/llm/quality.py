@@ -18,14 +18,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheafwork.llm.hashing import mixed
 from sheafwork.llm.tables import written
 
 ORDER = 5
-DOCS_PER_BLOCK = 4_000
+#: Characters of a block's documents, about. A task has one block at once.
+BLOCK_CHARS = 6_000_000
 _BITS = 21
 #: Symbols of the model: code points.
 SYMBOLS = 0x110000
@@ -41,8 +42,8 @@ _HELD_OUT, _TRAINS = 1, 2
 PRIOR_CHARS = 100
 #: How far above the middle a document may be, in steps from the middle to a quantile.
 STEPS, QUANTILE = 4.0, 0.9
-#: A language with fewer trusted documents is judged by the quantiles of all.
-LEAST_TRUSTED = 20
+#: The quantiles of all trusted documents count for so many documents in a language's own.
+PRIOR_DOCUMENTS = 20
 
 
 def symbols(text: str) -> np.ndarray:
@@ -93,6 +94,19 @@ def _slices(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
         yield first, texts[first:]
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed, each by itself: they are exchanged and held as that."""
+    coder = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        blobs = [coder.compress((text or "").encode("utf-8", "surrogatepass")) for text in batch["text"].to_pylist()]
+        yield pa.record_batch([*batch.columns[:3], pa.array(blobs, pa.binary())], names=["doc_id", "row", "lang", "blob"])
+
+
+def _texts(docs: pa.Table) -> list[str]:
+    coder = zstandard.ZstdDecompressor()
+    return [coder.decompress(blob).decode("utf-8", "surrogatepass") for blob in docs["blob"].to_pylist()]
+
+
 def _documents(rows: pa.Table) -> tuple[pa.Table, np.ndarray]:
     """The documents of a block, and how far all their labels trust them."""
     is_doc = rows["is_doc"].to_numpy()
@@ -121,9 +135,9 @@ def unpacked(blob: bytes, kind: str) -> np.ndarray:
 
 
 def _wanted(texts: list[str], trusted: np.ndarray, shards: int) -> tuple[np.ndarray, ...]:
-    """A block's distinct n-grams by shard, then name: names, counts in training texts,
+    """A block's distinct n-grams by shard, then both words: names, counts in training texts,
     both words and shards."""
-    parts = [(np.zeros(0), *(np.zeros(0, np.uint64) for _ in range(2)))]
+    parts, size = [(np.zeros(0), *(np.zeros(0, np.uint64) for _ in range(2)))], 0
     for first, some in _slices(texts):
         high, low, sizes = _grams(some)
         code, unique = pd.factorize(_named(high, low, ORDER))
@@ -131,9 +145,14 @@ def _wanted(texts: list[str], trusted: np.ndarray, shards: int) -> tuple[np.ndar
         spot = np.zeros(len(unique), np.int64)
         spot[code] = np.arange(len(code))
         parts.append((np.bincount(code, counted, len(unique)), high[spot], low[spot]))
+        size += len(unique)
+        # What slices have in common is summed up as soon as it is as much as the rest.
+        if size > 2 * len(parts[0][0]) + _SLICE_CHARS:
+            parts, size = [_summed(*(np.concatenate(x) for x in zip(*parts)))[1:]], 0
     keys, counts, high, low = _summed(*(np.concatenate(x) for x in zip(*parts)))
     shard = (mixed(keys) % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
+    # Neighbours share most of their last symbols, so they compress well.
+    order = np.lexsort((high, low, shard))
     return tuple(x[order] for x in (keys, counts, high, low, shard))
 
 
@@ -142,7 +161,7 @@ def _ask(shards: int) -> Callable[[pa.Table], pa.Table]:
 
     def ask(rows: pa.Table) -> pa.Table:
         docs, trusted = _documents(rows)
-        _, counts, high, low, shard = _wanted([text or "" for text in docs["text"].to_pylist()], trusted, shards)
+        _, counts, high, low, shard = _wanted(_texts(docs), trusted, shards)
         used, first = np.unique(shard, return_index=True)
         block = rows["block"][0].as_py() if len(rows) else 0
         parts = [np.split(x, first[1:])[: len(used)] for x in (high, low, counts.astype("<u4"))]
@@ -294,8 +313,8 @@ def _scored(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 def _score(rows: pa.Table, answers: pa.Table, shards: int) -> pa.Table:
     docs, trusted = _documents(rows)
-    texts = [text or "" for text in docs["text"].to_pylist()]
-    keys, *_ = _wanted(texts, trusted, shards)
+    texts = _texts(docs)
+    keys = _wanted(texts, trusted, shards)[0]
     # Answers have no keys: those of a shard are in the order in which they were asked.
     logs = _joined(answers.sort_by("shard")["logs"], "<f4").astype(float)
     order = np.argsort(keys)
@@ -311,6 +330,7 @@ def _score(rows: pa.Table, answers: pa.Table, shards: int) -> pa.Table:
     return pa.table(
         {
             "doc_id": docs["doc_id"],
+            "row": docs["row"],
             "lang": docs["lang"],
             "trusted": pa.array(trusted, pa.int32()),
             "chars": pa.array(chars),
@@ -319,31 +339,39 @@ def _score(rows: pa.Table, answers: pa.Table, shards: int) -> pa.Table:
     )
 
 
-def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, lang, trusted, chars, log_sum)`` of every row of ``docs(doc_id, text,
+def scores(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
+    """``(doc_id, row, lang, trusted, chars, log_sum)`` of every row of ``docs(doc_id, text,
     lang)``; ``log_sum`` is the natural log of its probability under the model of the
     documents that ``labels(doc_id, quality, toxic)`` trust: quality 1, not toxic.
-    ``trusted`` is 2 where the document trained the model, 1 where it was held out.
+    ``trusted`` is 2 where the document trained the model, 1 where it was held out. ``row`` names
+    a column of numbers that is carried along, to tell rows apart; without it the numbers are null.
 
     A document with several labels is trusted when all do. Labels of other documents and
     without ``doc_id`` count for nothing. Null texts are empty. Without trusted text all
-    symbols are equally likely. Rows with the same ``doc_id`` are scored each.
+    symbols are equally likely. Rows with the same ``doc_id`` are scored each, in one block. Very long
+    texts are cut into slices for counting, but a block has each of its texts whole.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
-    number = max(1, math.ceil(docs.count() / DOCS_PER_BLOCK))
+    number = F.col(row).cast("long") if row else F.lit(None).cast("long")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), number.alias("row"), "lang", "text")
+    chars = docs.agg(F.sum(F.length("text")).alias("chars")).first().chars or 0
+    number = max(1, math.ceil(chars / BLOCK_CHARS))
+    docs = docs.mapInArrow(_squeezed, "doc_id long, row long, lang string, blob binary")
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     fold = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("fold")), F.lit(FOLDS).cast("long"))
-    marks = labels.select(
+    marks = labels.where("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"),
+        F.lit(None).cast("long").alias("row"),
         F.lit(None).cast("string").alias("lang"),
-        F.lit(None).cast("string").alias("text"),
+        F.lit(None).cast("binary").alias("blob"),
         F.when(~F.coalesce(good, F.lit(False)), 0).when(fold == 0, _HELD_OUT).otherwise(_TRAINS).alias("trusted"),
         F.lit(False).alias("is_doc"),
     )
     rows = docs.select("*", F.lit(0).alias("trusted"), F.lit(True).alias("is_doc")).union(marks)
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(number).cast("long")).alias("block")
+    # Rows without an id have no labels to meet.
+    spread = F.xxhash64(F.coalesce("doc_id", F.xxhash64("blob")))
+    block = F.pmod(spread, F.lit(number).cast("long")).alias("block")
     blocks = rows.select(block, "*").groupBy("block")
-    shards = number * 4
+    shards = number
     asked = blocks.applyInArrow(_ask(shards), "shard long, block long, high binary, low binary, counts binary")
     merged = asked.groupBy("shard").applyInArrow(_merge, "model long, high long, low long, count long")
     parts = merged.groupBy("model").applyInArrow(_statistics, "order long, key long, n long")
@@ -361,37 +389,43 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .applyInArrow(_answer, "block long, shard long, logs binary")
     )
     return blocks.cogroup(answers.groupBy("block")).applyInArrow(
-        _scored(shards), "doc_id long, lang string, trusted int, chars long, log_sum double"
+        _scored(shards), "doc_id long, row long, lang string, trusted int, chars long, log_sum double"
     )
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, lang, chars, perplexity, bound, accepted)`` of every row of ``docs``.
+def classify(docs: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
+    """``(doc_id, lang, chars, perplexity, bound, accepted)`` of every row of ``docs``, and ``row``
+    if it names a column of numbers that tell rows apart.
 
     A document's log perplexity is averaged with the middle one of its language's held out
     trusted documents, which counts for ``PRIOR_CHARS`` characters, so that a few words are not
     judged by themselves. The bound lies ``STEPS`` times as far above the middle as the
-    ``QUANTILE`` quantile does. Languages with few trusted documents, and null ones, take
-    the quantiles of all trusted documents; without any, all are accepted. A document
-    without characters has no perplexity and is not accepted.
+    ``QUANTILE`` quantile does. A language's quantiles are averaged with those of all trusted
+    documents, which count for ``PRIOR_DOCUMENTS``; a null language takes the latter, and without
+    any trusted document all are accepted. A document without characters has no perplexity and
+    is not accepted. Very long texts and repeated rows are those of :func:`scores`.
     """
-    scored = written(scores(docs, labels))
+    scored = written(scores(docs, labels, row))
     trusted = scored.where(f"trusted = {_HELD_OUT} AND chars > 0").withColumn("cost", -F.col("log_sum") / F.col("chars"))
     marks = [
         F.percentile_approx("cost", [0.5, QUANTILE], 10_000).alias("marks"),
         F.count("*").alias("number"),
     ]
-    by_language = trusted.groupBy("lang").agg(*marks).where(f"number >= {LEAST_TRUSTED} AND lang IS NOT NULL")
-    overall = trusted.agg(*marks).first()
-    middle, high = overall.marks or (0.0, float("inf"))
-    # One row a language: the languages that a corpus is labelled with are few.
-    judged = scored.join(F.broadcast(by_language), "lang", "left")
-    middle = F.coalesce(F.col("marks")[0], F.lit(middle))
-    high = F.coalesce(F.col("marks")[1], F.lit(high))
+    by_language = trusted.where("lang IS NOT NULL").groupBy("lang").agg(*marks)
+    overall = trusted.agg(*marks).first().marks or (0.0, float("inf"))
+    judged = scored.join(by_language, "lang", "left")
+    share = F.col("number") / (F.col("number") + PRIOR_DOCUMENTS)
+
+    def blended(place: int) -> Column:
+        own = share * F.col("marks")[place] + (1 - share) * F.lit(overall[place])
+        return F.coalesce(own, F.lit(overall[place]))
+
+    middle, high = blended(0), blended(1)
     cost = (PRIOR_CHARS * middle - F.col("log_sum")) / (PRIOR_CHARS + F.col("chars"))
     some = F.col("chars") > 0
     return judged.select(
         "doc_id",
+        *([F.col("row").alias(row)] if row else []),
         "lang",
         "chars",
         F.when(some, F.exp(-F.col("log_sum") / F.col("chars"))).alias("perplexity"),

@@ -82,11 +82,20 @@ def test_given_labels(spark):
 def test_blocks_do_not_matter(spark, monkeypatch):
     docs, marks = data.documents(spark), labels(spark, [(1, 1, 0), (8, 1, 0), (11, 1, 0)])
     one = sorted(map(str, quality.classify(docs, marks).collect()))
-    monkeypatch.setattr(quality, "DOCS_PER_BLOCK", 3)
+    monkeypatch.setattr(quality, "BLOCK_CHARS", 3_000)
     monkeypatch.setattr(quality, "_SLICE_CHARS", 100)
     assert sorted(map(str, quality.classify(docs, marks).collect())) == one
 
 
+def test_rows_are_told_apart(spark):
+    """Numbers are carried along, and rows of one id keep their own."""
+    rows = [(7, "a b c"), (7, "x y"), (None, "none"), (None, None), (7, "a b c")]
+    frame = spark.createDataFrame([(i, t, None, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, own long")
+    found = quality.classify(frame, labels(spark, [(7, 1, 0)]), "own").collect()
+    assert sorted((r.own, r.doc_id, r.chars) for r in found if r.doc_id) == [(0, 7, 5), (1, 7, 3), (4, 7, 5)]
+    assert sorted((r.own, r.chars) for r in found if not r.doc_id) == [(2, 4), (3, 0)]
+
+
 def test_nothing_known(spark):
     none = labels(spark, [])
     assert quality.classify(data.documents(spark, []), none).collect() == []
