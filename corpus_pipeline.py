@@ -3,8 +3,9 @@
 Every stage works on the rows that its predecessor kept and returns the columns of
 ``documents``; the last returns the pieces of packed sequences. Rows are kept as they
 are but for what a stage decides: ``n_chars`` follows the text, and nothing else changes.
-Rows without ``doc_id`` cannot be told apart by a decision: the classifier and the
-near-duplicate stage drop them.
+The classifier and the near-duplicate stage number the rows they are given and decide by
+number. So rows that share a ``doc_id`` are judged each by its own text, and so are rows
+without one; a label counts for every row with its ``doc_id``.
 """
 
 from __future__ import annotations
@@ -22,18 +23,33 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number each, written, and the number's name, which no other column has."""
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    return written(docs.withColumn(row, F.monotonically_increasing_id())), row
+
+
+def _chosen(docs: DataFrame, rows: DataFrame, row: str) -> DataFrame:
+    return docs.join(rows.select(row), row, "left_semi").drop(row)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts."""
-    judged = quality.classify(docs, table(spark, sf_dir, "labels"))
-    accepted = judged.groupBy("doc_id").agg(F.bool_and("accepted").alias("all")).where("all")
-    return docs.join(accepted.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    """Rows that the classifier accepts."""
+    docs, row = _numbered(docs)
+    judged = quality.classify(docs, table(spark, sf_dir, "labels"), row)
+    return _chosen(docs, judged.where("accepted"), row)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies, once."""
-    found = minhash.near_duplicates(docs)
-    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    """Of each group of near copies the row with the smallest ``doc_id``; rows without one come last."""
+    docs, row = _numbered(docs)
+    found = minhash.near_duplicates(docs.select(F.col(row).alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias(row), "component_id")
+    places = docs.select(row, F.struct(F.col("doc_id").isNull(), "doc_id", row).alias("place"))
+    first = found.join(places, row).groupBy("component_id").agg(F.min("place").alias("place"))
+    return _chosen(docs, first.select(F.col(f"place.{row}").alias(row)), row)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
