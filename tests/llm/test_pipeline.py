@@ -63,3 +63,25 @@ def test_run_and_hostile_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             given = written(stage(spark, given, data.SF_DIR))
         assert rows is None or given.count() == 0
+
+
+def test_rows_that_share_an_id(spark):
+    """Rows are judged by their own text: of copies one stays, other texts of the id stay as well."""
+    docs = table(spark, data.SF_DIR, "documents")
+    columns = docs.columns
+    texts = [r.text for r in quality.classify(docs, table(spark, data.SF_DIR, "labels")).where("accepted").join(docs, "doc_id").orderBy("doc_id").limit(40).collect()]
+    kept = set(texts)
+    alike = {row[0]: row[2] for row in groups(list(enumerate(texts)))}
+    rows = [(-7, t, "en", "s", len(t)) for t in texts] + [(None, t, "en", "s", len(t)) for t in texts]
+    rows += [(-7, "\u4e00" * 60, "en", "s", 60), (-8, texts[0], "en", "s", 1)]
+    added = spark.createDataFrame(rows, docs.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    given = written(docs.select(added.columns).union(added))
+    assert set(given.columns) == set(columns)
+    accepted = corpus_pipeline.quality_stage(spark, given, data.SF_DIR)
+    assert accepted.columns == given.columns
+    own = written(accepted.where("doc_id < 0 OR doc_id IS NULL"))
+    found = own.collect()
+    assert {r.text for r in found if r.doc_id == -7} == {r.text for r in found if r.doc_id is None} == kept
+    single = corpus_pipeline.near_duplicate_stage(spark, own, data.SF_DIR).collect()
+    assert len(single) == len(set(alike.values()))
+    assert {r.doc_id for r in single} == {-8, -7}
