@@ -17,9 +17,20 @@ PACKINGS = [
     (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60),
 ]
 _WIDEST = 60
+_LOW = np.uint64(0xFFFF)
+_WIDTHS = np.array([n.bit_length() for n in range(1 << 16)], np.uint8)
 _COUNTS = np.array([1] + [count for count, _ in PACKINGS] + [0])
 
 
+def _widths(values: np.ndarray) -> np.ndarray:
+    """Bits of each value, read 16 at a time from a table."""
+    widths, most = _WIDTHS[values & _LOW], int(values.max())
+    for part in range(1, -(-most.bit_length() // 16)):
+        high = _WIDTHS[values >> np.uint64(16 * part) & _LOW]
+        widths = np.where(high > 0, high + np.uint8(16 * part), widths)
+    return widths
+
+
 def _selectors(widths: np.ndarray) -> np.ndarray:
     """For every place the selector that packs most of the values from there on."""
     span = {1: widths}
@@ -52,10 +63,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     full = np.zeros(blocks * BLOCK, np.uint64)
     full[: len(values)] = values
     padded[:, :BLOCK] = full.reshape(blocks, BLOCK)
-    widths = np.zeros(padded.shape, np.uint8)
-    for bit in range(int(values.max()).bit_length()):
-        widths += (padded >> np.uint64(bit)) > 0
-    selectors = _selectors(widths)
+    selectors = _selectors(_widths(padded))
     sizes = np.full(blocks, BLOCK)
     sizes[-1] = len(values) - (blocks - 1) * BLOCK
     place, rows = np.zeros(blocks, np.int64), np.arange(blocks)

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -19,8 +20,9 @@ from sheafwork.llm.hashing import raw
 from sheafwork.session import shared_folder
 
 END = 2
-_SLICE = 128
-_KEPT_WORDS = 400_000
+# Bytes of the texts that are encoded together.
+_SLICE_BYTES = 3 << 20
+_KEPT_WORDS = 300_000
 _TOGETHER = 256
 _PUNCTUATION = string.punctuation.encode()
 _GROUP_IDS = 1 << 19
@@ -89,17 +91,34 @@ class WordEncoder:
         marks = {mark: self._one(mark.decode()) for mark in {mark for _, _, mark in marked}}
         self.young.update((word, self.young[stem] + marks[mark]) for word, stem, mark in marked)
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [_folded(text).split() for text in texts]
-        seen = set().union(*split)
-        fresh = [word for word in seen if word not in self.young]
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words."""
+        fresh = [word for word in words if word not in self.young]
         if len(self.young) + len(fresh) > _KEPT_WORDS and self.young:
             self.old, self.young = self.young, {}
-            fresh = seen
+            fresh = words
         self.young.update((word, self.old[word]) for word in fresh if word in self.old)
         self._learn({word for word in fresh if word not in self.old})
-        return [b"".join(map(self.young.__getitem__, words)) for words in split]
+        return [self.young[word] for word in words]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text.
+
+        Words are split and numbered for all texts at once, so only distinct ones are looked up.
+        """
+        split = pc.ascii_split_whitespace(pa.array(list(map(_folded, texts)), pa.string()))
+        words = split.flatten().dictionary_encode()
+        coded = self._known(words.dictionary.cast(pa.binary()).to_pylist())
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        ids = np.frombuffer(b"".join(coded), "<u4")
+        number = words.indices.to_numpy()
+        counts = sizes[number]
+        ends = np.r_[0, np.cumsum(counts)]
+        # Each word's ids from its first one on.
+        place = np.repeat((np.cumsum(sizes) - sizes)[number] - ends[:-1], counts)
+        whole = ids[place + np.arange(ends[-1])]
+        edges = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [whole[a:b].tobytes() for a, b in zip(edges, edges[1:])]
 
 
 def _folded(text: bytes) -> bytes:
@@ -113,6 +132,16 @@ def _folded(text: bytes) -> bytes:
     return text.lower()
 
 
+def _slices(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Neighbouring texts and the place of the first, by their size."""
+    first, size = 0, 0
+    for k, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= _SLICE_BYTES or k == len(texts):
+            yield first, texts[first:k]
+            first, size = k, 0
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -150,9 +179,9 @@ def _file_rows(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         end = np.array([END], "<u4").tobytes()
         size = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, _SLICE):
-                piece = batch.slice(at, _SLICE)
-                for doc_id, code in zip(piece["doc_id"].to_pylist(), coder.encode(raw(piece["text"]))):
+            doc_ids = batch["doc_id"].to_pylist()
+            for at, texts in _slices(raw(batch["text"])):
+                for doc_id, code in zip(doc_ids[at:], coder.encode(texts)):
                     ids.append(doc_id), coded.append(code + end)
                     size += len(code) // 4 + 1
                     if size >= _GROUP_IDS:
