@@ -24,7 +24,8 @@ END = 2
 _SLICE_BYTES = 3 << 20
 _KEPT_WORDS = 300_000
 _TOGETHER = 256
-_PUNCTUATION = string.punctuation.encode()
+# Ends with a digit or a Latin letter that turns into one letter.
+_LETTER = r"[0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]$"
 _GROUP_IDS = 1 << 19
 
 #: A row is a run of documents: where it stands in its part, and its ids as words.
@@ -69,56 +70,60 @@ class WordEncoder:
 
     def _learn(self, words: set[bytes]) -> None:
         """Encode words that are in neither generation."""
-        plain, marked = [], []
+        plain = []
         for word in words:
-            # Punctuation behind a letter or digit stands by itself.
-            stem = word.rstrip(_PUNCTUATION)
-            if len(stem) < len(word) and stem[-1:].isalnum() and b"<|" not in word:
-                marked.append((word, stem, word[len(stem) :]))
-                if stem in self.young or stem in words:
-                    continue
-            else:
-                stem = word
-            text = stem.decode()
+            text = word.decode()
             # Up to here no letter is taken apart or turns into more than letters.
             if text.isalpha() and max(text) < "\u0250" and "\u0130" not in text:
                 plain.append(text)
             else:
-                self.young[stem] = self._one(text)
+                self.young[word] = self._one(text)
         for at in range(0, len(plain), _TOGETHER):
             some = plain[at : at + _TOGETHER]
             self.young.update(zip(map(str.encode, some), self._together(some)))
-        marks = {mark: self._one(mark.decode()) for mark in {mark for _, _, mark in marked}}
-        self.young.update((word, self.young[stem] + marks[mark]) for word, stem, mark in marked)
 
     def _known(self, words: list[bytes]) -> list[bytes]:
         """The ids of distinct words."""
-        fresh = [word for word in words if word not in self.young]
+        coded = list(map(self.young.get, words))
+        fresh = [word for word, ids in zip(words, coded) if ids is None]
+        if not fresh:
+            return coded
         if len(self.young) + len(fresh) > _KEPT_WORDS and self.young:
-            self.old, self.young = self.young, {}
-            fresh = words
-        self.young.update((word, self.old[word]) for word in fresh if word in self.old)
-        self._learn({word for word in fresh if word not in self.old})
-        return [self.young[word] for word in words]
+            self.old, self.young, fresh = self.young, {}, words
+        known = [(word, self.old[word]) for word in fresh if word in self.old]
+        self.young.update(known)
+        self._learn(set(fresh).difference(word for word, _ in known))
+        return list(map(self.young.__getitem__, words))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text.
 
-        Words are split and numbered for all texts at once, so only distinct ones are looked up.
+        Words are split and numbered for all texts at once, so only distinct ones are looked up,
+        and punctuation behind a letter or digit by itself, as the tokenizer takes it.
         """
         split = pc.ascii_split_whitespace(pa.array(list(map(_folded, texts)), pa.string()))
         words = split.flatten().dictionary_encode()
-        coded = self._known(words.dictionary.cast(pa.binary()).to_pylist())
+        whole = words.dictionary
+        stems = pc.utf8_rtrim(whole, string.punctuation)
+        apart = pc.and_(pc.match_substring_regex(stems, _LETTER), pc.invert(pc.match_substring(whole, "<|")))
+        stems = pc.if_else(apart, stems, whole)
+        bare = zip(whole.cast(pa.binary()).to_pylist(), pc.binary_length(stems).to_pylist())
+        marks = pa.array([word[size:] for word, size in bare], pa.binary())
+        parts = pa.concat_arrays([stems.cast(pa.binary()), marks]).dictionary_encode()
+        coded = self._known(parts.dictionary.to_pylist())
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        starts = np.cumsum(sizes) - sizes
         ids = np.frombuffer(b"".join(coded), "<u4")
-        number = words.indices.to_numpy()
+        both = parts.indices.to_numpy().reshape(2, -1).T
+        number = both[words.indices.to_numpy()].ravel()
         counts = sizes[number]
         ends = np.r_[0, np.cumsum(counts)]
-        # Each word's ids from its first one on.
-        place = np.repeat((np.cumsum(sizes) - sizes)[number] - ends[:-1], counts)
-        whole = ids[place + np.arange(ends[-1])]
-        edges = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
-        return [whole[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+        # The ids of each part from its first one on.
+        place = np.repeat(starts[number] - ends[:-1], counts)
+        place += np.arange(len(place))
+        found = ids[place]
+        edges = ends[2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
+        return [found[a:b].tobytes() for a, b in zip(edges, edges[1:])]
 
 
 def _folded(text: bytes) -> bytes:

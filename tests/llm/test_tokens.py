@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -40,6 +41,19 @@ def test_files_read_back(spark, tmp_path):
     assert sorted(found, key=lambda row: row[1]) == expected(data.texts())
 
 
+def test_words_and_punctuation():
+    """Letters, marks and signs in any order have the ids of the whole text."""
+    rng, whole = random.Random(6), Tokenizer.from_file(PATH)
+    parts = list("aeéüßøŁİıſ×÷ĳ1९٣漢가\u0301\u0308\u200b\u00a0 \n\t.,;:!?'\"()[]<|>#%&*_-–…“”«»\x1c")
+    parts += ["le", "word", "don't", "it's", "'s", "'S", "...", "?!", "<|endoftext|>", "e.g.", "l'été.", "ﬁ", "Ω!"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 60))) for _ in range(4_000)]
+    texts += [" ".join(rng.choices(parts, k=rng.randrange(1, 60))) for _ in range(1_000)] + ["", " ", "."]
+    coder = tokens.WordEncoder(PATH)
+    found = coder.encode([text.encode() for text in texts])
+    for text, ids in zip(texts, found):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
 def test_words_leave_the_cache(monkeypatch):
     monkeypatch.setattr(tokens, "_KEPT_WORDS", 3)
     coder, whole = tokens.WordEncoder(PATH), Tokenizer.from_file(PATH)
