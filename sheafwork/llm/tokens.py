@@ -21,8 +21,8 @@ from sheafwork.session import shared_folder
 
 END = 2
 # Bytes of the texts that are encoded together.
-_SLICE_BYTES = 3 << 20
-_KEPT_WORDS = 300_000
+_SLICE_BYTES = 8 << 20
+_KEPT_WORDS = 200_000
 _TOGETHER = 256
 # Ends with a digit or a Latin letter that turns into one letter.
 _LETTER = r"[0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]$"
