@@ -21,7 +21,7 @@ from sheafwork.session import shared_folder
 
 END = 2
 # Bytes of the texts that are encoded together.
-_SLICE_BYTES = 8 << 20
+_SLICE_BYTES = 4 << 20
 _KEPT_WORDS = 200_000
 _TOGETHER = 256
 # Ends with a digit or a Latin letter that turns into one letter.
@@ -111,18 +111,20 @@ class WordEncoder:
         marks = pa.array([word[size:] for word, size in bare], pa.binary())
         parts = pa.concat_arrays([stems.cast(pa.binary()), marks]).dictionary_encode()
         coded = self._known(parts.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        starts = np.cumsum(sizes) - sizes
+        sizes = np.fromiter(map(len, coded), np.int32, len(coded)) // 4
         ids = np.frombuffer(b"".join(coded), "<u4")
+        # A slice has under 2**31 ids, and the arrays are as long as they are many.
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
         both = parts.indices.to_numpy().reshape(2, -1).T
         number = both[words.indices.to_numpy()].ravel()
         counts = sizes[number]
-        ends = np.r_[0, np.cumsum(counts)]
+        ends = np.zeros(len(counts) + 1, np.int32)
+        np.cumsum(counts, out=ends[1:])
+        edges = ends[2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
         # The ids of each part from its first one on.
         place = np.repeat(starts[number] - ends[:-1], counts)
-        place += np.arange(len(place))
+        place += np.arange(len(place), dtype=np.int32)
         found = ids[place]
-        edges = ends[2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
         return [found[a:b].tobytes() for a, b in zip(edges, edges[1:])]
 
 
@@ -137,13 +139,14 @@ def _folded(text: bytes) -> bytes:
     return text.lower()
 
 
-def _slices(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     """Neighbouring texts and the place of the first, by their size."""
     first, size = 0, 0
-    for k, text in enumerate(texts, 1):
-        size += len(text)
-        if size >= _SLICE_BYTES or k == len(texts):
-            yield first, texts[first:k]
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for k, length in enumerate(sizes, 1):
+        size += length
+        if size >= _SLICE_BYTES or k == len(sizes):
+            yield first, texts.slice(first, k - first)
             first, size = k, 0
 
 
@@ -185,8 +188,8 @@ def _file_rows(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         size = 0
         for batch in batches:
             doc_ids = batch["doc_id"].to_pylist()
-            for at, texts in _slices(raw(batch["text"])):
-                for doc_id, code in zip(doc_ids[at:], coder.encode(texts)):
+            for at, texts in _slices(batch["text"]):
+                for doc_id, code in zip(doc_ids[at:], coder.encode(raw(texts))):
                     ids.append(doc_id), coded.append(code + end)
                     size += len(code) // 4 + 1
                     if size >= _GROUP_IDS:
@@ -194,6 +197,8 @@ def _file_rows(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                         first, size, ids, coded = first + size, 0, [], []
         if ids:
             yield row()
+        # The worker waits for its next task without what slices took.
+        pa.default_memory_pool().release_unused()
 
     return rows
 
