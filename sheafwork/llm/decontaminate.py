@@ -298,22 +298,6 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return " ".join(part.strip() for part in out if part.strip()) if spans else text
 
 
-def _marked(index, spans: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Adds the starts and ends of a block's passages to each row's spans."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [
-                known + [place for match in matches for place in match[1:3]]
-                for known, matches in zip(batch[spans].to_pylist(), _found(index.value)(batch["text"]))
-            ]
-            place = batch.schema.get_field_index(spans)
-            field = batch.schema.field(place)
-            yield batch.set_column(place, field, pa.array(found, field.type))
-
-    return rows
-
-
 def _cleaned(text: str, spans: list[tuple[int, int]], indexes: list[Index]) -> str:
     """The text without the spans, and without passages that come to stand together by that."""
     while spans:
@@ -323,35 +307,31 @@ def _cleaned(text: str, spans: list[tuple[int, int]], indexes: list[Index]) -> s
     return text
 
 
-def _removed(handles: list, spans: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _removed(handles: list) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch["text"].to_pylist()
-            for k, places in enumerate(batch[spans].to_pylist()):
-                if places:
-                    indexes = [handle.value for handle in handles]
-                    texts[k] = _cleaned(texts[k], list(zip(places[::2], places[1::2])), indexes)
             place = batch.schema.get_field_index("text")
-            field = batch.schema.field(place)
-            batch = batch.set_column(place, field, pa.array(texts, field.type))
-            yield batch.select([name for name in batch.schema.names if name != spans])
+            field, spans = batch.schema.field(place), {}
+            for handle in handles:
+                for k, matches in enumerate(_found(handle.value)(batch["text"])):
+                    if matches:
+                        spans.setdefault(k, []).extend(match[1:3] for match in matches)
+            if spans:
+                texts, indexes = batch["text"].to_pylist(), [handle.value for handle in handles]
+                for k, places in spans.items():
+                    texts[k] = _cleaned(texts[k], places, indexes)
+                batch = batch.set_column(place, field, pa.array(texts, field.type))
+            yield batch
 
     return rows
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with the passages of :func:`passages` cut out of ``text``.
+    """``docs`` with the passages of :func:`passages` cut out of ``text``, in one pass over the documents.
 
     All blocks of items are searched in the texts as they are; what they find is cut at once. A text
     that something was cut from is searched again, since what stood around it may now be a passage,
-    until none is left.
+    until none is left. A task holds all blocks, some 25 bytes a character of the benchmark.
     """
-    schema = docs.schema
-    spans = "decontaminate_spans"
-    while spans in docs.columns:
-        spans += "_"
-    docs = docs.withColumn(spans, F.array().cast("array<long>"))
     handles = [docs.sparkSession.sparkContext.broadcast(index) for index in _blocks(benchmark)]
-    for handle in handles:
-        docs = docs.mapInArrow(_marked(handle, spans), docs.schema)
-    return docs.mapInArrow(_removed(handles, spans), schema)
+    return docs.mapInArrow(_removed(handles), docs.schema)
