@@ -18,6 +18,15 @@ from sheafwork.llm.queries import TOKENIZER
 from sheafwork.llm.tables import table, written
 
 
+def _lean(spark: SparkSession) -> None:
+    """Let Python workers give arrays of a megabyte and more back when they are done with them.
+
+    The stages follow one another in the same workers, and what a stage has freed would else stay
+    with them beside what the next one takes.
+    """
+    spark.sparkContext.environment.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 20))
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     """``n_chars`` as the text now is."""
     return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -37,6 +46,7 @@ def _chosen(docs: DataFrame, rows: DataFrame, row: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier accepts."""
+    _lean(spark)
     docs, row = _numbered(docs)
     judged = quality.classify(docs, table(spark, sf_dir, "labels"), row)
     return _chosen(docs, judged.where("accepted"), row)
@@ -44,6 +54,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the row with the smallest ``doc_id``; rows without one come last."""
+    _lean(spark)
     docs, row = _numbered(docs)
     found = minhash.near_duplicates(docs.select(F.col(row).alias("doc_id"), "text"))
     found = found.select(F.col("doc_id").alias(row), "component_id")
@@ -54,16 +65,19 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their benchmark passages."""
+    _lean(spark)
     return _counted(decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data masked."""
+    _lean(spark)
     return _counted(pii.redact(docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences."""
+    _lean(spark)
     return packing.pack(docs, TOKENIZER)
 
 
