@@ -3,9 +3,9 @@
 Every stage works on the rows that its predecessor kept and returns the columns of
 ``documents``; the last returns the pieces of packed sequences. Rows are kept as they
 are but for what a stage decides: ``n_chars`` follows the text, and nothing else changes.
-The classifier and the near-duplicate stage number the rows they are given and decide by
-number. So rows that share a ``doc_id`` are judged each by its own text, and so are rows
-without one; a label counts for every row with its ``doc_id``.
+Rows that share a ``doc_id`` are judged each by its own text, and so are rows without one: the
+classifier decides by id and a hash of the text, the near-duplicate stage by a number that it
+gives each row. A label counts for every row with its ``doc_id``.
 """
 
 from __future__ import annotations
@@ -32,35 +32,36 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with a number each, written, and the number's name, which no other column has."""
-    row = "row"
-    while row in docs.columns:
-        row += "_"
-    return written(docs.withColumn(row, F.monotonically_increasing_id())), row
-
-
-def _chosen(docs: DataFrame, rows: DataFrame, row: str) -> DataFrame:
-    return docs.join(rows.select(row), row, "left_semi").drop(row)
+def _unused(docs: DataFrame) -> str:
+    """A name that no column has."""
+    name = "row"
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier accepts."""
     _lean(spark)
-    docs, row = _numbered(docs)
-    judged = quality.classify(docs, table(spark, sf_dir, "labels"), row)
-    return _chosen(docs, judged.where("accepted"), row)
+    row = _unused(docs)
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    judged = quality.classify(keyed, table(spark, sf_dir, "labels"), row).where("accepted")
+    judged = judged.select("doc_id", row).distinct().alias("judged")
+    same = F.col(f"keyed.{row}") == F.col(f"judged.{row}")
+    same &= F.col("keyed.doc_id").cast("long").eqNullSafe(F.col("judged.doc_id"))
+    return keyed.alias("keyed").join(judged, same, "left_semi").drop(row)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the row with the smallest ``doc_id``; rows without one come last."""
     _lean(spark)
-    docs, row = _numbered(docs)
+    row = _unused(docs)
+    docs = written(docs.withColumn(row, F.monotonically_increasing_id()))
     found = minhash.near_duplicates(docs.select(F.col(row).alias("doc_id"), "text"))
     found = found.select(F.col("doc_id").alias(row), "component_id")
     places = docs.select(row, F.struct(F.col("doc_id").isNull(), "doc_id", row).alias("place"))
     first = found.join(places, row).groupBy("component_id").agg(F.min("place").alias("place"))
-    return _chosen(docs, first.select(F.col(f"place.{row}").alias(row)), row)
+    return docs.join(first.select(F.col(f"place.{row}").alias(row)), row, "left_semi").drop(row)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
