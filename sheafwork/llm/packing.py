@@ -49,16 +49,18 @@ def _cut(length: int, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], It
     return pieces
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, with_ids: bool = True) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, length: int = LENGTH, with_ids: bool = True, lean: bool = False
+) -> DataFrame:
     """Pieces of ``docs(doc_id, text)`` in sequences of ``length`` ids.
 
     One row a piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset, ids``; ``ids`` are little-endian unsigned 32-bit integers, null without
     ``with_ids``. All sequences but the last are full. A null text is empty: it has the
     closing id alone. No rows give no pieces. Repeated rows are packed each, further
-    columns are not read.
+    columns are not read. ``lean`` is for workers that other stages have filled.
     """
-    folder = tokens.token_files(docs, tokenizer)
+    folder = tokens.token_files(docs, tokenizer, lean)
     rows = tokens.read_files(docs.sparkSession, folder)
     return rows.mapInArrow(_cut(length, with_ids), PIECE_SCHEMA)
 

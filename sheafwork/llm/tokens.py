@@ -20,9 +20,10 @@ from sheafwork.llm.hashing import raw
 from sheafwork.session import shared_folder
 
 END = 2
-# Bytes of the texts that are encoded together.
-_SLICE_BYTES = 4 << 20
-_KEPT_WORDS = 200_000
+#: Bytes of the texts that are encoded together, and words that each of two generations keeps.
+#: ``lean`` asks for half of each, for workers whose memory other stages need too.
+SLICE_BYTES = 8 << 20
+KEPT_WORDS = 400_000
 _TOGETHER = 256
 # Ends with a digit or a Latin letter that turns into one letter.
 _LETTER = r"[0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]$"
@@ -43,10 +44,11 @@ class WordEncoder:
     generations of words are kept, so the memory is bounded and frequent words stay.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, lean: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.kept = KEPT_WORDS // 2 if lean else KEPT_WORDS
         self.tokenizer = Tokenizer.from_file(path)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -88,7 +90,7 @@ class WordEncoder:
         fresh = [word for word, ids in zip(words, coded) if ids is None]
         if not fresh:
             return coded
-        if len(self.young) + len(fresh) > _KEPT_WORDS and self.young:
+        if len(self.young) + len(fresh) > self.kept and self.young:
             self.old, self.young, fresh = self.young, {}, words
         known = [(word, self.old[word]) for word in fresh if word in self.old]
         self.young.update(known)
@@ -139,28 +141,28 @@ def _folded(text: bytes) -> bytes:
     return text.lower()
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+def _slices(texts: pa.Array, most: int) -> Iterator[tuple[int, pa.Array]]:
     """Neighbouring texts and the place of the first, by their size."""
     first, size = 0, 0
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     for k, length in enumerate(sizes, 1):
         size += length
-        if size >= _SLICE_BYTES or k == len(sizes):
+        if size >= most or k == len(sizes):
             yield first, texts.slice(first, k - first)
             first, size = k, 0
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, lean: bool = False) -> WordEncoder:
     """The worker's encoder for a file; its words outlive a task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, lean) not in _ENCODERS:
+        _ENCODERS[path, lean] = WordEncoder(path, lean)
+    return _ENCODERS[path, lean]
 
 
-def _file_rows(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _file_rows(path: str, lean: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema(
         [
             ("part", pa.int32()),
@@ -173,7 +175,7 @@ def _file_rows(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, first = encoder(path), TaskContext.get().partitionId(), 0
+        coder, part, first = encoder(path, lean), TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         coded: list[bytes] = []
 
@@ -188,7 +190,7 @@ def _file_rows(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         size = 0
         for batch in batches:
             doc_ids = batch["doc_id"].to_pylist()
-            for at, texts in _slices(batch["text"]):
+            for at, texts in _slices(batch["text"], SLICE_BYTES // 2 if lean else SLICE_BYTES):
                 for doc_id, code in zip(doc_ids[at:], coder.encode(raw(texts))):
                     ids.append(doc_id), coded.append(code + end)
                     size += len(code) // 4 + 1
@@ -203,16 +205,17 @@ def _file_rows(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return rows
 
 
-def write_ids(docs: DataFrame, tokenizer: str, folder: str) -> None:
+def write_ids(docs: DataFrame, tokenizer: str, folder: str, lean: bool = False) -> None:
     """Write the ids of ``docs(doc_id, text)`` as files below ``folder``.
 
     Documents are dealt by ranges of ``doc_id`` and sorted, so the files' parts in order
     hold ascending ids. A null text is empty; every document ends with the id 2. Rows
-    without ``doc_id`` come first, repeated ones stand together in any order.
+    without ``doc_id`` come first, repeated ones stand together in any order. ``lean`` takes
+    less memory of a worker and some more time.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dealt = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    rows = dealt.mapInArrow(_file_rows(tokenizer), FILE_SCHEMA)
+    rows = dealt.mapInArrow(_file_rows(tokenizer, lean), FILE_SCHEMA)
     rows.write.option("compression", "zstd").parquet(folder)
 
 
@@ -259,8 +262,8 @@ def file_digests(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def token_files(docs: DataFrame, tokenizer: str) -> str:
+def token_files(docs: DataFrame, tokenizer: str, lean: bool = False) -> str:
     """Write the ids of ``docs`` to a new folder and name it."""
     folder = shared_folder(docs.sparkSession)
-    write_ids(docs, tokenizer, folder)
+    write_ids(docs, tokenizer, folder, lean)
     return folder

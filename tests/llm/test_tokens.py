@@ -55,7 +55,7 @@ def test_words_and_punctuation():
 
 
 def test_words_leave_the_cache(monkeypatch):
-    monkeypatch.setattr(tokens, "_KEPT_WORDS", 3)
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 3)
     coder, whole = tokens.WordEncoder(PATH), Tokenizer.from_file(PATH)
     for text in ["a bc def", "bc ghij a a", "", "klm a no bc", "def def"]:
         ids = np.frombuffer(coder.encode([text.encode()])[0], "<u4").tolist()
