@@ -79,7 +79,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences."""
     _lean(spark)
-    return packing.pack(docs, TOKENIZER)
+    return packing.pack(docs, TOKENIZER, lean=True)
 
 
 STAGES = [
