@@ -1,16 +1,18 @@
-"""Exact repeats across documents, by sorted windows around shared anchors.
-
-A suffix counts as a repeat when it agrees with one of an earlier document for ``LENGTH``
-bytes. So windows of ``LENGTH`` bytes are sorted and compared; longest-previous-factor
-arrays, with their smaller positions before and after, are not computed.
-
-Every window of ``LENGTH`` bytes has an anchor: its smallest ``GRAM``-byte substring by
-hash. Equal windows have the same anchor at the same place, so only suffixes around equal
-anchors have to be put in order together. First, blocks of documents ask which anchors
-several documents have. Around those they send the bytes of the windows, once for each
-distinct run of windows, with the smallest document that has it. In the anchor's shard
-the suffixes are sorted, ties by document; a suffix whose previous smaller one agrees for
-``LENGTH`` bytes is a later copy. One bit a window goes back to the block.
+"""Exact repeats across documents, by longest previous factors around shared anchors.
+
+The previous factors of a suffix are its common prefixes with suffixes of earlier
+documents. In suffix order the longest one is with the nearest suffix before or behind it
+that belongs to a smaller document, and its length is the least common prefix of the
+neighbours in between. A suffix whose longest previous factor has ``LENGTH`` bytes starts a
+later copy; factors are counted up to ``LENGTH`` bytes, since longer ones decide nothing.
+
+No task needs the suffix order of the corpus. Every window of ``LENGTH`` bytes has an
+anchor: its smallest ``GRAM``-byte substring by hash. Equal windows have the same anchor at
+the same place, so only suffixes around equal anchors have to be put in order together.
+First, blocks of documents ask which anchors several documents have. Around those they send
+the bytes of the windows, once for each distinct run of windows, with the smallest document
+that has it. In the anchor's shard the suffixes are ordered and the array of longest
+previous factors is worked out. One bit a window goes back to the block.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ GRAM = 24
 _STARTS = LENGTH - GRAM + 1
 _WIDEST = LENGTH + _STARTS - 1
 _SLICE_BYTES = 1 << 19
+#: Suffixes whose neighbours are compared at once.
+_ROWS = 1 << 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 _SENT = "shard long, block long, sizes binary, docs binary, bytes binary"
@@ -159,6 +163,61 @@ def _send(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return send
 
 
+def _common(suffixes: np.ndarray) -> np.ndarray:
+    """Bytes that each row has in common with the row before it; 0 for the first."""
+    out = np.zeros(len(suffixes), np.uint8)
+    for at in range(1, len(suffixes), _ROWS):
+        rows = suffixes[at - 1 : at + _ROWS]
+        differ = rows[1:] != rows[:-1]
+        out[at : at + _ROWS] = np.where(differ.any(1), differ.argmax(1), LENGTH)
+    return out
+
+
+def _before(docs: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For each place in suffix order the bytes it has in common with the nearest place
+    before it that has a smaller document.
+
+    Exact from ``GRAM`` bytes on. Where neighbours have less in common a new group begins,
+    and the place before it counts as smaller, so no search leaves its group.
+    """
+    fresh = common < GRAM
+    value = np.cumsum(fresh) * (int(docs.max(initial=0)) + 1) + docs
+    longest = int(np.diff(np.flatnonzero(np.r_[fresh, True])).max(initial=1))
+    # Least documents and common prefixes of 1, 2, 4, ... places from each one on.
+    least, reach = [value], [common]
+    while 2 << (len(least) - 1) <= longest:
+        step = 1 << (len(least) - 1)
+        least.append(np.minimum(least[-1][:-step], least[-1][step:]))
+        reach.append(np.minimum(reach[-1][:-step], reach[-1][step:]))
+    at, out = np.arange(len(docs)), common.copy()
+    for k in range(len(least) - 1, -1, -1):
+        own = np.flatnonzero(at >= 1 << k)
+        to = at[own] - (1 << k)
+        ok = least[k][to] >= value[own]
+        own, to = own[ok], to[ok]
+        out[own] = np.minimum(out[own], reach[k][to])
+        at[own] = to
+    out[at == 0] = 0
+    return out
+
+
+def longest_previous_factors(suffixes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For suffixes in order, cut to ``LENGTH`` bytes a row, the length of the longest prefix
+    that a suffix of a smaller document starts with too; exact from ``GRAM`` bytes on.
+
+    ``docs`` may be any numbers in the order of the documents, such as ranks.
+    """
+    common = _common(suffixes)
+    # A suffix that has less than GRAM bytes in common with both neighbours has no such factor.
+    near = np.flatnonzero(np.maximum(common, np.r_[common[1:], np.uint8(0)][: len(common)]) >= GRAM)
+    docs, some = docs[near], np.where(common[near] < GRAM, 0, common[near]).astype(np.uint8)
+    out = np.zeros(len(common), np.uint8)
+    if len(near):
+        behind = _before(docs[::-1], np.r_[np.uint8(0), some[:0:-1]])[::-1]
+        out[near] = np.maximum(_before(docs, some), behind)
+    return out
+
+
 def later_copies(pieces: list[bytes], docs: np.ndarray) -> np.ndarray:
     """For each piece a bit for each of its windows: whether a smaller document has
     the same ``LENGTH`` bytes."""
@@ -168,16 +227,10 @@ def later_copies(pieces: list[bytes], docs: np.ndarray) -> np.ndarray:
     holder = np.repeat(np.arange(len(pieces)), windows)
     within = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     start = np.repeat(np.cumsum(sizes) - sizes, windows) + within
-    suffix = np.lib.stride_tricks.sliding_window_view(flat, LENGTH)[start].reshape(-1).view(f"S{LENGTH}")
-    doc = docs[holder]
-    order = np.argsort(doc, kind="stable")
-    order = order[np.argsort(suffix[order], kind="stable")]
-    # Neighbours in suffix order that agree for LENGTH bytes; ties stand by document, so
-    # the previous smaller document of a suffix is the first of those it agrees with.
-    agrees = np.r_[False, suffix[order[1:]] == suffix[order[:-1]]]
-    first = np.maximum.accumulate(np.where(agrees, 0, np.arange(len(order))))
-    later = np.zeros(len(order), bool)
-    later[order] = doc[order[first]] < doc[order]
+    suffix = np.lib.stride_tricks.sliding_window_view(flat, LENGTH)[start]
+    order = np.argsort(suffix.reshape(-1).view(f"S{LENGTH}"), kind="stable")
+    rank = np.unique(docs, return_inverse=True)[1]
+    later = order[longest_previous_factors(suffix[order], rank[holder[order]]) >= LENGTH]
     bits = np.zeros(len(pieces), np.uint32)
     np.bitwise_or.at(bits, holder[later], np.uint32(1) << within[later].astype(np.uint32))
     return bits

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -60,6 +61,30 @@ def test_small_blocks(spark, monkeypatch):
     assert result(data.documents(spark, rows)) == brute_force(rows)
 
 
+def test_longest_previous_factors():
+    """Against all pairs: random bytes of few letters, a common prefix, ties, one document."""
+    rng = random.Random(4)
+    for size in (0, 1, 2, 40, 300):
+        for documents in (1, 3, size + 1):
+            starts = [rng.choice(["", "a" * 20, "b" * 24, "ab" * 24]) for _ in range(size)]
+            texts = [(x + data.prose(rng.randrange(9), 20)).encode()[:50] for x in starts]
+            rows = sorted(x.ljust(50, rng.choice([b"a", b"b"])) for x in texts)
+            docs = [rng.randrange(documents) for _ in rows]
+            matrix = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, 50)
+            found = suffixes.longest_previous_factors(matrix, np.array(docs, np.int64)).tolist()
+            for row, doc, length in zip(rows, docs, found):
+                best = max((len(os.path.commonprefix([row, r])) for r, d in zip(rows, docs) if d < doc), default=0)
+                assert length == best if best >= suffixes.GRAM else length < suffixes.GRAM
+
+
+def test_all_of_one_order():
+    """Nearest smaller documents far away: ascending and descending ones, equal suffixes."""
+    size = 5000
+    matrix = np.full((size, 50), 97, np.uint8)
+    for docs in (np.arange(size), np.arange(size)[::-1]):
+        assert (suffixes.longest_previous_factors(matrix, docs) == np.where(docs > 0, 50, 0)).all()
+
+
 def test_no_rows(spark):
     assert result(data.documents(spark, [])) == []
     assert result(data.documents(spark, [(1, "short"), (2, None)])) == brute_force([(1, "short"), (2, None)])
