@@ -51,8 +51,9 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_stream(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
-    query = streaming.append_available(rows, f"{folder}/rows", f"{folder}/progress")
-    query.awaitTermination()
+    with streaming.listing_by_core(spark):
+        query = streaming.append_available(rows, f"{folder}/rows", f"{folder}/progress")
+        query.awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
 
 
@@ -110,10 +111,10 @@ def stream_page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _supplier_files(spark: SparkSession, sf_dir: str) -> str:
-    """A file for each supplier's form, written where they are rendered."""
+    """A file for each supplier's form."""
     folder = shared_folder(spark)
     forms = plans.supplier_documents(_table(spark, sf_dir, "supplier"))
-    forms.write.partitionBy("doc_id").text(f"{folder}/files")
+    sources.write_documents(forms, f"{folder}/files")
     return folder
 
 

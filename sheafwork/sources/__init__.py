@@ -4,6 +4,7 @@ from sheafwork.sources.documents import (
     documents_from_pages,
     scan_documents,
     stream_documents,
+    write_documents,
 )
 from sheafwork.sources.manifest import (
     MANIFEST_SCHEMA,
@@ -29,4 +30,5 @@ __all__ = [
     "stream_documents",
     "stream_manifest",
     "stream_manifest_checked",
+    "write_documents",
 ]

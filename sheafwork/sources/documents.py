@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _BOM = "\ufeff"
+#: Files that one task writes into a folder of its own.
+FILES_PER_TASK = 250
 PAGES_SCHEMA = "page_id bigint, url string, html string"
 
 
@@ -33,6 +35,24 @@ def scan_documents(
     return _shape(reader.text(path, wholetext=True))
 
 
+def write_documents(documents: DataFrame, folder: str) -> None:
+    """``documents(doc_id, html)`` as a file each, below one folder a task.
+
+    Making a file takes far longer than rendering one, so they are dealt out by their number, not
+    by the size of the table, and no file needs a folder to itself. Forms of one ``doc_id`` that
+    one task rendered share a file, a line end apart. Tasks put their own files into place, under
+    names that a repeated task takes again, so the driver does not move them one by one.
+    """
+    tasks = max(1, -(-documents.count() // FILES_PER_TASK))
+    rows = documents.withColumn("number", F.monotonically_increasing_id())
+    rows = rows.repartition(tasks, "doc_id").groupBy("doc_id", F.shiftright("number", 33))
+    forms = F.array_sort(F.collect_list(F.struct("number", "html")))
+    value = F.array_join(F.transform(forms, lambda form: form["html"]), "\n")
+    files = rows.agg(value.alias("value")).select(F.spark_partition_id().alias("part"), "value")
+    options = {"maxRecordsPerFile": 1, "mapreduce.fileoutputcommitter.algorithm.version": 2}
+    files.write.partitionBy("part").options(**options).text(folder)
+
+
 def stream_documents(
     spark: SparkSession,
     path: str,

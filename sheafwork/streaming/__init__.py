@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sheafwork.sources.documents import stream_documents
@@ -21,6 +24,7 @@ __all__ = [
     "compact",
     "compact_latest",
     "latest",
+    "listing_by_core",
     "store",
     "stored",
     "stream_documents",
@@ -29,6 +33,26 @@ __all__ = [
     "upsert_available",
 ]
 
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def listing_by_core(spark: SparkSession) -> Iterator[None]:
+    """Streams that run within list files in a task for each core.
+
+    A micro-batch lists its own files again, else in a task for each, which takes longer than
+    reading small ones. The setting is that of the session, so await the query within.
+    """
+    before = spark.conf.get(_LISTING, None)
+    spark.conf.set(_LISTING, spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_LISTING)
+        else:
+            spark.conf.set(_LISTING, before)
+
 
 def append_available(rows: DataFrame, path: str, checkpoint: str, *partition_by: str) -> StreamingQuery:
     """Process the input that is there now and append the rows as Parquet.
