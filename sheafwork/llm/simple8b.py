@@ -79,15 +79,16 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     taken = np.where(selector == 0, 2, 1)
     target = np.cumsum(taken) - taken
     words = np.zeros(int(taken.sum()), np.uint64)
+    flat, spot = padded.ravel(), row * padded.shape[1] + at
     for kind in np.unique(selector):
         pick = np.flatnonzero(selector == kind)
         if kind == 0:
-            words[target[pick] + 1] = padded[row[pick], at[pick]]
+            words[target[pick] + 1] = flat[spot[pick]]
             continue
         count, bits = PACKINGS[kind - 1]
-        word = np.full(len(pick), np.uint64(kind) << np.uint64(60))
+        word, first = np.full(len(pick), np.uint64(kind) << np.uint64(60)), spot[pick]
         for k in range(count):
-            word |= padded[row[pick], at[pick] + k] << np.uint64(k * bits)
+            word |= flat[first + k] << np.uint64(k * bits)
         words[target[pick]] = word
     starts = np.searchsorted(row, np.arange(blocks))
     return words, target[starts]

@@ -58,12 +58,15 @@ class WordEncoder:
         self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _one(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return self._ids(word).tobytes()
+
+    def _ids(self, text: str) -> np.ndarray:
+        # This call leaves out the offsets, which are a quarter of the other's time.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _together(self, some: list[str]) -> list[bytes]:
         """Ids of words of Latin letters, each of which ends where an ending id stands."""
-        ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+        ids = self._ids(" ".join(some))
         cuts = 4 * (np.flatnonzero(self.ends[ids]) + 1)
         if len(cuts) != len(some):
             return [self._one(word) for word in some]
@@ -109,9 +112,7 @@ class WordEncoder:
         stems = pc.utf8_rtrim(whole, string.punctuation)
         apart = pc.and_(pc.match_substring_regex(stems, _LETTER), pc.invert(pc.match_substring(whole, "<|")))
         stems = pc.if_else(apart, stems, whole)
-        bare = zip(whole.cast(pa.binary()).to_pylist(), pc.binary_length(stems).to_pylist())
-        marks = pa.array([word[size:] for word, size in bare], pa.binary())
-        parts = pa.concat_arrays([stems.cast(pa.binary()), marks]).dictionary_encode()
+        parts = pa.concat_arrays([stems.cast(pa.binary()), _behind(whole, stems)]).dictionary_encode()
         coded = self._known(parts.dictionary.to_pylist())
         sizes = np.fromiter(map(len, coded), np.int32, len(coded)) // 4
         ids = np.frombuffer(b"".join(coded), "<u4")
@@ -130,6 +131,19 @@ class WordEncoder:
         return [found[a:b].tobytes() for a, b in zip(edges, edges[1:])]
 
 
+def _behind(whole: pa.Array, stems: pa.Array) -> pa.Array:
+    """What stands behind each stem in its whole word, cut out of the words' own bytes."""
+    _, offsets, data = whole.buffers()
+    lengths = pc.binary_length(stems).to_numpy()
+    ends = np.frombuffer(offsets, np.int32, len(whole) + 1, 4 * whole.offset)
+    sizes = np.diff(ends) - lengths
+    cuts = np.zeros(len(whole) + 1, np.int32)
+    np.cumsum(sizes, out=cuts[1:])
+    place = np.repeat(ends[:-1] + lengths - cuts[:-1], sizes) + np.arange(cuts[-1], dtype=np.int32)
+    held = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(whole), [None, pa.py_buffer(cuts), pa.py_buffer(held[place])])
+
+
 def _folded(text: bytes) -> bytes:
     """A-Z in lower case where that cannot change how the text is read.
 

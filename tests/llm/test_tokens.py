@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -107,3 +108,13 @@ def test_words_are_encoded_as_in_the_text():
     for text in texts:
         ids = np.frombuffer(coder.encode([text.encode()])[0], "<u4").tolist()
         assert ids == whole.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("first", [0, 3])
+def test_what_is_behind_a_stem_is_cut_out_of_the_words(first):
+    words = ["", "...", "a", "é,", "ab!?", "日本.", "x" * 300 + ")", "<|a|>"]
+    stems = ["", "", "a", "é", "ab", "日本", "x" * 300, "<|a|>"]
+    cut = tokens._behind(pa.array(words).slice(first), pa.array(stems).slice(first))
+    cut.validate(full=True)
+    assert cut.to_pylist() == [word[len(stem) :].encode() for word, stem in zip(words[first:], stems[first:])]
+    assert tokens._behind(pa.array([], pa.string()), pa.array([], pa.string())).to_pylist() == []
