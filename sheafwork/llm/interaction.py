@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafwork.llm.hashing import raw
-from sheafwork.llm.tables import written
+from sheafwork.llm.tables import kept
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 200
@@ -126,10 +126,10 @@ def with_duplicates(docs: DataFrame, digest: Digest = xxhash.xxh3_128_digest) ->
     join is unique.
     """
     cells = min(MOST_CELLS, max(_SECTION, CELLS_PER_TEXT * docs.count()))
-    rows = written(marked(docs, cells, digest))
+    rows = kept(marked(docs, cells, digest))
     texts = repeated(docs, several(rows, cells), cells, digest)
-    firsts = written(texts.select("digest", "first"))
-    clashing = written(firsts.groupBy("digest").count().where("count > 1").select("digest"))
+    firsts = kept(texts.select("digest", "first"))
+    clashing = firsts.groupBy("digest").count().where("count > 1").select("digest")
     later = F.when(F.col("doc_id") > F.col("first"), _DUPLICATE).otherwise(0)
     columns = ["doc_id", "source", F.col("mask").bitwiseOR(later).alias("mask")]
     if clashing.isEmpty():

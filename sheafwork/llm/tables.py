@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sheafwork.session import shared_folder
 
@@ -18,5 +22,18 @@ def written(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def kept(frame: DataFrame) -> DataFrame:
+    """The frame, computed once when it is first needed, on the executors' disks.
+
+    What a lost executor had is computed again. No file is written to the shared folder: where
+    Hadoop's native library is missing, each file written to a local one starts a process,
+    which for a moment counts as large as the executor. The rows stay until the session's
+    cache is cleared.
+    """
+    # The mark keeps the rows from another call whose input has changed since.
+    mark = F.lit(uuid.uuid4().int >> 65).alias("_call")
+    return frame.select("*", mark).persist(StorageLevel.DISK_ONLY).drop("_call")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

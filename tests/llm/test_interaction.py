@@ -1,6 +1,9 @@
 import itertools
 import re
+from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from sheafwork.llm import interaction
@@ -92,3 +95,21 @@ def test_unique_texts_stay(spark):
     found = interaction.repeated(docs, sketch, cells, interaction.xxhash.xxh3_128_digest).collect()
     assert [row.first for row in found if row.text == "copy"] == [5_000]
     assert len(found) < 400
+
+
+def test_no_files_are_written(spark):
+    """Each file written costs a process that for a moment counts as large as the executor."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.rglob("*.parquet"))
+    assert result(spark, hostile()) == brute_force(hostile(), LABELS)
+    assert set(shared.rglob("*.parquet")) == before
+
+
+def test_changed_input_is_read_again(spark, tmp_path):
+    path = str(tmp_path / "docs.parquet")
+    marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for rows in hostile(), hostile()[::-2]:
+        columns = dict(zip(("doc_id", "text", "source"), map(list, zip(*rows))))
+        pq.write_table(pa.table(columns), path)
+        found = interaction.audit(spark.read.parquet(path), marks).collect()
+        assert sorted(map(tuple, found)) == brute_force(rows, [])
