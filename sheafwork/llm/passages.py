@@ -15,6 +15,8 @@ in tiles. So a passage that a third of the corpus shares stands once in the last
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,16 +34,20 @@ WINDOW = 46
 FUNCTIONS = 8
 #: Entries of a centre that meet in one task, on each side.
 TILE = 256
+#: Groups that tiles are dealt to, a block of documents.
+BUCKETS = 4
 _SLICE_SHINGLES = 1 << 17
 _SEEDS = seeds(FUNCTIONS, 5_000)
 
 _SENT = "shard long, block long, keys binary, docs binary, places binary"
-_ENTRIES = "key long, doc long, base long, shingles binary, wanted array<long>, known array<int>, least int"
-_FOUND = "doc long, content long, other long, place long, similarity double"
-_STARRED = (
-    "key long, doc long, parts int, shingles binary, wanted array<long>, content array<long>, "
-    "other long, place array<long>, similarity array<double>"
+#: An entry, a region with its shingles, or what a block reports once the rest is known.
+_LOOKED = (
+    "kind int, key long, doc long, region long, base long, size int, least int, shingles binary, "
+    "places binary, known binary, block long, docs binary, runs binary, texts binary, contents binary"
 )
+_ENTRY, _REGION, _BLOCK = range(3)
+_FOUND = "doc long, content long, other long, place long, similarity double"
+_STARRED = f"key long, region long, base long, size int, parts int, wanted array<long>, {_FOUND}"
 PASSAGES = (
     "doc_id long, start long, end long, other_id long, other_start long, similarity double"
 )
@@ -260,15 +266,56 @@ def _leads(ids: np.ndarray, texts: list[np.ndarray], answers: pa.Table, shards:
     return *columns, lead, lead_place
 
 
-def _entries(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Around each centre the windows of contents that no earlier document has."""
+def _table(schema: str, **columns: object) -> pa.Table:
+    """A table of a schema; columns that are not given are null."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    size = len(next(iter(columns.values())))
+    fields = [field.split() for field in schema.split(", ")]
+    return pa.table(
+        [pa.array(columns[n], kinds[k]) if n in columns else pa.nulls(size, kinds[k]) for n, k in fields],
+        names=[n for n, _ in fields],
+    )
+
+
+def _runs_of_first(text: np.ndarray, place: np.ndarray, first: np.ndarray, spot: np.ndarray) -> np.ndarray:
+    """Rows of text, first and last place, first document and place in it: windows one after
+    the other that repeat one document."""
+    order = np.lexsort((first, place, text))
+    text, place, first, spot = (x[order].astype(np.int64) for x in (text, place, first, spot))
+    same = (text[1:] == text[:-1]) & (first[1:] == first[:-1]) & (place[1:] == place[:-1] + 1)
+    start = np.flatnonzero(np.r_[True, ~same][: len(text)])
+    end = np.r_[start[1:], len(text)][: len(start)] - 1
+    return np.stack([text[start], place[start], place[end], first[start], spot[start]], 1)
+
+
+def _looked(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Entries, around each centre the windows of contents that no earlier document has; the
+    regions of texts that entries lie in; and the windows that a block reports or may report."""
 
-    def entries(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    def looked(rows: pa.Table, answers: pa.Table) -> pa.Table:
         ids, texts = _numbered(rows)
-        text, place, content, held, known, _, fresh, lead, _ = _leads(ids, texts, answers, shards)
+        number = _block(rows)
+        text, place, content, held, known, _, fresh, lead, lead_place = _leads(ids, texts, answers, shards)
+        group = np.repeat(np.arange(len(fresh)), np.diff(np.r_[fresh, len(text)]))
+        repeats = lead[group] < ids[text]
+        runs = _runs_of_first(text[repeats], place[repeats], lead[group][repeats], lead_place[group][repeats])
+        own = np.flatnonzero(~repeats)
+        own = own[np.lexsort((place[own], text[own]))]
+        # Places one after the other are kept as steps of one, which pack well.
+        steps = np.diff(place[own], prepend=0).astype("<i4")
+        block = _table(
+            _LOOKED,
+            kind=[_BLOCK],
+            block=[number],
+            docs=[ids.astype("<i8").tobytes()],
+            runs=[runs.astype("<i8").tobytes()],
+            texts=[text[own].astype("<u4").tobytes()],
+            places=[steps.tobytes()],
+            contents=[content[own].astype("<u8").tobytes()],
+        )
         new = fresh[lead == ids[text[fresh]]]
         new = new[np.lexsort((place[new], text[new]))]
-        text, place, content, held, known = (x[new] for x in (text, place, content, held, known))
+        text, place, held, known = (x[new] for x in (text, place, held, known))
         some = np.unique(text)
         _, _, owner, left, centre, right = _windows([texts[k] for k in some])
         owner = some[owner] if len(owner) else owner
@@ -283,27 +330,46 @@ def _entries(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         span = np.int64(1 << 40)
         spots = text * span + place
         first, last = np.searchsorted(spots, owner * span + low), np.searchsorted(spots, owner * span + high, "right")
-        out = []
-        for k in np.flatnonzero(first < last).tolist():
-            run, whole = slice(first[k], last[k]), texts[owner[k]]
-            at, end = int(place[first[k]]), int(place[last[k] - 1]) + WINDOW
-            out.append(
-                (
-                    int(whole[centre[k]].view(np.int64)),
-                    int(ids[owner[k]]),
-                    at,
-                    whole[at:end].tobytes(),
-                    content[run].view(np.int64).tolist(),
-                    known[run].tolist(),
-                    int(held[run].min()),
-                )
-            )
-        columns = list(zip(*out)) or [()] * 7
-        kinds = [*[pa.int64()] * 3, pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32()]
-        names = ["key", "doc", "base", "shingles", "wanted", "known", "least"]
-        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], names=names)
-
-    return entries
+        some = np.flatnonzero(first < last)
+        if not len(some):
+            return block
+        owner, centre, first, last = owner[some], centre[some], first[some], last[some]
+        least = np.minimum.reduceat(np.r_[held, held[-1]], np.stack([first, last], 1).ravel())[::2]
+        at, end = place[first], place[last - 1] + WINDOW
+        # Entries that overlap lie in one region.
+        order = np.lexsort((at, owner))
+        reach = np.maximum.accumulate((owner * span + end)[order])
+        fresh = np.r_[True, (owner * span + at)[order][1:] > reach[:-1]]
+        region = np.empty(len(order), np.int64)
+        region[order] = np.cumsum(fresh) - 1
+        begins = np.flatnonzero(fresh)
+        holder, begin = owner[order][begins], at[order][begins]
+        finish = reach[np.r_[begins[1:], len(order)] - 1] - holder * span
+        spans = list(zip(holder.tolist(), begin.tolist(), finish.tolist()))
+        cuts = [slice(*np.searchsorted(spots, [k * span + x, k * span + y - WINDOW + 1])) for k, x, y in spans]
+        entries = _table(
+            _LOOKED,
+            kind=np.full(len(owner), _ENTRY, np.int32),
+            key=np.concatenate(texts)[np.cumsum([0, *map(len, texts)])[owner] + centre].view(np.int64),
+            doc=ids[owner],
+            region=(number << 32) + region,
+            base=at,
+            size=(end - at).astype(np.int32),
+            least=least.astype(np.int32),
+        )
+        regions = _table(
+            _LOOKED,
+            kind=np.full(len(spans), _REGION, np.int32),
+            doc=ids[holder],
+            region=(number << 32) + np.arange(len(spans)),
+            base=begin,
+            shingles=[texts[k][x:y].astype("<u8").tobytes() for k, x, y in spans],
+            places=[place[cut].astype("<u4").tobytes() for cut in cuts],
+            known=[known[cut].astype("<u4").tobytes() for cut in cuts],
+        )
+        return pa.concat_tables([block, entries, regions])
+
+    return looked
 
 
 def _content(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -312,16 +378,44 @@ def _content(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return content.view(np.int64), held
 
 
-def _alike(one: np.ndarray, two: np.ndarray, places: np.ndarray) -> list[tuple[int, int, float]]:
+def _on_one_diagonal(
+    one: np.ndarray, shift: int, places: np.ndarray, first: np.ndarray | int, last: np.ndarray | int
+) -> tuple[np.ndarray, np.ndarray]:
+    """For windows at ``places`` the window of the other text between ``first`` and ``last`` that
+    shares most shingles, and how many.
+
+    ``one`` tells which shingles stand in the other text, each ``shift`` places on. Of windows
+    that share as many the first is taken.
+    """
+    before = np.r_[0, np.cumsum(one)]
+    latest = np.maximum.accumulate(np.where(one, np.arange(len(one)), -1))
+    nearest = np.clip(places, first - shift, last - shift)
+    low, high = np.maximum(places, nearest), np.minimum(places, nearest) + WINDOW - 1
+    number = before[np.clip(high + 1, 0, len(one))] - before[np.minimum(low, len(one))]
+    return np.maximum(latest[np.maximum(high, 0)] + shift - WINDOW + 1, first), number
+
+
+def _alike(
+    one: np.ndarray, two: np.ndarray, places: np.ndarray, plain: bool | None = None
+) -> list[tuple[int, int, float]]:
     """``(place in one, place in two, similarity)``: of windows of ``one`` at ``places`` the
-    most similar one of ``two``, where any has 0.75 or more."""
-    if len(np.unique(one)) == len(one) and len(np.unique(two)) == len(two):
-        sums = np.zeros((len(one) + 1, len(two) + 1), np.int64)
-        sums[1:, 1:] = (one[:, None] == two[None, :]).cumsum(0).cumsum(1)
-        shared = sums[WINDOW:, WINDOW:] - sums[:-WINDOW, WINDOW:] - sums[WINDOW:, :-WINDOW] + sums[:-WINDOW, :-WINDOW]
-        shared = shared[places]
-        best = shared.argmax(1)
-        number = shared[np.arange(len(places)), best]
+    most similar one of ``two``, where any has 0.75 or more. ``plain`` tells that neither
+    text has a shingle twice, if that is known."""
+    if plain or len(np.unique(one)) == len(one) and len(np.unique(two)) == len(two):
+        same = one[:, None] == two[None, :]
+        x, y = same.nonzero()
+        # As many have to be shared for 0.75.
+        if len(x) < -(-150 * WINDOW // 175):
+            return []
+        if (y - x == y[0] - x[0]).all():
+            best, number = _on_one_diagonal(same.any(1), int(y[0] - x[0]), places, 0, len(two) - WINDOW)
+        else:
+            sums = np.zeros((len(one) + 1, len(two) + 1), np.int64)
+            sums[1:, 1:] = same.cumsum(0).cumsum(1)
+            shared = sums[WINDOW:, WINDOW:] - sums[:-WINDOW, WINDOW:] - sums[WINDOW:, :-WINDOW] + sums[:-WINDOW, :-WINDOW]
+            shared = shared[places]
+            best = shared.argmax(1)
+            number = shared[np.arange(len(places)), best]
         hit = 100 * number >= 75 * (2 * WINDOW - number)
         values = number[hit] / (2 * WINDOW - number[hit])
         return list(zip(places[hit].tolist(), best[hit].tolist(), values.tolist()))
@@ -340,166 +434,284 @@ def _alike(one: np.ndarray, two: np.ndarray, places: np.ndarray) -> list[tuple[i
     return out
 
 
-def _starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries against the first one of their centre; windows that no set of the centre
-    can be alike to are not wanted any more."""
-    names = ["key", "doc", "parts", "shingles", "wanted", "content", "other", "place", "similarity"]
-    longs = pa.list_(pa.int64())
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), longs, longs, pa.int64(), longs, pa.list_(pa.float64())]
-    for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            one, two = (np.frombuffer(row[c], "<u8") for c in ("shingles", "head_shingles"))
-            content, held = _content(one)
-            known = dict(zip(row["wanted"], row["known"]))
-            # A content that stands twice is looked at once.
-            places = {value: x for x, value in enumerate(content.tolist()) if value in known}
-            wanted = {
-                value: x
-                for value, x in places.items()
-                if 4 * known[value] >= 3 * (held[x] + max(known[value], row["smallest"]) - known[value])
-            }
-            found = _alike(one, two, np.array(sorted(wanted.values()), np.int64)) if wanted else []
-            done = {int(content[x]) for x, _, _ in found}
-            out.append(
-                (
-                    row["key"],
-                    row["doc"],
-                    row["parts"],
-                    row["shingles"],
-                    [value for value in wanted if value not in done],
-                    [int(content[x]) for x, _, _ in found],
-                    row["head_doc"],
-                    [row["head_base"] + y for _, y, _ in found],
-                    [value for _, _, value in found],
-                )
-            )
-        columns = list(zip(*out)) or [()] * len(names)
-        yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds)], names=names)
-
-
-def _tile(rows: pa.Table) -> pa.Table:
+class _Region:
+    """A region that a block's entries or the first entries of their centres lie in."""
+
+    def __init__(self, base: int, shingles: bytes, places: bytes, known: bytes) -> None:
+        self.base = base
+        self.text = np.frombuffer(shingles, "<u8")
+        #: Places of the windows that are followed, and how many of their shingles are shared.
+        self.places = np.frombuffer(places, "<u4").astype(np.int64) - base
+        self.known = np.frombuffer(known, "<u4").astype(np.int64)
+
+    @functools.cached_property
+    def order(self) -> np.ndarray:
+        return np.argsort(self.text, kind="stable")
+
+    @functools.cached_property
+    def plain(self) -> bool:
+        """No shingle stands twice."""
+        return bool((np.diff(self.text[self.order]) != 0).all())
+
+    @functools.cached_property
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        return _content(self.text)
+
+    def shift(self, other: _Region) -> tuple[np.ndarray, int] | None:
+        """Which shingles stand in the other region, and how many places on, if that is
+        the same for all; both without repeats."""
+        place = np.searchsorted(other.text, self.text, sorter=other.order)
+        place = other.order[np.minimum(place, len(other.text) - 1)]
+        same = other.text[place] == self.text
+        shifts = (place - np.arange(len(place)))[same]
+        if not len(shifts):
+            return same, 0
+        return (same, int(shifts[0])) if (shifts == shifts[0]).all() else None
+
+
+def _nearest(found: list[np.ndarray], similarity: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each document and content the most similar window, that of the first document, the
+    first one. Rows of ``found`` are document, content, other document, place."""
+    rows = np.concatenate([np.zeros((0, 4), np.int64), *found])
+    values = np.concatenate([np.zeros(0), *similarity])
+    doc, content, other, place = rows.T
+    order = np.lexsort((place, other, -values, content, doc))
+    doc, content = doc[order], content[order]
+    fresh = np.r_[True, (doc[1:] != doc[:-1]) | (content[1:] != content[:-1])][: len(doc)]
+    return rows[order[fresh]], values[order[fresh]]
+
+
+def _met(one: _Region, two: _Region, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Entries of a region against entries of another: their windows that can be alike to one
+    there, as number of the entry and place; whether one is; its place and similarity.
+
+    Rows have the entries' places in the regions, their sizes, and the least size of a set.
+    """
+    base, size, smallest, other_base, other_size = rows.T
+    content, held = one.windows
+    first = np.searchsorted(one.places, base)
+    number = np.searchsorted(one.places, base + size - WINDOW, "right") - first
+    entry = np.repeat(np.arange(len(rows)), number)
+    window = np.arange(len(entry)) - np.repeat(np.cumsum(number) - number - first, number)
+    spot, known = one.places[window], one.known[window]
+    if not one.plain:
+        # A content that stands twice in an entry is looked at once.
+        for k in range(len(rows)):
+            run = slice(*np.searchsorted(entry, (k, k + 1)))
+            stretch = content[base[k] : base[k] + size[k] - WINDOW + 1].tolist()
+            lasts = dict(zip(stretch, range(base[k], base[k] + len(stretch))))
+            spot[run] = [lasts[value] for value in content[spot[run]].tolist()]
+    can = 4 * known >= 3 * (held[spot] + np.maximum(known, smallest[entry]) - known)
+    entry, spot = entry[can], spot[can]
+    shift = one.shift(two) if one.plain and two.plain else None
+    if shift is not None:
+        first, last = other_base[entry], (other_base + other_size)[entry] - WINDOW
+        place, shared = _on_one_diagonal(*shift, spot, first, last)
+        return entry, spot, 100 * shared >= 75 * (2 * WINDOW - shared), place, shared / (2 * WINDOW - shared)
+    hit, place, similarity = np.zeros(len(entry), bool), np.zeros(len(entry), np.int64), np.zeros(len(entry))
+    plain = True if one.plain and two.plain else None
+    for k in np.unique(entry).tolist():
+        run = np.arange(*np.searchsorted(entry, (k, k + 1)))
+        run = run[np.argsort(spot[run])]
+        own = one.text[base[k] : base[k] + size[k]]
+        other = two.text[other_base[k] : other_base[k] + other_size[k]]
+        for x, y, value in _alike(own, other, spot[run] - base[k], plain):
+            at = run[np.searchsorted(spot[run], x + base[k])]
+            hit[at], place[at], similarity[at] = True, y + other_base[k], value
+    return entry, spot, hit, place, similarity
+
+
+def _starred(rows: pa.Table, regions: pa.Table) -> pa.Table:
+    """A block's entries against the first one of their centre: what is alike, and the entries
+    with the windows that are still unexplained. Windows that no set of the centre can be
+    alike to are not wanted any more."""
+    names = ("region", "base", "shingles", "places", "known")
+    held = {row[0]: _Region(*row[1:]) for row in zip(*(regions[c].to_pylist() for c in names))}
+    column = {c: rows[c].to_numpy() for c in rows.column_names}
+    order = np.lexsort((column["head_region"], column["region"]))
+    pair = np.stack([column["region"], column["head_region"]], 1)[order]
+    starts = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]).any(1)][: len(pair)])
+    found, similarity, open_ = [], [], []
+    for start, end in zip(starts.tolist(), np.r_[starts[1:], len(pair)].tolist()):
+        run, (one, two) = order[start:end], (held[k] for k in pair[start].tolist())
+        doc, other = int(column["doc"][run[0]]), int(column["head_doc"][run[0]])
+        sizes = [column["base"] - one.base, column["size"], column["smallest"], column["head_base"] - two.base, column["head_size"]]
+        entry, spot, hit, place, value = _met(one, two, np.stack([x[run] for x in sizes], 1).astype(np.int64))
+        content = one.windows[0][spot]
+        size = int(hit.sum())
+        some = np.stack([np.full(size, doc), content[hit], np.full(size, other), place[hit] + two.base], 1)
+        some, value = _nearest([some], [value[hit]])
+        found.append(some)
+        similarity.append(value)
+        # What is left of an entry: its number, its document and content.
+        left = ~hit
+        open_.append(np.stack([run[entry[left]], np.full(int(left.sum()), doc), content[left]], 1))
+    some, values = _nearest(found, similarity)
+    alike = _table(_STARRED, **dict(zip(("doc", "content", "other", "place"), some.T)), similarity=values)
+    left = np.concatenate([np.zeros((0, 3), np.int64), *open_])
+    number, doc, content = left.T
+    _, codes = np.unique(np.r_[content, some[:, 1]], return_inverse=True)
+    _, docs = np.unique(np.r_[doc, some[:, 0]], return_inverse=True)
+    codes = codes + docs * (int(codes.max(initial=0)) + 1)
+    left = left[~np.isin(codes[: len(left)], codes[len(left) :])]
+    left = left[np.argsort(left[:, 0], kind="stable")]
+    number, first = np.unique(left[:, 0], return_index=True)
+    wanted = pa.ListArray.from_arrays(pa.array(np.r_[first, len(left)], pa.int32()), pa.array(left[:, 2], pa.int64()))
+    names = ("key", "doc", "region", "base", "size", "parts")
+    rest = _table(_STARRED, wanted=wanted, **{c: column[c][number] for c in names})
+    return pa.concat_tables([alike, rest])
+
+
+def _tiles(rows: pa.Table) -> pa.Table:
+    """Some tiles, one after the other; of each content of a document the most similar window."""
+    rows = sorted(rows.to_pylist(), key=lambda r: (r["key"], r["down"], r["across"]))
+    found = []
+    for _, tile in itertools.groupby(rows, lambda r: (r["key"], r["down"], r["across"])):
+        found += _tile(list(tile))
+    some = [np.array([row[:4] for row in found], np.int64).reshape(-1, 4)]
+    some, values = _nearest(some, [np.array([row[4] for row in found], float)])
+    return _table(_FOUND, **dict(zip(("doc", "content", "other", "place"), some.T)), similarity=values)
+
+
+def _plain(text: np.ndarray) -> bool:
+    return len(np.unique(text)) == len(text)
+
+
+def _tile(rows: list[dict]) -> list[tuple[int, int, int, int, float]]:
     """Wanted windows of a tile against its entries of earlier documents, the first ones first."""
-    rows = rows.to_pylist()
     known = sorted((r for r in rows if r["wanted"] is None), key=lambda r: (r["doc"], r["base"]))
     asking = [r for r in rows if r["wanted"] is not None]
+    if not known or not asking:
+        return []
     texts = [np.frombuffer(r["shingles"], "<u8") for r in asking]
     contents = [_content(x)[0] for x in texts]
     open_ = [dict(zip(c.tolist(), range(len(c)))) for c in contents]
     open_ = [{v: o[v] for v in r["wanted"]} for o, r in zip(open_, asking)]
     docs = np.array([r["doc"] for r in asking], np.int64)
-    flat, sizes = np.concatenate([np.zeros(0, np.uint64), *texts]), [len(x) for x in texts]
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    shingles, place = np.unique(np.concatenate(texts), return_inverse=True)
+    owner = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
+    plain = [_plain(x) for x in texts]
     # Of a window without repeats three quarters have to be shared.
-    least = np.array([-(-3 * WINDOW // 4) if len(np.unique(x)) == len(x) else 1 for x in texts], np.int64)
+    least = np.where(plain, -(-3 * WINDOW // 4), 1)
     going = np.ones(len(texts), bool)
     out = []
     for other in known:
+        if not (going & (docs > other["doc"])).any():
+            continue
         two = np.frombuffer(other["shingles"], "<u8")
-        shared = np.bincount(owner, np.isin(flat, two), len(texts))
-        for k in np.flatnonzero(going & (docs > other["doc"]) & (shared >= least)).tolist():
-            for x, y, value in _alike(texts[k], two, np.array(sorted(open_[k].values()), np.int64)):
+        at = np.minimum(np.searchsorted(shingles, two), len(shingles) - 1)
+        has = np.zeros(len(shingles), bool)
+        has[at[shingles[at] == two]] = True
+        shared = np.bincount(owner, has[place], len(texts))
+        near = np.flatnonzero(going & (docs > other["doc"]) & (shared >= least)).tolist()
+        both = _plain(two) if near else False
+        for k in near:
+            wanted = np.array(sorted(open_[k].values()), np.int64)
+            for x, y, value in _alike(texts[k], two, wanted, True if both and plain[k] else None):
                 content = int(contents[k][x])
                 out.append((asking[k]["doc"], content, other["doc"], other["base"] + y, value))
                 del open_[k][content]
             going[k] = bool(open_[k])
-    columns = list(zip(*out)) or [()] * 5
-    kinds = [pa.int64()] * 4 + [pa.float64()]
-    names = ["doc", "content", "other", "place", "similarity"]
-    return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], names=names)
+    return out
 
 
-def _alike_contents(entries: DataFrame) -> DataFrame:
+def _alike_contents(entries: DataFrame, regions: DataFrame, blocks: int) -> DataFrame:
     """``(doc, content, other, place, similarity)``: contents of ``entries`` that are alike to
-    one of an earlier document, with one or more of these documents."""
-    head = F.min(F.struct("doc", "base", "shingles")).alias("head")
+    one of an earlier document, with one or more of these documents.
+
+    What is exchanged of entries are their places. Their shingles come from the regions: each
+    goes to a block once, and to tiles only for what is still unexplained."""
+    head = F.min(F.struct("doc", "base", "region", "size")).alias("head")
     groups = entries.groupBy("key").agg(
-        head, F.max("doc").alias("top"), F.count("*").alias("size"), F.min("least").alias("smallest")
+        head, F.max("doc").alias("top"), F.count("*").alias("entries"), F.min("least").alias("smallest")
     )
     groups = groups.where("head.doc < top").select(
         "key",
         "smallest",
-        F.ceil(F.col("size") / TILE).cast("int").alias("parts"),
-        *(F.col(f"head.{c}").alias(f"head_{c}") for c in ("doc", "base", "shingles")),
-    )
-    later = entries.join(groups, "key").where("doc > head_doc")
-    starred = written(later.mapInArrow(_starred, _STARRED))
-    pieces = F.explode(F.arrays_zip("content", "place", "similarity")).alias("piece")
-    found = starred.select("doc", "other", pieces).select(
-        "doc", "piece.content", "other", "piece.place", "piece.similarity"
+        F.ceil(F.col("entries") / TILE).cast("int").alias("parts"),
+        *(F.col(f"head.{c}").alias(f"head_{c}") for c in ("doc", "region", "base", "size")),
     )
-    done = found.groupBy("doc").agg(F.collect_set("content").alias("done"))
-    rest = starred.where("size(wanted) > 0").join(done, "doc", "left")
-    rest = rest.withColumn("wanted", F.array_except("wanted", F.coalesce("done", F.array().cast("array<long>"))))
-    rest = written(rest.where("size(wanted) > 0").select("key", "doc", "parts", "shingles", "wanted"))
+    later = entries.drop("least").join(groups, "key").where("doc > head_doc")
+    later = written(later.withColumn("block", _block_of("doc", blocks)))
+    asked = later.select(F.col("block").alias("to"), F.explode(F.array("region", "head_region")).alias("region"))
+    lent = asked.distinct().join(regions, "region").select("to", *_REGIONS)
+    met = later.groupBy("block").cogroup(lent.groupBy("to"))
+    starred = written(met.applyInArrow(_starred, _STARRED))
+    found = starred.where("wanted IS NULL").select(*_NEAR)
+    rest = starred.where("wanted IS NOT NULL").select("key", "doc", "region", "base", "size", "parts", "wanted")
     asking = rest.groupBy("key").agg(
         F.first("parts").alias("parts"), F.ceil(F.count("*") / TILE).cast("int").alias("asking")
     )
+    begins = regions.select("region", F.col("base").alias("start"), F.col("shingles").alias("whole"))
+    own = F.expr("substring(whole, cast(8 * (base - start) + 1 as int), 8 * size)").alias("shingles")
 
     def part(number: str) -> F.Column:
-        return F.pmod(F.xxhash64("doc", "shingles"), F.col(number).cast("long")).cast("int")
+        return F.pmod(F.xxhash64("region", "base"), F.col(number).cast("long")).cast("int")
 
     def each(number: str) -> F.Column:
         return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
 
-    one = rest.join(asking.select("key", "asking"), "key").select(
+    one = rest.join(asking.select("key", "asking"), "key").join(begins, "region").select(
         "key",
         "doc",
         F.lit(0).cast("long").alias("base"),
-        "shingles",
+        own,
         "wanted",
         part("asking").alias("down"),
         each("parts").alias("across"),
     )
-    two = entries.join(asking, "key").select(
+    two = entries.join(asking, "key").join(begins, "region").select(
         "key",
         "doc",
         "base",
-        "shingles",
+        own,
         F.lit(None).cast("array<long>").alias("wanted"),
         each("asking").alias("down"),
         part("parts").alias("across"),
     )
-    return found.union(one.union(two).groupBy("key", "down", "across").applyInArrow(_tile, _FOUND))
+    tiles = one.union(two).withColumn(
+        "bucket", F.pmod(F.xxhash64("key", "down", "across"), F.lit(BUCKETS * blocks).cast("long"))
+    )
+    return found.union(tiles.groupBy("bucket").applyInArrow(_tiles, _FOUND))
 
 
-def _reported(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _reported(rows: pa.Table, found: pa.Table) -> pa.Table:
     """Runs of windows that repeat one document."""
-
-    def reported(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        ids, texts = _numbered(rows)
-        found = answers.filter(pa.array(answers["kind"].to_numpy() == 2))
-        near: dict[tuple[int, int], tuple[float, int, int]] = {}
-        for doc, content, other, place, similarity in zip(*(found[c].to_pylist() for c in _NEAR)):
-            own = (-similarity, other, place)
-            near[doc, content] = min(near.get((doc, content), own), own)
-        text, place, content, _, _, _, fresh, lead, lead_place = _leads(ids, texts, answers, shards)
-        group = np.repeat(np.arange(len(fresh)), np.diff(np.r_[fresh, len(text)]))
-        windows = []
-        columns = (text, place, ids[text], content.view(np.int64), lead[group], lead_place[group])
-        for k, x, doc, value, first, y in zip(*(c.tolist() for c in columns)):
-            if first < doc:
-                windows.append((k, x, doc, first, y, 1.0))
-            elif (doc, value) in near:
-                similarity, other, y = near[doc, value]
-                windows.append((k, x, doc, other, y, -similarity))
-        out: list[list] = []
+    near: dict[tuple[int, int], tuple[float, int, int]] = {}
+    for doc, content, other, place, similarity in zip(*(found[c].to_pylist() for c in _NEAR)):
+        own = (-similarity, other, place)
+        near[doc, content] = min(near.get((doc, content), own), own)
+    out: list[list] = []
+    for row in rows.to_pylist():
+        docs = np.frombuffer(row["docs"], "<i8").tolist()
+        runs = np.frombuffer(row["runs"], "<i8").reshape(-1, 5).tolist()
+        windows = [(k, x, y, other, spot, 1.0) for k, x, y, other, spot in runs]
+        if near:
+            text, content = np.frombuffer(row["texts"], "<u4"), np.frombuffer(row["contents"], "<i8")
+            place = np.cumsum(np.frombuffer(row["places"], "<i4"))
+            ok = np.flatnonzero(np.isin(content, np.fromiter((c for _, c in near), np.int64, len(near))))
+            for k, x, value in zip(text[ok].tolist(), place[ok].tolist(), content[ok].tolist()):
+                if (docs[k], value) in near:
+                    similarity, other, y = near[docs[k], value]
+                    windows.append((k, x, x, other, y, -similarity))
         last = None
-        for k, x, doc, other, y, similarity in sorted(windows):
+        for k, x, end, other, y, similarity in sorted(windows):
             if last == (k, x - 1, other):
-                out[-1][2], out[-1][5] = x + WINDOW + SHINGLE - 1, max(out[-1][5], similarity)
+                out[-1][2], out[-1][5] = end + WINDOW + SHINGLE - 1, max(out[-1][5], similarity)
             else:
-                out.append([doc, x, x + WINDOW + SHINGLE - 1, other, y, similarity])
-            last = (k, x, other)
-        columns = list(zip(*out)) or [()] * 6
-        names = ["doc_id", "start", "end", "other_id", "other_start", "similarity"]
-        kinds = [pa.int64()] * 5 + [pa.float64()]
-        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], names=names)
-
-    return reported
+                out.append([docs[k], x, end + WINDOW + SHINGLE - 1, other, y, similarity])
+            last = (k, end, other)
+    columns = list(zip(*out)) or [()] * 6
+    names = ["doc_id", "start", "end", "other_id", "other_start", "similarity"]
+    return _table(PASSAGES, **dict(zip(names, columns)))
 
 
 _NEAR = ["doc", "content", "other", "place", "similarity"]
+_REGIONS = ["region", "base", "shingles", "places", "known"]
+
+
+def _block_of(doc: str, blocks: int) -> F.Column:
+    return F.pmod(F.xxhash64(doc), F.lit(blocks).cast("long"))
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -521,12 +733,14 @@ def passages(docs: DataFrame) -> DataFrame:
     rows = sharing.in_blocks(docs, number)
     blocks = rows.groupBy("block")
     asked = blocks.applyInArrow(_ask(number), sharing.ASKED)
-    answers = written(asked.groupBy("shard").applyInArrow(sharing.answer, sharing.ANSWERED))
+    # One plan, so that the texts are exchanged once.
+    answers = asked.groupBy("shard").applyInArrow(sharing.answer, sharing.ANSWERED)
     sent = blocks.cogroup(answers.groupBy("block")).applyInArrow(_send(number), _SENT)
     first = sent.groupBy("shard").applyInArrow(_first, sharing.ANSWERED)
-    answers = written(answers.union(first))
-    entries = written(blocks.cogroup(answers.groupBy("block")).applyInArrow(_entries(number), _ENTRIES))
-    block = F.pmod(F.xxhash64("doc"), F.lit(number).cast("long")).alias("block")
-    found = _alike_contents(entries).select(block, F.lit(2).alias("kind"), *_NEAR)
-    known = answers.unionByName(found, allowMissingColumns=True)
-    return blocks.cogroup(known.groupBy("block")).applyInArrow(_reported(number), PASSAGES).distinct()
+    answers = answers.union(first)
+    looked = written(blocks.cogroup(answers.groupBy("block")).applyInArrow(_looked(number), _LOOKED))
+    entries = looked.where(f"kind = {_ENTRY}").select("key", "doc", "region", "base", "size", "least")
+    found = _alike_contents(entries, looked.where(f"kind = {_REGION}").select(*_REGIONS), number)
+    found = found.withColumn("block", _block_of("doc", number))
+    own = looked.where(f"kind = {_BLOCK}").select("block", "docs", "runs", "texts", "places", "contents")
+    return own.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_reported, PASSAGES).distinct()

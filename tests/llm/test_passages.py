@@ -142,3 +142,50 @@ def test_first_holders_do_not_hide_later_ones(spark):
     near = [w if k != 30 else "near" for k, w in enumerate(passage)]
     rows.append((9, f"{data.prose(209, 40)} {' '.join(near)} {data.prose(309, 40)}"))
     check(data.documents(spark, rows), rows, recall=0.999)
+
+
+def test_entries_are_exchanged_without_their_shingles(spark, monkeypatch):
+    """Half a kilobyte an entry is several times the texts."""
+    seen, real = [], passages._alike_contents
+    monkeypatch.setattr(passages, "_alike_contents", lambda x, *more: seen.append(x) or real(x, *more))
+    passages.passages(data.documents(spark, rows()))
+    assert "binary" not in dict(seen[0].dtypes).values()
+
+
+def best_of(one, two, places):
+    out = []
+    for x in places:
+        own = set(one[x : x + T].tolist())
+        shared = [len(own & set(two[y : y + T].tolist())) for y in range(len(two) - T + 1)]
+        top = max(shared)
+        if 100 * top >= 75 * (2 * T - top):
+            out.append((x, shared.index(top), top / (2 * T - top)))
+    return out
+
+
+def test_windows_on_one_diagonal_and_on_several():
+    rng = np.random.default_rng(3)
+    for kind in range(60):
+        one = rng.permutation(np.arange(1, 400, dtype=np.uint64))[: rng.integers(T, 130)]
+        two = one[rng.integers(0, 20) :].copy() if kind % 3 else np.r_[one[:30], np.uint64(999), one[30:]]
+        two[rng.random(len(two)) < 0.05 * (kind % 4)] += np.uint64(1_000)
+        two = np.r_[np.arange(2_000, 2_000 + rng.integers(0, 9)).astype(np.uint64), two]
+        if len(two) < T:
+            continue
+        places = np.arange(len(one) - T + 1)
+        assert passages._alike(one, two, places) == best_of(one, two, places)
+        regions = [
+            passages._Region(7, x.tobytes(), (7 + np.arange(len(x) - T + 1)).astype("<u4").tobytes(), b"\x2e\0\0\0" * (len(x) - T + 1))
+            for x in (one, two)
+        ]
+        # Entries are stretches of their regions.
+        cuts = []
+        for _ in range(4):
+            a, b = (int(rng.integers(0, len(x) - T + 1)) for x in (one, two))
+            cuts.append((a, int(rng.integers(T, len(one) - a + 1)), 1, b, int(rng.integers(T, len(two) - b + 1))))
+        rows_ = np.array([(a, n, least, b, m) for a, n, least, b, m in cuts], np.int64)
+        entry, spot, hit, place, value = passages._met(*regions, rows_)
+        for k, (a, n, _, b, m) in enumerate(cuts):
+            own = (entry == k) & hit
+            expected = [(a + x, b + y, v) for x, y, v in best_of(one[a : a + n], two[b : b + m], range(n - T + 1))]
+            assert sorted(zip(spot[own].tolist(), place[own].tolist(), value[own].tolist())) == expected
