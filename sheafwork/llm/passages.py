@@ -36,6 +36,8 @@ FUNCTIONS = 8
 TILE = 256
 #: Groups that tiles are dealt to, a block of documents.
 BUCKETS = 4
+#: Of two windows without repeats as many shingles have to be shared for 0.75.
+_LEAST_SHARED = -(-150 * WINDOW // 175)
 _SLICE_SHINGLES = 1 << 17
 _SEEDS = seeds(FUNCTIONS, 5_000)
 
@@ -387,11 +389,12 @@ def _on_one_diagonal(
     ``one`` tells which shingles stand in the other text, each ``shift`` places on. Of windows
     that share as many the first is taken.
     """
-    before = np.r_[0, np.cumsum(one)]
+    before = np.zeros(len(one) + 1, np.int64)
+    np.cumsum(one, out=before[1:])
     latest = np.maximum.accumulate(np.where(one, np.arange(len(one)), -1))
-    nearest = np.clip(places, first - shift, last - shift)
+    nearest = np.minimum(np.maximum(places, first - shift), last - shift)
     low, high = np.maximum(places, nearest), np.minimum(places, nearest) + WINDOW - 1
-    number = before[np.clip(high + 1, 0, len(one))] - before[np.minimum(low, len(one))]
+    number = before[np.maximum(high + 1, 0)] - before[np.minimum(low, len(one))]
     return np.maximum(latest[np.maximum(high, 0)] + shift - WINDOW + 1, first), number
 
 
@@ -403,9 +406,8 @@ def _alike(
     text has a shingle twice, if that is known."""
     if plain or len(np.unique(one)) == len(one) and len(np.unique(two)) == len(two):
         same = one[:, None] == two[None, :]
-        x, y = same.nonzero()
-        # As many have to be shared for 0.75.
-        if len(x) < -(-150 * WINDOW // 175):
+        x, y = np.divmod(np.flatnonzero(same), len(two))
+        if len(x) < _LEAST_SHARED:
             return []
         if (y - x == y[0] - x[0]).all():
             best, number = _on_one_diagonal(same.any(1), int(y[0] - x[0]), places, 0, len(two) - WINDOW)
@@ -457,16 +459,11 @@ class _Region:
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         return _content(self.text)
 
-    def shift(self, other: _Region) -> tuple[np.ndarray, int] | None:
-        """Which shingles stand in the other region, and how many places on, if that is
-        the same for all; both without repeats."""
+    def places_in(self, other: _Region) -> tuple[np.ndarray, np.ndarray]:
+        """Which shingles stand in the other region, which has no repeats, and their places there."""
         place = np.searchsorted(other.text, self.text, sorter=other.order)
         place = other.order[np.minimum(place, len(other.text) - 1)]
-        same = other.text[place] == self.text
-        shifts = (place - np.arange(len(place)))[same]
-        if not len(shifts):
-            return same, 0
-        return (same, int(shifts[0])) if (shifts == shifts[0]).all() else None
+        return other.text[place] == self.text, place
 
 
 def _nearest(found: list[np.ndarray], similarity: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -503,21 +500,36 @@ def _met(one: _Region, two: _Region, rows: np.ndarray) -> tuple[np.ndarray, ...]
             spot[run] = [lasts[value] for value in content[spot[run]].tolist()]
     can = 4 * known >= 3 * (held[spot] + np.maximum(known, smallest[entry]) - known)
     entry, spot = entry[can], spot[can]
-    shift = one.shift(two) if one.plain and two.plain else None
-    if shift is not None:
-        first, last = other_base[entry], (other_base + other_size)[entry] - WINDOW
-        place, shared = _on_one_diagonal(*shift, spot, first, last)
-        return entry, spot, 100 * shared >= 75 * (2 * WINDOW - shared), place, shared / (2 * WINDOW - shared)
-    hit, place, similarity = np.zeros(len(entry), bool), np.zeros(len(entry), np.int64), np.zeros(len(entry))
     plain = True if one.plain and two.plain else None
-    for k in np.unique(entry).tolist():
-        run = np.arange(*np.searchsorted(entry, (k, k + 1)))
+    if plain:
+        same, where = one.places_in(two)
+        shifts = where - np.arange(len(where))
+        own = shifts[same]
+        if not len(own) or (own == own[0]).all():
+            first, last = other_base[entry], (other_base + other_size)[entry] - WINDOW
+            place, shared = _on_one_diagonal(same, int(own[0]) if len(own) else 0, spot, first, last)
+            return entry, spot, 100 * shared >= 75 * (2 * WINDOW - shared), place, shared / (2 * WINDOW - shared)
+    hit, place, similarity = np.zeros(len(entry), bool), np.zeros(len(entry), np.int64), np.zeros(len(entry))
+    ends = np.searchsorted(entry, np.arange(len(rows) + 1)).tolist()
+    for k, (a, n, _, b, m) in enumerate(rows.tolist()):
+        if ends[k] == ends[k + 1]:
+            continue
+        if plain:
+            near = same[a : a + n] & (where[a : a + n] >= b) & (where[a : a + n] < b + m)
+            if np.count_nonzero(near) < _LEAST_SHARED:
+                continue
+            own = shifts[a : a + n][near]
+            if (own == own[0]).all():
+                run = slice(ends[k], ends[k + 1])
+                at, shared = _on_one_diagonal(near, int(own[0]) + a - b, spot[run] - a, 0, m - WINDOW)
+                hit[run], place[run] = 100 * shared >= 75 * (2 * WINDOW - shared), at + b
+                similarity[run] = shared / (2 * WINDOW - shared)
+                continue
+        run = np.arange(ends[k], ends[k + 1])
         run = run[np.argsort(spot[run])]
-        own = one.text[base[k] : base[k] + size[k]]
-        other = two.text[other_base[k] : other_base[k] + other_size[k]]
-        for x, y, value in _alike(own, other, spot[run] - base[k], plain):
-            at = run[np.searchsorted(spot[run], x + base[k])]
-            hit[at], place[at], similarity[at] = True, y + other_base[k], value
+        for x, y, value in _alike(one.text[a : a + n], two.text[b : b + m], spot[run] - a, plain):
+            at = run[np.searchsorted(spot[run], x + a)]
+            hit[at], place[at], similarity[at] = True, y + b, value
     return entry, spot, hit, place, similarity
 
 
@@ -590,7 +602,7 @@ def _tile(rows: list[dict]) -> list[tuple[int, int, int, int, float]]:
     docs = np.array([r["doc"] for r in asking], np.int64)
     shingles, place = np.unique(np.concatenate(texts), return_inverse=True)
     owner = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
-    plain = [_plain(x) for x in texts]
+    plain = np.array([_plain(x) for x in texts])
     # Of a window without repeats three quarters have to be shared.
     least = np.where(plain, -(-3 * WINDOW // 4), 1)
     going = np.ones(len(texts), bool)
@@ -603,9 +615,11 @@ def _tile(rows: list[dict]) -> list[tuple[int, int, int, int, float]]:
         has = np.zeros(len(shingles), bool)
         has[at[shingles[at] == two]] = True
         shared = np.bincount(owner, has[place], len(texts))
-        near = np.flatnonzero(going & (docs > other["doc"]) & (shared >= least)).tolist()
-        both = _plain(two) if near else False
-        for k in near:
+        near = going & (docs > other["doc"]) & (shared >= least)
+        both = near.any() and _plain(two)
+        if both:
+            near &= (shared >= _LEAST_SHARED) | ~plain
+        for k in np.flatnonzero(near).tolist():
             wanted = np.array(sorted(open_[k].values()), np.int64)
             for x, y, value in _alike(texts[k], two, wanted, True if both and plain[k] else None):
                 content = int(contents[k][x])

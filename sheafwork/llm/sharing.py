@@ -37,7 +37,8 @@ def distinct(keys: np.ndarray, docs: np.ndarray, shards: int) -> tuple[np.ndarra
     and for each given key its place among the distinct ones."""
     short = keys >> _DROPPED
     short = short + (short % np.uint64(shards) << np.uint64(40))
-    order = np.lexsort((docs, short))
+    # In whichever order a key's documents come, two neighbours differ if it has several.
+    order = np.argsort(short)
     short, docs = short[order], docs[order]
     fresh = np.r_[True, short[1:] != short[:-1]] if len(short) else np.zeros(0, bool)
     group = np.cumsum(fresh) - 1
