@@ -178,6 +178,13 @@ def _summed(values: np.ndarray, *weights: np.ndarray) -> Iterator[np.ndarray]:
         yield np.cumsum(steps, dtype=weight.dtype)[:count]
 
 
+def _in_windows(weights: np.ndarray) -> np.ndarray:
+    """For each window the sum of all its weights."""
+    sums = np.cumsum(weights, dtype=weights.dtype)
+    sums[WINDOW:] -= sums[:-WINDOW].copy()
+    return sums[WINDOW - 1 :]
+
+
 def _contents(ids: np.ndarray, texts: list[np.ndarray], answers: pa.Table, shards: int) -> tuple[np.ndarray, ...]:
     """Windows that can be alike to one of another document: text, place, hash of the set,
     size of the set, how many of it are shared, shard, by shard, hash and document; and
@@ -186,11 +193,19 @@ def _contents(ids: np.ndarray, texts: list[np.ndarray], answers: pa.Table, shard
     _, shard, _, spot = sharing.distinct(flat, docs, shards)
     bits = sharing.shared(answers, shard)[spot].astype(np.int64)
     out, end = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 2], 0
+    weights, seen = mixed(flat), np.empty(len(shard), np.int64)
     for k, text in enumerate(texts):
-        own, end = bits[end : end + len(text)], end + len(text)
+        run, end = slice(end, end + len(text)), end + len(text)
         if len(text) < WINDOW:
             continue
-        content, held, known = _summed(text, mixed(text), np.ones(len(text), np.int64), own)
+        number = np.arange(len(text))
+        seen[spot[run]] = number
+        if (seen[spot[run]] == number).all():
+            # No shingle stands twice.
+            content, known = (_in_windows(x[run]) for x in (weights, bits))
+            held = np.full(len(known), WINDOW)
+        else:
+            content, held, known = _summed(text, weights[run], np.ones(len(text), np.int64), bits[run])
         place = np.flatnonzero(100 * known >= 75 * held)
         out.append((np.full(len(place), k), place, content[place], held[place], known[place]))
     text, place, content, held, known = (np.concatenate(x) for x in zip(*out))
@@ -646,11 +661,11 @@ def _alike_contents(entries: DataFrame, regions: DataFrame, blocks: int) -> Data
         *(F.col(f"head.{c}").alias(f"head_{c}") for c in ("doc", "region", "base", "size")),
     )
     later = entries.drop("least").join(groups, "key").where("doc > head_doc")
-    later = written(later.withColumn("block", _block_of("doc", blocks)))
+    later = written(later.withColumn("block", _block_of("doc", blocks)), cleaned=True)
     asked = later.select(F.col("block").alias("to"), F.explode(F.array("region", "head_region")).alias("region"))
     lent = asked.distinct().join(regions, "region").select("to", *_REGIONS)
     met = later.groupBy("block").cogroup(lent.groupBy("to"))
-    starred = written(met.applyInArrow(_starred, _STARRED))
+    starred = written(met.applyInArrow(_starred, _STARRED), cleaned=True)
     found = starred.where("wanted IS NULL").select(*_NEAR)
     rest = starred.where("wanted IS NOT NULL").select("key", "doc", "region", "base", "size", "parts", "wanted")
     asking = rest.groupBy("key").agg(
@@ -660,7 +675,7 @@ def _alike_contents(entries: DataFrame, regions: DataFrame, blocks: int) -> Data
     own = F.expr("substring(whole, cast(8 * (base - start) + 1 as int), 8 * size)").alias("shingles")
 
     def part(number: str) -> F.Column:
-        return F.pmod(F.xxhash64("region", "base"), F.col(number).cast("long")).cast("int")
+        return F.pmod(F.xxhash64("doc", "base"), F.col(number).cast("long")).cast("int")
 
     def each(number: str) -> F.Column:
         return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
@@ -747,12 +762,13 @@ def passages(docs: DataFrame) -> DataFrame:
     rows = sharing.in_blocks(docs, number)
     blocks = rows.groupBy("block")
     asked = blocks.applyInArrow(_ask(number), sharing.ASKED)
-    # One plan, so that the texts are exchanged once.
+    # One plan up to the answers, so that the texts are exchanged once for them.
     answers = asked.groupBy("shard").applyInArrow(sharing.answer, sharing.ANSWERED)
     sent = blocks.cogroup(answers.groupBy("block")).applyInArrow(_send(number), _SENT)
     first = sent.groupBy("shard").applyInArrow(_first, sharing.ANSWERED)
-    answers = answers.union(first)
-    looked = written(blocks.cogroup(answers.groupBy("block")).applyInArrow(_looked(number), _LOOKED))
+    answers = written(answers.union(first), cleaned=True)
+    looked = blocks.cogroup(answers.groupBy("block")).applyInArrow(_looked(number), _LOOKED)
+    looked = written(looked, cleaned=True)
     entries = looked.where(f"kind = {_ENTRY}").select("key", "doc", "region", "base", "size", "least")
     found = _alike_contents(entries, looked.where(f"kind = {_REGION}").select(*_REGIONS), number)
     found = found.withColumn("block", _block_of("doc", number))

@@ -11,15 +11,28 @@ from pyspark.sql import functions as F
 from sheafwork.session import shared_folder
 
 
-def written(frame: DataFrame) -> DataFrame:
+#: Whether Spark deletes a query's shuffle files when it has ended, not when the driver collects garbage.
+_CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(frame: DataFrame, cleaned: bool = False) -> DataFrame:
     """The frame, computed once, written to the shared folder and read back.
 
     It cuts lineage: what is read back survives lost executors, and nothing above is
-    computed again. The files stay as long as the session's shared folder does.
+    computed again. The files stay as long as the session's shared folder does. ``cleaned`` is
+    for frames that nothing else is computed from: what they exchanged is deleted at once.
     """
-    folder = shared_folder(frame.sparkSession)
-    frame.write.parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    spark = frame.sparkSession
+    folder = shared_folder(spark)
+    before = spark.conf.get(_CLEANED, "false")
+    if cleaned:
+        spark.conf.set(_CLEANED, "true")
+    try:
+        frame.write.parquet(folder)
+    finally:
+        if cleaned:
+            spark.conf.set(_CLEANED, before)
+    return spark.read.schema(frame.schema).parquet(folder)
 
 
 def kept(frame: DataFrame) -> DataFrame:
