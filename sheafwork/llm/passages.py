@@ -16,7 +16,6 @@ in tiles. So a passage that a third of the corpus shares stands once in the last
 from __future__ import annotations
 
 import functools
-import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafwork.llm import sharing
-from sheafwork.llm.hashing import mixed, raw, seeds, shingle_hashes, word_hashes, words
+from sheafwork.llm.hashing import mixed, raw, seeds, shingle_hashes, word_hashes_of
 from sheafwork.llm.tables import written
 
 SHINGLE = 5
@@ -39,6 +38,8 @@ BUCKETS = 4
 #: Of two windows without repeats as many shingles have to be shared for 0.75.
 _LEAST_SHARED = -(-150 * WINDOW // 175)
 _SLICE_SHINGLES = 1 << 17
+#: Bytes of texts whose words are hashed at once.
+_SLICE_BYTES = 1 << 18
 _SEEDS = seeds(FUNCTIONS, 5_000)
 
 _SENT = "shard long, block long, keys binary, docs binary, places binary"
@@ -55,11 +56,6 @@ PASSAGES = (
 )
 
 
-def _shingles(text: bytes) -> np.ndarray:
-    tokens = words(text)
-    return shingle_hashes(word_hashes(tokens)) if len(tokens) >= SHINGLE else np.zeros(0, np.uint64)
-
-
 def compact_windows(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(left, centre, right)`` of the windows of at least ``WINDOW`` values.
 
@@ -140,7 +136,25 @@ def _windows(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
 
 def _numbered(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
     known = [(i, t) for i, t in zip(rows["doc_id"].to_pylist(), raw(rows["text"])) if i is not None]
-    return np.array([i for i, _ in known], np.int64), [_shingles(t) for _, t in known]
+    ids, texts, size = np.array([i for i, _ in known], np.int64), [], 0
+    some: list[bytes] = []
+    for number, (_, text) in enumerate(known, 1):
+        some.append(text)
+        size += len(text)
+        if size >= _SLICE_BYTES or number == len(known):
+            texts += _shingles(some)
+            some, size = [], 0
+    return ids, texts
+
+
+def _shingles(texts: list[bytes]) -> list[np.ndarray]:
+    """The shingles of each text; fewer words than make one have none."""
+    hashes, ends = word_hashes_of(texts)
+    if len(hashes) < SHINGLE:
+        return [hashes[:0]] * len(texts)
+    # Shingles that begin in one text and end in another are left out.
+    flat, starts = shingle_hashes(hashes), np.r_[0, ends[:-1]]
+    return [flat[a : max(a, b - SHINGLE + 1)] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
 def _block(rows: pa.Table) -> int:
@@ -436,19 +450,31 @@ def _alike(
         hit = 100 * number >= 75 * (2 * WINDOW - number)
         values = number[hit] / (2 * WINDOW - number[hit])
         return list(zip(places[hit].tolist(), best[hit].tolist(), values.tolist()))
-    others: dict[frozenset, int] = {}
-    for y in range(len(two) - WINDOW + 1):
-        others.setdefault(frozenset(two[y : y + WINDOW].tolist()), y)
-    out = []
-    for x in places.tolist():
-        own, top = frozenset(one[x : x + WINDOW].tolist()), None
-        for other, y in others.items():
-            shared = len(own & other)
-            union = len(own) + len(other) - shared
-            if 100 * shared >= 75 * union and (top is None or shared / union > top[2]):
-                top = (x, y, shared / union)
-        out += [top] if top else []
-    return out
+    _, code = np.unique(np.concatenate([one, two]), return_inverse=True)
+    own, other = _sets(code[: len(one)], int(code.max()) + 1), _sets(code[len(one) :], int(code.max()) + 1)
+    own = own[places]
+    hit, best, value = _most_alike(own, other, own.sum(1))
+    return list(zip(places[hit].tolist(), best[hit].tolist(), value[hit].tolist()))
+
+
+def _sets(code: np.ndarray, size: int) -> np.ndarray:
+    """A row a window: a one for each of ``size`` shingles that stands in it."""
+    before = np.zeros((len(code) + 1, size), np.int16)
+    before[np.arange(1, len(code) + 1), code] = 1
+    np.cumsum(before, axis=0, out=before)
+    # Sums of products of ones are exact in single precision.
+    return (before[WINDOW:] > before[:-WINDOW]).astype(np.float32)
+
+
+def _most_alike(one: np.ndarray, two: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each set of ``one``, which holds ``held`` shingles in all, whether one of ``two`` is alike;
+    the most similar one, of those as similar the first; and the similarity."""
+    shared = (one @ two.T).astype(np.int64)
+    union = (held[:, None] + two.sum(1)[None, :]).astype(np.int64) - shared
+    values = np.where(100 * shared >= 75 * union, shared / np.maximum(union, 1), 0)
+    best = values.argmax(1)
+    value = values[np.arange(len(values)), best]
+    return value > 0, best, value
 
 
 class _Region:
@@ -589,59 +615,112 @@ def _starred(rows: pa.Table, regions: pa.Table) -> pa.Table:
     return pa.concat_tables([alike, rest])
 
 
+class _Windows:
+    """Wanted windows of some entries: their place among all shingles, the entry, the hash of
+    their set and its size."""
+
+    def __init__(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, plain: np.ndarray, wanted: list) -> None:
+        asking = np.array([x is not None for x in wanted], bool)
+        owner = np.repeat(np.arange(len(starts)), ends - starts)
+        sums = np.r_[np.uint64(0), np.cumsum(mixed(flat), dtype=np.uint64)]
+        place = np.flatnonzero((asking & plain)[owner] & (np.arange(len(flat)) + WINDOW <= ends[owner]))
+        content = sums[place + WINDOW] - sums[place]
+        # A set is looked up together with its entry; a window too many would only be compared.
+        salt = mixed(np.arange(1, len(starts) + 1, dtype=np.uint64))
+        some = [k for k in np.flatnonzero(asking & plain).tolist() if len(wanted[k])]
+        asked = np.concatenate([np.zeros(0, np.int64), *(wanted[k] for k in some)]).view(np.uint64)
+        asked = asked ^ np.repeat(salt[some], [len(wanted[k]) for k in some])
+        ok = np.isin(content ^ salt[owner[place]], asked)
+        places, contents, least = [place[ok]], [content[ok].view(np.int64)], [np.full(int(ok.sum()), WINDOW)]
+        for k in np.flatnonzero(asking & ~plain).tolist():
+            content, held = _content(flat[starts[k] : ends[k]])
+            # A content that stands twice in an entry is looked at once.
+            lasts = dict(zip(content.tolist(), range(len(content))))
+            spots = np.array([lasts[v] for v in wanted[k]], np.int64)
+            places.append(starts[k] + spots)
+            contents.append(content[spots])
+            least.append(held[spots])
+        place, content, held = (np.concatenate(x) for x in (places, contents, least))
+        order = np.argsort(place, kind="stable")
+        self.place, self.content = place[order], content[order]
+        self.owner = owner[self.place]
+        self.held = held[order]
+
+
 def _tiles(rows: pa.Table) -> pa.Table:
-    """Some tiles, one after the other; of each content of a document the most similar window."""
-    rows = sorted(rows.to_pylist(), key=lambda r: (r["key"], r["down"], r["across"]))
-    found = []
-    for _, tile in itertools.groupby(rows, lambda r: (r["key"], r["down"], r["across"])):
-        found += _tile(list(tile))
-    some = [np.array([row[:4] for row in found], np.int64).reshape(-1, 4)]
-    some, values = _nearest(some, [np.array([row[4] for row in found], float)])
-    return _table(_FOUND, **dict(zip(("doc", "content", "other", "place"), some.T)), similarity=values)
-
-
-def _plain(text: np.ndarray) -> bool:
-    return len(np.unique(text)) == len(text)
-
-
-def _tile(rows: list[dict]) -> list[tuple[int, int, int, int, float]]:
-    """Wanted windows of a tile against its entries of earlier documents, the first ones first."""
-    known = sorted((r for r in rows if r["wanted"] is None), key=lambda r: (r["doc"], r["base"]))
-    asking = [r for r in rows if r["wanted"] is not None]
-    if not known or not asking:
-        return []
-    texts = [np.frombuffer(r["shingles"], "<u8") for r in asking]
-    contents = [_content(x)[0] for x in texts]
-    open_ = [dict(zip(c.tolist(), range(len(c)))) for c in contents]
-    open_ = [{v: o[v] for v in r["wanted"]} for o, r in zip(open_, asking)]
-    docs = np.array([r["doc"] for r in asking], np.int64)
-    shingles, place = np.unique(np.concatenate(texts), return_inverse=True)
-    owner = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
-    plain = np.array([_plain(x) for x in texts])
-    # Of a window without repeats three quarters have to be shared.
-    least = np.where(plain, -(-3 * WINDOW // 4), 1)
-    going = np.ones(len(texts), bool)
-    out = []
-    for other in known:
-        if not (going & (docs > other["doc"])).any():
+    """Some tiles, one after the other; of each content of a document the most similar window.
+
+    A tile has wanted windows and entries; a window meets the entries of earlier documents, the
+    first ones first, until one is alike. How many of a window's shingles stand in an entry is
+    counted for all windows of the tile at once, and only where they can be enough are
+    they compared place by place."""
+    asking = ~rows["wanted"].is_null().to_numpy()
+    names = ("base", "doc", "across", "down", "key")
+    base, doc, across, down, key = (rows[c].to_numpy() for c in names)
+    order = np.lexsort((base, doc, asking, across, down, key))
+    asking, base, doc, across, down, key = (x[order] for x in (asking, base, doc, across, down, key))
+    shingles, wanted = rows["shingles"].to_pylist(), rows["wanted"].to_numpy()
+    shingles, wanted = [shingles[k] for k in order.tolist()], [wanted[k] for k in order.tolist()]
+    ends = np.cumsum([len(x) // 8 for x in shingles])
+    starts = np.r_[0, ends[:-1]][: len(ends)]
+    flat = np.frombuffer(b"".join(shingles), "<u8")
+    distinct, code = np.unique(flat, return_inverse=True)
+    twice = np.sort(np.repeat(np.arange(len(starts)), ends - starts) * len(distinct) + code)
+    plain = np.ones(len(starts), bool)
+    plain[twice[1:][twice[1:] == twice[:-1]] // max(len(distinct), 1)] = False
+    windows = _Windows(flat, starts, ends, plain, wanted)
+    fresh = (key[1:] != key[:-1]) | (down[1:] != down[:-1]) | (across[1:] != across[:-1])
+    begins = np.flatnonzero(np.r_[True, fresh][: len(key)])
+    has = np.zeros(len(distinct), bool)
+    column = np.full(len(distinct), -1)
+    found, similarity = [], []
+    for begin, end in zip(begins.tolist(), np.r_[begins[1:], len(key)].tolist()):
+        middle = begin + int(np.searchsorted(asking[begin:end], True))
+        some = slice(*np.searchsorted(windows.owner, (middle, end)).tolist())
+        if begin == middle or some.start == some.stop:
             continue
-        two = np.frombuffer(other["shingles"], "<u8")
-        at = np.minimum(np.searchsorted(shingles, two), len(shingles) - 1)
-        has = np.zeros(len(shingles), bool)
-        has[at[shingles[at] == two]] = True
-        shared = np.bincount(owner, has[place], len(texts))
-        near = going & (docs > other["doc"]) & (shared >= least)
-        both = near.any() and _plain(two)
-        if both:
-            near &= (shared >= _LEAST_SHARED) | ~plain
-        for k in np.flatnonzero(near).tolist():
-            wanted = np.array(sorted(open_[k].values()), np.int64)
-            for x, y, value in _alike(texts[k], two, wanted, True if both and plain[k] else None):
-                content = int(contents[k][x])
-                out.append((asking[k]["doc"], content, other["doc"], other["base"] + y, value))
-                del open_[k][content]
-            going[k] = bool(open_[k])
-    return out
+        place, owner, held = windows.place[some], windows.owner[some], windows.held[some]
+        docs = doc[owner]
+        first = int(starts[middle])
+        codes, low = code[first : ends[end - 1]], place - first
+        before = np.zeros(len(codes) + 1, np.int32)
+        open_, top = np.ones(len(place), bool), docs.max()
+        for other in range(begin, middle):
+            if doc[other] >= top:
+                break
+            own = code[starts[other] : ends[other]]
+            has[own] = True
+            np.cumsum(has[codes], out=before[1:])
+            has[own] = False
+            shared = before[low + WINDOW] - before[low]
+            near = np.flatnonzero(open_ & (docs > doc[other]) & (4 * shared >= 3 * held))
+            if not len(near):
+                continue
+            if plain[other]:
+                near = near[7 * shared[near] >= 3 * (held[near] + WINDOW)]
+                if not len(near):
+                    continue
+            shingle, two = np.unique(own, return_inverse=True)
+            sets = _sets(two, len(shingle))
+            # Not even the smallest set of the entry is alike to windows that share less.
+            near = near[7 * shared[near] >= 3 * (held[near] + sets.sum(1).min())]
+            column[shingle] = np.arange(len(shingle))
+            for run in np.split(near, range(TILE, len(near), TILE)):
+                inside = np.zeros((len(run), len(shingle) + 1), np.float32)
+                # What does not stand in the entry goes to the last column.
+                inside[np.arange(len(run))[:, None], column[codes[low[run, None] + np.arange(WINDOW)]]] = 1
+                hit, at, value = _most_alike(inside[:, :-1], sets, held[run])
+                run, at = run[hit], at[hit] + base[other]
+                open_[run] = False
+                content = windows.content[some][run]
+                found.append(np.stack([docs[run], content, np.full(len(run), doc[other]), at], 1))
+                similarity.append(value[hit])
+            column[shingle] = -1
+            if not open_.any():
+                break
+            top = docs[open_].max()
+    similar, values = _nearest(found, similarity)
+    return _table(_FOUND, **dict(zip(("doc", "content", "other", "place"), similar.T)), similarity=values)
 
 
 def _alike_contents(entries: DataFrame, regions: DataFrame, blocks: int) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from sheafwork.llm import passages, sharing
 from tests.llm import data
@@ -189,3 +190,60 @@ def test_windows_on_one_diagonal_and_on_several():
             own = (entry == k) & hit
             expected = [(a + x, b + y, v) for x, y, v in best_of(one[a : a + n], two[b : b + m], range(n - T + 1))]
             assert sorted(zip(spot[own].tolist(), place[own].tolist(), value[own].tolist())) == expected
+
+
+def tile(number, seed):
+    """Entries of one centre that differ from one passage at two places each, a few of them at one."""
+    rng = np.random.default_rng(seed)
+    passage = np.arange(1, 61, dtype=np.uint64)
+    rows = []
+    for doc in range(number):
+        text = passage.copy()
+        for place in rng.choice(np.arange(0, 60, 5), 1 if doc % 20 == 0 else 2, replace=False).tolist():
+            text[place : place + 5] = rng.integers(1_000, 1 << 40, 5)
+        if doc % 7 == 0:
+            text[-1] = text[-2]
+        rows.append((doc, text))
+    return rows
+
+
+def tiled(rows):
+    """A row to ask with and one to be met, of each entry."""
+    out = {c: [] for c in ("key", "doc", "base", "shingles", "wanted", "down", "across")}
+    for doc, text in rows:
+        for wanted in (passages._content(text)[0].tolist(), None):
+            for c, v in zip(out, (5, doc, 0 if wanted else 3, text.tobytes(), wanted, 0, 0)):
+                out[c].append(v)
+    return pa.table(
+        [pa.array(v, {"shingles": pa.binary(), "wanted": pa.list_(pa.int64())}.get(c, pa.int64())) for c, v in out.items()],
+        names=list(out),
+    )
+
+
+def test_windows_of_a_tile_meet_the_first_alike_entry():
+    rows, expected = tile(60, 1), {}
+    for doc, text in rows:
+        sets = [set(text[x : x + T].tolist()) for x in range(len(text) - T + 1)]
+        content = passages._content(text)[0].tolist()
+        for other, two in rows[:doc]:
+            for value, one in zip(content, sets):
+                near = []
+                for y in range(len(two) - T + 1):
+                    own = set(two[y : y + T].tolist())
+                    if 100 * len(one & own) >= 75 * len(one | own):
+                        near.append((-len(one & own) / len(one | own), y + 3))
+                if near and (doc, value) not in expected:
+                    expected[doc, value] = (other, min(near)[1], -min(near)[0])
+    found = passages._tiles(tiled(rows)).to_pylist()
+    assert {(r["doc"], r["content"]): (r["other"], r["place"], r["similarity"]) for r in found} == expected
+    assert len(found) > 60
+
+
+def test_windows_that_share_too_little_are_not_compared(monkeypatch):
+    """Of 150 entries that are near but not alike, hardly any two are compared place by place."""
+    calls = []
+    for name in ("_alike", "_most_alike"):
+        real = getattr(passages, name, None)
+        monkeypatch.setattr(passages, name, lambda *x, real=real: calls.append(1) or real(*x), raising=False)
+    passages._tiles(tiled(tile(150, 2)))
+    assert 0 < len(calls) <= 150
