@@ -136,6 +136,7 @@ def _windows(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
 
 def _numbered(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
     known = [(i, t) for i, t in zip(rows["doc_id"].to_pylist(), raw(rows["text"])) if i is not None]
+    known.sort(key=lambda row: row[0])
     ids, texts, size = np.array([i for i, _ in known], np.int64), [], 0
     some: list[bytes] = []
     for number, (_, text) in enumerate(known, 1):
@@ -224,7 +225,14 @@ def _contents(ids: np.ndarray, texts: list[np.ndarray], answers: pa.Table, shard
         out.append((np.full(len(place), k), place, content[place], held[place], known[place]))
     text, place, content, held, known = (np.concatenate(x) for x in zip(*out))
     shard = (content % np.uint64(shards)).astype(np.int64)
-    order = np.lexsort((place, ids[text], content, shard))
+    if (np.diff(ids) <= 0).any():
+        # Rows come in no order, and a document may have several.
+        order = np.lexsort((place, ids[text]))
+        order = order[np.argsort(content[order], kind="stable")]
+    else:
+        order = np.argsort(content, kind="stable")
+    # Shards are few: sorting short numbers takes no comparisons.
+    order = order[np.argsort(shard[order].astype(np.uint16) if shards <= 1 << 16 else shard[order], kind="stable")]
     columns = [x[order] for x in (text, place, content, held, known, shard)]
     content = columns[2]
     fresh = np.flatnonzero(np.r_[True, content[1:] != content[:-1]][: len(content)])
@@ -347,9 +355,15 @@ def _looked(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         new = fresh[lead == ids[text[fresh]]]
         new = new[np.lexsort((place[new], text[new]))]
         text, place, held, known = (x[new] for x in (text, place, held, known))
-        some = np.unique(text)
-        _, _, owner, left, centre, right = _windows([texts[k] for k in some])
-        owner = some[owner] if len(owner) else owner
+        span = np.int64(1 << 40)
+        spots = text * span + place
+        # Centres are looked for where windows are followed, with all windows that share a shingle.
+        begins = np.flatnonzero(np.r_[True, np.diff(spots) >= WINDOW][: len(spots)])
+        ends = np.r_[begins[1:], len(spots)][: len(begins)] - 1
+        holder, begin = text[begins], np.maximum(place[begins] - WINDOW + 1, 0)
+        cuts = zip(holder.tolist(), begin.tolist(), (place[ends] + 2 * WINDOW - 1).tolist())
+        _, _, piece, left, centre, right = _windows([texts[k][x:y] for k, x, y in cuts])
+        owner, left, centre, right = holder[piece], *(x + begin[piece] for x in (left, centre, right))
         low, high = np.maximum(left, centre - WINDOW + 1), np.minimum(right - WINDOW + 1, centre)
         # Functions with the same centre make one entry.
         order = np.lexsort((centre, owner))
@@ -358,8 +372,6 @@ def _looked(shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         if len(start):
             owner, centre = owner[start], centre[start]
             low, high = np.minimum.reduceat(low, start), np.maximum.reduceat(high, start)
-        span = np.int64(1 << 40)
-        spots = text * span + place
         first, last = np.searchsorted(spots, owner * span + low), np.searchsorted(spots, owner * span + high, "right")
         some = np.flatnonzero(first < last)
         if not len(some):

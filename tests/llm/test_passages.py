@@ -247,3 +247,17 @@ def test_windows_that_share_too_little_are_not_compared(monkeypatch):
         monkeypatch.setattr(passages, name, lambda *x, real=real: calls.append(1) or real(*x), raising=False)
     passages._tiles(tiled(tile(150, 2)))
     assert 0 < len(calls) <= 150
+
+
+def test_centres_are_looked_for_near_followed_windows_only(monkeypatch):
+    passage = data.prose(95, 60)
+    texts = [f"{data.prose(400 + k, 2_000)} {passage} {data.prose(500 + k, 2_000)}" for k in (1, 2)]
+    rows = pa.table({"block": pa.array([0, 0], pa.int64()), "doc_id": pa.array([2, 1], pa.int64()), "text": texts})
+    answers = sharing.answer(passages._ask(1)(rows))
+    told = passages._first(passages._send(1)(rows, answers))
+    seen, real = [], passages._windows
+    monkeypatch.setattr(passages, "_windows", lambda x: seen.extend(x) or real(x))
+    looked = passages._looked(1)(rows, pa.concat_tables([answers, told]))
+    assert passages._ENTRY in looked["kind"].to_pylist()
+    # Two documents of 4,060 words; windows of which a quarter is their own are followed too.
+    assert 0 < sum(map(len, seen)) < 400
